@@ -56,7 +56,7 @@ def key_profile(dw: DataFrame, stg: DataFrame, keys: tuple[str, ...]) -> KeyProf
     target = dw.filter(_has_key(keys)).select(*keys, F.lit(0).alias("_s"), F.lit(1).alias("_d"))
     per_key = source.unionByName(target).groupBy(*keys).agg(F.sum("_s").alias("_s"), F.max("_d").alias("_d"))
     repeated, ambiguous = per_key.agg(
-        F.coalesce(F.max(F.col("_s") > 1), F.lit(False)), F.count_if("_s > 1 AND _d = 1")
+        F.coalesce(F.max(F.col("_s") > 1), F.lit(False)), F.count_if((F.col("_s") > 1) & (F.col("_d") == 1))
     ).first()
     return KeyProfile(repeated, ambiguous)
 
