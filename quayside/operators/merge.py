@@ -160,9 +160,11 @@ def counters(dw: DataFrame, run_ts: datetime) -> DataFrame:
 
 
 def empty_warehouse(stg: DataFrame, spec: MergeSpec) -> DataFrame:
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stg.select(*spec.columns).schema)
-    audit = AUDIT.split(", ")
-    return stg.sparkSession.createDataFrame([], ", ".join([audit[0], columns, *audit[1:]]))
+    """No rows yet, in the layout of the warehouse table."""
+    staged = [(f.name, f.dataType.simpleString()) for f in stg.select(*spec.columns).schema]
+    audit = [tuple(c.split()) for c in AUDIT.split(", ")]
+    return stg.sparkSession.range(0).select(
+        *[F.lit(None).cast(t).alias(n) for n, t in [audit[0], *staged, *audit[1:]]])
 
 
 def merge_table(store: Store, name: str, stg: DataFrame, spec: MergeSpec, run_ts: datetime, *,

@@ -44,5 +44,6 @@ class Store:
         path = f"{self.root}/{name}/v{version:06d}-{uuid.uuid4().hex[:8]}"
         writer = df.write.mode("error")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-        self.spark.createDataFrame([(version, path)], _LOG).coalesce(1).write.mode("append").parquet(self._log(name))
+        entry = self.spark.range(1).select(F.lit(version).cast("bigint").alias("version"), F.lit(path).alias("path"))
+        entry.coalesce(1).write.mode("append").parquet(self._log(name))
         return self.spark.read.parquet(path)

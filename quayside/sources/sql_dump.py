@@ -6,7 +6,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 _TOKEN = re.compile(r"'(?:[^'\\]|\\.)*'|[^',()]+|.", re.S)
 
@@ -43,7 +43,7 @@ def _rows(values: str) -> list[list[str | None]]:
     return rows
 
 
-@F.pandas_udf("array<array<string>>")
+@F.pandas_udf(ArrayType(ArrayType(StringType())))
 def _value_rows(statements: pd.Series) -> pd.Series:
     return statements.map(_rows)
 
