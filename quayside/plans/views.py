@@ -211,7 +211,9 @@ def reservation_rates(t: Tables, cal: Calendar) -> DataFrame:
     whole_months = F.round(months, 0)
 
     def rate(guard: Column, amount: Column, units: Column) -> Column:
-        return F.when(guard > 0, F.round(F.try_divide(amount.cast("double"), units.cast("double")), 2)).otherwise(F.lit(0.0))
+        # ten decimal digits take up the binary error of the quotient, so that exact halves round up
+        quotient = F.try_divide(amount.cast("double"), units.cast("double")).cast("decimal(28,10)")
+        return F.when(guard > 0, F.round(quotient, 2)).otherwise(0)
 
     rated = per_stay.select(
         "reservation_id", "reservation_name", "reservation_status", "reservation_type", "slip_id",

@@ -126,7 +126,7 @@ def tar_records(archives: DataFrame, columns: dict[str, list[str]], *, folder: s
     def unpacked(frames):
         for frame in frames:
             for path in frame["path"]:
-                with _open(path) as raw, tarfile.open(fileobj=raw, mode="r|gz") as tar:
+                with _open(path) as raw, tarfile.open(fileobj=raw, mode="r:gz") as tar:
                     for entry in tar:
                         table = wanted.get(entry.name.removeprefix("./"))
                         if table and entry.isfile():

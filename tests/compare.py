@@ -38,7 +38,7 @@ def diff(spark_df, con, sql: str) -> str | None:
     if got_cols != want_cols:
         return f"columns {got_cols} != {want_cols}"
     if got != want:
-        extra = [r for r in got if r not in set(want)][:3] if len(got) < 200000 else []
-        missing = [r for r in want if r not in set(got)][:3] if len(got) < 200000 else []
+        got_set, want_set = set(got), set(want)
+        extra, missing = sorted(got_set - want_set)[:3], sorted(want_set - got_set)[:3]
         return f"{len(got)} rows vs {len(want)}; extra {extra}; missing {missing}; {got_cols}"
     return None

@@ -46,7 +46,8 @@ def _roles(d) -> dict[str, tuple[str, dict[str, str]]]:
         "reservations": ("orders", {
             "id": "o_orderkey",
             "name": "'Stay ' || cast(o_orderkey as string)",
-            "marina_location_id": "case when o_orderkey % 41 = 0 then null else o_custkey % 25 end",
+            "marina_location_id": "case when o_orderkey % 41 = 0 then null else cast(floor(o_custkey / 15) as bigint) % 25 "
+                                  "+ case when o_orderkey % 401 = 0 then 1 else 0 end end",
             "reservation_status_id": "o_orderkey % 7",
             "reservation_type_id": "cast(substr(o_orderpriority, 1, 1) as bigint)",
             "boat_id": "case when o_orderkey % 53 = 0 then null when o_orderkey % 43 = 0 then o_custkey + 1000000000 else o_custkey end",
