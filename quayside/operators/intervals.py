@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from quayside.operators.spread import shuffle_partitions
 from quayside.sources.calendar import Calendar
 
 
@@ -68,8 +69,6 @@ def running_counts(df: DataFrame, group: list[str], start: Column, end: Column,
     stretch between two changes is exploded. `alive` counts rows, `n` counts
     the rows where `counted` is not NULL.
     """
-    from pyspark.sql import Window
-
     low, high = day_span(start, end, cal.first, cal.last, closed=True, open_end=open_end)
     one = F.when(counted.isNotNull(), 1).otherwise(0)
     spans = df.select(*group, low.alias("_low"), high.alias("_high"), one.alias("_one")).filter("_low <= _high")
@@ -93,6 +92,7 @@ def running_counts(df: DataFrame, group: list[str], start: Column, end: Column,
         F.sum("_rows").over(so_far).alias("alive"),
         F.sum("_hits").over(so_far).alias("n"),
     ).filter("alive > 0")
-    return stretches.withColumn(
+    # few rows that are about to grow to one per day
+    return stretches.repartition(shuffle_partitions(df), *group, "_day").withColumn(
         "calendar_date", F.explode(F.sequence("_day", F.date_sub("_next", 1)))
     ).select(*group, "calendar_date", "alive", "n")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from quayside.operators.spread import shuffle_partitions
+
 
 def left_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, *,
                 placeholders: tuple = (), spread_by: list[Column] | None = None) -> DataFrame:
@@ -23,7 +25,7 @@ def left_lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, *
         keyed = dim.withColumnRenamed(dim_key, "_dim_key")
         return facts.join(keyed, facts[fact_key] == keyed["_dim_key"], "left").drop("_dim_key")
 
-    ways = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ways = shuffle_partitions(facts)
     key = F.col(fact_key)
     hot = key.isNull() | key.isin(*placeholders) if placeholders else key.isNull()
     salted = facts.withColumn(

@@ -18,8 +18,12 @@ def number_rows(df: DataFrame, order: list[str], column: str, start: int = 0) ->
     places into global numbers.
     """
     spark = df.sparkSession
-    keys = [F.col(c).asc_nulls_last() for c in order]
-    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id())
+    keys = [*[F.col(c).asc_nulls_last() for c in order], F.col("_tie")]
+    placed = (
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie")
+        .withColumn("_place", F.monotonically_increasing_id())
+    )
     folder = new_folder(spark, "numbering")
     placed.write.parquet(folder)
     saved = spark.read.schema(placed.schema).parquet(folder).withColumn("_part", F.shiftright("_place", _ROW_BITS))

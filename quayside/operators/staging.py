@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import VarcharType
@@ -30,8 +31,9 @@ def _value(c: ColumnSpec) -> Column:
 
 def _turned_down(c: ColumnSpec) -> Column:
     raw = F.col(f"`{c.name}`")
-    bad = F.nullif(F.btrim(raw), F.lit("")).isNotNull() & _value(c).isNull()
-    return bad | (F.length(raw) > c.length) if c.length else bad
+    if c.length:  # strict text only has its length to fail by
+        return F.coalesce(F.length(raw) > c.length, F.lit(False))
+    return F.coalesce(F.btrim(raw) != "", F.lit(False)) & _value(c).isNull()
 
 
 def convert_rows(raw: DataFrame, spec: TableSpec) -> DataFrame:
@@ -41,15 +43,14 @@ def convert_rows(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """
     loaded = spec.loaded_columns
     text = by_header(raw, {c.name: c.header for c in loaded})
-    faults = [F.when(_turned_down(c), F.lit(c.name)) for c in loaded if c.strict]
-    at_fault = F.array_compact(F.array(*faults)) if faults else F.array().cast("array<string>")
+    strict = [c for c in loaded if c.strict]
+    bad = reduce(lambda a, b: a | b, [_turned_down(c) for c in strict], F.lit(False))
+    at_fault = F.array_compact(F.array(F.lit(None).cast("string"), *[F.when(_turned_down(c), F.lit(c.name)) for c in strict]))
     filled = {c.name for c in loaded}
-    marked = text.select("*", at_fault.alias("_bad_columns"), F.to_json(F.struct(*text.columns)).alias("_raw"))
-    bad = F.size("_bad_columns") > 0
-    return marked.select(
+    return text.select(
         *[(_value(c) if c.name in filled else F.lit(None).cast(_stored_type(c))).alias(c.name) for c in spec.columns],
-        F.when(bad, F.col("_bad_columns")).alias("_bad_columns"),
-        F.when(bad, F.col("_raw")).alias("_raw"),
+        F.when(bad, at_fault).alias("_bad_columns"),
+        F.when(bad, F.to_json(F.struct(*text.columns))).alias("_raw"),
         bad.alias("_bad"),
     )
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quayside.operators.intervals import covering_days, explode_days, running_counts, uncovered_days
 from quayside.operators.lookup import left_lookup
+from quayside.operators.spread import shuffle_partitions
 from quayside.sources.calendar import ATTRIBUTES, Calendar
 
 Tables = Mapping[str, DataFrame]
@@ -146,8 +147,10 @@ def daily_slip_occupancy(t: Tables, cal: Calendar) -> DataFrame:
         .agg(F.collect_list("calendar_date").alias("_covered"))
     )
     all_days = F.sequence(F.lit(cal.first), F.lit(cal.last))
+    # a small slip table grows by the length of the calendar: deal it out before, not after
     vacant = (
-        slips.join(covered, F.col("slip_id") == F.col("_slip"), "left")
+        slips.repartition(shuffle_partitions(slips), "slip_id")
+        .join(covered, F.col("slip_id") == F.col("_slip"), "left")
         .withColumn(
             "calendar_date",
             F.explode(F.when(F.col("_covered").isNull(), all_days).otherwise(F.array_except(all_days, "_covered"))),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quayside.functions import convert as cv
-from workload.roles import table
+from workload.roles import facts
 
 # text per order and row kind: (Spark expression, DuckDB expression)
 _DATE_FORMS = [
@@ -51,7 +51,7 @@ _INPUT = {
 
 def _query(kind: str, **columns):
     def run(spark, sf):
-        raw = table(spark, sf, "orders").select("o_orderkey", F.expr(_INPUT[kind][0]).alias("raw"))
+        raw = facts(spark, sf, "orders").select("o_orderkey", F.expr(_INPUT[kind][0]).alias("raw"))
         return raw.select("o_orderkey", "raw", *[f(F.col("raw")).alias(n) for n, f in columns.items()])
 
     return run

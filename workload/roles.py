@@ -10,8 +10,11 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quayside.operators.spread import spread
 from quayside.sources.calendar import Calendar
 
+# roles whose rows are multiplied by the days they cover
+SPREAD = ("reservations",)
 STAYS_FROM, STAYS_TO = date(1995, 1, 1), date(2001, 12, 31)
 RENTALS_FROM, RENTALS_TO = date(2024, 1, 1), date(2024, 2, 29)
 
@@ -174,10 +177,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def facts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A large supplied table for row-heavy work; each comes as one row group, which one task would read."""
+    return spread(table(spark, sf_dir, name))
+
+
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     source, columns = _roles(SparkDialect())[name]
     first = next(iter(columns.values()))
-    df = table(spark, sf_dir, source).selectExpr(
+    df = (facts if name in SPREAD else table)(spark, sf_dir, source).selectExpr(
         *[f"{e.removeprefix('distinct ')} as `{c}`" for c, e in columns.items()]
     )
     return df.distinct() if first.startswith("distinct ") else df

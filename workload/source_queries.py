@@ -13,7 +13,7 @@ from quayside.session import new_folder
 from quayside.sources import archives as ar
 from quayside.sources.csv_tables import by_header, read_csv
 from quayside.sources.sql_dump import read_sql_dump
-from workload.roles import DuckDialect, SparkDialect, plain, table
+from workload.roles import DuckDialect, SparkDialect, facts, plain, table
 from workload.snapshots import as_csv, write_archives
 
 T1 = datetime(2024, 1, 1, 6, 0, 0)
@@ -130,7 +130,7 @@ _US = {"spark": "date_format(o_orderdate, 'MM/dd/yyyy HH:mm:ss')", "duck": "strf
 
 
 def _raw_reservations(spark, sf):
-    return table(spark, sf, "orders").selectExpr(*[f"{e.format(us=_US['spark'])} as `{c}`" for c, e in _RESERVATIONS.items()])
+    return facts(spark, sf, "orders").selectExpr(*[f"{e.format(us=_US['spark'])} as `{c}`" for c, e in _RESERVATIONS.items()])
 
 
 def reservations(spark, sf):
@@ -144,7 +144,7 @@ def reservations_bad(spark, sf):
 
 
 def invoice_items(spark, sf):
-    raw = table(spark, sf, "lineitem").selectExpr(
+    raw = facts(spark, sf, "lineitem").selectExpr(
         "cast(l_orderkey * 10 + l_linenumber as string) as Id",
         "case l_linenumber when 1 then 'N/A' when 2 then cast(l_orderkey as string) || '.0' else cast(l_orderkey as string) end as InvoiceId",
         "case l_returnflag when 'R' then 'NONE' else cast(cast(l_extendedprice as decimal(12,2)) as string) end as Total",
@@ -182,7 +182,7 @@ def _rental_text(duck: bool) -> dict[str, str]:
 
 
 def _raw_booking_boats(spark, sf):
-    return table(spark, sf, "events").selectExpr(*[f"{e} as `{c}`" for c, e in _rental_text(False).items()])
+    return facts(spark, sf, "events").selectExpr(*[f"{e} as `{c}`" for c, e in _rental_text(False).items()])
 
 
 def booking_boats(spark, sf):
