@@ -60,7 +60,7 @@ def good_rows(rows: DataFrame) -> DataFrame:
 
 
 def bad_rows(rows: DataFrame) -> DataFrame:
-    return rows.filter("_bad").select("_bad_columns", "_raw")
+    return rows.filter(F.col("_bad")).select("_bad_columns", "_raw")
 
 
 def convert_table(raw: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
@@ -82,7 +82,7 @@ def stage(store: Store, name: str, rows: DataFrame, *, only_if_filled: bool = Fa
     if only_if_filled and rows.isEmpty():
         result = (name, 0, LEFT, NO_ROWS)
     else:
-        result = (name, store.write(name, rows, partition_by=("_bad",)).filter("not _bad").count(), REPLACED, None)
+        result = (name, store.write(name, rows, partition_by=("_bad",)).filter(~F.col("_bad")).count(), REPLACED, None)
     return store.spark.createDataFrame([result], LOAD_RESULT)
 
 

@@ -7,12 +7,14 @@ leaves an unlisted folder behind and nothing else.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-_LOG = "version bigint, path string"
+_LOG = "version bigint, path string, layout string"
 
 
 class Store:
@@ -22,28 +24,36 @@ class Store:
     def _log(self, name: str) -> str:
         return f"{self.root}/_versions/{name}"
 
-    def current(self, name: str) -> tuple[int, str] | None:
-        """(version, path) of the newest committed version."""
+    def _newest(self, name: str):
         try:
             log = self.spark.read.schema(_LOG).parquet(self._log(name))
         except AnalysisException as e:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        row = log.orderBy(F.desc("version")).first()
-        return (row["version"], row["path"]) if row else None
+        return log.orderBy(F.desc("version")).first()
+
+    def _open(self, path: str, layout: str) -> DataFrame:
+        # the logged schema also serves versions without a single row
+        return self.spark.read.schema(StructType.fromJson(json.loads(layout))).parquet(path)
+
+    def version(self, name: str) -> int:
+        """Number of the newest committed version; 0 when there is none."""
+        row = self._newest(name)
+        return row["version"] if row else 0
 
     def read(self, name: str) -> DataFrame | None:
-        found = self.current(name)
-        return self.spark.read.parquet(found[1]) if found else None
+        row = self._newest(name)
+        return self._open(row["path"], row["layout"]) if row else None
 
     def write(self, name: str, df: DataFrame, *, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Write `df` as the next version, commit it and return it as read back."""
-        found = self.current(name)
-        version = found[0] + 1 if found else 1
+        version = self.version(name) + 1
         path = f"{self.root}/{name}/v{version:06d}-{uuid.uuid4().hex[:8]}"
         writer = df.write.mode("error")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-        entry = self.spark.range(1).select(F.lit(version).cast("bigint").alias("version"), F.lit(path).alias("path"))
+        layout = df.schema.json()
+        entry = self.spark.range(1).select(
+            F.lit(version).cast("bigint").alias("version"), F.lit(path).alias("path"), F.lit(layout).alias("layout"))
         entry.coalesce(1).write.mode("append").parquet(self._log(name))
-        return self.spark.read.parquet(path)
+        return self._open(path, layout)

@@ -261,7 +261,7 @@ def versioned(spark, sf):
     store.write("lineitem", table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"))
     again = store.read("lineitem")  # read the version that is being replaced
     store.write("lineitem", again.select((F.col("l_orderkey") + 1).alias("l_orderkey"), "l_linenumber"))
-    return store.read("lineitem").select("l_orderkey", "l_linenumber", F.lit(store.current("lineitem")[0]).cast("bigint").alias("version"))
+    return store.read("lineitem").select("l_orderkey", "l_linenumber", F.lit(store.version("lineitem")).cast("bigint").alias("version"))
 
 
 QUERIES = {
