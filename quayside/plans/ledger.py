@@ -56,34 +56,32 @@ def ledger_lines(header: DataFrame, line: DataFrame, account: DataFrame, doc: Do
     """Posted lines of one document type in the common 21 columns."""
     h, ln = header.filter("posting = 'T'").alias("header"), line.alias("line")
     a = account.select("id", "acctnumber", "accttype", "description").alias("account")
-    placeholder = F.lit(NOTHING).cast("bigint")
-    quantity = -F.col("line.quantity") if doc.quantity else F.lit(None)
+    placeholder = f"cast({NOTHING} as bigint)"
     return (
         h.join(ln, F.col("header.id") == F.col("line.transaction"))
         .join(a, F.col(f"line.{doc.account}") == F.col("account.id"))
-        .select(
-            F.lit(doc.t_type).alias("t_type"),
-            F.col("header.tranid").alias("tran_id"),
-            F.col("header.id").alias("internalid"),
-            F.col("line.id").alias("line_id"),
-            F.col("header.trandate").alias("tran_date"),
-            F.col(doc.name).alias("tran_name"),
-            F.col("line.subsidiary").alias("subsidiary_id"),
-            F.col("line.location").alias("location_id"),
-            F.col("line.class").alias("division_id"),
-            F.col("line.department").alias("department_id"),
-            (F.col(f"line.{doc.entity}") if doc.entity else placeholder).cast("bigint").alias("entity_id"),
-            (F.col("line.item") if doc.item else placeholder).cast("bigint").alias("item_id"),
-            F.col("header.postingperiod").alias("posting_period_id"),
-            F.col("account.id").alias("account_id"),
-            F.col("account.acctnumber").alias("account_number"),
-            F.col("account.accttype").alias("account_type"),
-            F.col("account.description").alias("account_desc"),
-            quantity.cast("decimal(20,2)").alias("qty"),
-            F.lit(None).cast("decimal(20,2)").alias("ext_cost"),
-            (F.coalesce(F.col(f"line.{doc.credit}"), F.lit(0)) - F.coalesce(F.col(f"line.{doc.debit}"), F.lit(0)))
-            .cast("decimal(20,2)").alias("acctg_amount"),
-            F.col("line.memo").alias("memo"),
+        .selectExpr(
+            f"'{doc.t_type}' as t_type",
+            "header.tranid as tran_id",
+            "header.id as internalid",
+            "line.id as line_id",
+            "header.trandate as tran_date",
+            f"{doc.name} as tran_name",
+            "line.subsidiary as subsidiary_id",
+            "line.location as location_id",
+            "line.class as division_id",
+            "line.department as department_id",
+            f"cast(line.{doc.entity} as bigint) as entity_id" if doc.entity else f"{placeholder} as entity_id",
+            "cast(line.item as bigint) as item_id" if doc.item else f"{placeholder} as item_id",
+            "header.postingperiod as posting_period_id",
+            "account.id as account_id",
+            "account.acctnumber as account_number",
+            "account.accttype as account_type",
+            "account.description as account_desc",
+            f"cast({'-line.quantity' if doc.quantity else 'null'} as decimal(20,2)) as qty",
+            "cast(null as decimal(20,2)) as ext_cost",
+            f"cast(coalesce(line.{doc.credit}, 0) - coalesce(line.{doc.debit}, 0) as decimal(20,2)) as acctg_amount",
+            "line.memo as memo",
         )
     )
 

@@ -7,6 +7,7 @@ SQL that Spark and DuckDB both read, except for the few helpers of `Dialect`.
 from __future__ import annotations
 
 from datetime import date
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -173,7 +174,9 @@ def _roles(d) -> dict[str, tuple[str, dict[str, str]]]:
     }
 
 
+@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A supplied table; kept, so that its file's footer is read once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
