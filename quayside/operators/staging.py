@@ -18,7 +18,7 @@ LOAD_RESULT = "table_name string, records bigint, outcome string, message string
 
 
 class BadRows(ValueError):
-    """Text a strict column cannot take."""
+    """Text a strict column cannot take, or nothing where a value is required."""
 
 
 def _stored_type(c: ColumnSpec) -> str:
@@ -31,6 +31,8 @@ def _value(c: ColumnSpec) -> Column:
 
 def _turned_down(c: ColumnSpec) -> Column:
     raw = F.col(f"`{c.name}`")
+    if c.required:
+        return _value(c).isNull()
     if c.length:  # strict text only has its length to fail by
         return F.coalesce(F.length(raw) > c.length, F.lit(False))
     return F.coalesce(F.btrim(raw) != "", F.lit(False)) & _value(c).isNull()
@@ -43,7 +45,7 @@ def convert_rows(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """
     loaded = spec.loaded_columns
     text = by_header(raw, {c.name: c.header for c in loaded})
-    strict = [c for c in loaded if c.strict]
+    strict = [c for c in loaded if c.strict or c.required]
     bad = reduce(lambda a, b: a | b, [_turned_down(c) for c in strict], F.lit(False))
     at_fault = F.array_compact(F.array(F.lit(None).cast("string"), *[F.when(_turned_down(c), F.lit(c.name)) for c in strict]))
     filled = {c.name for c in loaded}

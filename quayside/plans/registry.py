@@ -2,9 +2,11 @@
 
 A table needs three things: its row here (source file, family, merge flags),
 its staging schema, and header names. Schemas are a parameter: pass the staging
-table's StructType or DDL to `TableSpec.with_schema`. The tables the reports
+table's StructType or DDL to `TableSpec.with_schema`, or all CREATE TABLE text
+of an existing staging database to `with_database_ddl`. The tables the reports
 read come with theirs below, the (id, name) code tables share one, and for any
-other `columns_from_header` derives one from the file's own header.
+other `columns_from_header` derives one from the file's own header. Converters
+and merge parameters follow from the schema by rule.
 """
 
 from __future__ import annotations
@@ -98,12 +100,12 @@ HEADER_NAMES = {
     "boat_damage_responsibility_coverage": "bdrc", "status_booking": "status",
 }
 
-CODE_TABLE = "id bigint, name varchar(1000)"
+CODE_TABLE = "id bigint, name varchar(1000) not null"
 # Schemas of the tables the reports read, cut to the columns they use.
 # A string without length is a long note: loaded, updated, but not compared.
 SCHEMAS = {
     "piers": "id bigint, name varchar(255), marina_location_id bigint",
-    "accounts": "id bigint, account_status_id bigint, marina_location_id bigint, contact_id bigint",
+    "accounts": "id bigint, account_status_id bigint, marina_location_id bigint, contact_id bigint not null",
     "marina_locations": "id bigint, name varchar(255), time_zone varchar(100)",
     "slips": "id bigint, name varchar(255), recommended_loa varchar(50), marina_location_id bigint, "
              "start_date timestamp_ntz, end_date timestamp_ntz, do_not_count_in_occupancy int, active int",
@@ -171,6 +173,7 @@ class ColumnSpec:
     convert: Converter
     strict: bool = False  # unreadable or over-long text makes a bad row
     length: int | None = None
+    required: bool = False  # NULL makes a bad row
 
 
 @dataclass(frozen=True)
@@ -192,7 +195,7 @@ class TableSpec:
     def columns(self) -> list[ColumnSpec]:
         if self.schema is None:
             raise ValueError(f"{self.name}: no staging schema; give one with with_schema()")
-        return [_column(self, f.name, f.dataType) for f in self.schema]
+        return [replace(_column(self, f.name, f.dataType), required=not f.nullable) for f in self.schema]
 
     @property
     def loaded_columns(self) -> list[ColumnSpec]:
@@ -268,3 +271,38 @@ def columns_from_header(headers: list[str]) -> StructType:
         dtype = next((t for pattern, t in _ENDINGS if re.search(pattern, name)), "varchar(1000)")
         ddl.append(f"`{name}` {dtype}")
     return StructType.fromDDL(", ".join(ddl))
+
+
+_CREATE = re.compile(r"create\s+table\s+[\w.\"]*?(?:stg_[a-z]+_)?(\w+)\"?\s*\(\s*\n(.*?)^\s*\)", re.I | re.S | re.M)
+_DDL_COLUMN = re.compile(r"^\s*\"?(\w+)\"?\s+(number|n?varchar2|n?char|n?clob|binary_double|date|timestamp)\b\s*(?:\(([^)]*)\))?([^\n]*)", re.I)
+
+
+def database_type(name: str, size: str | None) -> str:
+    """Spark type of a column type of the staging database."""
+    name, numbers = name.lower(), [int(n) for n in re.findall(r"\d+", size or "")]
+    if name == "number":
+        digits, decimals = (numbers + [0, 0])[:2] if numbers else (38, 10)
+        if decimals:
+            return f"decimal({digits},{decimals})"
+        return "int" if digits == 1 else "bigint" if digits <= 18 else f"decimal({digits},0)"
+    if name in ("date", "binary_double"):
+        return {"date": "date", "binary_double": "double"}[name]
+    if name == "timestamp":
+        return "timestamp_ntz"
+    return "string" if name.endswith("clob") else f"varchar({numbers[0]})"
+
+
+def with_database_ddl(specs: dict[str, TableSpec], ddl: str) -> dict[str, TableSpec]:
+    """Give tables the columns of the CREATE TABLE statements of a staging database (one column a line).
+
+    A prefix STG_<system>_ of the table names is dropped; tables the text does
+    not create keep what they had.
+    """
+    out = dict(specs)
+    for name, body in _CREATE.findall(ddl):
+        columns = [m.groups() for m in map(_DDL_COLUMN.match, body.splitlines()) if m]
+        if name.lower() in out and columns:
+            out[name.lower()] = out[name.lower()].with_schema(", ".join(
+                f"`{c.lower()}` {database_type(t, size)}{' not null' if 'not null' in rest.lower() else ''}"
+                for c, t, size, rest in columns))
+    return out

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quayside.operators.spread import shuffle_partitions
 from quayside.sources.csv_tables import header_key
 
 _BATCH = 4096
@@ -111,7 +112,9 @@ def zip_records(archives: DataFrame, columns: dict[str, list[str]], *, on_bad_ut
                 with _open(path) as raw, zipfile.ZipFile(raw) as z, z.open(member) as stream:
                     yield from _batches(path, member, table, _records(stream, columns[table], on_bad_utf8))
 
-    return zip_members(archives, list(columns)).repartition("path", "member").mapInPandas(unpacked, RECORD)
+    # a fixed number of tasks: members look tiny as listed, and AQE would put them all into one
+    members = zip_members(archives, list(columns)).repartition(shuffle_partitions(archives))
+    return members.mapInPandas(unpacked, RECORD)
 
 
 def tar_records(archives: DataFrame, columns: dict[str, list[str]], *, folder: str = "data",
@@ -133,7 +136,7 @@ def tar_records(archives: DataFrame, columns: dict[str, list[str]], *, folder: s
                             records = _records(tar.extractfile(entry), columns[table], on_bad_utf8)
                             yield from _batches(path, entry.name, table, records)
 
-    return archives.select("path").mapInPandas(unpacked, RECORD)
+    return archives.select("path").repartition(shuffle_partitions(archives)).mapInPandas(unpacked, RECORD)
 
 
 def missing_tables(records: DataFrame, expected: list[str]) -> DataFrame:

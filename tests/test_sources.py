@@ -10,7 +10,7 @@ import pytest
 
 from quayside.operators import staging as sg
 from quayside.operators.store import Store
-from quayside.plans.registry import all_tables, column_name, columns_from_header
+from quayside.plans.registry import all_tables, column_name, columns_from_header, with_database_ddl
 from quayside.plans.run import Warehouse
 from quayside.sources import archives as ar
 from quayside.sources.csv_tables import by_header, read_csv
@@ -117,6 +117,41 @@ def test_schema_by_naming_rule(spark):
     assert types == ["bigint", "timestamp_ntz", "int", "double", "varchar(1000)"]
 
 
+def test_database_ddl(spark):
+    ddl = """CREATE TABLE STG_ANY_STYLES (
+        ID NUMBER(10,0), -- key
+        LABEL NVARCHAR2(40) NOT NULL,
+        TAX NUMBER(9,2),
+        SHOWN NUMBER(1,0) DEFAULT 0,
+        TOTAL NUMBER(20,0),
+        FEE BINARY_DOUBLE,
+        MADE_ON DATE,
+        MADE_AT TIMESTAMP,
+        NOTE NCLOB
+    );
+    CREATE TABLE UNKNOWN (
+        ID NUMBER
+    );"""
+    specs = with_database_ddl(all_tables(), ddl)
+    styles = specs["styles"]
+    assert [(f.name, f.dataType.simpleString()) for f in styles.schema] == [
+        ("id", "bigint"), ("label", "varchar(40)"), ("tax", "decimal(9,2)"), ("shown", "int"), ("total", "decimal(20,0)"),
+        ("fee", "double"), ("made_on", "date"), ("made_at", "timestamp_ntz"), ("note", "string")]
+    assert styles.merge.compare == tuple(f.name for f in styles.schema)[:-1] and "unknown" not in specs
+    assert [c.name for c in styles.columns if c.required] == ["label"]
+
+
+def test_members_go_to_several_tasks(spark, drop):
+    newest = ar.latest_archive(ar.list_archives(spark, str(drop)), ".zip", ignore_case=True)
+    tasks = ar.zip_records(newest, {"Piers": ["Id"], "Cities": ["Id"]}).rdd.getNumPartitions()
+    assert tasks == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_required_values(spark, rows):
+    good, bad = sg.convert_table(rows("Id string, Name string", ("1", "Wet"), ("2", " ")), all_tables()["slip_types"])
+    assert [r["id"] for r in good.collect()] == [1] and bad.first()["_bad_columns"] == ["name"]
+
+
 def test_text_lengths(spark, rows):
     spec = all_tables()["piers"].with_schema("id bigint, name varchar(3)")
     assert sg.convert_table(rows("Id string, Name string", ("1", "abcdef")), spec)[0].first()["name"] == "abc"
@@ -145,7 +180,7 @@ def test_archive_to_warehouse(spark, tmp_path):
     loaded = wh.load(wh.unpack(str(drop), "marina", marina), marina, t1).unionByName(
         wh.load(wh.unpack(str(drop), "rental", rental), rental, t1))
     assert {r["table_name"]: (r["records"], r["outcome"]) for r in loaded.collect()} == {
-        "piers": (3, "replaced"), "slip_types": (2, "replaced"), "reservations": (1, "replaced"),
+        "piers": (3, "replaced"), "slip_types": (1, "replaced"), "reservations": (1, "replaced"),
         "holidays": (2, "replaced"), "style_boats": (1, "replaced"), "coupons": (0, "failed")}
     assert sg.set_aside(wh.staging, "reservations").first()["_bad_columns"] == ["slip_id"]
     wh.merge_all({**marina, **rental}, t1, skip_at_once=True)

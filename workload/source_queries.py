@@ -205,7 +205,7 @@ def all_converted(spark, sf):
     raw = table(spark, sf, "customer").selectExpr(
         "cast(c_custkey as string) as Id", "c_name as Name", "cast(c_acctbal as string) as Balance",
         "cast(c_custkey as string) as user_id", "cast(c_custkey as string) as time_id",
-        "cast(c_custkey as string) as location_id", "cast(c_custkey as string) as booking_id")
+        "cast(c_custkey as string) as location_id", "cast(c_custkey as string) as booking_id", "cast(c_custkey as string) as Contact_Id")
     out = None
     for name, spec in all_tables().items():
         if spec.schema is None:
@@ -264,7 +264,15 @@ def versioned(spark, sf):
     return store.read("lineitem").select("l_orderkey", "l_linenumber", F.lit(store.version("lineitem")).cast("bigint").alias("version"))
 
 
+def warehouse_scan(spark, sf):
+    """A filtered, two-column read of a warehouse table."""
+    store = Store(spark, new_folder(spark, "scan"))
+    store.write("orders", table(spark, sf, "orders"))
+    return store.read("orders").filter("o_orderdate >= timestamp_ntz'1998-01-01 00:00:00' and o_orderstatus = 'F'").select("o_orderkey", "o_custkey")
+
+
 QUERIES = {
+    "src_warehouse_scan": warehouse_scan,
     "src_latest_archive": latest, "src_zip_members": zip_documents, "src_tar_members": tar_documents,
     "src_zip_landed": zip_landed, "src_member_counts": member_counts, "src_missing_members": missing_members,
     "src_undecodable_dropped": undecodable, "src_csv_by_header": csv_by_header, "src_sql_dump": sql_dump,
@@ -292,6 +300,7 @@ def _all_sql() -> str:
 
 
 ORACLE = {
+    "src_warehouse_scan": "select o_orderkey, o_custkey from orders where o_orderdate >= timestamp '1998-01-01' and o_orderstatus = 'F'",
     "src_latest_archive": f"""
 with l as (select {_PATH} as path, date_trunc('day', ts) as t, event_id as length from events)
 select * from (select 'zip' as kind, path, length from l where lower(path) like '%.zip' order by t desc, path limit 1)
