@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quayside.operators.numbering import number_rows
 from quayside.operators.store import Store
+from quayside.session import new_folder, remove_folder
 
 AUDIT = "dw_id bigint, dw_last_inserted timestamp_ntz, dw_last_updated timestamp_ntz"
 INSERTED, UPDATED, KEPT = "insert", "update", "keep"
@@ -134,19 +135,21 @@ def new_rows(dw: DataFrame, stg: DataFrame, spec: MergeSpec, run_ts: datetime) -
     )
 
 
-def merge(dw: DataFrame, stg: DataFrame, spec: MergeSpec, run_ts: datetime, *, on_duplicate: str = "error") -> DataFrame:
+def merge(dw: DataFrame, stg: DataFrame, spec: MergeSpec, run_ts: datetime, *, on_duplicate: str = "error",
+          folder: str | None = None) -> DataFrame:
     """The warehouse table after the merge, plus `_action` (insert, update, keep).
 
     `on_duplicate`: "error" raises AmbiguousSource when a repeated snapshot key
     matches an existing row; "keep" leaves such a warehouse row as it is.
-    New rows get surrogate keys after the highest one, in key order.
+    New rows get surrogate keys after the highest one, in key order; `folder`
+    is where they are written for that (see number_rows).
     """
     profile = key_profile(dw, stg, spec.keys)
     if profile.ambiguous and on_duplicate == "error":
         raise AmbiguousSource(f"{profile.ambiguous} repeated snapshot key(s) match an existing row: {spec.keys}")
     highest = dw.agg(F.coalesce(F.max("dw_id"), F.lit(0))).first()[0]
     order = [*spec.keys, *[c for c in spec.columns if c not in spec.keys]]
-    numbered = number_rows(new_rows(dw, stg, spec, run_ts), order, "dw_id", highest)
+    numbered = number_rows(new_rows(dw, stg, spec, run_ts), order, "dw_id", highest, folder)
     return existing_rows(dw, stg, spec, run_ts, profile).unionByName(numbered)
 
 
@@ -173,7 +176,10 @@ def merge_table(store: Store, name: str, stg: DataFrame, spec: MergeSpec, run_ts
     dw = store.read(name)
     if dw is None:
         dw = empty_warehouse(stg, spec)
-    written = store.write(name, merge(dw, stg, spec, run_ts, on_duplicate=on_duplicate).drop("_action"))
+    folder = new_folder(store.spark, "numbering")
+    merged = merge(dw, stg, spec, run_ts, on_duplicate=on_duplicate, folder=folder)
+    written = store.write(name, merged.drop("_action"))
+    remove_folder(folder)
     return counters(written, run_ts).first().asDict()
 
 

@@ -9,7 +9,7 @@ from quayside.session import new_folder
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row in partition below
 
 
-def number_rows(df: DataFrame, order: list[str], column: str, start: int = 0) -> DataFrame:
+def number_rows(df: DataFrame, order: list[str], column: str, start: int = 0, folder: str | None = None) -> DataFrame:
     """Add `column` = start + 1, start + 2, ... in the order of `order` (NULLs last).
 
     Range partitions are sorted on their own and written to the shared folder
@@ -24,7 +24,7 @@ def number_rows(df: DataFrame, order: list[str], column: str, start: int = 0) ->
         .repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie")
         .withColumn("_place", F.monotonically_increasing_id())
     )
-    folder = new_folder(spark, "numbering")
+    folder = folder or new_folder(spark, "numbering")
     placed.write.parquet(folder)
     saved = spark.read.schema(placed.schema).parquet(folder).withColumn("_part", F.shiftright("_place", _ROW_BITS))
     sizes = saved.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))

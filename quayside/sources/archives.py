@@ -12,8 +12,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quayside.operators.spread import shuffle_partitions
+from quayside.session import sent_with_jobs
 from quayside.sources.csv_tables import header_key
 
+sent_with_jobs(__name__)
+
 _BATCH = 4096
 RECORD = "path string, member string, table_name string, record_no bigint, fields array<string>"
 MEMBER = "path string, member string, table_name string, size bigint"

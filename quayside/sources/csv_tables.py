@@ -6,6 +6,10 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from quayside.session import sent_with_jobs
+
+sent_with_jobs(__name__)
+
 
 def header_key(name: str) -> str:
     """Header names match without regard to case and punctuation: Pier_Id is pier_id."""

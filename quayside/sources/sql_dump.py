@@ -8,6 +8,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
+from quayside.session import sent_with_jobs
+
+sent_with_jobs(__name__)
+
 _TOKEN = re.compile(r"'(?:[^'\\]|\\.)*'|[^',()]+|.", re.S)
 
 

@@ -13,6 +13,10 @@ import zipfile
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from quayside.session import sent_with_jobs
+
+sent_with_jobs(__name__)
+
 
 def as_csv(df: DataFrame, member: str) -> DataFrame:
     """(member, header, line): each row as quoted CSV text."""
