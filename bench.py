@@ -28,21 +28,29 @@ HEADLINE = {
 }
 
 
-def load_and_merge(spark, sf_dir) -> int:
-    """Text to warehouse: convert, stage and merge reservations and invoice items; returns the rows moved."""
+def two_days(spark, sf_dir) -> tuple[float, float, int]:
+    """Text to warehouse, twice: convert, stage and merge reservations and invoice items.
+
+    Returns the seconds of the first load, those of the next day's (a tenth of
+    the rates and totals changed) and the rows of one day.
+    """
     from pyspark.sql import functions as F
     from workload.roles import role
 
     specs = {n: all_tables()[n] for n in ("reservations", "invoice_items")}
-    raw = {}
-    for name in specs:
-        df = role(spark, sf_dir, name)
-        if name == "invoice_items":  # line numbers repeat in the supplied table; a key is needed here
-            df = df.dropDuplicates(["id"])
-        raw[name] = df.select([F.col(c).cast("string").alias(c) for c in df.columns])
     wh = Warehouse(spark, new_folder(spark, "bench"))
-    wh.load(raw, specs, datetime(2024, 1, 1))
-    return sum(staged(wh.staging, n).count() for n in specs)
+    seconds = []
+    for day in (1, 2):
+        raw = {}
+        for name, amount in (("reservations", "rate"), ("invoice_items", "total")):
+            df = role(spark, sf_dir, name)
+            if name == "invoice_items":  # line numbers repeat in the supplied table; a key is needed here
+                df = df.dropDuplicates(["id"])
+            changed = (F.lit(day) == 2) & (F.pmod(F.xxhash64("id"), F.lit(10)) == 0)
+            df = df.withColumn(amount, F.when(changed, F.col(amount) + 1).otherwise(F.col(amount)))
+            raw[name] = df.select([F.col(c).cast("string").alias(c) for c in df.columns])
+        seconds.append(timed(lambda: wh.load(raw, specs, datetime(2024, 1, day)))[0])
+    return seconds[0], seconds[1], sum(staged(wh.staging, n).count() for n in specs)
 
 
 def timed(action) -> tuple[float, object]:
@@ -65,9 +73,10 @@ def main() -> None:
         seconds[name] = round(min(runs), 3)
     moved = 0
     if not only or "load_and_merge" in only:
-        runs = [timed(lambda: load_and_merge(spark, sf_dir)) for _ in range(rounds)]
-        best, moved = min(runs, key=lambda r: r[0])
-        seconds["load_and_merge"] = round(best, 3)
+        runs = [two_days(spark, sf_dir) for _ in range(rounds)]
+        moved = runs[0][2]
+        seconds["load_and_merge"] = round(min(r[0] for r in runs), 3)
+        seconds["load_and_merge_next_day"] = round(min(r[1] for r in runs), 3)
     out = {
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"), "cpus": cpus,

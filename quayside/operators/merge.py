@@ -35,7 +35,8 @@ class MergeSpec:
 @dataclass(frozen=True)
 class KeyProfile:
     repeated_in_source: bool
-    ambiguous: int
+    repeated_in_target: bool
+    ambiguous: int  # repeated snapshot keys that hit an existing row
 
 
 def run_stamp(run_ts: datetime) -> Column:
@@ -48,18 +49,19 @@ def _has_key(keys) -> Column:
 
 
 def key_profile(dw: DataFrame, stg: DataFrame, keys: tuple[str, ...]) -> KeyProfile:
-    """Are snapshot keys unique, and does a repeated one hit an existing row?
+    """Are keys unique on each side, and does a repeated snapshot key hit an existing row?
 
     Key columns only, counted per key before the shuffle, so a key that holds
     most rows arrives as one count per task.
     """
     source = stg.filter(_has_key(keys)).select(*keys, F.lit(1).alias("_s"), F.lit(0).alias("_d"))
     target = dw.filter(_has_key(keys)).select(*keys, F.lit(0).alias("_s"), F.lit(1).alias("_d"))
-    per_key = source.unionByName(target).groupBy(*keys).agg(F.sum("_s").alias("_s"), F.max("_d").alias("_d"))
-    repeated, ambiguous = per_key.agg(
-        F.coalesce(F.max(F.col("_s") > 1), F.lit(False)), F.count_if((F.col("_s") > 1) & (F.col("_d") == 1))
-    ).first()
-    return KeyProfile(repeated, ambiguous)
+    per_key = source.unionByName(target).groupBy(*keys).agg(F.sum("_s").alias("_s"), F.sum("_d").alias("_d"))
+    many_s, many_d = F.col("_s") > 1, F.col("_d") > 1
+    return KeyProfile(*per_key.agg(
+        F.coalesce(F.max(many_s), F.lit(False)), F.coalesce(F.max(many_d), F.lit(False)),
+        F.count_if(many_s & (F.col("_d") > 0)),
+    ).first())
 
 
 def duplicate_keys(dw: DataFrame, stg: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -135,6 +137,53 @@ def new_rows(dw: DataFrame, stg: DataFrame, spec: MergeSpec, run_ts: datetime) -
     )
 
 
+def outer_rows(dw: DataFrame, stg: DataFrame, spec: MergeSpec, run_ts: datetime) -> DataFrame:
+    """Every row after the merge from one full outer join; new rows come without dw_id.
+
+    For keys that are unique on both sides: each side is shuffled once, and no
+    key can be hot. Rows without a complete key match nothing and stay out of
+    the join.
+    """
+    keys, stamp = list(spec.keys), run_stamp(run_ts)
+    d = dw.filter(_has_key(keys)).withColumn("_known", F.lit(True)).alias("d")
+    s = stg.filter(_has_key(keys)).select(*spec.columns).withColumn("_found", F.lit(True)).alias("s")
+    on = reduce(lambda a, b: a & b, [F.col(f"d.{k}") == F.col(f"s.{k}") for k in keys])
+    action = (
+        F.when(F.col("d._known").isNull(), INSERTED)
+        .when(F.col("s._found").isNotNull() & _changed(spec, dict(dw.dtypes)), UPDATED).otherwise(KEPT)
+    )
+    joined = d.join(s, on, "full_outer").withColumn("_action", action)
+    new, take = F.col("_action") == INSERTED, F.col("_action") != KEPT
+    matched = joined.select(
+        F.col("d.dw_id").alias("dw_id"),
+        *[F.when(take, F.col(f"s.{c}")).otherwise(F.col(f"d.{c}")).alias(c) for c in spec.columns],
+        F.when(new, stamp).otherwise(F.col("d.dw_last_inserted")).alias("dw_last_inserted"),
+        F.when(take, stamp).otherwise(F.col("d.dw_last_updated")).alias("dw_last_updated"),
+        "_action",
+    )
+    old_keyless = dw.filter(~_has_key(keys)).select(
+        "dw_id", *spec.columns, "dw_last_inserted", "dw_last_updated", F.lit(KEPT).alias("_action"))
+    new_keyless = stg.filter(~_has_key(keys)).select(
+        F.lit(None).cast("bigint").alias("dw_id"), *spec.columns, stamp.alias("dw_last_inserted"),
+        stamp.alias("dw_last_updated"), F.lit(INSERTED).alias("_action"))
+    return matched.unionByName(old_keyless).unionByName(new_keyless)
+
+
+def _checked_profile(dw: DataFrame, stg: DataFrame, spec: MergeSpec, on_duplicate: str) -> KeyProfile:
+    profile = key_profile(dw, stg, spec.keys)
+    if profile.ambiguous and on_duplicate == "error":
+        raise AmbiguousSource(f"{profile.ambiguous} repeated snapshot key(s) match an existing row: {spec.keys}")
+    return profile
+
+
+def _highest(dw: DataFrame) -> int:
+    return dw.agg(F.coalesce(F.max("dw_id"), F.lit(0))).first()[0]
+
+
+def _number_order(spec: MergeSpec) -> list[str]:
+    return [*spec.keys, *[c for c in spec.columns if c not in spec.keys]]
+
+
 def merge(dw: DataFrame, stg: DataFrame, spec: MergeSpec, run_ts: datetime, *, on_duplicate: str = "error",
           folder: str | None = None) -> DataFrame:
     """The warehouse table after the merge, plus `_action` (insert, update, keep).
@@ -144,12 +193,8 @@ def merge(dw: DataFrame, stg: DataFrame, spec: MergeSpec, run_ts: datetime, *, o
     New rows get surrogate keys after the highest one, in key order; `folder`
     is where they are written for that (see number_rows).
     """
-    profile = key_profile(dw, stg, spec.keys)
-    if profile.ambiguous and on_duplicate == "error":
-        raise AmbiguousSource(f"{profile.ambiguous} repeated snapshot key(s) match an existing row: {spec.keys}")
-    highest = dw.agg(F.coalesce(F.max("dw_id"), F.lit(0))).first()[0]
-    order = [*spec.keys, *[c for c in spec.columns if c not in spec.keys]]
-    numbered = number_rows(new_rows(dw, stg, spec, run_ts), order, "dw_id", highest, folder)
+    profile = _checked_profile(dw, stg, spec, on_duplicate)
+    numbered = number_rows(new_rows(dw, stg, spec, run_ts), _number_order(spec), "dw_id", _highest(dw), folder)
     return existing_rows(dw, stg, spec, run_ts, profile).unionByName(numbered)
 
 
@@ -172,9 +217,16 @@ def empty_warehouse(stg: DataFrame, spec: MergeSpec) -> DataFrame:
 
 def merge_table(store: Store, name: str, stg: DataFrame, spec: MergeSpec, run_ts: datetime, *,
                 on_duplicate: str = "error") -> dict[str, int]:
-    """Merge a staged snapshot into warehouse table `name` and commit the new version."""
+    """Merge a staged snapshot into warehouse table `name` and commit the new version.
+
+    Returns the rows inserted, updated and kept.
+    """
     dw = store.read(name)
-    if dw is None:
+    if dw is not None:
+        profile = _checked_profile(dw, stg, spec, on_duplicate)
+        if not (profile.repeated_in_source or profile.repeated_in_target):
+            return _merge_unique(store, name, dw, stg, spec, run_ts)
+    else:
         dw = empty_warehouse(stg, spec)
     folder = new_folder(store.spark, "numbering")
     merged = merge(dw, stg, spec, run_ts, on_duplicate=on_duplicate, folder=folder)
@@ -183,6 +235,26 @@ def merge_table(store: Store, name: str, stg: DataFrame, spec: MergeSpec, run_ts
     return counters(written, run_ts).first().asDict()
 
 
+def _merge_unique(store: Store, name: str, dw: DataFrame, stg: DataFrame, spec: MergeSpec, run_ts: datetime) -> dict[str, int]:
+    """The merge of unique keys: one join, one write, and only the new rows are written again with their numbers."""
+    version, folder = store.next_folder(name)
+    rows = outer_rows(dw, stg, spec, run_ts)
+    layout = rows.drop("_action").schema
+    rows.write.partitionBy("_action").parquet(f"{folder}/rows")
+    written = store.spark.read.schema(rows.schema).parquet(f"{folder}/rows")
+    counts = {r["_action"]: r["count"] for r in written.groupBy("_action").count().collect()}  # at most three rows
+    parts = [f"{folder}/rows/_action={a}" for a in (KEPT, UPDATED) if counts.get(a)]
+    if counts.get(INSERTED) or not parts:
+        scratch = new_folder(store.spark, "numbering")
+        fresh = written.filter(F.col("_action") == INSERTED).drop("dw_id", "_action")
+        numbered = number_rows(fresh, _number_order(spec), "dw_id", _highest(dw), scratch)
+        numbered.select(*layout.names).write.parquet(f"{folder}/new")
+        remove_folder(scratch)
+        parts.append(f"{folder}/new")
+    store.commit(name, version, parts, layout.json())
+    return {"inserted": counts.get(INSERTED, 0), "updated": counts.get(UPDATED, 0), "kept": counts.get(KEPT, 0)}
+
+
 def run_all(store: Store, staged: dict[str, tuple[DataFrame, MergeSpec]], run_ts: datetime, *, at_a_time: int = 4) -> DataFrame:
     """Merge every staged table; tables are independent and run a few at a time.
 

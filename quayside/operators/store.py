@@ -1,7 +1,7 @@
 """Versioned Parquet tables: a write never touches the version being read.
 
 A table is a folder per version plus a small append-only log of committed
-versions; a version counts once its log row is there. A failed or retried job
+versions and their parts; a version counts once its log row is there. A failed or retried job
 leaves an unlisted folder behind and nothing else.
 """
 
@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-_LOG = "version bigint, path string, layout string"
+_LOG = "version bigint, parts array<string>, layout string"
 
 
 class Store:
@@ -33,9 +33,9 @@ class Store:
             raise
         return log.orderBy(F.desc("version")).first()
 
-    def _open(self, path: str, layout: str) -> DataFrame:
+    def _open(self, parts: list[str], layout: str) -> DataFrame:
         # the logged schema also serves versions without a single row
-        return self.spark.read.schema(StructType.fromJson(json.loads(layout))).parquet(path)
+        return self.spark.read.schema(StructType.fromJson(json.loads(layout))).parquet(*parts)
 
     def version(self, name: str) -> int:
         """Number of the newest committed version; 0 when there is none."""
@@ -44,16 +44,24 @@ class Store:
 
     def read(self, name: str) -> DataFrame | None:
         row = self._newest(name)
-        return self._open(row["path"], row["layout"]) if row else None
+        return self._open(row["parts"], row["layout"]) if row else None
 
-    def write(self, name: str, df: DataFrame, *, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        """Write `df` as the next version, commit it and return it as read back."""
+    def next_folder(self, name: str) -> tuple[int, str]:
+        """(number, fresh folder) for the next version."""
         version = self.version(name) + 1
-        path = f"{self.root}/{name}/v{version:06d}-{uuid.uuid4().hex[:8]}"
-        writer = df.write.mode("error")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-        layout = df.schema.json()
+        return version, f"{self.root}/{name}/v{version:06d}-{uuid.uuid4().hex[:8]}"
+
+    def commit(self, name: str, version: int, parts: list[str], layout: str) -> DataFrame:
+        """Make the folders `parts` the given version of the table."""
         entry = self.spark.range(1).select(
-            F.lit(version).cast("bigint").alias("version"), F.lit(path).alias("path"), F.lit(layout).alias("layout"))
+            F.lit(version).cast("bigint").alias("version"), F.array(*map(F.lit, parts)).alias("parts"),
+            F.lit(layout).alias("layout"))
         entry.coalesce(1).write.mode("append").parquet(self._log(name))
-        return self._open(path, layout)
+        return self._open(parts, layout)
+
+    def write(self, name: str, df: DataFrame, *, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """Write `df` as the next version, commit it and return it as read back."""
+        version, folder = self.next_folder(name)
+        writer = df.write.mode("error")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
+        return self.commit(name, version, [folder], df.schema.json())

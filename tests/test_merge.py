@@ -3,11 +3,13 @@
 from datetime import datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from quayside.operators import merge as mg
 from quayside.operators.numbering import number_rows
 from quayside.operators.store import Store
+from quayside.session import new_folder
 
 T1, T2 = datetime(2024, 1, 1), datetime(2024, 1, 2, 6, 30)
 SPEC = mg.MergeSpec(("id",), ("id", "name"), ("id", "name"))
@@ -86,6 +88,29 @@ def test_runs(spark, rows, tmp_path):
     assert store.version("t") == 3
 
 
+KEYS = st.one_of(st.none(), st.integers(0, 6))
+TEXTS = st.one_of(st.none(), st.sampled_from("abc"))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(KEYS, TEXTS), max_size=8), st.lists(st.tuples(KEYS, TEXTS), max_size=8), st.booleans())
+def test_one_join_or_two(spark, rows, old, new, tested):
+    """Unique keys: the one-join merge of a stored table gives what the general merge gives."""
+    def unique(pairs):
+        return list({k if k is not None else (i,): (k, v) for i, (k, v) in enumerate(pairs)}.values())
+
+    spec = mg.MergeSpec(("id",), ("id", "name"), ("id", "name") if tested else None)
+    store = Store(spark, new_folder(spark, "law"))
+    day1, day2 = rows(STG, *unique(old)), rows(STG, *unique(new))
+    mg.merge_table(store, "t", day1, spec, T1)
+    general = mg.merge(store.read("t"), day2, spec, T2)
+    want = sorted(map(str, general.drop("_action").select("id", "name", "dw_last_inserted", "dw_last_updated", "dw_id").collect()))
+    wanted_counts = mg.counters(general, T2).first().asDict()
+    assert mg.merge_table(store, "t", day2, spec, T2) == wanted_counts
+    got = store.read("t").select("id", "name", "dw_last_inserted", "dw_last_updated", "dw_id")
+    assert sorted(map(str, got.collect())) == want
+
+
 def test_run_all_stops_at_a_failure(spark, rows, tmp_path):
     store = Store(spark, str(tmp_path))
     mg.merge_table(store, "bad", rows(STG, (1, "a")), SPEC, T1)

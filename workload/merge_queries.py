@@ -133,6 +133,15 @@ def surrogate_keys(spark, sf):
     return number_rows(table(spark, sf, "lineitem").select(*_LINE), _LINE, "dw_id", 1000)
 
 
+def stored(spark, sf):
+    """The merge of a stored warehouse table, read back from its new version."""
+    dw, stg = _sides(spark, sf)
+    store = Store(spark, new_folder(spark, "stored"))
+    store.write("orders", dw)
+    mg.merge_table(store, "orders", stg, mg.MergeSpec(("id",), COLUMNS, COLUMNS), T2)
+    return plain(store.read("orders"))
+
+
 # snapshots of five whole tables; the second run sees changed ones
 _RUN = {
     "orders": ("o_orderkey", "o_orderstatus", "case when o_orderpriority = '1-URGENT' then 'X' else o_orderstatus end"),
@@ -199,6 +208,7 @@ QUERIES = {
     "mg_audit_stamps": audit_stamps,
     "mg_counters": counters,
     "mg_surrogate_keys": surrogate_keys,
+    "mg_stored_table": stored,
     "mg_run_all": run_all,
     "mg_merge_after_load": merge_after_load,
 }
@@ -209,6 +219,7 @@ ORACLE = {
     "mg_upsert_changed": _as_double(_merge_sql(_differs(*COLUMNS))),
     "mg_upsert_partial_compare": _as_double(_merge_sql(_differs("id", "price", "status"))),
     "mg_upsert_sentinels": _as_double(_merge_sql(_NVL)),
+    "mg_stored_table": f"select * exclude (_action) from ({_as_double(_merge_sql(_differs(*COLUMNS)))})",
     "mg_composite_key": f"""
 with dw as (select c_custkey + 1 as dw_id, cast(c_nationkey as bigint) as nation_id, c_custkey as customer_id, c_mktsegment as segment from customer),
 stg as (select cast(c_nationkey + case when c_mktsegment = 'BUILDING' then 1 else 0 end as bigint) as nation_id, c_custkey as customer_id,
