@@ -222,12 +222,11 @@ def merge_table(store: Store, name: str, stg: DataFrame, spec: MergeSpec, run_ts
     Returns the rows inserted, updated and kept.
     """
     dw = store.read(name)
-    if dw is not None:
-        profile = _checked_profile(dw, stg, spec, on_duplicate)
-        if not (profile.repeated_in_source or profile.repeated_in_target):
-            return _merge_unique(store, name, dw, stg, spec, run_ts)
-    else:
-        dw = empty_warehouse(stg, spec)
+    if dw is None:
+        return _first_load(store, name, stg, spec, run_ts)
+    profile = _checked_profile(dw, stg, spec, on_duplicate)
+    if not (profile.repeated_in_source or profile.repeated_in_target):
+        return _merge_unique(store, name, dw, stg, spec, run_ts)
     folder = new_folder(store.spark, "numbering")
     merged = merge(dw, stg, spec, run_ts, on_duplicate=on_duplicate, folder=folder)
     written = store.write(name, merged.drop("_action"))
@@ -235,6 +234,15 @@ def merge_table(store: Store, name: str, stg: DataFrame, spec: MergeSpec, run_ts
     return counters(written, run_ts).first().asDict()
 
 
+def _first_load(store: Store, name: str, stg: DataFrame, spec: MergeSpec, run_ts: datetime) -> dict[str, int]:
+    dw = empty_warehouse(stg, spec)
+    folder = new_folder(store.spark, "numbering")
+    numbered = number_rows(new_rows(dw, stg, spec, run_ts), _number_order(spec), "dw_id", 0, folder)
+    written = store.write(name, numbered.select(dw.columns))
+    remove_folder(folder)
+    return {"inserted": written.count(), "updated": 0, "kept": 0}
+
+
 def _merge_unique(store: Store, name: str, dw: DataFrame, stg: DataFrame, spec: MergeSpec, run_ts: datetime) -> dict[str, int]:
     """The merge of unique keys: one join, one write, and only the new rows are written again with their numbers."""
     version, folder = store.next_folder(name)
