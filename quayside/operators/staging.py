@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -114,20 +115,24 @@ def load_table(store: Store, raw: DataFrame, spec: TableSpec, *, on_bad_rows: st
 
 
 def load_all(store: Store, raw: Mapping[str, DataFrame], specs: Mapping[str, TableSpec], *,
-             on_bad_rows: str = "set aside", after=None) -> DataFrame:
-    """Load every table; one that fails is reported and the rest go on.
+             on_bad_rows: str = "set aside", after=None, at_a_time: int = 4) -> DataFrame:
+    """Load every table, a few at a time; one that fails is reported and the rest go on.
 
     `after(spec)` runs after each table that was replaced (merge right after load).
     """
-    results = []
-    for name, spec in specs.items():
+
+    def one(item):
+        name, spec = item
         try:
             if name not in raw:
                 raise FileNotFoundError("file not in archive")
             result = tuple(load_table(store, raw[name], spec, on_bad_rows=on_bad_rows).first())
             if after and result[2] == REPLACED:
                 after(spec)
-            results.append(result)
+            return result
         except Exception as e:  # one table's failure is its own; see the result
-            results.append((name, 0, FAILED, str(e).splitlines()[0][:100]))
+            return (name, 0, FAILED, str(e).splitlines()[0][:100])
+
+    with ThreadPoolExecutor(max_workers=at_a_time) as pool:
+        results = list(pool.map(one, specs.items()))
     return store.spark.createDataFrame(results, LOAD_RESULT)

@@ -27,8 +27,13 @@ def as_csv(df: DataFrame, member: str) -> DataFrame:
     )
 
 
-def write_archives(lines: DataFrame, folder: str, kind: str, *, archives: int = 4, junk: bytes = b"") -> DataFrame:
-    """Write <folder>/part-<n>.zip or .tar.gz; returns (path). `junk` bytes are put before each line's end."""
+def write_archives(lines: DataFrame, folder: str, kind: str, *, junk: bytes = b"") -> DataFrame:
+    """Write <folder>/part-<n>.zip or .tar.gz; returns (path). `junk` bytes are put before each line's end.
+
+    There are as many archives as the scan has partitions (four at least), so
+    their number grows with the data and not their size.
+    """
+    archives = max(4, lines.rdd.getNumPartitions())
 
     def write(frames):
         from pyspark import TaskContext
