@@ -64,6 +64,12 @@ def key_profile(dw: DataFrame, stg: DataFrame, keys: tuple[str, ...]) -> KeyProf
     ).first())
 
 
+def repeats(df: DataFrame, keys: tuple[str, ...]) -> bool:
+    """Does a complete key occur more than once?"""
+    counts = df.filter(_has_key(keys)).groupBy(*keys).count()
+    return bool(counts.agg(F.max(F.col("count") > 1)).first()[0])
+
+
 def duplicate_keys(dw: DataFrame, stg: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Repeated snapshot keys with their row count and whether they match (an error) or insert."""
     repeated = stg.filter(_has_key(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
@@ -224,8 +230,12 @@ def merge_table(store: Store, name: str, stg: DataFrame, spec: MergeSpec, run_ts
     dw = store.read(name)
     if dw is None:
         return _first_load(store, name, stg, spec, run_ts)
-    profile = _checked_profile(dw, stg, spec, on_duplicate)
-    if not (profile.repeated_in_source or profile.repeated_in_target):
+    if store.keys_unique(name):  # the warehouse keys need no look then
+        unique = not repeats(stg, spec.keys)
+    else:
+        profile = _checked_profile(dw, stg, spec, on_duplicate)
+        unique = not (profile.repeated_in_source or profile.repeated_in_target)
+    if unique:
         return _merge_unique(store, name, dw, stg, spec, run_ts)
     folder = new_folder(store.spark, "numbering")
     merged = merge(dw, stg, spec, run_ts, on_duplicate=on_duplicate, folder=folder)
@@ -238,7 +248,7 @@ def _first_load(store: Store, name: str, stg: DataFrame, spec: MergeSpec, run_ts
     dw = empty_warehouse(stg, spec)
     folder = new_folder(store.spark, "numbering")
     numbered = number_rows(new_rows(dw, stg, spec, run_ts), _number_order(spec), "dw_id", 0, folder)
-    written = store.write(name, numbered.select(dw.columns))
+    written = store.write(name, numbered.select(dw.columns), keys_unique=not repeats(stg, spec.keys))
     remove_folder(folder)
     return {"inserted": written.count(), "updated": 0, "kept": 0}
 
@@ -259,7 +269,7 @@ def _merge_unique(store: Store, name: str, dw: DataFrame, stg: DataFrame, spec:
         numbered.select(*layout.names).write.parquet(f"{folder}/new")
         remove_folder(scratch)
         parts.append(f"{folder}/new")
-    store.commit(name, version, parts, layout.json())
+    store.commit(name, version, parts, layout.json(), keys_unique=True)
     return {"inserted": counts.get(INSERTED, 0), "updated": counts.get(UPDATED, 0), "kept": counts.get(KEPT, 0)}
 
 

@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-_LOG = "version bigint, parts array<string>, layout string"
+_LOG = "version bigint, parts array<string>, layout string, keys_unique boolean"
 
 
 class Store:
@@ -46,22 +46,28 @@ class Store:
         row = self._newest(name)
         return self._open(row["parts"], row["layout"]) if row else None
 
+    def keys_unique(self, name: str) -> bool:
+        """Is it on record that the newest version repeats no business key?"""
+        row = self._newest(name)
+        return bool(row and row["keys_unique"])
+
     def next_folder(self, name: str) -> tuple[int, str]:
         """(number, fresh folder) for the next version."""
         version = self.version(name) + 1
         return version, f"{self.root}/{name}/v{version:06d}-{uuid.uuid4().hex[:8]}"
 
-    def commit(self, name: str, version: int, parts: list[str], layout: str) -> DataFrame:
+    def commit(self, name: str, version: int, parts: list[str], layout: str, *, keys_unique: bool | None = None) -> DataFrame:
         """Make the folders `parts` the given version of the table."""
         entry = self.spark.range(1).select(
             F.lit(version).cast("bigint").alias("version"), F.array(*map(F.lit, parts)).alias("parts"),
-            F.lit(layout).alias("layout"))
+            F.lit(layout).alias("layout"), F.lit(keys_unique).cast("boolean").alias("keys_unique"))
         entry.coalesce(1).write.mode("append").parquet(self._log(name))
         return self._open(parts, layout)
 
-    def write(self, name: str, df: DataFrame, *, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    def write(self, name: str, df: DataFrame, *, partition_by: tuple[str, ...] = (),
+              keys_unique: bool | None = None) -> DataFrame:
         """Write `df` as the next version, commit it and return it as read back."""
         version, folder = self.next_folder(name)
         writer = df.write.mode("error")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
-        return self.commit(name, version, [folder], df.schema.json())
+        return self.commit(name, version, [folder], df.schema.json(), keys_unique=keys_unique)

@@ -88,6 +88,19 @@ def test_runs(spark, rows, tmp_path):
     assert store.version("t") == 3
 
 
+def test_known_unique_keys(spark, rows, tmp_path):
+    """The log tells whether keys are unique; a repeated snapshot key is still found, and once inserted it is on record."""
+    store = Store(spark, str(tmp_path))
+    mg.merge_table(store, "t", rows(STG, (1, "a"), (2, "b")), SPEC, T1)
+    assert store.keys_unique("t")
+    with pytest.raises(mg.AmbiguousSource):
+        mg.merge_table(store, "t", rows(STG, (1, "x"), (1, "y")), SPEC, T2)
+    assert mg.merge_table(store, "t", rows(STG, (5, "x"), (5, "y"), (2, "c")), SPEC, T2) == {"inserted": 2, "updated": 1, "kept": 1}
+    assert not store.keys_unique("t")
+    t3 = datetime(2024, 1, 3)
+    assert mg.merge_table(store, "t", rows(STG, (5, "z")), SPEC, t3) == {"inserted": 0, "updated": 2, "kept": 2}
+
+
 KEYS = st.one_of(st.none(), st.integers(0, 6))
 TEXTS = st.one_of(st.none(), st.sampled_from("abc"))
 
