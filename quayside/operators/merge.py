@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quayside.operators.numbering import number_rows
 from quayside.operators.store import Store
@@ -298,6 +298,6 @@ def run_all(store: Store, staged: dict[str, tuple[DataFrame, MergeSpec]], run_ts
     return store.spark.createDataFrame(rows, "table_name string, inserted bigint, updated bigint, kept bigint")
 
 
-def warehouse_tables(spark: SparkSession, store: Store, names: list[str]) -> dict[str, DataFrame]:
+def warehouse_tables(store: Store, names: list[str]) -> dict[str, DataFrame]:
     """Current versions of several warehouse tables."""
     return {n: df for n in names if (df := store.read(n)) is not None}

@@ -116,8 +116,8 @@ def finance_report(lines: DataFrame, d: Mapping[str, DataFrame]) -> DataFrame:
     u = named(u, "location", "location_id", "name", "location")
     u = named(u, "classification", "division_id", "name", "class")
     u = named(u, "department", "department_id", "name", "department")
-    u = named(u, "customer", "entity_id", "entityid", "customer", (NOTHING,), spread)
-    u = named(u, "vendor", "entity_id", "entityid", "tran_vendor", (NOTHING,), spread)
+    parties = [d["customer"].select("id", F.col("entityid").alias("customer")), d["vendor"].select("id", F.col("entityid").alias("tran_vendor"))]
+    u = left_lookup(u, parties, "entity_id", "id", placeholders=(NOTHING,), spread_by=spread)
     u = named(u, "item", "item_id", "itemid", "item_name", (NOTHING,), spread)
     u = named(u, "accounting_period", "posting_period_id", "periodname", "_period")
     keys = d["account_key"].select(

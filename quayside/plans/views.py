@@ -45,9 +45,9 @@ def feet(loa: Column) -> Column:
     return F.when(F.instr(loa, ":") > 0, F.substring_index(loa, ":", 1).try_cast("double"))
 
 
-def subsidiary_id(name: Column) -> Column:
+def subsidiary_id(name: Column, by_name=SUBSIDIARY_BY_NAME) -> Column:
     """First name pattern that matches decides; 0 when none does."""
-    hits = [F.when(name.contains(text), number) for text, number in SUBSIDIARY_BY_NAME]
+    hits = [F.when(name.contains(text), number) for text, number in by_name]
     return F.coalesce(*hits, F.lit(0))
 
 
@@ -69,7 +69,9 @@ def daily_boat_lengths(t: Tables, cal: Calendar) -> DataFrame:
     arrival, departure = F.col("scheduled_arrival_time"), F.col("scheduled_departure_time")
 
     # look up before exploding: per stay instead of per day of stay
-    named = left_lookup(left_lookup(stays, boats, "boat_id", "id"), marinas, "marina_location_id", "id")
+    by_stay = [F.col("rid")]  # stays without a boat or a marina may be many
+    named = left_lookup(stays, boats, "boat_id", "id", spread_by=by_stay)
+    named = left_lookup(named, marinas, "marina_location_id", "id", spread_by=by_stay)
     daily = (
         explode_days(named, arrival, departure, cal, closed=False)
         .groupBy("calendar_date", "_boat", "boat_name", "loa", "boat_make", "boat_model",
@@ -96,7 +98,7 @@ def daily_boat_lengths(t: Tables, cal: Calendar) -> DataFrame:
     )
 
 
-def daily_slip_count(t: Tables, cal: Calendar) -> DataFrame:
+def daily_slip_count(t: Tables, cal: Calendar, subsidiaries=SUBSIDIARY_BY_NAME) -> DataFrame:
     """Active slips per day and marina; both end days count, a NULL end is open."""
     slips = t["slips"].filter("active = 1").select("id", "marina_location_id", "start_date", "end_date")
     marinas = t["marina_locations"].select("id", F.col("id").alias("marina_id"), F.col("name").alias("marina_name"))
@@ -106,7 +108,7 @@ def daily_slip_count(t: Tables, cal: Calendar) -> DataFrame:
     )
     return counts.join(cal.days, "calendar_date").select(
         "calendar_date", "month_year_name", "month_number", "year_number", "marina_name", "marina_id",
-        subsidiary_id(F.col("marina_name")).alias("subid"),
+        subsidiary_id(F.col("marina_name"), subsidiaries).alias("subid"),
         F.col("n").alias("daily_slip_count"),
     )
 
@@ -246,7 +248,9 @@ def daily_rentals(t: Tables, cal: Calendar) -> DataFrame:
     bookings = t["bookings"].filter("is_canceled = 'No'").select(F.col("id").alias("booking_id"), "boats_total")
     shares = t["booking_boats"].groupBy("booking_id").agg(F.count(F.lit(1)).alias("_boats"))
 
-    priced = rentals.join(boats, "boat_id").join(bookings, "booking_id").join(shares, "booking_id")
+    # one join per fact key: a booking with very many rentals can then be split
+    terms = bookings.join(shares, "booking_id")
+    priced = rentals.join(boats, "boat_id").join(terms, "booking_id")
     # whole hours: day part x 24 + hour part, minutes dropped
     hours = F.timestamp_diff("HOUR", F.col("boat_departure"), F.col("boat_return"))
     rated = priced.select(

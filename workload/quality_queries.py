@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quayside.operators import quality as dq, reporting as rp
-from workload.merge_queries import _DW, _STG, _frames_sql, _select, _sides
+from workload.merge_queries import _frames_sql, _sides
 from workload.roles import role_cte, roles, table
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "

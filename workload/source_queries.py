@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import functions as F
 
 from quayside.operators import staging as sg
@@ -13,10 +11,9 @@ from quayside.session import new_folder
 from quayside.sources import archives as ar
 from quayside.sources.csv_tables import by_header, read_csv
 from quayside.sources.sql_dump import read_sql_dump
-from workload.roles import DuckDialect, SparkDialect, facts, plain, table
+from workload.roles import facts, plain, table
 from workload.snapshots import as_csv, write_archives
 
-T1 = datetime(2024, 1, 1, 6, 0, 0)
 DOCS = ["doc_id", "text", "lang", "source"]
 
 # --- archives ---------------------------------------------------------------
