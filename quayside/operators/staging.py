@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import VarcharType
 
 from quayside.operators.store import Store
-from quayside.plans.registry import ColumnSpec, TableSpec
+from quayside.plans.registry import MARINA, RENTAL, ColumnSpec, TableSpec
 from quayside.sources.csv_tables import by_header
 
-REPLACED, LEFT, FAILED = "replaced", "left as it was", "failed"
+REPLACED, LEFT, EMPTIED, FAILED = "replaced", "left as it was", "emptied", "failed"
 NO_ROWS = "No data rows in CSV file"  # fixed value
+NOT_FOUND = "file not in archive"
 LOAD_RESULT = "table_name string, records bigint, outcome string, message string"
 
 
@@ -111,27 +112,45 @@ def load_table(store: Store, raw: DataFrame, spec: TableSpec, *, on_bad_rows: st
         first = bad_rows(rows).first()
         if first:
             raise BadRows(f"{spec.name}: unreadable text in {sorted(first[0])}")
-    return stage(store, spec.name, rows, only_if_filled=spec.system == "rental")
+    return stage(store, spec.name, rows, only_if_filled=spec.system == RENTAL)
+
+
+def clear(store: Store, name: str) -> None:
+    """Leave staging table `name` without rows, if there is one."""
+    rows = store.read(name)
+    if rows is not None:
+        store.write(name, rows.limit(0), partition_by=("_bad",))
 
 
 def load_all(store: Store, raw: Mapping[str, DataFrame], specs: Mapping[str, TableSpec], *,
              on_bad_rows: str = "set aside", after=None, at_a_time: int = 4) -> DataFrame:
     """Load every table, a few at a time; one that fails is reported and the rest go on.
 
-    `after(spec)` runs after each table that was replaced (merge right after load).
+    A marina table that is not in the snapshot, or fails, ends up empty, as all
+    of that system's staging is replaced at once; a rental table stays as it
+    was. `after(spec)` runs after each table that was replaced (merge right
+    after load).
     """
 
     def one(item):
         name, spec = item
+        at_once = spec.system == MARINA
+        if name not in raw:
+            if at_once:
+                clear(store, name)
+            return (name, 0, EMPTIED if at_once else FAILED, NOT_FOUND)
         try:
-            if name not in raw:
-                raise FileNotFoundError("file not in archive")
             result = tuple(load_table(store, raw[name], spec, on_bad_rows=on_bad_rows).first())
+        except Exception as e:  # one table's failure is its own; see the result
+            if at_once:
+                clear(store, name)
+            return (name, 0, FAILED, str(e).splitlines()[0][:100])
+        try:
             if after and result[2] == REPLACED:
                 after(spec)
             return result
-        except Exception as e:  # one table's failure is its own; see the result
-            return (name, 0, FAILED, str(e).splitlines()[0][:100])
+        except Exception as e:
+            return (name, result[1], FAILED, str(e).splitlines()[0][:100])
 
     with ThreadPoolExecutor(max_workers=at_a_time) as pool:
         results = list(pool.map(one, specs.items()))

@@ -16,7 +16,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import partial
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import (
     DataType, DateType, DecimalType, DoubleType, IntegerType, LongType, StringType, StructType, VarcharType,
 )
@@ -90,6 +90,11 @@ YES_NO = {
     ("accessory_options", "use_striped_background"), ("amenities", "frontend_display"), ("amenities", "featured"),
     ("amenities", "filterable"), ("categories", "frontend_display"), ("categories", "filter_unit_type_enabled"),
 }
+# Dates in staging that are time stamps in the warehouse.
+STAMPED_DATES = {
+    ("boats", "registration_expiration"), ("equipment", "creation_date"), ("invoice_items", "created_date"),
+    ("reservations", "original_end_date"),
+}
 # Headers that are not the column name in another notation.
 HEADER_NAMES = {
     "recommended_loa": "RecomendedLOA", "recommended_beam": "RecomendedBeam", "recommended_draft": "RecomendedDraft",
@@ -201,6 +206,11 @@ class TableSpec:
     def loaded_columns(self) -> list[ColumnSpec]:
         return [c for c in self.columns if self.loaded is None or c.name in self.loaded]
 
+    def for_warehouse(self, staged: DataFrame) -> DataFrame:
+        """Staged rows in the types of the warehouse table."""
+        stamps = {c: F.col(c).cast("timestamp_ntz") for c in staged.columns if (self.name, c) in STAMPED_DATES}
+        return staged.withColumns(stamps) if stamps else staged
+
     @property
     def merge(self) -> MergeSpec:
         names = tuple(f.name for f in self.schema)

@@ -45,14 +45,14 @@ class Warehouse:
 
         def merge_now(spec: TableSpec):
             if spec.at_once:
-                merge_table(self.tables, spec.name, staged(self.staging, spec.name), spec.merge, run_ts)
+                merge_table(self.tables, spec.name, spec.for_warehouse(staged(self.staging, spec.name)), spec.merge, run_ts)
 
         return load_all(self.staging, raw, specs, on_bad_rows=on_bad_rows, after=merge_now if merge_at_once else None)
 
     def merge_all(self, specs: dict[str, TableSpec], run_ts: datetime, *, skip_at_once: bool = False) -> DataFrame:
         """Merge every staged table (all of them, whichever way each system used to be called)."""
         ready = {
-            name: (df, s.merge) for name, s in specs.items()
+            name: (s.for_warehouse(df), s.merge) for name, s in specs.items()
             if not (skip_at_once and s.at_once) and (df := staged(self.staging, name)) is not None
         }
         return run_all(self.tables, ready, run_ts)

@@ -82,6 +82,16 @@ def _frame(path, member, table, start, rows) -> pd.DataFrame:
     })
 
 
+def _csv_entries(path: str) -> list[zipfile.ZipInfo]:
+    with _open(path) as raw, zipfile.ZipFile(raw) as z:
+        return [i for i in z.infolist() if i.filename.lower().endswith(".csv")]
+
+
+def _members(path: str, entries) -> pd.DataFrame:
+    rows = [(path, i.filename, _base(i.filename), i.file_size) for i in entries]
+    return pd.DataFrame(rows, columns=["path", "member", "table_name", "size"])
+
+
 def zip_members(archives: DataFrame, tables: list[str]) -> DataFrame:
     """CSV members on the list, from the archives' directories alone; of equal base names the last counts."""
     allowed = set(tables)
@@ -89,19 +99,24 @@ def zip_members(archives: DataFrame, tables: list[str]) -> DataFrame:
     def listed(frames):
         for frame in frames:
             for path in frame["path"]:
-                with _open(path) as raw, zipfile.ZipFile(raw) as z:
-                    found = {
-                        _base(i.filename): i for i in z.infolist()
-                        if i.filename.lower().endswith(".csv") and _base(i.filename) in allowed
-                    }
-                yield pd.DataFrame(
-                    [(path, i.filename, t, i.file_size) for t, i in found.items()],
-                    columns=["path", "member", "table_name", "size"],
-                )
+                last = {_base(i.filename): i for i in _csv_entries(path)}
+                yield _members(path, [i for t, i in last.items() if t in allowed])
 
     return archives.select("path").mapInPandas(listed, MEMBER)
 
 
+def skipped_members(archives: DataFrame, tables: list[str]) -> DataFrame:
+    """CSV members no table of the list reads."""
+    allowed = set(tables)
+
+    def skipped(frames):
+        for frame in frames:
+            for path in frame["path"]:
+                yield _members(path, [i for i in _csv_entries(path) if _base(i.filename) not in allowed])
+
+    return archives.select("path").mapInPandas(skipped, MEMBER)
+
+
 def zip_records(archives: DataFrame, columns: dict[str, list[str]], *, on_bad_utf8: str = "fail") -> DataFrame:
     """CSV records of the listed members: {table: [header, ...]} fixes which fields come, in which order.
 

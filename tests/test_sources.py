@@ -65,6 +65,7 @@ def test_zip_members(spark, drop):
     piers = ar.one_table(records, "Piers", headers["Piers"]).orderBy("Id").collect()
     assert piers[1].asDict() == {"Id": "2", "Name": None, "marina_location_id": None, "gone": None}
     assert [r[0] for r in ar.missing_tables(records, list(headers)).collect()] == ["SlipTypes"]
+    assert [r["member"] for r in ar.skipped_members(newest, list(headers)).collect()] == ["export/Other.csv"]
 
 
 def test_undecodable_bytes(spark, tmp_path):
@@ -194,6 +195,29 @@ def test_archive_to_warehouse(spark, tmp_path):
     assert sorted((r["dw_id"], r["id"], r["name"]) for r in wh.tables.read("piers").collect())[3:] == [(4, 4, "D")]
 
 
+def test_failed_tables(spark, rows, tmp_path):
+    """A failing marina table is emptied, a failing rental one stays; neither stops the others."""
+    store, specs = Store(spark, str(tmp_path)), {n: all_tables()[n] for n in ("reservations", "holidays", "piers")}
+    good = {"reservations": rows("Id string", ("1",)), "holidays": rows("location_id string, holiday_date string", ("1", "2024-01-01")),
+            "piers": rows("Id string", ("1",))}
+    sg.load_all(store, good, specs)
+    bad = {"reservations": rows("Id string", ("x",)), "holidays": rows("location_id string, holiday_date string", ("1", "soon"))}
+    outcome = {r["table_name"]: r["outcome"] for r in sg.load_all(store, bad, specs, on_bad_rows="fail").collect()}
+    assert outcome == {"reservations": "failed", "holidays": "failed", "piers": "emptied"}
+    assert {n: sg.staged(store, n).count() for n in specs} == {"reservations": 0, "holidays": 1, "piers": 0}
+
+
+def test_stamped_dates(spark, tmp_path):
+    from datetime import date
+
+    spec = all_tables()["boats"].with_schema("id bigint, registration_expiration date")
+    wh = Warehouse(spark, str(tmp_path))
+    raw = spark.createDataFrame([("1", "13/02/2024")], "Id string, RegistrationExpiration string")
+    wh.load({"boats": raw}, {"boats": spec}, datetime(2024, 1, 1))
+    assert sg.staged(wh.staging, "boats").first()["registration_expiration"] == date(2024, 2, 13)
+    assert wh.tables.read("boats").first()["registration_expiration"] == datetime(2024, 2, 13)
+
+
 def test_replace_policies(spark, rows, tmp_path):
     store = Store(spark, str(tmp_path))
     full, empty = rows("a int", (1,)), rows("a int")

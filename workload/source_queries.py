@@ -230,6 +230,27 @@ def replaced(spark, sf):
     return sg.staged(store, "orders")
 
 
+def replaced_all(spark, sf):
+    """All marina staging is replaced at once: a table the second snapshot lacks ends up empty."""
+    store = Store(spark, new_folder(spark, "staging"))
+    specs = {n: all_tables()[n] for n in ("piers", "boat_types", "reservation_types")}
+    piers = table(spark, sf, "supplier").selectExpr("cast(s_suppkey as string) as Id", "s_name as Name")
+    types = table(spark, sf, "part").selectExpr("cast(p_partkey as string) as Id", "p_name as Name")
+    sg.load_all(store, {"piers": piers, "boat_types": types}, specs)
+    second = sg.load_all(store, {"piers": piers}, specs)
+    for name in ("piers", "boat_types"):
+        standing = sg.staged(store, name).agg(F.count(F.lit(1)).alias("records"))
+        second = second.unionByName(standing.select(
+            F.lit(name).alias("table_name"), "records", F.lit("standing").alias("outcome"), F.lit(None).cast("string").alias("message")))
+    return second
+
+
+def skipped(spark, sf):
+    """Names of the members on no list."""
+    rows = ar.skipped_members(_written(spark, sf, "zip"), ["documents", "customer"])
+    return rows.select("table_name").distinct()
+
+
 def only_if_filled(spark, sf):
     """A snapshot without rows leaves the last one standing and is reported."""
     store = Store(spark, new_folder(spark, "staging"))
@@ -275,7 +296,7 @@ QUERIES = {
     "src_undecodable_dropped": undecodable, "src_csv_by_header": csv_by_header, "src_sql_dump": sql_dump,
     "cv_table_reservations": reservations, "cv_table_bad_rows": reservations_bad, "cv_table_invoice_items": invoice_items,
     "cv_table_slips": slips, "cv_table_booking_boats": booking_boats, "cv_table_all": all_converted,
-    "snk_replace": replaced, "snk_replace_if_filled": only_if_filled, "snk_unlisted_columns": unlisted_columns,
+    "src_skipped_members": skipped, "snk_replace_all": replaced_all, "snk_replace": replaced, "snk_replace_if_filled": only_if_filled, "snk_unlisted_columns": unlisted_columns,
     "snk_strict_dates": strict_dates, "snk_partial_failure": partial_failure, "snk_versioned_write": versioned,
 }
 
@@ -333,6 +354,13 @@ select cast(id as bigint) as id, cast(booking_id as bigint) as booking_id,
   nullif(status, '') as status_booking, checkin_notes from ({_boats_raw}) r where length(status) <= 50""",
     "cv_table_all": _all_sql(),
     "snk_replace": "select o_orderkey + 1 as o_orderkey, o_orderstatus as state from orders",
+    "src_skipped_members": "select 'part' as table_name from part limit 1",
+    "snk_replace_all": """
+select 'piers' as table_name, count(*) as records, 'replaced' as outcome, null as message from supplier
+union all select 'boat_types', 0, 'emptied', 'file not in archive'
+union all select 'reservation_types', 0, 'emptied', 'file not in archive'
+union all select 'piers', count(*), 'standing', null from supplier
+union all select 'boat_types', 0, 'standing', null""",
     "snk_replace_if_filled": """
 select 'customer' as table_name, count(*) as records, 'replaced' as outcome, null as message from customer
 union all select 'customer', 0, 'left as it was', 'No data rows in CSV file'
