@@ -24,8 +24,8 @@ BLANKS = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-_WHOLE = r"^[+-]?[0-9]+$"
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_WHOLE = r"[+-]?[0-9]+"
+_NUMBER = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
 _D, _Y = "[0-9]{1,2}", "[0-9]{4}"
 _HMS, _HM = f"{_D}:{_D}:{_D}", f"{_D}:{_D}"
 
@@ -52,7 +52,19 @@ ISO_STAMP_NOTATIONS = ("m/d/Y H:M:S", "Y-m-d H:M:S", "Y-m-dTH:M:S", "m/d/Y", "Y-
 
 
 def strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(BLANKS))
+    """Without blanks of any kind at the ends.
+
+    Cutting by a list of characters is slow, so a text that starts and ends in
+    plain ASCII is passed on after one look.
+    """
+    return F.when(c.rlike(r"(?s)\A[!-~](.*[!-~])?\z"), c).otherwise(F.btrim(c, F.lit(BLANKS)))
+
+
+def _read(c: Column, shape: str, sql_type: str) -> Column:
+    """Text of a shape as a value. Casts ignore the usual blanks by themselves; only other text is stripped first."""
+    text = strip(c)
+    return F.when(c.rlike(f"^[ \\t\\r\\n]*{shape}[ \\t\\r\\n]*$"), c.try_cast(sql_type)).when(
+        text.rlike(f"^{shape}$"), text.try_cast(sql_type))
 
 
 def is_null_word(c: Column, *, any_case: bool = False, words=NULL_WORDS) -> Column:
@@ -124,8 +136,7 @@ def from_slash_text(c: Column) -> Column:
 
 def number(c: Column) -> Column:
     """A double, or NULL for text that is no number."""
-    text = strip(c)
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return _read(c, _NUMBER, "double")
 
 
 def number_or_zero(c: Column) -> Column:
@@ -134,14 +145,13 @@ def number_or_zero(c: Column) -> Column:
 
 def whole(c: Column) -> Column:
     """An integer, or NULL; "1.0" is not one."""
-    text = strip(c)
-    return F.when(text.rlike(_WHOLE), text.try_cast("bigint"))
+    return _read(c, _WHOLE, "bigint")
 
 
 def whole_or(c: Column, default: int | None = 0) -> Column:
     """An integer, also written "1.0"; null words and anything else give the default."""
-    text, value = strip(c), number(c)
-    from_decimal = F.when(text.contains(".") & (value == F.floor(value)), value.try_cast("bigint"))
+    value = number(c)
+    from_decimal = F.when(c.contains(".") & (value == F.floor(value)), value.try_cast("bigint"))
     return F.when(is_null_word(c), F.lit(default)).otherwise(F.coalesce(whole(c), from_decimal, F.lit(default))).cast("bigint")
 
 
@@ -151,8 +161,7 @@ def number_or(c: Column, default: float | None = 0.0) -> Column:
 
 def loaded(c: Column, sql_type: str) -> Column:
     """Number text into a decimal or integer column: halves round away from zero."""
-    text = strip(c)
-    return F.when(text.rlike(_NUMBER), text.try_cast("decimal(38,10)")).try_cast(sql_type)
+    return _read(c, _NUMBER, "decimal(38,10)").try_cast(sql_type)
 
 
 # --- flags -----------------------------------------------------------------

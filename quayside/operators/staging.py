@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import VarcharType
@@ -37,7 +36,7 @@ def _turned_down(c: ColumnSpec) -> Column:
         return _value(c).isNull()
     if c.length:  # strict text only has its length to fail by
         return F.coalesce(F.length(raw) > c.length, F.lit(False))
-    return F.coalesce(F.btrim(raw) != "", F.lit(False)) & _value(c).isNull()
+    return _value(c).isNull() & F.coalesce(F.btrim(raw) != "", F.lit(False))
 
 
 def convert_rows(raw: DataFrame, spec: TableSpec) -> DataFrame:
@@ -48,7 +47,8 @@ def convert_rows(raw: DataFrame, spec: TableSpec) -> DataFrame:
     loaded = spec.loaded_columns
     text = by_header(raw, {c.name: c.header for c in loaded})
     strict = [c for c in loaded if c.strict or c.required]
-    bad = reduce(lambda a, b: a | b, [_turned_down(c) for c in strict], F.lit(False))
+    # all tests evaluated side by side, so that each shares its conversion with the column's value
+    bad = F.greatest(F.lit(False), F.lit(False), *[_turned_down(c) for c in strict])
     at_fault = F.array_compact(F.array(F.lit(None).cast("string"), *[F.when(_turned_down(c), F.lit(c.name)) for c in strict]))
     filled = {c.name for c in loaded}
     return text.select(

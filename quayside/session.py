@@ -19,6 +19,9 @@ RUNTIME_CONF = {
     # exchange above the join
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # the JVM does not compile methods above this size: converting a wide table
+    # in one generated method would be interpreted, in several it is compiled
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

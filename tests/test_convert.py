@@ -36,7 +36,7 @@ CASES = {
     "text": (lambda c: cv.text(c, 3), {"  abcdef ": "abc", "   ": None, "": None, "NULL": "NUL", "\tx ": "x", "äöüß": "äöü"}),
     "worded_text": (lambda c: cv.worded_text(c, 3), {" N/A ": None, "none": "non", "NONE": None}),
     "text_or": (lambda c: cv.text_or(c, "Unknown", 4), {"": "Unknown", "NULL": "Unknown", " harbor": "harb"}),
-    "loaded": (lambda c: cv.loaded(c, "decimal(10,0)").cast("int"), {"123.45": 123, "2.5": 3, "-2.5": -3, "x": None, " 4 ": 4}),
+    "loaded": (lambda c: cv.loaded(c, "decimal(10,0)").cast("int"), {"123.45": 123, "\xa07\n": 7, "2.5": 3, "-2.5": -3, "x": None, " 4 ": 4}),
 }
 
 
