@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quayside.operators.numbering import number_rows
 from quayside.operators.store import Store
-from quayside.session import new_folder, remove_folder
+from quayside.session import new_folder
+from quayside.sources.files import remove_folder
 
 AUDIT = "dw_id bigint, dw_last_inserted timestamp_ntz, dw_last_updated timestamp_ntz"
 INSERTED, UPDATED, KEPT = "insert", "update", "keep"

@@ -66,16 +66,6 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/quayside/{name}-{uuid.uuid4().hex}"
 
 
-def remove_folder(path: str) -> None:
-    """Delete a folder made by `new_folder`."""
-    from pyarrow import fs
-
-    if "/quayside/" not in path:
-        raise ValueError(f"not a scratch folder: {path}")
-    system, inner = fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
-    system.delete_dir(inner)
-
-
 def sent_with_jobs(module: str) -> None:
     """Functions of `module` travel inside the task, so executors need no copy of this package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])

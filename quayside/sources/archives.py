@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from quayside.operators.spread import shuffle_partitions
 from quayside.session import sent_with_jobs
 from quayside.sources.csv_tables import header_key
+from quayside.sources.files import open_seekable
 
 sent_with_jobs(__name__)
 
@@ -37,15 +38,6 @@ def latest_archive(listing: DataFrame, suffix: str, *, ignore_case: bool) -> Dat
     return listing.filter(wanted).orderBy(F.desc("modificationTime"), "path").limit(1)
 
 
-def _open(path: str):
-    """A seekable stream on any file system Arrow knows (local, HDFS, object stores)."""
-    from pyarrow import fs
-
-    uri = path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
-    system, inner = fs.FileSystem.from_uri(uri)
-    return system.open_input_file(inner)
-
-
 def _base(member: str) -> str:
     return member.rsplit("/", 1)[-1].rsplit(".", 1)[0]
 
@@ -83,7 +75,7 @@ def _frame(path, member, table, start, rows) -> pd.DataFrame:
 
 
 def _csv_entries(path: str) -> list[zipfile.ZipInfo]:
-    with _open(path) as raw, zipfile.ZipFile(raw) as z:
+    with open_seekable(path) as raw, zipfile.ZipFile(raw) as z:
         return [i for i in z.infolist() if i.filename.lower().endswith(".csv")]
 
 
@@ -127,7 +119,7 @@ def zip_records(archives: DataFrame, columns: dict[str, list[str]], *, on_bad_ut
     def unpacked(frames):
         for frame in frames:
             for path, member, table in zip(frame["path"], frame["member"], frame["table_name"]):
-                with _open(path) as raw, zipfile.ZipFile(raw) as z, z.open(member) as stream:
+                with open_seekable(path) as raw, zipfile.ZipFile(raw) as z, z.open(member) as stream:
                     yield from _batches(path, member, table, _records(stream, columns[table], on_bad_utf8))
 
     # a fixed number of tasks: members look tiny as listed, and AQE would put them all into one
@@ -147,7 +139,7 @@ def tar_records(archives: DataFrame, columns: dict[str, list[str]], *, folder: s
     def unpacked(frames):
         for frame in frames:
             for path in frame["path"]:
-                with _open(path) as raw, tarfile.open(fileobj=raw, mode="r:gz") as tar:
+                with open_seekable(path) as raw, tarfile.open(fileobj=raw, mode="r:gz") as tar:
                     for entry in tar:
                         table = wanted.get(entry.name.removeprefix("./"))
                         if table and entry.isfile():

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from quayside.session import sent_with_jobs
+from quayside.sources.files import write_bytes
 
 sent_with_jobs(__name__)
 
@@ -59,16 +60,7 @@ def write_archives(lines: DataFrame, folder: str, kind: str, *, junk: bytes = b"
                     info.size = len(data)
                     out.addfile(info, io.BytesIO(data))
         path = f"{folder}/part-{n:05d}{suffix}"
-        _save(path, buffer.getvalue())
+        write_bytes(path, buffer.getvalue())
         yield pd.DataFrame({"path": [path]})
 
     return lines.repartition(archives).mapInPandas(write, "path string")
-
-
-def _save(path: str, data: bytes) -> None:
-    from pyarrow import fs
-
-    system, inner = fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
-    system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-    with system.open_output_stream(inner, compression=None) as out:
-        out.write(data)
