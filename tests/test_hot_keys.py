@@ -44,3 +44,27 @@ def threshold(spark, request):
 @pytest.mark.parametrize("name", NAMES)
 def test_hot(spark, hot, threshold, name):
     assert diff(QUERIES[name](spark, hot), duck(hot), ORACLE[name]) is None
+
+
+def test_hot_partition_is_split(spark, hot):
+    """A document with a third of all lines: its partition is dealt out to several tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+    }
+    from quayside.plans import ledger
+    from workload.roles import roles
+
+    t = roles(spark, hot, "header", "line", "account")
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        lines = ledger.ledger_lines(t["header"], t["line"].repartition(8), t["account"], ledger.DOCUMENTS["invoice"])
+        lines.write.format("noop").mode("overwrite").save()
+        execution = lines._jdf.queryExecution()
+        execution.toRdd().count()
+        assert "SortMergeJoin(skew=true)" in execution.executedPlan().toString()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
