@@ -1,11 +1,15 @@
 """Every registered query against its SQL on the supplied tables."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as driver
 from compare import diff, duck
 
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+# the training-data operators have tests of their own
+QUERIES = {n: q for n, q in driver.queries().items() if n != "pipeline" and not re.match(r"op\d+_", n)}
+ORACLE = {n: sql for n, sql in driver.oracle_sql().items() if n in QUERIES}
 
 
 @pytest.fixture(scope="module")
