@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quayside.llm import pieces, simhash
+from quayside.llm import mixing, pieces, simhash
 
-_MODULES = (pieces, simhash)
+_MODULES = (pieces, simhash, mixing)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
