@@ -40,3 +40,10 @@ def remove_folder(path: str) -> None:
         system.delete_dir(inner)
     except Exception as e:  # the work it served is done and committed
         warnings.warn(f"scratch folder {path} not removed: {e}")
+
+
+def open_output(path: str):
+    """A new file to be written from front to back; its folder is made."""
+    system, inner = file_system(path)
+    system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    return system.open_output_stream(inner, compression=None)
