@@ -55,3 +55,19 @@ def with_arrays(batch, schema_names: list[str], arrays: dict):
 
     return pa.RecordBatch.from_arrays(
         [arrays[n] if n in arrays else batch.column(batch.schema.get_field_index(n)) for n in schema_names], names=schema_names)
+
+
+def slices(batches, text: str, chars: int = 1 << 20):
+    """Arrow batches cut so that each holds about `chars` bytes of text, or one longer text."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text))), 0).to_numpy(zero_copy_only=False)
+        upto = np.cumsum(sizes, dtype=np.int64) if len(sizes) else np.zeros(0, np.int64)
+        start = 0
+        while start < len(sizes):
+            before = upto[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(upto, before + chars, side="right")))
+            yield batch.slice(start, end - start)
+            start = end

@@ -20,13 +20,12 @@ import itertools
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from quayside.llm.common import appended, read, with_arrays
+from quayside.llm.common import appended, read, slices, with_arrays
 from quayside.session import sent_with_jobs
 
 sent_with_jobs(__name__)
 
 MARK = "▁"
-BLOCK_CHARS = 1 << 20  # texts are cut in blocks of about this size, so that few chunks exist at a time
 
 
 def _cutter():
@@ -105,19 +104,7 @@ class ChunkTable(dict):
         return self.ids[np.repeat(starts - first, counts) + np.arange(counts.sum())], counts
 
 
-def _blocks(texts: list[str | None]):
-    block, size = [], 0
-    for t in texts:
-        block.append(t)
-        size += len(t or "")
-        if size >= BLOCK_CHARS:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
-
-
-def encode(docs: DataFrame, model: str, text: str = "text", into: str = "ids", table_limit: int = 1_000_000) -> DataFrame:
+def encode(docs: DataFrame, model: str, text: str = "text", into: str = "ids", table_limit: int = 300_000) -> DataFrame:
     """`docs` with the ids of each whole text, as the model's library gives them without begin and end ids."""
     out = appended(docs.schema, T.StructField(into, T.ArrayType(T.IntegerType(), False), False))
 
@@ -130,21 +117,16 @@ def encode(docs: DataFrame, model: str, text: str = "text", into: str = "ids", t
         if not cuts_are_safe(processor):
             raise ValueError(f"{model}: pieces may cross blanks, texts cannot be cut there")
         table, cut = ChunkTable(processor, table_limit), _cutter()
-        for batch in batches:
-            lengths, flat = [np.zeros(1, np.int64)], [np.empty(0, np.int32)]
-            for block in _blocks(batch.column(batch.schema.get_field_index(text)).to_pylist()):
-                if table.full():
-                    table.empty()
-                chunks = [cut(t) for t in block]
-                places = np.fromiter(map(table.__getitem__, itertools.chain.from_iterable(chunks)), np.int64)
-                table.segment()
-                ids, counts = table.spread(places)
-                upto = np.concatenate([[0], np.cumsum(counts)])  # ids before each chunk
-                lengths.append(np.diff(upto[np.concatenate([[0], np.cumsum([len(c) for c in chunks], dtype=np.int64)])]))
-                flat.append(ids)
-            offsets = np.cumsum(np.concatenate(lengths)).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(flat)))
-            yield with_arrays(batch, out.names, {into: ids})
+        for batch in slices(batches, text):
+            if table.full():
+                table.empty()
+            chunks = [cut(t) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+            places = np.fromiter(map(table.__getitem__, itertools.chain.from_iterable(chunks)), np.int64)
+            table.segment()
+            ids, counts = table.spread(places)
+            upto = np.concatenate([[0], np.cumsum(counts)])  # ids before each chunk
+            offsets = upto[np.concatenate([[0], np.cumsum([len(c) for c in chunks], dtype=np.int64)])].astype(np.int32)
+            yield with_arrays(batch, out.names, {into: pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))})
 
     return docs.mapInArrow(run, out)
 
