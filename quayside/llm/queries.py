@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quayside.llm import mixing, pieces, rules, simhash
+from quayside.llm import mixing, pieces, rules, simhash, warc
 
-_MODULES = (pieces, simhash, mixing, rules)
+_MODULES = (pieces, simhash, warc, mixing, rules)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
