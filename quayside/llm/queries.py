@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quayside.llm import langid, mixing, pieces, rules, simhash, warc
+from quayside.llm import langid, mixing, pieces, rules, simhash, toxicity, warc
 
-_MODULES = (langid, pieces, simhash, warc, mixing, rules)
+_MODULES = (langid, pieces, simhash, warc, mixing, rules, toxicity)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
