@@ -38,6 +38,11 @@ def fold(id_column: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def key_of(id: str = "doc_id", text: str = "text") -> Column:
+    """A row's own hash, alike only for rows that repeat id and text."""
+    return F.xxhash64(F.coalesce(F.col(id).cast("string"), F.lit("")), F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
 def bound(value: Column, body) -> Column:
     """body(x) with x = value, computed once however often the body names it."""
     return F.element_at(F.transform(F.array(value), body), 1)

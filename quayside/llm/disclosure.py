@@ -30,7 +30,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from quayside.llm.common import appended, read, saved, slices, with_arrays
+from quayside.llm.common import appended, key_of, read, saved, slices, with_arrays
 from quayside.session import sent_with_jobs
 
 sent_with_jobs(__name__)
@@ -122,10 +122,6 @@ class Finder:
         return sorted(found)
 
 
-def key_of(id: str = "doc_id", text: str = "text") -> Column:
-    return F.xxhash64(F.coalesce(F.col(id).cast("string"), F.lit("")), F.coalesce(F.col(text).cast("string"), F.lit("")))
-
-
 _BASE = "array<struct<kind:int,start:int,end:int>>"
 _AROUND = "array<struct<entity:string,term:string,start:int,end:int>>"
 

@@ -167,5 +167,10 @@ def op2_sentencepiece(spark, sf_dir):
     return digests(read(spark, sf_dir, "documents"), _model())
 
 
+def encoded(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: a row per row of `docs`, with how many ids its text has and the digests."""
+    return digests(docs, _model())
+
+
 QUERIES = {"op2_sentencepiece": op2_sentencepiece}
 ORACLE: dict[str, str] = {}

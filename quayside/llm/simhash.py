@@ -16,7 +16,8 @@ leaves a task is a star per set of linked fingerprints, never all pairs.
 
 Defined results: a null text counts as empty; a text without a word has
 fingerprint zero and links like any other; repeated rows share fingerprint and
-group; a null id never names a group that has another id; an empty table gives
+group; a group is named by a null id only if it
+has no other; an empty table gives
 an empty result; other columns are not looked at.
 """
 
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from quayside.llm.common import appended, read, saved, with_arrays
+from quayside.llm.common import appended, key_of, read, saved, with_arrays
 from quayside.llm.components import components
 from quayside.session import sent_with_jobs
 
@@ -132,15 +133,20 @@ def _stars(fps, radius: int):
 
 
 def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 4, radius: int = 4) -> DataFrame:
-    """One row per row of `docs`: id, fp, and component_id, the smallest id that can be reached over links."""
-    printed = saved(fingerprints(docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")), "text", words)
-                    .select("doc_id", "fp"), "fingerprints")
-    prints = saved(printed.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+    """One row per row of `docs`: id, fp, and component_id, the smallest id that can be reached over links.
+
+    `key` is a hash of id and text, `first_key` that of the row which stands for its group.
+    """
+    printed = saved(fingerprints(docs.select(F.col(id).alias("doc_id"), key_of(id, text).alias("key"), F.col(text).alias(
+        "text")), "text", words).select("doc_id", "key", "fp"), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    prints = saved(printed.groupBy("fp").agg(F.min(place).alias("first")), "distinct-fingerprints")
     roots = components(links(prints.select("fp"), radius)).select(F.col("node").alias("fp"), "root")
     grouped = prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    first = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = saved(grouped.join(first, "root").select("fp", "component_id"), "fingerprint-groups")
-    return printed.join(named, "fp").select("doc_id", "fp", "component_id")
+    first = grouped.groupBy("root").agg(F.min("first").alias("of_group"))
+    named = saved(grouped.join(first, "root").select(
+        "fp", F.col("of_group.doc_id").alias("component_id"), F.col("of_group.key").alias("first_key")), "fingerprint-groups")
+    return printed.join(named, "fp").select("doc_id", "fp", "component_id", "key", "first_key")
 
 
 def hex_of(fp: str = "fp") -> Column:
@@ -154,10 +160,10 @@ def op3_simhash(spark, sf_dir):
 
 def first_of_groups(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group of near copies the document with the smallest id stays, once."""
-    firsts = near_groups(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    named = docs.select("doc_id", F.struct(*docs.columns).alias("row")).join(
-        firsts.select(F.col("doc_id").alias("first")), F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
-    return named.dropDuplicates(["doc_id"]).select("row.*")
+    firsts = near_groups(docs).filter("key = first_key").select(F.col("key").alias("first"), F.col("doc_id").alias("id")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", key_of().alias("key"))
+    stay = rows.join(firsts, (F.col("key") == F.col("first")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    return stay.dropDuplicates(["key", "doc_id"]).select("row.*")
 
 
 QUERIES = {"op3_simhash": op3_simhash}
