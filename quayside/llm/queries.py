@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from quayside.llm import disclosure, langid, mixing, neighbours, pieces, rules, simhash, toxicity, warc
+from quayside.llm import disclosure, gated_lm, langid, mixing, neighbours, pieces, rules, simhash, toxicity, warc
 
-_MODULES = (langid, pieces, simhash, warc, neighbours, disclosure, mixing, rules, toxicity)
+_MODULES = (langid, pieces, simhash, warc, neighbours, gated_lm, disclosure, mixing, rules, toxicity)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
