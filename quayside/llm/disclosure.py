@@ -19,7 +19,7 @@ hold the entity. Spans are kept by a hash of id and text, so texts are not
 shuffled to count.
 
 Defined results: a null text counts as empty; rows that repeat id and text
-count as one document and get equal spans; an entity in every document has
+each count as a document and get equal spans; an entity in every document has
 nothing to disclose; a term that overlaps a base span is part of it; an empty
 table gives an empty result; other columns pass through, and are not looked at.
 """
@@ -177,9 +177,10 @@ def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def disclosing(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
     """(entity, term, disclosed): terms that give an entity away, and the share of its information they disclose."""
-    pairs = found.select("key", F.explode("around").alias("a")).select("key", "a.entity", "a.term").distinct()
+    once = lambda of: F.explode(F.array_distinct(F.transform("around", of))).alias("a")
+    pairs = found.select(once(lambda a: F.struct(a["entity"].alias("entity"), a["term"].alias("term")))).select("a.*")
     together = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).filter(F.col("n_both") >= MIN_SHARED)
-    entities = pairs.select("key", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    entities = found.select(once(lambda a: a["entity"])).groupBy(F.col("a").alias("entity")).agg(F.count(F.lit(1)).alias("n_entity"))
     together = saved(together.join(entities, "entity"), "pairs")
     total = docs.count()
     wanted = together.select("term").distinct()

@@ -72,7 +72,7 @@ def tree(points):
 
 
 def search(ids, vectors, query_ids, queries, norm2: float, k: int):
-    """Per query the k best (id, score) of one block, as far as the stopping test lets it look."""
+    """Per query the k best ids and scores of one block, as far as the stopping test lets it look, and how many it verified."""
     import numpy as np
 
     size = vectors.shape[1]
@@ -85,7 +85,7 @@ def search(ids, vectors, query_ids, queries, norm2: float, k: int):
         gap = np.maximum(np.maximum(low - p, p - high), 0.0)
         frontier = (gap * gap).sum(1)
         leaves = np.argsort(frontier, kind="stable")
-        best_ids, best, done, step = np.empty(0, np.int64), np.empty(0), 0, 8
+        best_ids, best, done, step, verified = np.empty(0, np.int64), np.empty(0), 0, 8, 0
         own = (q * q).sum() + norm2
         while done < len(leaves):
             at = np.concatenate([np.arange(starts[leaf], starts[leaf + 1]) for leaf in leaves[done:done + step]])
@@ -94,13 +94,13 @@ def search(ids, vectors, query_ids, queries, norm2: float, k: int):
             if len(best) > k:
                 kept = np.lexsort((best_ids, -best))[:k]
                 best_ids, best = best_ids[kept], best[kept]
-            done += step
+            done, verified = done + step, verified + len(at)
             step = min(64, step * 2)
             if done < len(leaves) and len(best) == k:
                 worst = max(own - 2 * best[-1], 1e-12)
                 if chi_square_cdf(frontier[leaves[done]] / worst, PROJECTED) >= CERTAINTY:
                     break
-        yield query_id, best_ids, best
+        yield query_id, best_ids, best, verified
 
 
 def nearest(rows: DataFrame, id: str = "vec_id", vector: str = "embedding", k: int = K, every: int = EVERY) -> DataFrame:
@@ -146,7 +146,7 @@ def nearest(rows: DataFrame, id: str = "vec_id", vector: str = "embedding", k: i
             back_id, back_print = left["id"].to_numpy()[rank], prints[rank]
             for some, flat in zip(right["ids"], right["vs"]):
                 asked_ids = np.asarray(some, np.int64)
-                for query, found, scores in search(ids, vectors, asked_ids, np.asarray(flat, float).reshape(len(asked_ids), -1), norm2, k + 1):
+                for query, found, scores, _ in search(ids, vectors, asked_ids, np.asarray(flat, float).reshape(len(asked_ids), -1), norm2, k + 1):
                     out.append(pd.DataFrame({"query_id": query, "id": back_id[found], "print": back_print[found], "score": scores}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "id": [], "print": [], "score": []})
 

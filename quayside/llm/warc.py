@@ -13,7 +13,8 @@ at a time is in memory.
 
 Files are reached through Arrow's file systems (local, HDFS, S3, GCS).
 
-Defined results: a null payload counts as empty; a null address is left out; a
+Defined results: a null payload counts as empty; a null address is left out, line
+breaks in one are escaped; a
 null id gives a null id back, and never names a response others could be told
 from; rows that repeat an id with an equal payload are responses alike; an
 empty table writes and reads nothing; other columns are not looked at.
@@ -80,7 +81,6 @@ def packed(row: dict) -> bytes:
     """One record as a gzip member."""
     import base64
     import zlib
-    from urllib.parse import quote
 
     payload, revisit = row["payload"], row["refers_to"] is not None
     name = lambda i: f"<{RECORD}{'' if i is None else i}>".encode()
@@ -91,7 +91,7 @@ def packed(row: dict) -> bytes:
             b"WARC-Payload-Digest: sha1:" + base64.b32encode(bytes.fromhex(row["digest"])),
             b"Content-Length: %d" % len(block)]
     if row["target_uri"] is not None:
-        head.append(b"WARC-Target-URI: " + quote(row["target_uri"], safe="!#$%&'()*+,/:;=?@[]~").encode())
+        head.append(b"WARC-Target-URI: " + row["target_uri"].replace("\r", "%0D").replace("\n", "%0A").encode())
     if revisit:
         head += [b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
                  b"WARC-Refers-To: " + name(row["refers_to"])]
@@ -146,7 +146,6 @@ def parsed(record: bytes, payloads: bool) -> dict:
     """The row of a decoded record; a response's digest and length are those of the payload read."""
     import base64
     import hashlib
-    from urllib.parse import unquote
 
     def headers(lines: bytes) -> dict[bytes, bytes]:
         pairs = (line.partition(b":") for line in lines.split(LINE)[1:])
@@ -171,7 +170,7 @@ def parsed(record: bytes, payloads: bool) -> dict:
     uri = warc.get(b"warc-target-uri")
     return {"page_id": numbered(warc[b"warc-record-id"]), "payload_bytes": size, "payload_digest": digest,
             "record_type": kind, "refers_to": numbered(warc.get(b"warc-refers-to")),
-            "target_uri": None if uri is None else unquote(uri.decode()),
+            "target_uri": None if uri is None else uri.decode(),
             "payload": payload if payloads and kind == "response" else None}
 
 
