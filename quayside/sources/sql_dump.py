@@ -1,67 +1,47 @@
-"""Rows of one table out of the INSERT statements of a SQL dump."""
+"""Rows of one table out of the INSERT statements of a SQL dump, with column expressions only."""
 
 from __future__ import annotations
 
 import re
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, StringType, StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from quayside.session import sent_with_jobs
+# the dump's grammar as patterns; possessive, so long texts cost no stack and no second try
+QUOTED = r"'[^'\\]*+(?:(?:\\.|'')[^'\\]*+)*+'"
+NESTED = r"\([^()]*+\)"  # a function call as a value
+ROW = rf"(?s)\((?:[^'()]++|{QUOTED}|{NESTED})*+\)"
+VALUE = rf"(?s)[(,]\s*+((?:[^',()]++|{QUOTED}|{NESTED})*+)"
+ESCAPES = {"n": "\n", "r": "\r", "t": "\t", "0": "\0"}  # any other escaped character stands for itself
 
-sent_with_jobs(__name__)
 
-_TOKEN = re.compile(r"'(?:[^'\\]|\\.)*'|[^',()]+|.", re.S)
+def _unquoted(body: Column) -> Column:
+    """The text of a quoted literal: doubled quotes, then escapes; escaped backslashes keep the rest apart."""
+    def plain(part: Column) -> Column:
+        for mark, character in ESCAPES.items():
+            part = F.replace(part, F.lit("\\" + mark), F.lit(character))
+        return F.regexp_replace(part, r"(?s)\\(.)", "$1")
 
+    return F.array_join(F.transform(F.split(F.replace(body, F.lit("''"), F.lit("'")), r"\\\\"), plain), "\\")
 
-def _value(text: str) -> str | None:
-    text = text.strip()
-    if text.upper() == "NULL":
-        return None
-    if len(text) > 1 and text[0] == "'" == text[-1]:
-        return text[1:-1].replace("\\'", "'").replace("\\\\", "\\")
-    return text
 
-
-def _rows(values: str) -> list[list[str | None]]:
-    """Every parenthesised row of a VALUES list; commas in quotes or nested parentheses do not split."""
-    rows, row, held, depth = [], [], [], 0
-    for token in _TOKEN.findall(values):
-        if token == "(":
-            depth += 1
-            if depth == 1:
-                row, held = [], []
-                continue
-        elif token == ")":
-            depth -= 1
-            if depth == 0:
-                rows.append([*row, _value("".join(held))])
-                continue
-        elif token == "," and depth == 1:
-            row.append(_value("".join(held)))
-            held = []
-            continue
-        if depth:
-            held.append(token)
-    return rows
-
-
-@F.pandas_udf(ArrayType(ArrayType(StringType())))
-def _value_rows(statements: pd.Series) -> pd.Series:
-    return statements.map(_rows)
+def _value(text: Column) -> Column:
+    text = F.trim(text)
+    return F.when(F.upper(text) == "NULL", None).when(
+        text.startswith("'") & text.endswith("'"), _unquoted(F.substring(text, F.lit(2), F.length(text) - 2))).otherwise(text)
 
 
 def read_sql_dump(spark: SparkSession, path: str, table: str, schema: StructType | str) -> DataFrame:
     """Rows of INSERT INTO `table` VALUES (...)[, (...)]; typed by `schema`, unreadable values NULL.
 
     Statements end in a semicolon at the end of a line, which is where the text
-    scan splits the dump, so it is read in parallel; a backslash escapes inside
-    quotes and the word NULL outside of them is no value.
+    scan splits the dump, so it is read in parallel; a backslash or a doubled
+    quote escapes inside quotes, and the word NULL outside of them is no value.
     """
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     head = f"(?is)^\\s*INSERT INTO `{re.escape(table)}` VALUES\\s*"
     statements = spark.read.text(path, lineSep=";\n").filter(F.col("value").rlike(head + "\\("))
-    values = F.regexp_replace("value", head, "")
-    rows = statements.select(F.explode(_value_rows(values)).alias("r"))
-    return rows.select(*[F.get("r", F.lit(i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema)])
+    rows = statements.select(F.explode(F.regexp_extract_all(F.regexp_replace("value", head, ""), F.lit(ROW), F.lit(0))).alias("r"))
+    # without its closing bracket a row is bracket, value, comma, value ...
+    values = rows.select(F.regexp_extract_all(F.expr("left(r, length(r) - 1)"), F.lit(VALUE), F.lit(1)).alias("v"))
+    return values.select(*[_value(F.get("v", F.lit(i))).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema)])

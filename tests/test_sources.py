@@ -99,6 +99,15 @@ def test_sql_dump(spark, tmp_path):
     assert sorted(tuple(r) for r in got) == [(1, "O'Neil, (x)", 2.5, None), (2, "back\\slash", None, "NULL"), (3, "", -1.0, "y")]
 
 
+def test_sql_dump_escapes(spark, tmp_path):
+    long = "x, (y) " * 50_000
+    (tmp_path / "dump.sql").write_text(
+        r"INSERT INTO `customers` VALUES (4,'it''s\n(a) \\n', 1.5 , 'q\''), (5, now(1,2), 0, ',');" + "\n"
+        + f"INSERT INTO `customers` VALUES (6,'{long}',2,'''');\n")
+    got = read_sql_dump(spark, str(tmp_path / "dump.sql"), "customers", "id bigint, name string, n double, s string").collect()
+    assert sorted(tuple(r) for r in got) == [(4, "it's\n(a) \\n", 1.5, "q'"), (5, "now(1,2)", 0.0, ","), (6, long, 2.0, "'")]
+
+
 # --- registry, conversion, staging -----------------------------------------------
 
 def test_registry():
