@@ -29,7 +29,7 @@ ORDERS = {
     "daily_boat_lengths": [("calendar_date", True), ("boat_id", True)],
     "daily_slip_count": [("calendar_date", False), ("marina_name", True)],
     "daily_slip_occupancy": [("calendar_date", True), ("marina_location_id", True), ("slip_id", True)],
-    "reservation_rates": [("calendar_date", True), ("slip_id", True)],
+    "reservation_rates": [("calendar_date", True), ("reservation_id", True)],
     "daily_rentals": [("calendar_date", True), ("booking_id", True)],
 }
 
@@ -221,7 +221,7 @@ def reservation_rates(t: Tables, cal: Calendar) -> DataFrame:
         return F.when(guard > 0, F.round(quotient, 2)).otherwise(0)
 
     rated = per_stay.select(
-        "reservation_id", "reservation_name", "reservation_status", "reservation_type", "slip_id",
+        "reservation_id", "reservation_name", "reservation_status", "reservation_type",
         "scheduled_arrival_time", "scheduled_departure_time",
         days.alias("reservation_days"),
         F.round(months, 2).alias("reservation_months"),

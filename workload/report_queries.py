@@ -84,8 +84,18 @@ QUERIES = {
     **{f"vw_ledger_{kind}": ledger_of(kind) for kind in ledger.DOCUMENTS},
 }
 
-_DAY = "c.calendar_date, c.month_number, c.year_number, c.month_year_name"
+def _days_of(rows: str, start: str, end: str, first: str = "(select min(calendar_date) from cal)",
+             last: str = "(select max(calendar_date) from cal)") -> str:
+    """Every row once per calendar day from `start` to `end`, both included."""
+    return f"""select *, cast(unnest(generate_series(cast(greatest({start}, {first}) as timestamp), cast(least({end}, {last}) as timestamp),
+  interval 1 day)) as date) as day from {rows} where {start} is not null and {end} is not null"""
 
+
+# nights: the day of departure is not one
+_NIGHTS = _days_of("(select *, cast(scheduled_arrival_time as date) as a, cast(scheduled_departure_time as date) - 1 as z from r_reservations)", "a", "z")
+
+# Written from what each report says, by another way than the reports take: days are unnested from each stay, groups are
+# formed on ids, and names are put to them afterwards.
 ORACLE = {
     "src_calendar": """
 select cast(d as date) as calendar_date, cast(month(d) as integer) as month_number,
@@ -93,158 +103,160 @@ select cast(d as date) as calendar_date, cast(month(d) as integer) as month_numb
 from (select unnest(generate_series(min(cast(o_orderdate as date)), max(cast(o_orderdate as date)), interval 1 day)) as d from orders)
 """,
     "vw_daily_boat_lengths": f"""
-with {role_cte("reservations", "boats", "marina_locations")}, {STAY_CAL}
-select {_DAY}, b.id as boat_id, b.name as boat_name,
-       case when instr(b.loa, ':') > 0 then try_cast(split_part(b.loa, ':', 1) as double) end as boat_loa_length,
-       b.make as boat_make, b.model as boat_model, r.marina_location_id, m.name as marina_location_name,
-       max(r.id) as reservation_id, max(r.scheduled_arrival_time) as scheduled_arrival_time,
-       max(r.scheduled_departure_time) as scheduled_departure_time,
-       max(case when r.reservation_status_id = 4 then 1 else 0 end) as occupies_slip
-from cal c
-left join r_reservations r on c.calendar_date >= cast(r.scheduled_arrival_time as date)
-                          and c.calendar_date < cast(r.scheduled_departure_time as date)
-left join r_boats b on r.boat_id = b.id
-left join r_marina_locations m on r.marina_location_id = m.id
-group by {_DAY}, b.id, b.name, b.loa, b.make, b.model, r.marina_location_id, m.name
+with {role_cte("reservations", "boats", "marina_locations")}, {STAY_CAL},
+nights as ({_NIGHTS}),
+-- a boat that is not known is no boat
+moored as (
+  select day, (select x.id from r_boats x where x.id = n.boat_id) as boat, marina_location_id as marina, count(*) as stays,
+    max(id) as last_stay, max(scheduled_arrival_time) as arrives, max(scheduled_departure_time) as leaves,
+    coalesce(max(cast(reservation_status_id = 4 as integer)), 0) as inside
+  from nights n group by all)
+select cal.*, boat as boat_id, boats.name as boat_name, try_cast(regexp_extract(boats.loa, '^([^:]*):', 1) as double) as boat_loa_length,
+  boats.make as boat_make, boats.model as boat_model, marina as marina_location_id, marinas.name as marina_location_name,
+  last_stay as reservation_id, arrives as scheduled_arrival_time, leaves as scheduled_departure_time,
+  coalesce(inside, 0) as occupies_slip
+from moored full join cal on moored.day = cal.calendar_date
+left join r_boats boats on boats.id = boat left join r_marina_locations marinas on marinas.id = marina
 """,
     "vw_daily_slip_count": f"""
-with {role_cte("slips", "marina_locations")}, {STAY_CAL}
-select {_DAY}, m.name as marina_name, m.id as marina_id,
-       case when m.name like '%Mile High%' then 8 when m.name like '%Ray Roberts%' then 16 else 0 end as subid,
-       count(s.id) as daily_slip_count
-from cal c
-left join r_slips s on cast(s.start_date as date) <= c.calendar_date
-                   and (s.end_date is null or cast(s.end_date as date) >= c.calendar_date)
-left join r_marina_locations m on s.marina_location_id = m.id
-where s.active = 1
-group by {_DAY}, m.name, m.id
-order by c.calendar_date desc, marina_name
+with {role_cte("slips", "marina_locations")}, {STAY_CAL},
+open_days as ({_days_of("(select marina_location_id, cast(start_date as date) as a, coalesce(cast(end_date as date), date '9999-01-01') as z from r_slips where active = 1)", "a", "z")}),
+counted as (select day, (select x.id from r_marina_locations x where x.id = o.marina_location_id) as marina, count(*) as n from open_days o group by all)
+select cal.*, names.name as marina_name, marina as marina_id, n as daily_slip_count,
+  case when contains(names.name, 'Mile High') then 8 when contains(names.name, 'Ray Roberts') then 16 else 0 end as subid
+from counted join cal on day = calendar_date left join r_marina_locations names on names.id = marina
 """,
     "vw_daily_slip_occupancy": f"""
-with {role_cte("slips", "reservations", "reservation_status", "marina_locations")}, {STAY_CAL}
-select {_DAY}, s.id as slip_id, s.name as slip_name, s.marina_location_id, m.name as marina_location_name,
-       r.id as reservation_id, r.scheduled_arrival_time, r.scheduled_departure_time, r.reservation_status_id,
-       rs.name as reservation_status_name, r.name as reservation_name,
-       case when r.id is not null and r.reservation_status_id in (4, 6) then 1 else 0 end as is_occupied
-from cal c cross join r_slips s
-left join r_reservations r on s.id = r.slip_id and c.calendar_date >= cast(r.scheduled_arrival_time as date)
-                          and c.calendar_date < cast(r.scheduled_departure_time as date)
-left join r_reservation_status rs on r.reservation_status_id = rs.id
-join r_marina_locations m on s.marina_location_id = m.id
-where s.active = 1 and s.do_not_count_in_occupancy is null
+with {role_cte("slips", "reservations", "reservation_status", "marina_locations")}, {STAY_CAL},
+nights as ({_NIGHTS}),
+berths as (
+  select x.id as slip_id, x.name as slip_name, x.marina_location_id, y.name as marina_location_name
+  from r_marina_locations y, r_slips x where x.marina_location_id = y.id and x.active = 1 and x.do_not_count_in_occupancy is null),
+taken as (select n.* from nights n semi join berths on berths.slip_id = n.slip_id),
+empty as (select slip_id, calendar_date as day from berths, cal except select slip_id, day from taken),
+every as (select slip_id, day, id, scheduled_arrival_time, scheduled_departure_time, reservation_status_id, name from taken
+  union all by name select * from empty)
+select cal.*, berths.*, every.id as reservation_id, scheduled_arrival_time, scheduled_departure_time, reservation_status_id,
+  (select min(k.name) from r_reservation_status k where k.id = every.reservation_status_id) as reservation_status_name,
+  every.name as reservation_name, cast(coalesce(every.reservation_status_id in (4, 6), false) as integer) as is_occupied
+from every join berths using (slip_id) join cal on day = calendar_date
 """,
     "vw_reservation_rates": f"""
 with {role_cte("reservations", "reservation_status", "reservation_types", "slips", "marina_locations", "invoices", "invoice_items")},
 {STAY_CAL},
+charges as (
+  select reservation_id as payer, sum(x.total) as charged from r_invoice_items x join r_invoices y on x.invoice_id = y.id
+  where x.is_void = 0 and x.status_field <> 'deleted' and x.type_field like 'charge-reservation-%'
+    and substr(x.type_field, 20) in ('seasonal', 'transitive') group by payer),
+-- a stay counts once for each marina in which its slip was ever booked
+places as (select slip_id, count(distinct coalesce(marina_location_id, -1)) as times from r_reservations
+  where slip_id in (select id from r_slips where active = 1 and do_not_count_in_occupancy is null) group by slip_id),
+stays as (
+  select r.*, times, cast(scheduled_arrival_time as date) as a, cast(scheduled_departure_time as date) as z,
+    coalesce(charged, 0) as invoice_total
+  from r_reservations r join places using (slip_id) left join charges on payer = r.id where reservation_status_id = 4),
+-- months: whole ones between equal days of the month or two last days, else days and hours in 31sts
 spans as (
-  select *, date_diff('day', cast(scheduled_arrival_time as date), cast(scheduled_departure_time as date)) as days,
-    (year(scheduled_departure_time) - year(scheduled_arrival_time)) * 12
-      + month(scheduled_departure_time) - month(scheduled_arrival_time)
-      + case when day(scheduled_departure_time) = day(scheduled_arrival_time) then 0
-             when last_day(scheduled_departure_time) = cast(scheduled_departure_time as date)
-              and last_day(scheduled_arrival_time) = cast(scheduled_arrival_time as date) then 0
-             else (day(scheduled_departure_time) - day(scheduled_arrival_time)
-                   + (hour(scheduled_departure_time) - hour(scheduled_arrival_time)) / 24.0) / 31.0 end as months
-  from r_reservations),
-summed as (
-  select {_DAY}, r.id as reservation_id, r.name as reservation_name, rs.name as reservation_status,
-    rt.name as reservation_type, r.slip_id, r.scheduled_arrival_time, r.scheduled_departure_time, r.rate, r.days, r.months,
-    s.slip_id as berth, s.marina_location_id as berth_marina, coalesce(sum(ii.total), 0) as invoice_total
-  from cal c
-  left join spans r on c.calendar_date >= cast(r.scheduled_arrival_time as date)
-                   and c.calendar_date < cast(r.scheduled_departure_time as date) + 1
-  left join r_reservation_status rs on r.reservation_status_id = rs.id
-  left join r_reservation_types rt on r.reservation_type_id = rt.id
-  left join (select distinct slip_id, marina_location_id from r_reservations where slip_id is not null) s on r.slip_id = s.slip_id
-  left join r_slips sl on s.slip_id = sl.id
-  left join r_marina_locations ml on s.marina_location_id = ml.id
-  left join r_invoices i on r.id = i.reservation_id
-  left join r_invoice_items ii on i.id = ii.invoice_id
-    and ii.type_field in ('charge-reservation-seasonal', 'charge-reservation-transitive')
-    and ii.is_void = 0 and ii.status_field <> 'deleted'
-  where sl.active = 1 and sl.do_not_count_in_occupancy is null and r.reservation_status_id = 4
-  group by {_DAY}, r.id, r.name, rs.name, rt.name, r.slip_id, r.scheduled_arrival_time, r.scheduled_departure_time,
-    r.rate, r.days, r.months, s.slip_id, s.marina_location_id, sl.name, ml.name, sl.recommended_loa)
-select calendar_date, month_number, year_number, month_year_name, reservation_id, reservation_name, reservation_status,
-  reservation_type, slip_id, scheduled_arrival_time, scheduled_departure_time, cast(days as integer) as reservation_days,
-  cast(round(cast(months as decimal(28,10)), 2) as double) as reservation_months,
-  cast(invoice_total as double) as invoice_total,
-  case when days > 0 then cast(round(cast(cast(rate as double) / days as decimal(28,10)), 2) as double) else 0 end as reservation_daily_rate,
-  case when days > 0 then cast(round(cast(cast(invoice_total as double) / days as decimal(28,10)), 2) as double) else 0 end as invoice_daily_rate,
-  case when round(months) > 0 then cast(round(cast(cast(rate as double) / round(months) as decimal(28,10)), 2) as double) else 0 end as reservation_monthly_rate,
-  case when round(months) > 0 then cast(round(cast(cast(invoice_total as double) / months as decimal(28,10)), 2) as double) else 0 end as invoice_monthly_rate
-from summed
+  select *, z - a as days, 12 * (year(z) - year(a)) + month(z) - month(a) as turns,
+    day(z) = day(a) or (z = last_day(z) and a = last_day(a)) as even,
+    24 * (day(z) - day(a)) + hour(scheduled_departure_time) - hour(scheduled_arrival_time) as hours from stays),
+units as (select *, turns + case when even then 0 else hours / 24.0 / 31.0 end as months from spans),
+rated as (
+  select u.*, round(months) as billed,
+    case when days > 0 then [cast(rate as double) / days, cast(invoice_total as double) / days] else [0, 0] end as by_day,
+    case when round(months) > 0 then [cast(rate as double) / round(months), cast(invoice_total as double) / months] else [0, 0] end as by_month
+  from units u),
+shown as (select *, list_transform(by_day || by_month, lambda x: cast(round(cast(x as decimal(28,10)), 2) as double)) as money from rated),
+daily as ({_days_of("(select *, unnest(range(times)) as place from shown)", "a", "z")})
+select cal.*, d.id as reservation_id, d.name as reservation_name, k.name as reservation_status, t.name as reservation_type,
+  scheduled_arrival_time, scheduled_departure_time, cast(days as integer) as reservation_days,
+  cast(round(cast(months as decimal(28,10)), 2) as double) as reservation_months, cast(invoice_total as double) as invoice_total,
+  money[1] as reservation_daily_rate, money[2] as invoice_daily_rate, money[3] as reservation_monthly_rate, money[4] as invoice_monthly_rate
+from daily d join cal on day = calendar_date left join r_reservation_status k on k.id = d.reservation_status_id
+left join r_reservation_types t on t.id = d.reservation_type_id
 """,
     "vw_daily_rentals": f"""
 with {role_cte("booking_boats", "bookings", "style_boats")}, {RENTAL_CAL},
-rented as (
-  select b.id as booking_boat_id, b.boat_id, s.boat_number, b.boat_departure, b.boat_return, b.booking_id,
-    cast(trunc(epoch_us(b.boat_return) - epoch_us(b.boat_departure)) as bigint) // 3600000000 as hours,
-    k.boats_total, n.boats
-  from r_booking_boats b
-  join r_style_boats s on b.boat_id = s.id
-  join r_bookings k on b.booking_id = k.id and k.is_canceled = 'No'
-  join (select booking_id, count(*) as boats from r_booking_boats group by booking_id) n on b.booking_id = n.booking_id
-  where b.status_booking = 'Complete' and b.boat_departure is not null and b.boat_return is not null)
-select {_DAY}, r.booking_boat_id, r.boat_id, r.boat_number, r.boat_departure, r.boat_return, r.booking_id, r.hours,
-  cast(r.boats_total as double) as boats_total,
-  cast(round(cast(cast(r.boats_total as double) / r.boats as decimal(28,10)), 2) as double) as rate_per_boat,
-  cast(round(cast(cast(r.boats_total as double) / nullif(r.boats * r.hours, 0) as decimal(28,10)), 2) as double) as rate_per_boat_per_hour
-from cal c join rented r on c.calendar_date >= cast(r.boat_departure as date) and c.calendar_date <= cast(r.boat_return as date)
+shares as (select booking_id, count(*) as boats from r_booking_boats group by booking_id),
+finished as (
+  select *, cast(boat_departure as date) as a, cast(boat_return as date) as z, epoch_us(boat_return) - epoch_us(boat_departure) as us
+  from r_booking_boats where status_booking = 'Complete'),
+touched as ({_days_of("finished", "a", "z")}),
+priced as (
+  select t.*, boat_number, cast(boats_total as double) as boats_total, boats, cast(us // 3600000000 as bigint) as hours
+  from touched t join r_style_boats s on s.id = t.boat_id join shares using (booking_id)
+  join r_bookings k on k.id = t.booking_id where k.is_canceled = 'No')
+select cal.*, p.id as booking_boat_id, boat_id, boat_number, boat_departure, boat_return, booking_id, hours, boats_total,
+  cast(round(cast(boats_total / boats as decimal(28,10)), 2) as double) as rate_per_boat,
+  cast(round(cast(case when hours <> 0 then boats_total / (boats * hours) end as decimal(28,10)), 2) as double) as rate_per_boat_per_hour
+from priced p join cal on day = calendar_date
 """,
 }
 
+# Fixed values, as the reports of the fourteen document types state them: label; entity; whether items and quantities show
+_LABELS = {
+    "journal": ("journal", "entity", False), "vendor_bill": ("vendbill", "vendor", True), "vendor_credit": ("vendcred", "entity", True),
+    "check": ("check", "entity", False), "deposit": ("deposit", None, False), "cash_sale": ("cashsale", "entity", True),
+    "invoice": ("Invoice", "entity", True), "vendor_bill_payment": ("vendbillpayment", "vendor", False),
+    "customer_credit": ("customercredit", "customer", False), "customer_payment": ("customerpayment", "customer", False),
+    "customer_refund": ("customerrefund", "customer", False), "credit_card": ("creditcard", "entity", False),
+    "depreciation": ("DEPENTRY", "entity", False), "credit_card_refund": ("ccrefund", "entity", False),
+}
+
 
-def _lines_sql(kind: str, header: str = "r_header", extra: str = "") -> str:
-    doc = ledger.DOCUMENTS[kind]
-    side, name = doc.name.split(".")
+def _lines_sql(kind: str) -> str:
+    """Posted lines of a type: lines with the account they are booked on, semi-joined to posted headers by USING."""
+    label, entity, items = _LABELS[kind]
+    foreign = kind == "depreciation"  # books the expense account, in foreign amounts, under the header's number
+    money = "coalesce(creditforeignamount, 0) - coalesce(debitforeignamount, 0)" if foreign else (
+        "coalesce(accountingbook_credit, 0) - coalesce(accountingbook_debit, 0)")
     return f"""
-select '{doc.t_type}' as t_type, t.tranid as tran_id, t.id as internalid, l.id as line_id, t.trandate as tran_date,
-  {"t" if side == "header" else "l"}.{name} as tran_name, l.subsidiary as subsidiary_id, l.location as location_id,
-  l.class as division_id, l.department as department_id,
-  {"l." + doc.entity if doc.entity else "cast(-99999 as bigint)"} as entity_id,
-  {"l.item" if doc.item else "cast(-99999 as bigint)"} as item_id,
-  t.postingperiod as posting_period_id, a.id as account_id, a.acctnumber as account_number, a.accttype as account_type,
-  a.description as account_desc, {"cast(l.quantity * -1 as double)" if doc.quantity else "cast(null as double)"} as qty,
-  cast(null as double) as ext_cost,
-  cast(coalesce(l.{doc.credit}, 0) - coalesce(l.{doc.debit}, 0) as double) as acctg_amount, l.memo as memo
-from {header} t join r_line l on t.id = l.transaction join r_account a on l.{doc.account} = a.id
-where t.posting = 'T' {extra}"""
-
-
-for _kind in ledger.DOCUMENTS:
+select '{label}' as t_type, tran_id, internalid, booked.id as line_id, tran_date, {"tran_id" if foreign else "trandisplayname"} as tran_name,
+  subsidiary as subsidiary_id, location as location_id, class as division_id, department as department_id,
+  cast({entity or -99999} as bigint) as entity_id, cast({"item" if items else -99999} as bigint) as item_id, posting_period_id,
+  accounts.id as account_id, acctnumber as account_number, accttype as account_type, description as account_desc,
+  cast({"-quantity" if items else "null"} as double) as qty, cast(null as double) as ext_cost, cast({money} as double) as acctg_amount, memo
+from (select id, subsidiary, location, class, department, entity, vendor, customer, item, quantity, memo, trandisplayname, "transaction" as internalid,
+        {"expenseaccount" if foreign else "account"} as booked_on, accountingbook_credit, accountingbook_debit, creditforeignamount,
+        debitforeignamount from r_line) booked
+join (select id as internalid, tranid as tran_id, trandate as tran_date, postingperiod as posting_period_id, kind from r_header
+      where posting = 'T') heads using (internalid)
+join r_account accounts on accounts.id = booked_on"""
+
+
+for _kind in _LABELS:
     ORACLE[f"vw_ledger_{_kind}"] = f"with {role_cte('header', 'line', 'account')} {_lines_sql(_kind)}"
 
 
 def _of(kind: str) -> str:
-    return " and t.kind in (" + ", ".join(f"'{k}'" for k, v in KIND_OF.items() if v == kind) + ")"
+    return " where kind in (" + ", ".join(f"'{k}'" for k, v in KIND_OF.items() if v == kind) + ")"
 
 
-def _amount(account_type: str) -> str:
-    return f"case when a.accttype = '{account_type}' then u.acctg_amount else 0 end"
+def _if(*types: str) -> str:
+    return "if(kinds.accttype in (" + ", ".join(f"'{t}'" for t in types) + "), acctg_amount, 0)"
 
 
 ORACLE["vw_finance_report"] = f"""
 with {role_cte("header", "line", *DIMENSIONS)},
-u as ({" union all ".join(_lines_sql(k, extra=_of(k)) for k in ledger.DOCUMENTS)})
-select u.t_type, u.tran_id, u.internalid, u.line_id, u.tran_date, u.tran_name, s.name as subsidiary, lo.name as location,
-  c.name as class, d.name as department, cs.entityid as customer, v.entityid as tran_vendor, i.itemid as item_name,
-  a.acctnumber as account_number, a.accttype as account_type, a.accountsearchdisplayname as account_desc,
-  substr(p.periodname, 5, 8) as posting_year, substr(p.periodname, 1, 3) as posting_month,
-  cast(strftime(try_strptime('01-' || substr(p.periodname, 1, 3) || '-' || substr(p.periodname, 5, 8), '%d-%b-%Y'), '%Y%m') as integer) as posting_month_num,
-  u.acctg_amount, {_amount("Income")} as income_amount, {_amount("COGS")} as cogs_amount, {_amount("Expense")} as expense_amount,
-  {_amount("OthIncome")} as otherincome_amount, {_amount("OthExpense")} as otherexpense_amount,
-  {_amount("Income")} + {_amount("COGS")} as gross_profit,
-  {_amount("Income")} + {_amount("COGS")} + {_amount("Expense")} + {_amount("OthIncome")} + {_amount("OthExpense")} as net_profit,
-  u.memo, ak.modelmappingdetail as mapvalue, ak.sortorder, ak.reporttype, ak.reportsection
-from u join r_account a on u.account_id = a.id
-left join r_subsidiary s on u.subsidiary_id = s.id
-left join r_location lo on u.location_id = lo.id
-left join r_classification c on u.division_id = c.id
-left join r_department d on u.department_id = d.id
-left join r_customer cs on u.entity_id = cs.id
-left join r_vendor v on u.entity_id = v.id
-left join r_item i on u.item_id = i.id
-left join r_accounting_period p on u.posting_period_id = p.id
-left join r_account_key ak on cast(ak.nsaccount as varchar) = u.account_number
+booked as ({" union all ".join(_lines_sql(k) + _of(k) for k in _LABELS)}),
+months as (select id, periodname, periodname[1:3] as m, periodname[5:] as y from r_accounting_period),
+names(what, id, name) as (
+  select 'subsidiary', id, name from r_subsidiary union all select 'location', id, name from r_location
+  union all select 'class', id, name from r_classification union all select 'department', id, name from r_department
+  union all select 'customer', id, entityid from r_customer union all select 'vendor', id, entityid from r_vendor
+  union all select 'item', id, itemid from r_item)
+select t_type, tran_id, internalid, line_id, tran_date, tran_name, n1.name as subsidiary, n2.name as location, n3.name as class,
+  n4.name as department, n5.name as customer, n6.name as tran_vendor, n7.name as item_name, kinds.acctnumber as account_number,
+  kinds.accttype as account_type, accountsearchdisplayname as account_desc, y[1:8] as posting_year, m as posting_month,
+  cast(strftime(try_strptime(m || ' ' || y[1:8], '%b %Y'), '%Y%m') as integer) as posting_month_num, acctg_amount,
+  {_if("Income")} as income_amount, {_if("COGS")} as cogs_amount, {_if("Expense")} as expense_amount,
+  {_if("OthIncome")} as otherincome_amount, {_if("OthExpense")} as otherexpense_amount, {_if("Income", "COGS")} as gross_profit,
+  {_if("Income", "COGS", "Expense", "OthIncome", "OthExpense")} as net_profit, memo, modelmappingdetail as mapvalue, sortorder,
+  reporttype, reportsection
+from booked join r_account kinds on kinds.id = account_id left join months on months.id = posting_period_id
+left join names n1 on n1.what = 'subsidiary' and n1.id = subsidiary_id left join names n2 on n2.what = 'location' and n2.id = location_id
+left join names n3 on n3.what = 'class' and n3.id = division_id left join names n4 on n4.what = 'department' and n4.id = department_id
+left join names n5 on n5.what = 'customer' and n5.id = entity_id left join names n6 on n6.what = 'vendor' and n6.id = entity_id
+left join names n7 on n7.what = 'item' and n7.id = item_id
+left join r_account_key k on k.nsaccount = try_cast(booked.account_number as bigint)
 """
