@@ -11,8 +11,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quayside.operators.numbering import number_rows
 from quayside.operators.store import Store
-from quayside.session import new_folder
-from quayside.sources.files import remove_folder
 
 AUDIT = "dw_id bigint, dw_last_inserted timestamp_ntz, dw_last_updated timestamp_ntz"
 INSERTED, UPDATED, KEPT = "insert", "update", "keep"
@@ -238,39 +236,46 @@ def merge_table(store: Store, name: str, stg: DataFrame, spec: MergeSpec, run_ts
         unique = not (profile.repeated_in_source or profile.repeated_in_target)
     if unique:
         return _merge_unique(store, name, dw, stg, spec, run_ts)
-    folder = new_folder(store.spark, "numbering")
+    folder = store.scratch("numbering")
     merged = merge(dw, stg, spec, run_ts, on_duplicate=on_duplicate, folder=folder)
-    written = store.write(name, merged.drop("_action"))
-    remove_folder(folder)
+    number, place = store.next_folder(name)
+    merged.drop("_action").write.parquet(place)
+    written = store.commit(name, number, [place], merged.drop("_action").schema.json())
+    store.discard(folder)
     return counters(written, run_ts).first().asDict()
 
 
 def _first_load(store: Store, name: str, stg: DataFrame, spec: MergeSpec, run_ts: datetime) -> dict[str, int]:
     dw = empty_warehouse(stg, spec)
-    folder = new_folder(store.spark, "numbering")
+    folder = store.scratch("numbering")
     numbered = number_rows(new_rows(dw, stg, spec, run_ts), _number_order(spec), "dw_id", 0, folder)
-    written = store.write(name, numbered.select(dw.columns), keys_unique=not repeats(stg, spec.keys))
-    remove_folder(folder)
-    return {"inserted": written.count(), "updated": 0, "kept": 0}
+    number, place = store.next_folder(name)
+    rows = numbered.select(dw.columns)
+    rows.write.parquet(place)
+    n = store.spark.read.schema(rows.schema).parquet(place).count()
+    store.commit(name, number, [place], rows.schema.json(), keys_unique=not repeats(stg, spec.keys), highest=n)
+    store.discard(folder)
+    return {"inserted": n, "updated": 0, "kept": 0}
 
 
 def _merge_unique(store: Store, name: str, dw: DataFrame, stg: DataFrame, spec: MergeSpec, run_ts: datetime) -> dict[str, int]:
     """The merge of unique keys: one join, one write, and only the new rows are written again with their numbers."""
-    version, folder = store.next_folder(name)
+    before, (version, folder) = store.newest(name), store.next_folder(name)
     rows = outer_rows(dw, stg, spec, run_ts)
     layout = rows.drop("_action").schema
     rows.write.partitionBy("_action").parquet(f"{folder}/rows")
     written = store.spark.read.schema(rows.schema).parquet(f"{folder}/rows")
     counts = {r["_action"]: r["count"] for r in written.groupBy("_action").count().collect()}  # at most three rows
     parts = [f"{folder}/rows/_action={a}" for a in (KEPT, UPDATED) if counts.get(a)]
+    highest = before.highest if before and before.highest is not None else _highest(dw)  # rows are never taken out
     if counts.get(INSERTED) or not parts:
-        scratch = new_folder(store.spark, "numbering")
+        scratch = store.scratch("numbering")
         fresh = written.filter(F.col("_action") == INSERTED).drop("dw_id", "_action")
-        numbered = number_rows(fresh, _number_order(spec), "dw_id", _highest(dw), scratch)
+        numbered = number_rows(fresh, _number_order(spec), "dw_id", highest, scratch)
         numbered.select(*layout.names).write.parquet(f"{folder}/new")
-        remove_folder(scratch)
+        store.discard(scratch)
         parts.append(f"{folder}/new")
-    store.commit(name, version, parts, layout.json(), keys_unique=True)
+    store.commit(name, version, parts, layout.json(), keys_unique=True, highest=highest + counts.get(INSERTED, 0))
     return {"inserted": counts.get(INSERTED, 0), "updated": counts.get(UPDATED, 0), "kept": counts.get(KEPT, 0)}
 
 

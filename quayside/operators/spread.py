@@ -1,20 +1,18 @@
-"""Use all cores on a scan that comes in too few pieces."""
+"""Deal out work that multiplies rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a bare scan out to all cores when its files give fewer tasks than that.
+def spread(scan: DataFrame, tasks: int) -> DataFrame:
+    """The rows dealt out to `tasks` tasks, whatever the scan gives.
 
-    For work that costs much per row (text conversion) or multiplies rows
-    (exploding intervals) over few unsplittable files: one row group, quoted
-    newlines, gzip. A scan with enough tasks is returned as it is, unshuffled.
-    Only the plan is looked at, no job runs.
+    For work that costs much per row or multiplies rows over files that cannot
+    be split (one row group, quoted newlines, gzip). The caller knows its files;
+    nothing is decided by their size.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    return scan.repartition(tasks)
 
 
 def shuffle_partitions(df: DataFrame) -> int:

@@ -10,12 +10,13 @@ from pyspark.sql.types import VarcharType
 
 from quayside.operators.store import Store
 from quayside.plans.registry import MARINA, RENTAL, ColumnSpec, TableSpec
-from quayside.sources.csv_tables import by_header
+from quayside.sources.csv_tables import by_header, places
 
 REPLACED, LEFT, EMPTIED, FAILED = "replaced", "left as it was", "emptied", "failed"
 NO_ROWS = "No data rows in CSV file"  # fixed value
 NOT_FOUND = "file not in archive"
-LOAD_RESULT = "table_name string, records bigint, outcome string, message string"
+LOAD_RESULT = ("table_name string, records bigint, bad_rows bigint, columns_not_found string, outcome string, "
+               "message string")
 
 
 class BadRows(ValueError):
@@ -73,20 +74,39 @@ def convert_table(raw: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame
     return good_rows(rows), bad_rows(rows)
 
 
-def stage(store: Store, name: str, rows: DataFrame, *, only_if_filled: bool = False) -> DataFrame:
-    """Replace staging table `name` by `rows`; returns one row (table_name, records, outcome, message).
+def not_found(raw: DataFrame, spec: TableSpec) -> list[str]:
+    """Columns the load should fill, but the file has no header for."""
+    loaded = spec.loaded_columns
+    return [c.name for c, i in zip(loaded, places(raw.columns, [c.header for c in loaded])) if i is None]
+
+
+def stage(store: Store, name: str, rows: DataFrame, *, only_if_filled: bool = False, fail_on_bad: bool = False,
+          columns_not_found: list[str] = ()) -> DataFrame:
+    """Replace staging table `name` by `rows`; returns one row of LOAD_RESULT.
 
     Converted rows are written in one pass, good and bad ones into a partition
-    each. `only_if_filled` leaves the table alone when the snapshot has no row
-    for it. The new version is committed after it is written, so a failing job
-    leaves the last good snapshot in place.
+    each, and counted there; the new version is committed afterwards or not at
+    all. `only_if_filled` leaves the table alone when no row of the snapshot
+    can be loaded; `fail_on_bad` when one cannot.
     """
     if "_bad" not in rows.columns:
         rows = rows.withColumn("_bad", F.lit(False))
-    if only_if_filled and rows.isEmpty():
-        result = (name, 0, LEFT, NO_ROWS)
+    folder, written = store.prepare(name, rows, partition_by=("_bad",))
+    counts = {r["_bad"]: r["count"] for r in written.groupBy("_bad").count().collect()}
+    good, bad = counts.get(False, 0), counts.get(True, 0)
+    missing = ", ".join(columns_not_found) or None
+    if bad and (fail_on_bad or only_if_filled and not good):
+        at_fault = sorted(bad_rows(written).first()["_bad_columns"])
+        store.discard(folder)
+        if fail_on_bad:
+            raise BadRows(f"{name}: unreadable text in {at_fault}")
+        result = (name, 0, bad, missing, LEFT, f"no row could be loaded: unreadable text in {at_fault}")
+    elif only_if_filled and not good:
+        store.discard(folder)
+        result = (name, 0, 0, missing, LEFT, NO_ROWS)
     else:
-        result = (name, store.write(name, rows, partition_by=("_bad",)).filter(~F.col("_bad")).count(), REPLACED, None)
+        store.commit_whole(name, folder, rows.schema.json())
+        result = (name, good, bad, missing, REPLACED, None)
     return store.spark.createDataFrame([result], LOAD_RESULT)
 
 
@@ -107,12 +127,8 @@ def load_table(store: Store, raw: DataFrame, spec: TableSpec, *, on_bad_rows: st
 
     The rental system's tables are only replaced by a snapshot that has rows.
     """
-    rows = convert_rows(raw, spec)
-    if on_bad_rows == "fail":
-        first = bad_rows(rows).first()
-        if first:
-            raise BadRows(f"{spec.name}: unreadable text in {sorted(first[0])}")
-    return stage(store, spec.name, rows, only_if_filled=spec.system == RENTAL)
+    return stage(store, spec.name, convert_rows(raw, spec), only_if_filled=spec.system == RENTAL,
+                 fail_on_bad=on_bad_rows == "fail", columns_not_found=not_found(raw, spec))
 
 
 def clear(store: Store, name: str) -> None:
@@ -138,19 +154,19 @@ def load_all(store: Store, raw: Mapping[str, DataFrame], specs: Mapping[str, Tab
         if name not in raw:
             if at_once:
                 clear(store, name)
-            return (name, 0, EMPTIED if at_once else FAILED, NOT_FOUND)
+            return (name, 0, 0, None, EMPTIED if at_once else FAILED, NOT_FOUND)
         try:
             result = tuple(load_table(store, raw[name], spec, on_bad_rows=on_bad_rows).first())
         except Exception as e:  # one table's failure is its own; see the result
             if at_once:
                 clear(store, name)
-            return (name, 0, FAILED, str(e).splitlines()[0][:100])
+            return (name, 0, None, None, FAILED, str(e))
         try:
-            if after and result[2] == REPLACED:
+            if after and result[4] == REPLACED:
                 after(spec)
             return result
         except Exception as e:
-            return (name, result[1], FAILED, str(e).splitlines()[0][:100])
+            return (*result[:4], FAILED, str(e))
 
     with ThreadPoolExecutor(max_workers=at_a_time) as pool:
         results = list(pool.map(one, specs.items()))

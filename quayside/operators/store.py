@@ -1,73 +1,131 @@
 """Versioned Parquet tables: a write never touches the version being read.
 
-A table is a folder per version plus a small append-only log of committed
-versions and their parts; a version counts once its log row is there. A failed or retried job
-leaves an unlisted folder behind and nothing else.
+A table is a folder per version plus one small file per committed version that
+names its parts; a version counts once its file is there. The file is created
+under the version's number and only if there is none, so of two writers one
+gets the number and the other is told. A failed or retried job leaves an
+unlisted folder behind and nothing else. Finding a version takes a listing and
+no Spark job; `expire` removes what no kept version names.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-_LOG = "version bigint, parts array<string>, layout string, keys_unique boolean"
+from quayside.storage import Files
+
+
+class VersionTaken(RuntimeError):
+    """Another writer has committed this version number."""
+
+
+@dataclass(frozen=True)
+class Version:
+    number: int
+    parts: list[str]
+    layout: str  # JSON of the schema; serves versions without a single row too
+    keys_unique: bool | None
+    highest: int | None  # of the surrogate keys, where there are any
 
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+        self.spark, self.root, self.files = spark, root.rstrip("/"), Files(spark)
 
     def _log(self, name: str) -> str:
         return f"{self.root}/_versions/{name}"
 
-    def _newest(self, name: str):
+    def _entry(self, name: str, number: int) -> str:
+        return f"{self._log(name)}/{number:012d}.json"
+
+    def _numbers(self, name: str) -> list[int]:
+        return [int(n.removesuffix(".json")) for n in self.files.names(self._log(name)) if n.endswith(".json") and n[0] != "."]
+
+    def _read_entry(self, name: str, number: int) -> Version | None:
+        """None for a file whose writer died before it was full."""
         try:
-            log = self.spark.read.schema(_LOG).parquet(self._log(name))
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-        return log.orderBy(F.desc("version")).first()
+            return Version(number, **json.loads(self.files.read(self._entry(name, number))))
+        except ValueError:
+            return None
+
+    def newest(self, name: str) -> Version | None:
+        return next((v for n in reversed(self._numbers(name)) if (v := self._read_entry(name, n))), None)
 
-    def _open(self, parts: list[str], layout: str) -> DataFrame:
-        # the logged schema also serves versions without a single row
-        return self.spark.read.schema(StructType.fromJson(json.loads(layout))).parquet(*parts)
+    def _open(self, version: Version) -> DataFrame:
+        return self.spark.read.schema(StructType.fromJson(json.loads(version.layout))).parquet(*version.parts)
 
     def version(self, name: str) -> int:
         """Number of the newest committed version; 0 when there is none."""
-        row = self._newest(name)
-        return row["version"] if row else 0
+        newest = self.newest(name)
+        return newest.number if newest else 0
 
     def read(self, name: str) -> DataFrame | None:
-        row = self._newest(name)
-        return self._open(row["parts"], row["layout"]) if row else None
+        newest = self.newest(name)
+        return self._open(newest) if newest else None
 
     def keys_unique(self, name: str) -> bool:
         """Is it on record that the newest version repeats no business key?"""
-        row = self._newest(name)
-        return bool(row and row["keys_unique"])
+        newest = self.newest(name)
+        return bool(newest and newest.keys_unique)
 
     def next_folder(self, name: str) -> tuple[int, str]:
         """(number, fresh folder) for the next version."""
-        version = self.version(name) + 1
-        return version, f"{self.root}/{name}/v{version:06d}-{uuid.uuid4().hex[:8]}"
-
-    def commit(self, name: str, version: int, parts: list[str], layout: str, *, keys_unique: bool | None = None) -> DataFrame:
-        """Make the folders `parts` the given version of the table."""
-        entry = self.spark.range(1).select(
-            F.lit(version).cast("bigint").alias("version"), F.array(*map(F.lit, parts)).alias("parts"),
-            F.lit(layout).alias("layout"), F.lit(keys_unique).cast("boolean").alias("keys_unique"))
-        entry.coalesce(1).write.mode("append").parquet(self._log(name))
-        return self._open(parts, layout)
-
-    def write(self, name: str, df: DataFrame, *, partition_by: tuple[str, ...] = (),
-              keys_unique: bool | None = None) -> DataFrame:
-        """Write `df` as the next version, commit it and return it as read back."""
-        version, folder = self.next_folder(name)
+        number = max(self._numbers(name), default=0) + 1
+        return number, f"{self.root}/{name}/v{number:06d}-{uuid.uuid4().hex[:8]}"
+
+    def scratch(self, name: str) -> str:
+        """A fresh folder for intermediate rows, on the same shared storage as the tables."""
+        return f"{self.root}/_scratch/quayside/{name}-{uuid.uuid4().hex}"
+
+    def commit(self, name: str, number: int, parts: list[str], layout: str, *, keys_unique: bool | None = None,
+               highest: int | None = None) -> DataFrame:
+        """Make the folders `parts` the given version of the table; VersionTaken if another writer was first."""
+        entry = {"parts": parts, "layout": layout, "keys_unique": keys_unique, "highest": highest}
+        if not self.files.create(self._entry(name, number), json.dumps(entry)):
+            raise VersionTaken(f"{name}: version {number} was committed by another writer")
+        return self._open(Version(number, **entry))
+
+    def prepare(self, name: str, df: DataFrame, *, partition_by: tuple[str, ...] = ()) -> tuple[str, DataFrame]:
+        """Write `df` into a fresh folder of the table, not yet committed: (folder, the rows read back)."""
+        _, folder = self.next_folder(name)
         writer = df.write.mode("error")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
-        return self.commit(name, version, [folder], df.schema.json(), keys_unique=keys_unique)
+        return folder, self.spark.read.schema(df.schema).parquet(folder)
+
+    def commit_whole(self, name: str, folder: str, layout: str, *, keys_unique: bool | None = None,
+                     highest: int | None = None) -> DataFrame:
+        """Make `folder` the whole table under the next free number: it does not build on what it replaces."""
+        while True:
+            number, _ = self.next_folder(name)
+            try:
+                return self.commit(name, number, [folder], layout, keys_unique=keys_unique, highest=highest)
+            except VersionTaken:
+                continue
+
+    def write(self, name: str, df: DataFrame, *, partition_by: tuple[str, ...] = (), keys_unique: bool | None = None,
+              highest: int | None = None) -> DataFrame:
+        """Write `df` as the next version, commit it and return it as read back."""
+        folder, _ = self.prepare(name, df, partition_by=partition_by)
+        return self.commit_whole(name, folder, df.schema.json(), keys_unique=keys_unique, highest=highest)
+
+    def discard(self, folder: str) -> None:
+        """Remove a folder that no version names."""
+        self.files.delete(folder)
+
+    def expire(self, name: str, keep: int = 2) -> list[int]:
+        """Remove all but the newest `keep` versions and the folders only they name; returns the numbers removed."""
+        known = [(n, self._read_entry(name, n)) for n in self._numbers(name)]
+        kept = [v for _, v in known if v][-max(1, keep):]
+        used = {part for v in kept for part in v.parts}
+        old = [(n, v) for n, v in known if n < kept[0].number] if kept else []
+        for number, version in old:
+            self.files.delete(self._entry(name, number))  # first the claim, then what it claims
+            for part in version.parts if version else []:
+                if part not in used:
+                    self.files.delete(part)
+        return [n for n, _ in old]

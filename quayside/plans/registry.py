@@ -50,25 +50,27 @@ MARINA_FILES = {
 }
 # Tables of system RENTAL, each in data/<table>.csv.
 RENTAL_TABLES = (
-    "customers locations seasons accessories accessory_options accessory_tiers amenities categories holidays bookings "
-    "booking_boats booking_payments booking_accessories style_groups styles style_boats customer_boats season_dates "
-    "style_hourly_prices style_times style_prices club_tiers coupons pos_items pos_sales fuel_sales waitlists "
-    "closed_dates blacklists"
-).split()
+    "customers", "locations", "seasons", "accessories", "accessory_options", "accessory_tiers", "amenities",
+    "categories", "holidays", "bookings", "booking_boats", "booking_payments", "booking_accessories", "style_groups",
+    "styles", "style_boats", "customer_boats", "season_dates", "style_hourly_prices", "style_times", "style_prices",
+    "club_tiers", "coupons", "pos_items", "pos_sales", "fuel_sales", "waitlists", "closed_dates", "blacklists",
+)
 
 # Tables whose merge updates a match only when a compared column differs.
-CHANGE_TESTED = set((
-    "piers slips reservations contacts boats accounts invoices invoice_items transactions account_status "
-    "invoice_item_types seasonal_invoicing_methods transient_invoicing_methods recurring_invoice_options "
-    "due_date_settings equipment_types equipment_fuel_types vessel_engine_class currencies address_types "
-    "installments_payment_methods payments_provider customers bookings booking_boats booking_payments styles "
-    "style_boats style_hourly_prices style_times style_prices pos_items pos_sales"
-).split())
+CHANGE_TESTED = {
+    "piers", "slips", "reservations", "contacts", "boats", "accounts", "invoices", "invoice_items", "transactions",
+    "account_status", "invoice_item_types", "seasonal_invoicing_methods", "transient_invoicing_methods",
+    "recurring_invoice_options", "due_date_settings", "equipment_types", "equipment_fuel_types",
+    "vessel_engine_class", "currencies", "address_types", "installments_payment_methods", "payments_provider",
+    "customers", "bookings", "booking_boats", "booking_payments", "styles", "style_boats", "style_hourly_prices",
+    "style_times", "style_prices", "pos_items", "pos_sales",
+}
 # Tables merged as soon as they are loaded.
-AT_ONCE = set((
-    "piers slips reservations contacts boats invoices invoice_items transactions customers bookings booking_boats "
-    "booking_payments styles style_boats style_hourly_prices style_times style_prices pos_items pos_sales"
-).split())
+AT_ONCE = {
+    "piers", "slips", "reservations", "contacts", "boats", "invoices", "invoice_items", "transactions", "customers",
+    "bookings", "booking_boats", "booking_payments", "styles", "style_boats", "style_hourly_prices", "style_times",
+    "style_prices", "pos_items", "pos_sales",
+}
 # Business keys other than id; the last two are the documented composite keys.
 KEYS = {
     "customers": ("user_id",), "style_prices": ("time_id",), "holidays": ("location_id", "holiday_date"),
@@ -76,7 +78,7 @@ KEYS = {
 }
 # Converter family of a MARINA table; all others are "plain".
 FAMILY = {
-    "slips": "typed", "contacts": "person", "invoices": "defaulted", "invoice_items": "defaulted",
+    "slips": "typed", "seasonal_prices": "typed", "contacts": "person", "invoices": "defaulted", "invoice_items": "defaulted",
     "item_masters": "catalog", "transient_prices": "prices", "marina_locations": "worded", "transactions": "transaction",
 }
 # Defaults of required names.
@@ -95,14 +97,55 @@ STAMPED_DATES = {
     ("boats", "registration_expiration"), ("equipment", "creation_date"), ("invoice_items", "created_date"),
     ("reservations", "original_end_date"),
 }
-# Headers that are not the column name in another notation.
+# Headers that are not the column name in another notation, by table.
 HEADER_NAMES = {
-    "recommended_loa": "RecomendedLOA", "recommended_beam": "RecomendedBeam", "recommended_draft": "RecomendedDraft",
-    "recommended_air_draft": "RecomendedAirDraft", "dollar_discount": "DolarDiscount", "type_field": "Type",
-    "value_field": "Value", "date_field": "Date", "status_field": "Status", "first_name": "firstname",
-    "last_name": "lastname", "middle_name": "middlename", "emergency_name": "emergencyname", "date_of_birth": "dob",
-    "num_kids": "numkids", "dl_state": "dlstate", "dl_country": "dlcountry", "dl_number": "dlnumber",
-    "boat_damage_responsibility_coverage": "bdrc", "status_booking": "status",
+    "slips": {"recommended_loa": "RecomendedLOA", "recommended_beam": "RecomendedBeam", "recommended_draft": "RecomendedDraft",
+              "recommended_air_draft": "RecomendedAirDraft"},
+    "invoices": {"date_field": "Date", "dollar_discount": "DolarDiscount", "installments_payment_method_id": "InstalmentsPaymentMethodId"},
+    "invoice_items": {"type_field": "Type", "value_field": "Value", "date_field": "Date", "status_field": "Status"},
+    "transactions": {"value_field": "Value"},
+    "customers": {"date_of_birth": "dob", "boat_damage_responsibility_coverage": "bdrc"},
+    "seasons": {"status_season": "status"},
+    "accessories": {"position_order": "position", "image_url": "image"},
+    "accessory_options": {"value_text": "value"},
+    "amenities": {"amenity_type": "type", "options_text": "options", "prefix_text": "prefix", "suffix_text": "suffix",
+                  "description_text": "description"},
+    "categories": {"description_text": "description"},
+    "bookings": {"insurance_amount": "insurance"},
+    "booking_boats": {"status_booking": "status", "additional_drivers": "addl_drivers", "additional_driver_names": "addl_driver_names",
+                      "date_of_birth": "dob"},
+    "booking_payments": {"status_payment": "status"},
+    "styles": {"position_order": "position", "image_url": "image", "length_feet": "length", "width_feet": "width", "draft_feet": "draft",
+               "description_text": "description", "summary_text": "summary"},
+    "style_boats": {"serial_number": "serial", "boat_type": "type", "position_order": "position", "status_boat": "status"},
+    "customer_boats": {"length_feet": "length", "width_feet": "width"},
+    "style_times": {"description_text": "description"},
+    "club_tiers": {"boat_damage_responsibility_deduction": "bdrd", "description_text": "description", "terms_text": "terms",
+                   "status_tier": "status"},
+    "coupons": {"status_coupon": "status"},
+    "waitlists": {"departure_date": "departure", "length_requested": "length"},
+}
+# Columns the load fills, whatever more the staging table and the file hold; other tables fill all.
+LOADED = {
+    "marina_locations": (
+        "id", "name", "primary_phone_number", "primary_fax_number", "organization_id", "marina_hash", "unit_system",
+        "default_arrival_time", "default_departure_time", "email_address", "marina_website", "time_zone"),
+    "reservations": (
+        "id", "marina_location_id", "creation_time", "reservation_status_id", "reservation_type_id", "contact_id", "boat_id",
+        "scheduled_arrival_time", "scheduled_departure_time", "cancellation_time", "account_id", "slip_id", "rate", "name", "hash_id",
+        "reservation_source"),
+}
+# Columns of other tables that the load leaves NULL.
+NOT_LOADED = {
+    "slips": ("max_revenue", "transient_price_id", "seasonal_price_id"),
+    "invoices": ("hash_check",),
+    "seasonal_prices": (
+        "sv_inventory_category_id", "sv_inventory_sub_category_id", "deletion_datetime", "deletion_aspnet_user_id", "record_status_id",
+        "deferred_revenue_recognition", "deferred_recognition_gl_code", "tracking_code", "xero_recognition_account_id",
+        "revenue_xero_account_id", "allow_posting_to_non_income_accounts"),
+    "cities": ("state", "country"),
+    "countries": ("code",),
+    "blacklists": ("updated_at",),
 }
 
 CODE_TABLE = "id bigint, name varchar(1000) not null"
@@ -162,7 +205,8 @@ FAMILIES: dict[str, dict[str, tuple[Converter, bool]]] = {
     "defaulted": _DEFAULTED,
     "person": {**_DEFAULTED, "stamp": (cv.person_stamp, False), "day": (cv.person_day, False)},
     "catalog": {**_DEFAULTED, "stamp": (cv.iso_stamp, False)},
-    "prices": {**_DEFAULTED, "stamp": (partial(cv.iso_stamp, words=("", "NULL")), False)},
+    "prices": {"whole": (cv.whole, False), "number": (cv.number_or_zero, False), "flag": (cv.flag, False),
+               "stamp": (partial(cv.iso_stamp, words=("", "NULL")), False), "day": (cv.day, False), "text": (cv.text, False)},
     "transaction": {"whole": (cv.tx_whole, False), "number": (cv.tx_number, False), "flag": (cv.tx_flag, False),
                     "stamp": (cv.trimmed_stamp, False), "day": (cv.day, False), "text": (cv.text, False)},
     "rental": {"whole": (cv.whole, False), "number": (cv.number, False), "flag": (cv.whole, False),
@@ -191,7 +235,7 @@ class TableSpec:
     change_test: bool
     at_once: bool
     schema: StructType | None = None
-    loaded: tuple[str, ...] | None = None  # columns the load fills; None: all of the schema
+    loaded: tuple[str, ...] | None = None  # columns the load fills; None: by LOADED and NOT_LOADED
 
     def with_schema(self, schema: StructType | str, loaded: tuple[str, ...] | None = None) -> "TableSpec":
         return replace(self, schema=_parsed(schema), loaded=loaded)
@@ -204,7 +248,10 @@ class TableSpec:
 
     @property
     def loaded_columns(self) -> list[ColumnSpec]:
-        return [c for c in self.columns if self.loaded is None or c.name in self.loaded]
+        filled = self.loaded if self.loaded is not None else LOADED.get(self.name)
+        if filled is not None:
+            return [c for c in self.columns if c.name in filled]
+        return [c for c in self.columns if c.name not in NOT_LOADED.get(self.name, ())]
 
     def for_warehouse(self, staged: DataFrame) -> DataFrame:
         """Staged rows in the types of the warehouse table."""
@@ -243,7 +290,7 @@ def _column(spec: TableSpec, name: str, dtype: DataType) -> ColumnSpec:
         convert, strict = partial(cv.rental_stamp, minutes=True), False
     elif kind == "text" and length and not strict:
         convert = partial(convert, length=length)
-    return ColumnSpec(name, HEADER_NAMES.get(name, name), dtype, convert, strict, length)
+    return ColumnSpec(name, HEADER_NAMES.get(spec.name, {}).get(name, name), dtype, convert, strict, length)
 
 
 def _spec(system: str, source: str, name: str) -> TableSpec:

@@ -10,8 +10,7 @@ from quayside.operators.merge import merge_table, run_all
 from quayside.operators.staging import load_all, staged
 from quayside.operators.store import Store
 from quayside.plans.registry import MARINA, TableSpec
-from quayside.session import new_folder
-from quayside.sources.archives import land, latest_archive, list_archives, one_table, tar_records, zip_records
+from quayside.sources.archives import found_members, land, latest_archive, list_archives, one_table, tar_records, zip_records
 
 ARCHIVE_SUFFIX = {"marina": (".zip", True), "rental": ("-DATA.sql.gz", False)}  # fixed values: suffix, any case
 
@@ -27,7 +26,7 @@ class Warehouse:
     def unpack(self, folder: str, system: str, specs: dict[str, TableSpec]) -> dict[str, DataFrame]:
         """Raw text tables of the newest archive of a system; empty when there is no archive.
 
-        The archive is unpacked once into the shared folder, split by table.
+        The archive is unpacked once below the staging root, split by table.
         """
         suffix, any_case = ARCHIVE_SUFFIX[system]
         newest = latest_archive(list_archives(self.spark, folder), suffix, ignore_case=any_case)
@@ -35,9 +34,9 @@ class Warehouse:
             return {}
         headers = {s.source: [c.header for c in s.loaded_columns] for s in specs.values()}
         unpacked = zip_records(newest, headers) if system == MARINA else tar_records(newest, headers)
-        records = land(unpacked, new_folder(self.spark, f"landing-{system}"))
-        found = {r["table_name"] for r in records.select("table_name").distinct().collect()}  # at most one per listed table
-        return {name: one_table(records, s.source, headers[s.source]) for name, s in specs.items() if s.source in found}
+        records = land(unpacked, self.staging.scratch(f"landing-{system}"))
+        found = {r["table_name"]: r["fields"] for r in found_members(records).collect()}  # one per listed table
+        return {name: one_table(records, s.source, headers[s.source], found[s.source]) for name, s in specs.items() if s.source in found}
 
     def load(self, raw: dict[str, DataFrame], specs: dict[str, TableSpec], run_ts: datetime, *,
              on_bad_rows: str = "set aside", merge_at_once: bool = True) -> DataFrame:

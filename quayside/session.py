@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import uuid
@@ -48,7 +49,7 @@ def build(app: str = "quayside", cores: str = "*", shuffle_partitions: int = 8,
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the one named in spark.checkpoint.dir.
 
-    Only a session without that setting (a local test) gets a folder of its own.
+    Only a session on a local master may leave it out and gets a folder of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -56,6 +57,8 @@ def shared_root(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not re.match(r"local(\[[^,]*\])?$", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = tempfile.mkdtemp(prefix="quayside-")
     spark.sparkContext.setCheckpointDir(own)
     return own

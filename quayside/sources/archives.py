@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quayside.operators.spread import shuffle_partitions
 from quayside.session import sent_with_jobs
-from quayside.sources.csv_tables import header_key
+from quayside.sources.csv_tables import places
 from quayside.sources.files import open_seekable
 
 sent_with_jobs(__name__)
 
 _BATCH = 4096
+HEADER = -1  # record_no of a member's header
 RECORD = "path string, member string, table_name string, record_no bigint, fields array<string>"
 MEMBER = "path string, member string, table_name string, size bigint"
 
@@ -43,21 +44,20 @@ def _base(member: str) -> str:
 
 
 def _records(stream, headers: list[str], on_bad_utf8: str) -> Iterator[list]:
-    """Fields of each CSV record in the order of `headers`; absent columns are None."""
+    """The file's own header, then the fields of each record in the order of `headers`; absent columns are None."""
     text = io.TextIOWrapper(stream, encoding="utf-8", errors="ignore" if on_bad_utf8 == "drop" else "strict", newline="")
     csv.field_size_limit(2**31 - 1)
     reader = csv.reader(text)
     names = next(reader, [])
-    # a repeated header: its last column wins
-    at = {header_key(n): i for i, n in enumerate(names)}
-    places = [at.get(header_key(h)) for h in headers]
+    yield names
+    at = places(names, headers)
     for row in reader:
         if row:  # blank lines are no records
-            yield [row[p] if p is not None and p < len(row) else None for p in places]
+            yield [row[p] if p is not None and p < len(row) else None for p in at]
 
 
 def _batches(path, member, table, records) -> Iterator[pd.DataFrame]:
-    held, start = [], 0
+    held, start = [], HEADER  # the header comes first
     for fields in records:
         held.append(fields)
         if len(held) == _BATCH:
@@ -113,7 +113,8 @@ def zip_records(archives: DataFrame, columns: dict[str, list[str]], *, on_bad_ut
     """CSV records of the listed members: {table: [header, ...]} fixes which fields come, in which order.
 
     Members are dealt out to tasks one by one; a task seeks to its member and
-    streams it, so neither an archive nor a member is ever held whole.
+    streams it, so neither an archive nor a member is ever held whole. Each
+    member's own header comes along as record HEADER, also of one without rows.
     """
 
     def unpacked(frames):
@@ -149,16 +150,30 @@ def tar_records(archives: DataFrame, columns: dict[str, list[str]], *, folder: s
     return archives.select("path").repartition(shuffle_partitions(archives)).mapInPandas(unpacked, RECORD)
 
 
+def rows_of(records: DataFrame) -> DataFrame:
+    """Without the headers."""
+    return records.filter(F.col("record_no") > HEADER)
+
+
+def found_members(records: DataFrame) -> DataFrame:
+    """Members that came out of the archives, with their own headers (`fields`), rows or none."""
+    return records.filter(F.col("record_no") == HEADER).select("path", "member", "table_name", "fields")
+
+
 def missing_tables(records: DataFrame, expected: list[str]) -> DataFrame:
-    """Expected tables of which no record came."""
+    """Expected tables without a member."""
     names = records.sparkSession.createDataFrame([(t,) for t in expected], "table_name string")
-    return names.join(records.select("table_name").distinct(), "table_name", "left_anti")
+    return names.join(found_members(records).select("table_name").distinct(), "table_name", "left_anti")
+
 
+def one_table(records: DataFrame, table: str, headers: list[str], present: list[str] | None = None) -> DataFrame:
+    """Records of one table as text columns named by their headers; empty is NULL.
 
-def one_table(records: DataFrame, table: str, headers: list[str]) -> DataFrame:
-    """Records of one table as text columns named by their headers; empty is NULL."""
-    fields = [F.nullif(F.col("fields")[i], F.lit("")).alias(h) for i, h in enumerate(headers)]
-    return records.filter(F.col("table_name") == table).select(*fields)
+    With the file's own header as `present`, columns it does not have are left out.
+    """
+    at = places(present, headers) if present is not None else [0] * len(headers)
+    fields = [F.nullif(F.col("fields")[i], F.lit("")).alias(h) for i, h in enumerate(headers) if at[i] is not None]
+    return rows_of(records).filter(F.col("table_name") == table).select(*fields)
 
 
 def land(records: DataFrame, folder: str, *, records_per_file: int = 2_000_000) -> DataFrame:

@@ -16,6 +16,12 @@ def header_key(name: str) -> str:
     return re.sub(r"[^a-z0-9]", "", name.lower())
 
 
+def places(names: list[str], wanted: list[str]) -> list[int | None]:
+    """Where each wanted header stands among `names`: the very name if it is there, else the last one alike."""
+    exact, alike = {n: i for i, n in enumerate(names)}, {header_key(n): i for i, n in enumerate(names)}
+    return [exact.get(w, alike.get(header_key(w))) for w in wanted]
+
+
 def read_csv(spark: SparkSession, path: str, *, embedded_newlines: bool = True) -> DataFrame:
     """All columns as text: quoted fields, doubled quotes, newlines in quotes; empty is NULL.
 
@@ -30,8 +36,6 @@ def read_csv(spark: SparkSession, path: str, *, embedded_newlines: bool = True)
 
 def by_header(raw: DataFrame, wanted: dict[str, str]) -> DataFrame:
     """Columns of `raw` picked by header name ({output: header}); missing ones NULL, others ignored."""
-    present = {header_key(c): c for c in reversed(raw.columns)}
+    at = places(raw.columns, list(wanted.values()))
     return raw.select(*[
-        (F.col(f"`{present[header_key(h)]}`") if header_key(h) in present else F.lit(None).cast("string")).alias(out)
-        for out, h in wanted.items()
-    ])
+        (F.lit(None).cast("string") if i is None else F.col(f"`{raw.columns[i]}`")).alias(out) for out, i in zip(wanted, at)])

@@ -149,3 +149,22 @@ def test_numbering_is_dense_and_ordered(spark):
     assert [r["no"] for r in got] == list(range(101, n + 101))
     order = [(r["k"] is None, r["k"] or 0, r["v"]) for r in got]
     assert order == sorted(order)
+
+
+def test_two_writers_keep_both_commits(spark, tmp_path):
+    from quayside.operators.store import Store, VersionTaken
+
+    store = Store(spark, str(tmp_path / "t"))
+    one, two = spark.range(3).toDF("n"), spark.range(5).toDF("n")
+    (number, folder), (same, other) = store.next_folder("t"), store.next_folder("t")
+    one.write.parquet(folder)
+    two.write.parquet(other)
+    store.commit("t", number, [folder], one.schema.json())
+    with pytest.raises(VersionTaken):
+        store.commit("t", same, [other], two.schema.json())
+    store.commit_whole("t", other, two.schema.json())  # a replacing writer takes the next number
+    assert store.version("t") == 2 and store.read("t").count() == 5
+    (tmp_path / "t/_versions/t/000000000003.json").write_text("")  # its writer died
+    assert store.version("t") == 2 and store.write("t", one).count() == 3 and store.version("t") == 4
+    assert store.expire("t", keep=1) == [1, 2, 3] and store.read("t").count() == 3
+    assert len(store.files.names(f"{store.root}/t")) == 1

@@ -9,8 +9,8 @@ from quayside.sources import files
 class _Session:
     """Just the settings `shared_root` looks at."""
 
-    def __init__(self, named=None, current=None):
-        self.named, self.current, self.sparkContext = named, current, self
+    def __init__(self, named=None, current=None, master="local[2]"):
+        self.master, self.named, self.current, self.sparkContext = master, named, current, self
         self.conf = self
 
     def get(self, key, default):
@@ -29,6 +29,9 @@ def test_shared_root():
     assert session.shared_root(_Session(None, "/mnt/shared")) == "/mnt/shared"
     own = _Session()
     assert session.shared_root(own) == own.current == session.shared_root(own)
+    for master in ("spark://host:7077", "local-cluster[3,2,1024]", "yarn"):  # no folder of one machine there
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.shared_root(_Session(master=master))
 
 
 def test_new_folders_differ(spark):

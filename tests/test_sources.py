@@ -55,7 +55,7 @@ def test_zip_members(spark, drop):
     newest = ar.latest_archive(ar.list_archives(spark, str(drop)), ".zip", ignore_case=True)
     headers = {"Piers": ["Id", "Name", "marina_location_id", "gone"], "Cities": ["Name"], "SlipTypes": ["Id"]}
     records = ar.zip_records(newest, headers).cache()
-    got = sorted((r["table_name"], r["record_no"], r["fields"]) for r in records.collect())
+    got = sorted((r["table_name"], r["record_no"], r["fields"]) for r in ar.rows_of(records).collect())
     assert got == [
         ("Cities", 0, ["X"]),
         ("Piers", 0, ["1", 'A, "one"\nline', "5", None]),
@@ -71,7 +71,7 @@ def test_zip_members(spark, drop):
 def test_undecodable_bytes(spark, tmp_path):
     _zip(tmp_path / "a.zip", [("Piers.csv", b"Id,Name\n1,caf\xe9\n")], 1000)
     one = ar.list_archives(spark, str(tmp_path))
-    assert ar.zip_records(one, {"Piers": ["Name"]}, on_bad_utf8="drop").first()["fields"] == ["caf"]
+    assert ar.rows_of(ar.zip_records(one, {"Piers": ["Name"]}, on_bad_utf8="drop")).first()["fields"] == ["caf"]
     with pytest.raises(Exception, match="utf-8"):
         ar.zip_records(one, {"Piers": ["Name"]}).collect()
 
@@ -82,7 +82,7 @@ def test_tar_members(spark, tmp_path):
         "other/styles.csv": b"id\n1\n"})
     headers = {"holidays": ["location_id", "holiday_date"], "coupons": ["id"], "styles": ["id"]}
     records = ar.tar_records(ar.list_archives(spark, str(tmp_path)), headers)
-    assert sorted(r["fields"] for r in records.collect()) == [["5", "2024-01-01"], ["5", "2024-12-25"]]
+    assert sorted(r["fields"] for r in ar.rows_of(records).collect()) == [["5", "2024-01-01"], ["5", "2024-12-25"]]
 
 
 def test_csv_by_header(spark, tmp_path):
@@ -191,7 +191,11 @@ def test_archive_to_warehouse(spark, tmp_path):
         wh.load(wh.unpack(str(drop), "rental", rental), rental, t1))
     assert {r["table_name"]: (r["records"], r["outcome"]) for r in loaded.collect()} == {
         "piers": (3, "replaced"), "slip_types": (1, "replaced"), "reservations": (1, "replaced"),
-        "holidays": (2, "replaced"), "style_boats": (1, "replaced"), "coupons": (0, "failed")}
+        "holidays": (2, "replaced"), "style_boats": (1, "replaced"), "coupons": (0, "left as it was")}
+    messages = {r["table_name"]: r["message"] for r in loaded.collect()}
+    assert messages["coupons"] == "No data rows in CSV file"  # its member holds a header only
+    report = {r["table_name"]: (r["bad_rows"], r["columns_not_found"]) for r in loaded.collect()}
+    assert report["reservations"][0] == 1 and "boat_id" in report["reservations"][1] and report["holidays"] == (0, None)
     assert sg.set_aside(wh.staging, "reservations").first()["_bad_columns"] == ["slip_id"]
     wh.merge_all({**marina, **rental}, t1, skip_at_once=True)
     r = wh.tables.read("reservations").first()

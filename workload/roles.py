@@ -174,6 +174,9 @@ def _roles(d) -> dict[str, tuple[str, dict[str, str]]]:
     }
 
 
+FACT_TASKS = 8  # the supplied fact tables are one row group each
+
+
 @lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A supplied table; kept, so that its file's footer is read once per session."""
@@ -182,7 +185,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def facts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A large supplied table for row-heavy work; each comes as one row group, which one task would read."""
-    return spread(table(spark, sf_dir, name))
+    return spread(table(spark, sf_dir, name), FACT_TASKS)
 
 
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators import staging as sg
 from quayside.operators.store import Store
-from quayside.plans.registry import MARINA_FILES, RENTAL_TABLES, all_tables, columns_from_header
+from quayside.plans.registry import all_tables, columns_from_header
 from quayside.session import new_folder
 from quayside.sources import archives as ar
 from quayside.sources.csv_tables import by_header, read_csv
@@ -37,10 +37,14 @@ def _lines(spark, sf, folder):
     return docs.unionByName(customers).unionByName(unlisted)
 
 
-def _written(spark, sf, kind, junk=b""):
+def _written(spark, sf, kind, junk=b"", header_only=None):
     folder = new_folder(spark, f"archives-{kind}")
     member_folder = "export" if kind == "zip" else "data"
-    write_archives(_lines(spark, sf, member_folder), folder, kind, junk=junk).collect()  # one path per archive
+    lines = _lines(spark, sf, member_folder)
+    if header_only:  # a blank line is no record
+        lines = lines.unionByName(lines.limit(1).select(
+            F.lit(f"{member_folder}/{header_only}.csv").alias("member"), F.lit("id").alias("header"), F.lit("").alias("line")))
+    write_archives(lines, folder, kind, junk=junk).write.format("noop").mode("overwrite").save()
     return ar.list_archives(spark, folder)
 
 
@@ -68,13 +72,14 @@ def zip_landed(spark, sf):
 
 
 def member_counts(spark, sf):
-    records = ar.zip_records(_written(spark, sf, "zip"), _WANTED)
+    records = ar.rows_of(ar.zip_records(_written(spark, sf, "zip"), _WANTED))
     return records.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_records"))
 
 
 def missing_members(spark, sf):
-    records = ar.tar_records(_written(spark, sf, "tar"), _WANTED)
-    return ar.missing_tables(records, ["documents", "customer", "coupons", "holidays"])
+    """A member with nothing but its header is found; only tables without a member are missing."""
+    wanted = {**_WANTED, "coupons": ["id"], "holidays": ["id"]}
+    return ar.missing_tables(ar.tar_records(_written(spark, sf, "tar", header_only="coupons"), wanted), list(wanted))
 
 
 def undecodable(spark, sf):
@@ -230,6 +235,76 @@ def replaced(spark, sf):
     return sg.staged(store, "orders")
 
 
+def _no_faults():
+    return F.lit(0).cast("bigint").alias("bad_rows"), F.lit(None).cast("string").alias("columns_not_found")
+
+
+def load_report(spark, sf):
+    """Bad rows and columns without a header, table by table; a rental snapshot of bad rows only leaves the last one standing."""
+    store = Store(spark, new_folder(spark, "staging"))
+    specs = {n: all_tables()[n] for n in ("bookings", "style_boats", "slips")}
+    orders = table(spark, sf, "orders")
+    day = "case when o_orderpriority = '1-URGENT' then 'soon' else date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') end as created_at"
+    raw = {
+        "bookings": orders.selectExpr("cast(o_orderkey as string) as id", "'1.5' as boats_total", day),
+        "style_boats": table(spark, sf, "customer").selectExpr("cast(c_custkey as string) as id"),
+        "slips": table(spark, sf, "supplier").selectExpr("cast(s_suppkey as string) as Id", "s_name as Name", "'2' as MarinaLocationId"),
+    }
+    first = sg.load_all(store, raw, specs)
+    worse = {"bookings": orders.selectExpr("cast(o_orderkey as string) as id", "'soon' as created_at")}
+    second = sg.load_all(store, worse, {"bookings": specs["bookings"]})
+    standing = sg.staged(store, "bookings").agg(F.count(F.lit(1)).alias("records")).select(
+        F.lit("bookings").alias("table_name"), "records", *_no_faults(), F.lit("standing").alias("outcome"), F.lit(None).cast("string").alias("message"))
+    return first.unionByName(second).unionByName(standing)
+
+
+def expired(spark, sf):
+    """Of five versions the last two stay, and so do the folders they name."""
+    store = Store(spark, new_folder(spark, "versions"))
+    for i in range(5):
+        store.write("orders", table(spark, sf, "orders").filter(F.col("o_orderkey") % 5 == i).select("o_orderkey"))
+    gone = store.expire("orders", keep=2)
+    return store.read("orders").select("o_orderkey", F.lit(len(gone)).cast("bigint").alias("expired"), F.lit(
+        len(store.files.names(f"{store.root}/orders"))).cast("bigint").alias("folders"))
+
+
+def of_registry(name, columns):
+    """A registry table loaded from text under the file's own headers: {header: (SQL, column, type)}."""
+    def query(spark, sf):
+        raw = table(spark, sf, "customer").selectExpr(*[f"{e} as `{h}`" for h, (e, _, _) in columns.items()])
+        spec = all_tables()[name].with_schema(", ".join(f"{c} {t}" for _, c, t in columns.values()))
+        return plain(sg.convert_table(raw, spec)[0])
+
+    return query
+
+
+_NO, _TEXT, _SUM = "cast(c_custkey as string)", "c_name", "cast(c_acctbal as string)"
+_PRICE = "case when c_custkey % 3 = 0 then '' when c_custkey % 3 = 1 then 'n/a' else '2.50' end"
+_MAYBE = "case when c_custkey % 3 = 0 then '' else cast(c_nationkey as string) end"
+_FLAG = "case c_custkey % 5 when 0 then '' when 1 then 'T' when 2 then 'F' when 3 then '1' else 'False' end"
+# by table: header in the file -> its text here, the staging column it fills, that column's type
+REGISTRY_TEXT = {
+    "contacts": {"Id": (_NO, "id", "bigint"), "DateOfBirth": ("'02/03/1980'", "date_of_birth", "date")},
+    "styles": {
+        "id": (_NO, "id", "bigint"), "position": (_NO, "position_order", "bigint"), "image": (_TEXT, "image_url", "varchar(500)"),
+        "length": (_SUM, "length_feet", "decimal(12,2)"), "width": (_SUM, "width_feet", "decimal(12,2)"),
+        "draft": (_SUM, "draft_feet", "decimal(12,2)"), "description": (_TEXT, "description_text", "string"),
+        "summary": (_TEXT, "summary_text", "string")},
+    "club_tiers": {
+        "id": (_NO, "id", "bigint"), "bdrd": (_SUM, "boat_damage_responsibility_deduction", "decimal(12,2)"),
+        "description": (_TEXT, "description_text", "string"), "terms": (_TEXT, "terms_text", "string"), "status": (_TEXT, "status_tier", "varchar(50)")},
+    "style_boats": {
+        "id": (_NO, "id", "bigint"), "serial": (_TEXT, "serial_number", "varchar(191)"), "type": (_TEXT, "boat_type", "varchar(191)"),
+        "position": (_NO, "position_order", "bigint"), "status": (_TEXT, "status_boat", "varchar(50)")},
+    "seasonal_prices": {
+        "Id": (_NO, "id", "bigint"), "SeasonName": (_TEXT, "season_name", "varchar(255)"), "PricePerFoot": (_PRICE, "price_per_foot", "decimal(9,2)")},
+    "transient_prices": {
+        "Id": (_NO, "id", "bigint"), "PricePerFoot": (_PRICE, "price_per_foot", "decimal(9,2)"), "MarinaLocationId": (_MAYBE, "marina_location_id", "bigint"),
+        "IsActive": (_FLAG, "is_active", "int")},
+    "invoices": {"Id": (_NO, "id", "bigint"), "InstalmentsPaymentMethodId": ("'3'", "installments_payment_method_id", "bigint")},
+}
+
+
 def replaced_all(spark, sf):
     """All marina staging is replaced at once: a table the second snapshot lacks ends up empty."""
     store = Store(spark, new_folder(spark, "staging"))
@@ -241,7 +316,7 @@ def replaced_all(spark, sf):
     for name in ("piers", "boat_types"):
         standing = sg.staged(store, name).agg(F.count(F.lit(1)).alias("records"))
         second = second.unionByName(standing.select(
-            F.lit(name).alias("table_name"), "records", F.lit("standing").alias("outcome"), F.lit(None).cast("string").alias("message")))
+            F.lit(name).alias("table_name"), "records", *_no_faults(), F.lit("standing").alias("outcome"), F.lit(None).cast("string").alias("message")))
     return second
 
 
@@ -258,7 +333,7 @@ def only_if_filled(spark, sf):
     first = sg.stage(store, "customer", customer, only_if_filled=True)
     empty = sg.stage(store, "customer", customer.filter("c_custkey < 0"), only_if_filled=True)
     kept = sg.staged(store, "customer").agg(F.count(F.lit(1)).alias("records")).select(
-        F.lit("customer").alias("table_name"), "records", F.lit("standing").alias("outcome"), F.lit(None).cast("string").alias("message"))
+        F.lit("customer").alias("table_name"), "records", *_no_faults(), F.lit("standing").alias("outcome"), F.lit(None).cast("string").alias("message"))
     return first.unionByName(empty).unionByName(kept)
 
 
@@ -298,6 +373,8 @@ QUERIES = {
     "cv_table_slips": slips, "cv_table_booking_boats": booking_boats, "cv_table_all": all_converted,
     "src_skipped_members": skipped, "snk_replace_all": replaced_all, "snk_replace": replaced, "snk_replace_if_filled": only_if_filled, "snk_unlisted_columns": unlisted_columns,
     "snk_strict_dates": strict_dates, "snk_partial_failure": partial_failure, "snk_versioned_write": versioned,
+    "snk_load_report": load_report, "snk_expire": expired,
+    **{f"cv_table_{name}": of_registry(name, columns) for name, columns in REGISTRY_TEXT.items()},
 }
 
 _docs = "select doc_id, nullif(text, '') as text, lang, source, cast(null as varchar) as no_such_column from documents"
@@ -311,10 +388,26 @@ from ({_raw}) r where not ({_is_bad})"""
 _boats_raw = "select " + ", ".join(f'{e} as "{c}"' for c, e in _rental_text(True).items()) + " from events"
 
 
+# The names of the 79 tables.
+_ALL_TABLES = (
+    "marina_locations", "piers", "slip_types", "slips", "reservations", "companies", "contacts", "boats", "accounts", "invoices",
+    "invoice_items", "transactions", "item_masters", "seasonal_prices", "transient_prices", "record_status", "boat_types",
+    "power_needs", "reservation_status", "reservation_types", "contact_types", "invoice_status", "invoice_types",
+    "transaction_types", "transaction_methods", "insurance", "equipment", "account_status", "contact_auto_charge",
+    "statements_preference", "invoice_item_types", "payment_methods", "seasonal_charge_methods", "seasonal_invoicing_methods",
+    "transient_charge_methods", "transient_invoicing_methods", "recurring_invoice_options", "due_date_settings",
+    "item_charge_methods", "insurance_status", "equipment_types", "equipment_fuel_types", "vessel_engine_class", "cities",
+    "countries", "currencies", "phone_types", "address_types", "installments_payment_methods", "payments_provider",
+    "customers", "locations", "seasons", "accessories", "accessory_options", "accessory_tiers", "amenities", "categories",
+    "holidays", "bookings", "booking_boats", "booking_payments", "booking_accessories", "style_groups", "styles", "style_boats",
+    "customer_boats", "season_dates", "style_hourly_prices", "style_times", "style_prices", "club_tiers", "coupons", "pos_items",
+    "pos_sales", "fuel_sales", "waitlists", "closed_dates", "blacklists",
+)
+
+
 def _all_sql() -> str:
     return " union all ".join(
-        f"select '{n}' as table_name, count(*) as n_rows, cast(sum(c_custkey) as bigint) as key_sum from customer"
-        for n in [*MARINA_FILES.values(), *RENTAL_TABLES])
+        f"select '{n}' as table_name, count(*) as n_rows, cast(sum(c_custkey) as bigint) as key_sum from customer" for n in _ALL_TABLES)
 
 
 ORACLE = {
@@ -328,7 +421,9 @@ union all select * from (select 'tar', path, length from l where path like '%-DA
     "src_undecodable_dropped": _docs,
     "src_zip_landed": "select c_custkey, c_name, c_acctbal from customer",
     "src_member_counts": "select 'documents' as table_name, count(*) as n_records from documents union all select 'customer', count(*) from customer",
-    "src_missing_members": "select 'coupons' as table_name union all select 'holidays'",
+    "src_missing_members": """
+select t as table_name from (select unnest(['documents', 'customer', 'holidays']) as t)
+where t not in (select 'documents' from documents union all select 'customer' from customer)""",
     "src_csv_by_header": "select doc_id, nullif(text, '') as text, cast(null as varchar) as missing from documents",
     "src_sql_dump": """
 select o_orderkey as id, 'O''Neil (no. ' || cast(o_custkey as varchar) || '), back\\slash' as note,
@@ -356,15 +451,15 @@ select cast(id as bigint) as id, cast(booking_id as bigint) as booking_id,
     "snk_replace": "select o_orderkey + 1 as o_orderkey, o_orderstatus as state from orders",
     "src_skipped_members": "select 'part' as table_name from part limit 1",
     "snk_replace_all": """
-select 'piers' as table_name, count(*) as records, 'replaced' as outcome, null as message from supplier
-union all select 'boat_types', 0, 'emptied', 'file not in archive'
-union all select 'reservation_types', 0, 'emptied', 'file not in archive'
-union all select 'piers', count(*), 'standing', null from supplier
-union all select 'boat_types', 0, 'standing', null""",
+select 'piers' as table_name, count(*) as records, 0 as bad_rows, 'marina_location_id' as columns_not_found, 'replaced' as outcome, null as message from supplier
+union all select 'boat_types', 0, 0, null, 'emptied', 'file not in archive'
+union all select 'reservation_types', 0, 0, null, 'emptied', 'file not in archive'
+union all select 'piers', count(*), 0, null, 'standing', null from supplier
+union all select 'boat_types', 0, 0, null, 'standing', null""",
     "snk_replace_if_filled": """
-select 'customer' as table_name, count(*) as records, 'replaced' as outcome, null as message from customer
-union all select 'customer', 0, 'left as it was', 'No data rows in CSV file'
-union all select 'customer', count(*), 'standing', null from customer""",
+select 'customer' as table_name, count(*) as records, 0 as bad_rows, null as columns_not_found, 'replaced' as outcome, null as message from customer
+union all select 'customer', 0, 0, null, 'left as it was', 'No data rows in CSV file'
+union all select 'customer', count(*), 0, null, 'standing', null from customer""",
     "snk_unlisted_columns": f"""select id, name, null as marina_location_id, null as reservation_status_id, null as reservation_type_id, null as boat_id,
   slip_id, null as scheduled_arrival_time, null as scheduled_departure_time, null as rate
 from ({_typed.replace(f'where not ({_is_bad})', '').replace('cast("ReservationStatusId" as bigint)', 'null')}) t""",
@@ -372,9 +467,36 @@ from ({_typed.replace(f'where not ({_is_bad})', '').replace('cast("ReservationSt
 select o_orderkey as id, 100.01 as boats_total, 'No' as is_canceled, o_orderpriority as notes,
   case when o_orderkey % 10 = 4 then null else o_orderdate end as created_at from orders where o_orderkey % 10 <> 3""",
     "snk_partial_failure": """
-select 'bookings' as table_name, 0 as records, 'failed' as outcome, 'bookings: unreadable text in [''created_at'']' as message
-union all select 'style_boats', count(*), 'replaced', null from customer
-union all select 'holidays', 0, 'failed', 'file not in archive'
-union all select 'piers', count(*), 'replaced', null from supplier""",
+select 'bookings' as table_name, 0 as records, null as bad_rows, null as columns_not_found, 'failed' as outcome,
+  'bookings: unreadable text in [''created_at'']' as message
+union all select 'style_boats', count(*), 0, null, 'replaced', null from customer
+union all select 'holidays', 0, 0, null, 'failed', 'file not in archive'
+union all select 'piers', count(*), 0, 'marina_location_id', 'replaced', null from supplier""",
+    "snk_load_report": """
+with read as (select count(*) filter (where o_orderpriority <> '1-URGENT') as good, count(*) as n from orders)
+select 'bookings' as table_name, good as records, n - good as bad_rows, 'is_canceled, notes' as columns_not_found, 'replaced' as outcome,
+  null as message from read
+union all select 'style_boats', count(*), 0, 'boat_number', 'replaced', null from customer
+union all select 'slips', count(*), 0, 'recommended_loa, start_date, end_date, do_not_count_in_occupancy, active', 'replaced', null from supplier
+union all select 'bookings', 0, n, 'boats_total, is_canceled, notes', 'left as it was',
+  'no row could be loaded: unreadable text in [''created_at'']' from read
+union all select 'bookings', good, 0, null, 'standing', null from read""",
+    "snk_expire": "select o_orderkey, 3 as expired, 2 as folders from orders where o_orderkey % 5 = 4",
+    "cv_table_contacts": "select c_custkey as id, date '1980-02-03' as date_of_birth from customer",
+    "cv_table_styles": """
+select c_custkey as id, c_custkey as position_order, c_name as image_url, cast(c_acctbal as double) as length_feet,
+  cast(c_acctbal as double) as width_feet, cast(c_acctbal as double) as draft_feet, c_name as description_text, c_name as summary_text from customer""",
+    "cv_table_club_tiers": """
+select c_custkey as id, cast(c_acctbal as double) as boat_damage_responsibility_deduction, c_name as description_text,
+  c_name as terms_text, c_name as status_tier from customer""",
+    "cv_table_style_boats": """
+select c_custkey as id, c_name as serial_number, c_name as boat_type, c_custkey as position_order, c_name as status_boat from customer""",
+    "cv_table_seasonal_prices": """
+select c_custkey as id, c_name as season_name, cast(case when c_custkey % 3 = 2 then 2.5 else 0 end as double) as price_per_foot from customer""",
+    "cv_table_transient_prices": """
+select c_custkey as id, cast(case when c_custkey % 3 = 2 then 2.5 else 0 end as double) as price_per_foot,
+  case when c_custkey % 3 <> 0 then c_nationkey end as marina_location_id,
+  case c_custkey % 5 when 1 then 1 when 2 then 0 when 3 then 1 when 4 then 0 end as is_active from customer""",
+    "cv_table_invoices": "select c_custkey as id, 3 as installments_payment_method_id from customer",
     "snk_versioned_write": "select l_orderkey + 1 as l_orderkey, l_linenumber, 2 as version from lineitem",
 }
