@@ -52,66 +52,75 @@ DOCUMENTS = {
 }
 
 
-def ledger_lines(header: DataFrame, line: DataFrame, account: DataFrame, doc: Document) -> DataFrame:
-    """Posted lines of one document type in the common 21 columns."""
+# the common columns of a ledger line, in order; those of the account come with the join
+_COLUMNS = ("t_type", "tran_id", "internalid", "line_id", "tran_date", "tran_name", "subsidiary_id", "location_id", "division_id",
+            "department_id", "entity_id", "item_id", "posting_period_id", "account_id", "account_number", "account_type",
+            "account_desc", "qty", "ext_cost", "acctg_amount", "memo")
+
+
+def _posted(header: DataFrame, line: DataFrame, doc: Document) -> DataFrame:
+    """Posted lines of one document type, all but the columns of the account they are booked on."""
     h, ln = header.filter("posting = 'T'").alias("header"), line.alias("line")
-    a = account.select("id", "acctnumber", "accttype", "description").alias("account")
     placeholder = f"cast({NOTHING} as bigint)"
-    return (
-        h.join(ln, F.col("header.id") == F.col("line.transaction"))
-        .join(a, F.col(f"line.{doc.account}") == F.col("account.id"))
-        .selectExpr(
-            f"'{doc.t_type}' as t_type",
-            "header.tranid as tran_id",
-            "header.id as internalid",
-            "line.id as line_id",
-            "header.trandate as tran_date",
-            f"{doc.name} as tran_name",
-            "line.subsidiary as subsidiary_id",
-            "line.location as location_id",
-            "line.class as division_id",
-            "line.department as department_id",
-            f"cast(line.{doc.entity} as bigint) as entity_id" if doc.entity else f"{placeholder} as entity_id",
-            "cast(line.item as bigint) as item_id" if doc.item else f"{placeholder} as item_id",
-            "header.postingperiod as posting_period_id",
-            "account.id as account_id",
-            "account.acctnumber as account_number",
-            "account.accttype as account_type",
-            "account.description as account_desc",
-            f"cast({'-line.quantity' if doc.quantity else 'null'} as decimal(20,2)) as qty",
-            "cast(null as decimal(20,2)) as ext_cost",
-            f"cast(coalesce(line.{doc.credit}, 0) - coalesce(line.{doc.debit}, 0) as decimal(20,2)) as acctg_amount",
-            "line.memo as memo",
-        )
+    return h.join(ln, F.col("header.id") == F.col("line.transaction")).selectExpr(
+        f"'{doc.t_type}' as t_type",
+        "header.tranid as tran_id",
+        "header.id as internalid",
+        "line.id as line_id",
+        "header.trandate as tran_date",
+        f"{doc.name} as tran_name",
+        "line.subsidiary as subsidiary_id",
+        "line.location as location_id",
+        "line.class as division_id",
+        "line.department as department_id",
+        f"cast(line.{doc.entity} as bigint) as entity_id" if doc.entity else f"{placeholder} as entity_id",
+        "cast(line.item as bigint) as item_id" if doc.item else f"{placeholder} as item_id",
+        "header.postingperiod as posting_period_id",
+        f"line.{doc.account} as account_id",
+        f"cast({'-line.quantity' if doc.quantity else 'null'} as decimal(20,2)) as qty",
+        "cast(null as decimal(20,2)) as ext_cost",
+        f"cast(coalesce(line.{doc.credit}, 0) - coalesce(line.{doc.debit}, 0) as decimal(20,2)) as acctg_amount",
+        "line.memo as memo",
     )
 
 
-def all_lines(ledger: Mapping[str, tuple[DataFrame, DataFrame]], account: DataFrame) -> DataFrame:
-    """UNION ALL of every document type; `ledger` maps a DOCUMENTS key to (header, line)."""
-    parts = [ledger_lines(*ledger[kind], account, doc) for kind, doc in DOCUMENTS.items()]
+def _on_account(lines: DataFrame, account: DataFrame, *more: str) -> DataFrame:
+    """Lines with the account they are booked on; lines without one are left out."""
+    named = account.select("id", F.col("acctnumber").alias("account_number"), F.col("accttype").alias("account_type"),
+                           F.col("description").alias("account_desc"), *more)
+    return lines.join(named, F.col("account_id") == F.col("id")).select(*_COLUMNS, *more)
+
+
+def ledger_lines(header: DataFrame, line: DataFrame, account: DataFrame, doc: Document) -> DataFrame:
+    """Posted lines of one document type in the common 21 columns."""
+    return _on_account(_posted(header, line, doc), account)
+
+
+def all_lines(ledger: Mapping[str, tuple[DataFrame, DataFrame]], account: DataFrame, *more: str) -> DataFrame:
+    """UNION ALL of every document type; `ledger` maps a DOCUMENTS key to (header, line).
+
+    The account is joined once, to the lines of all types; `more` names further columns of it to carry along.
+    """
+    parts = [_posted(*ledger[kind], doc) for kind, doc in DOCUMENTS.items()]
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)
-    return union
+    return _on_account(union, account, *more)
 
 
-def finance_report(lines: DataFrame, d: Mapping[str, DataFrame]) -> DataFrame:
-    """Ledger lines with names, posting month and profit columns.
+def finance_report(ledger: Mapping[str, tuple[DataFrame, DataFrame]], d: Mapping[str, DataFrame]) -> DataFrame:
+    """The lines of all document types with names, posting month and profit columns.
 
     Most lines carry the placeholder as item, many as entity, and either may be
     NULL; those rows are spread over all partitions instead of meeting in one.
     """
-    account = d["account"].select(
-        F.col("id").alias("account_id"), F.col("acctnumber").alias("_number"), F.col("accttype").alias("_type"),
-        F.col("accountsearchdisplayname").alias("_display"),
-    )
     spread = [F.col("internalid"), F.col("line_id"), F.col("t_type")]
 
     def named(df, table, key, source, target, placeholders=(), spread_by=None):
         dim = d[table].select("id", F.col(source).alias(target))
         return left_lookup(df, dim, key, "id", placeholders=placeholders, spread_by=spread_by)
 
-    u = lines.join(account, "account_id")
+    u = all_lines(ledger, d["account"], "accountsearchdisplayname")
     u = named(u, "subsidiary", "subsidiary_id", "name", "subsidiary")
     u = named(u, "location", "location_id", "name", "location")
     u = named(u, "classification", "division_id", "name", "class")
@@ -126,7 +135,7 @@ def finance_report(lines: DataFrame, d: Mapping[str, DataFrame]) -> DataFrame:
     )
     u = left_lookup(u, keys, "account_number", "id")
 
-    amount, kind = F.col("acctg_amount"), F.col("_type")
+    amount, kind = F.col("acctg_amount"), F.col("account_type")
     zero = F.lit(0).cast("decimal(20,2)")
 
     def of(account_type):
@@ -137,9 +146,7 @@ def finance_report(lines: DataFrame, d: Mapping[str, DataFrame]) -> DataFrame:
     return u.select(
         "t_type", "tran_id", "internalid", "line_id", "tran_date", "tran_name", "subsidiary", "location", "class",
         "department", "customer", "tran_vendor", "item_name",
-        F.col("_number").alias("account_number"),
-        F.col("_type").alias("account_type"),
-        F.col("_display").alias("account_desc"),
+        "account_number", "account_type", F.col("accountsearchdisplayname").alias("account_desc"),
         year.alias("posting_year"),
         month.alias("posting_month"),
         # a period name that is no month gives NULL instead of failing the report

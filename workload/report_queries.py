@@ -60,7 +60,7 @@ def finance(spark, sf):
         keys = [k for k, v in KIND_OF.items() if v == kind]
         books[kind] = (header.filter(header["kind"].isin(keys)), line)
     d = roles(spark, sf, *DIMENSIONS)
-    return plain(ledger.finance_report(ledger.all_lines(books, d["account"]), d))
+    return plain(ledger.finance_report(books, d))
 
 
 def calendar_days(spark, sf):
