@@ -9,7 +9,7 @@ day, so the explosion is bounded whatever the dates hold.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -52,11 +52,32 @@ def covering_days(df: DataFrame, start: Column, end: Column, cal: Calendar, *, c
     return explode_days(df, start, end, cal, closed=closed).join(cal.days, "calendar_date")
 
 
-def uncovered_days(df: DataFrame, start: Column, end: Column, cal: Calendar, *, closed: bool) -> DataFrame:
-    """Calendar days that no interval covers (the empty side of calendar LEFT JOIN)."""
-    spans = df.select(start.alias("_s"), end.alias("_e"))
-    covered = explode_days(spans, F.col("_s"), F.col("_e"), cal, closed=closed).select("calendar_date").distinct()
-    return cal.days.join(covered, "calendar_date", "left_anti")
+def free_days(df: DataFrame, members: DataFrame, group: list[str], start: Column, end: Column, cal: Calendar, *,
+              closed: bool) -> DataFrame:
+    """Calendar days of each of `members` (one row per group) that no interval of its group in `df` covers.
+
+    No interval is exploded: +1 on its first day and -1 after its last one are
+    summed per (group, day) before anything is ordered, and the stretches
+    without a running interval are exploded. An empty `group` is one group, of
+    a row per calendar day at most.
+    """
+    low, high = day_span(start, end, cal.first, cal.last, closed=closed)
+    spans = df.select(*group, low.alias("_low"), high.alias("_high")).filter("_low <= _high")
+    change = F.explode(F.array(
+        F.struct(F.col("_low").alias("day"), F.lit(1).alias("n")),
+        F.struct(F.date_add("_high", 1).alias("day"), F.lit(-1).alias("n"))))
+    edges = F.explode(F.array(*[
+        F.struct(F.lit(d).alias("day"), F.lit(0).alias("n")) for d in (cal.first, cal.last + timedelta(days=1))]))
+    daily = (
+        spans.select(*group, change.alias("c")).unionByName(members.select(*group, edges.alias("c")))
+        .groupBy(*group, F.col("c.day").alias("_day")).agg(F.sum("c.n").alias("_n"))
+    )
+    by_day = Window.partitionBy(*group).orderBy("_day")
+    stretches = daily.select(
+        *group, "_day", F.lead("_day").over(by_day).alias("_next"),
+        F.sum("_n").over(by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_running"),
+    ).filter("_running = 0 and _next is not null")
+    return stretches.withColumn("calendar_date", F.explode(F.sequence("_day", F.date_sub("_next", 1)))).select(*group, "calendar_date")
 
 
 def running_counts(df: DataFrame, group: list[str], start: Column, end: Column, counted: Column,

@@ -11,9 +11,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quayside.operators.intervals import covering_days, explode_days, running_counts, uncovered_days
+from quayside.operators.intervals import covering_days, explode_days, free_days, running_counts
 from quayside.operators.lookup import left_lookup
-from quayside.operators.spread import shuffle_partitions
 from quayside.sources.calendar import ATTRIBUTES, Calendar
 
 Tables = Mapping[str, DataFrame]
@@ -62,20 +61,15 @@ def daily_boat_lengths(t: Tables, cal: Calendar) -> DataFrame:
         "scheduled_departure_time", (F.col("reservation_status_id") == CHECKED_IN).alias("_in"),
     )
     boats = t["boats"].select(
-        "id", F.col("id").alias("_boat"), F.col("name").alias("boat_name"), "loa",
-        F.col("make").alias("boat_make"), F.col("model").alias("boat_model"),
-    )
+        "id", F.col("name").alias("boat_name"), "loa", F.col("make").alias("boat_make"), F.col("model").alias("boat_model"))
     marinas = t["marina_locations"].select("id", F.col("name").alias("marina_location_name"))
     arrival, departure = F.col("scheduled_arrival_time"), F.col("scheduled_departure_time")
 
-    # look up before exploding: per stay instead of per day of stay
-    by_stay = [F.col("rid")]  # stays without a boat or a marina may be many
-    named = left_lookup(stays, boats, "boat_id", "id", spread_by=by_stay)
-    named = left_lookup(named, marinas, "marina_location_id", "id", spread_by=by_stay)
+    # a boat that is not known is no boat; looked up per stay instead of per day of stay
+    known = left_lookup(stays, boats.select("id", F.col("id").alias("_boat")), "boat_id", "id", spread_by=[F.col("rid")])
     daily = (
-        explode_days(named, arrival, departure, cal, closed=False)
-        .groupBy("calendar_date", "_boat", "boat_name", "loa", "boat_make", "boat_model",
-                 "marina_location_id", "marina_location_name")
+        explode_days(known, arrival, departure, cal, closed=False)
+        .groupBy("calendar_date", "_boat", "marina_location_id")  # ids only go through the shuffle
         .agg(
             F.max("rid").alias("reservation_id"),
             F.max("scheduled_arrival_time").alias("scheduled_arrival_time"),
@@ -83,9 +77,11 @@ def daily_boat_lengths(t: Tables, cal: Calendar) -> DataFrame:
             F.max(F.coalesce(F.col("_in").cast("int"), F.lit(0))).alias("occupies_slip"),
         )
     )
-    booked = daily.join(cal.days, "calendar_date")
+    by_group = [F.col("calendar_date"), F.col("reservation_id")]  # days without a boat or a marina may be many
+    named = left_lookup(daily, boats, "_boat", "id", spread_by=by_group)
+    booked = left_lookup(named, marinas, "marina_location_id", "id", spread_by=by_group).join(cal.days, "calendar_date")
     # a calendar-sided left join would shuffle everything by day; the few empty days come separately
-    empty = uncovered_days(t["reservations"], arrival, departure, cal, closed=False)
+    empty = free_days(t["reservations"], cal.days.limit(1), [], arrival, departure, cal, closed=False).join(cal.days, "calendar_date")
     both = booked.unionByName(empty, allowMissingColumns=True)
     return both.select(
         *ATTRIBUTES,
@@ -116,10 +112,10 @@ def daily_slip_count(t: Tables, cal: Calendar, subsidiaries=SUBSIDIARY_BY_NAME)
 def daily_slip_occupancy(t: Tables, cal: Calendar) -> DataFrame:
     """Every countable slip on every day, with each stay that covers it (several if they overlap).
 
-    Occupied rows come from the stays, vacant ones from the days of the slip no
-    stay covers. The covered days are reduced per (slip, day) first, so a slip
-    with any number of stays hands at most one value per calendar day on, and
-    the slip x day rows are made last and never shuffled.
+    Occupied rows come from the stays, vacant ones from the stretches of the slip
+    no stay covers, found from summed changes per (slip, day): a stay is
+    exploded once, and a slip with any number of stays hands at most one row per
+    calendar day to its window.
     """
     marinas = t["marina_locations"].select("id", F.col("name").alias("marina_location_name"))
     slips = (
@@ -140,25 +136,7 @@ def daily_slip_occupancy(t: Tables, cal: Calendar) -> DataFrame:
     )
     occupied = explode_days(on_slip, arrival, departure, cal, closed=False)
 
-    covered = (
-        explode_days(stays.select("_slip", arrival, departure), arrival, departure, cal, closed=False)
-        .filter("_slip is not null")
-        .select("_slip", "calendar_date")
-        .distinct()
-        .groupBy("_slip")
-        .agg(F.collect_list("calendar_date").alias("_covered"))
-    )
-    all_days = F.sequence(F.lit(cal.first), F.lit(cal.last))
-    # a small slip table grows by the length of the calendar: deal it out before, not after
-    vacant = (
-        slips.repartition(shuffle_partitions(slips), "slip_id")
-        .join(covered, F.col("slip_id") == F.col("_slip"), "left")
-        .withColumn(
-            "calendar_date",
-            F.explode(F.when(F.col("_covered").isNull(), all_days).otherwise(F.array_except(all_days, "_covered"))),
-        )
-        .drop("_slip", "_covered")
-    )
+    vacant = free_days(on_slip, slips, ["slip_id"], arrival, departure, cal, closed=False).join(slips, "slip_id")
     return (
         occupied.unionByName(vacant, allowMissingColumns=True)
         .join(cal.days, "calendar_date")
@@ -182,8 +160,8 @@ def reservation_rates(t: Tables, cal: Calendar) -> DataFrame:
     marinas = t["marina_locations"].select("id", F.col("name").alias("_marina_name"))
     # a slip seen in two marinas stands for two rows per stay
     berths = left_lookup(
-        t["reservations"].filter("slip_id is not null")
-        .select(F.col("slip_id").alias("_berth"), F.col("marina_location_id").alias("_berth_marina")).distinct()
+        t["reservations"].select(F.col("slip_id").alias("_berth"), F.col("marina_location_id").alias("_berth_marina"))
+        .join(slips, F.col("_berth") == F.col("_slip_id"), "left_semi").distinct()
         .join(slips, F.col("_berth") == F.col("_slip_id")),
         marinas, "_berth_marina", "id",
     )

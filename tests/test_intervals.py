@@ -5,7 +5,7 @@ from datetime import date, datetime, timedelta
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from quayside.operators.intervals import covering_days, explode_days, running_counts, uncovered_days
+from quayside.operators.intervals import covering_days, explode_days, free_days, running_counts
 from quayside.operators.lookup import left_lookup
 from quayside.plans import views
 from quayside.sources.calendar import Calendar
@@ -38,10 +38,10 @@ def test_explode_days(spark, rows, data, closed):
 
 @quick
 @given(intervals, st.booleans())
-def test_uncovered_days(spark, rows, data, closed):
+def test_free_days(spark, rows, data, closed):
     cal = Calendar.between(spark, FIRST, LAST)
     df = rows(DDL, *data)
-    got = sorted(r["calendar_date"] for r in uncovered_days(df, F.col("s"), F.col("e"), cal, closed=closed).collect())
+    got = sorted(r["calendar_date"] for r in free_days(df, cal.days.limit(1), [], F.col("s"), F.col("e"), cal, closed=closed).collect())
     assert got == [d for d in _days() if not any(_covers(d, s, e, closed) for _, s, e in data)]
 
 
