@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quayside.operators.numbering import number_rows
 from quayside.operators.store import Store
+from quayside.session import new_folder
 
 AUDIT = "dw_id bigint, dw_last_inserted timestamp_ntz, dw_last_updated timestamp_ntz"
 INSERTED, UPDATED, KEPT = "insert", "update", "keep"
@@ -185,8 +186,10 @@ def _highest(dw: DataFrame) -> int:
     return dw.agg(F.coalesce(F.max("dw_id"), F.lit(0))).first()[0]
 
 
-def _number_order(spec: MergeSpec) -> list[str]:
-    return [*spec.keys, *[c for c in spec.columns if c not in spec.keys]]
+def _numbered(rows: DataFrame, spec: MergeSpec, highest: int, folder: str) -> DataFrame:
+    """Surrogate keys in key order; rows that repeat a key go by their other columns, so that a rerun numbers alike."""
+    order = [*spec.keys, *[c for c in spec.columns if c not in spec.keys]]
+    return number_rows(rows, order, "dw_id", highest, f"{folder}/numbered")
 
 
 def merge(dw: DataFrame, stg: DataFrame, spec: MergeSpec, run_ts: datetime, *, on_duplicate: str = "error",
@@ -199,7 +202,11 @@ def merge(dw: DataFrame, stg: DataFrame, spec: MergeSpec, run_ts: datetime, *, o
     is where they are written for that (see number_rows).
     """
     profile = _checked_profile(dw, stg, spec, on_duplicate)
-    numbered = number_rows(new_rows(dw, stg, spec, run_ts), _number_order(spec), "dw_id", _highest(dw), folder)
+    folder = folder or new_folder(dw.sparkSession, "numbering")
+    fresh = new_rows(dw, stg, spec, run_ts)
+    fresh.write.parquet(f"{folder}/new")  # the numbering looks at its rows twice, the join is made once
+    saved = dw.sparkSession.read.schema(fresh.schema).parquet(f"{folder}/new")
+    numbered = _numbered(saved, spec, _highest(dw), folder)
     return existing_rows(dw, stg, spec, run_ts, profile).unionByName(numbered)
 
 
@@ -248,7 +255,7 @@ def merge_table(store: Store, name: str, stg: DataFrame, spec: MergeSpec, run_ts
 def _first_load(store: Store, name: str, stg: DataFrame, spec: MergeSpec, run_ts: datetime) -> dict[str, int]:
     dw = empty_warehouse(stg, spec)
     folder = store.scratch("numbering")
-    numbered = number_rows(new_rows(dw, stg, spec, run_ts), _number_order(spec), "dw_id", 0, folder)
+    numbered = _numbered(new_rows(dw, stg, spec, run_ts), spec, 0, folder)
     number, place = store.next_folder(name)
     rows = numbered.select(dw.columns)
     rows.write.parquet(place)
@@ -271,7 +278,7 @@ def _merge_unique(store: Store, name: str, dw: DataFrame, stg: DataFrame, spec:
     if counts.get(INSERTED) or not parts:
         scratch = store.scratch("numbering")
         fresh = written.filter(F.col("_action") == INSERTED).drop("dw_id", "_action")
-        numbered = number_rows(fresh, _number_order(spec), "dw_id", highest, scratch)
+        numbered = _numbered(fresh, spec, highest, scratch)
         numbered.select(*layout.names).write.parquet(f"{folder}/new")
         store.discard(scratch)
         parts.append(f"{folder}/new")
