@@ -38,10 +38,10 @@ def null_keys(df: DataFrame, key: str) -> DataFrame:
     return df.agg(F.count_if(F.col(key).isNull()).alias("null_keys"))
 
 
-def reconcile(raw: DataFrame, stg: DataFrame, dw: DataFrame, key: str, *, sample: int | None = 5) -> DataFrame:
+def reconcile(raw: DataFrame, stg: DataFrame, dw: DataFrame, key: str, *, sample: int | None = None) -> DataFrame:
     """Checks (check_name, expected, actual, passed) of one load; an empty source passes them all.
 
-    `sample=None` looks for every source key in the warehouse instead of a few.
+    Every source key is looked for in the warehouse; `sample` looks for the lowest n only.
     """
     lost = missing_keys(raw, dw, key, sample=sample)
     nulls = stg.filter(F.col(key).isNull())

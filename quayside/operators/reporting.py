@@ -24,6 +24,7 @@ def load_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return union.rollup("table_name").agg(F.sum("records").alias("records"))
 
 
+# The sentences of a merge account.
 def merge_outcome(table: Column, inserted: Column, updated: Column) -> Column:
     """The one-line account of a merge."""
     new = F.concat(F.format_number(inserted, 0), F.lit(" new record(s) inserted"))

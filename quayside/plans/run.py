@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quayside.operators.merge import merge_table, run_all
-from quayside.operators.staging import load_all, staged
+from quayside.operators.quality import reconcile
+from quayside.operators.staging import load_all, set_aside, staged
 from quayside.operators.store import Store
 from quayside.plans.registry import MARINA, TableSpec
 from quayside.sources.archives import found_members, land, latest_archive, list_archives, one_table, tar_records, zip_records
+from quayside.sources.csv_tables import by_header
 
 ARCHIVE_SUFFIX = {"marina": (".zip", True), "rental": ("-DATA.sql.gz", False)}  # fixed values: suffix, any case
 
@@ -55,3 +57,26 @@ class Warehouse:
             if not (skip_at_once and s.at_once) and (df := staged(self.staging, name)) is not None
         }
         return run_all(self.tables, ready, run_ts)
+
+    def report(self, raw: dict[str, DataFrame], specs: dict[str, TableSpec]) -> DataFrame:
+        """Checks of a run, table by table: source against staging against warehouse (table_name, check_name, expected, actual, passed).
+
+        Tables of which there is no snapshot, or
+        nothing in the warehouse yet, have no rows here.
+        """
+        checked = None
+        for name, spec in specs.items():
+            staged_rows, stored = staged(self.staging, name), self.tables.read(name)
+            if name not in raw or staged_rows is None or stored is None:
+                continue
+            key = next(c for c in spec.loaded_columns if c.name == spec.keys[0])
+            keys = by_header(raw[name], {key.name: key.header}).select(
+                key.convert(F.col(key.name)).try_cast(stored.schema[key.name].dataType).alias(key.name))
+            aside = set_aside(self.staging, name).select(F.lit(None).cast(stored.schema[key.name].dataType).alias(key.name))
+            one = reconcile(keys, staged_rows.select(key.name), stored.select(key.name), key.name)
+            lost = aside.agg(F.count(F.lit(1)).alias("n")).select(
+                F.lit("rows set aside").alias("check_name"), F.lit(0).cast("bigint").alias("expected"), F.col("n").alias("actual"), (F.col("n") == 0).alias("passed"))
+            rows = one.unionByName(lost).select(F.lit(name).alias("table_name"), "*")
+            checked = rows if checked is None else checked.unionByName(rows)
+        return checked if checked is not None else self.spark.createDataFrame(
+            [], "table_name string, check_name string, expected bigint, actual bigint, passed boolean")

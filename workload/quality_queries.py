@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from quayside.operators import quality as dq, reporting as rp
+from quayside.plans.registry import all_tables
+from quayside.plans.run import Warehouse
+from quayside.session import new_folder
 from workload.merge_queries import _frames_sql, _sides
 from workload.roles import role_cte, roles, table
 
@@ -15,12 +20,12 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def reconcile(spark, sf):
     dw, stg = _sides(spark, sf)
     raw = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
-    return dq.reconcile(raw, stg, dw, "id")
+    return dq.reconcile(raw, stg, dw, "id", sample=5)
 
 
 def reconcile_all_keys(spark, sf):
     dw, stg = _sides(spark, sf)
-    return dq.reconcile(stg, stg, dw, "id", sample=None)
+    return dq.reconcile(stg, stg, dw, "id")
 
 
 def missing(spark, sf):
@@ -116,8 +121,23 @@ def summary(spark, sf):
     return rp.run_summary(stats, log)
 
 
+def run_report(spark, sf):
+    """Two tables loaded and merged, one with rows whose date does not read; then every check of the run."""
+    run_ts, wh = datetime(2024, 1, 2, 6), Warehouse(spark, new_folder(spark, "report"))
+    specs = {n: all_tables()[n] for n in ("piers", "bookings")}
+    raw = {
+        "piers": table(spark, sf, "supplier").selectExpr("cast(s_suppkey as string) as Id", "s_name as Name"),
+        "bookings": table(spark, sf, "orders").selectExpr(
+            "cast(o_orderkey as string) as id",
+            "case when o_orderpriority = '1-URGENT' then 'soon' else date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') end as created_at"),
+    }
+    wh.load(raw, specs, run_ts)
+    wh.merge_all(specs, run_ts, skip_at_once=True)
+    return wh.report(raw, specs)
+
+
 QUERIES = {
-    "dq_reconcile": reconcile, "dq_reconcile_all_keys": reconcile_all_keys, "dq_missing_keys": missing,
+    "rp_run_report": run_report, "dq_reconcile": reconcile, "dq_reconcile_all_keys": reconcile_all_keys, "dq_missing_keys": missing,
     "dq_missing_keys_sample": missing_sample, "dq_null_keys": null_key_count, "dq_check_merge": merge_check,
     "dq_check_types": types, "dq_check_types_sample": types_sampled, "dq_orphans": orphan_rows,
     "dq_orphan_count": orphan_total, "dq_field_diff": diff, "dq_field_diff_sample": diff_sampled,
@@ -138,6 +158,15 @@ _ANY = " or ".join(f"s.{c} is distinct from d.{c}" for c in _FIELDS)
 _SUM = " + ".join(f"cast(s.{c} is distinct from d.{c} as integer)" for c in _FIELDS)
 
 ORACLE = {
+    "rp_run_report": """
+with b as (select count(*) as n, count(*) filter (where o_orderpriority <> '1-URGENT') as good from orders), p as (select count(*) as n from supplier)
+select 'piers' as table_name, 'source rows staged' as check_name, n as expected, n as actual, true as passed from p
+union all select 'piers', 'staged rows in warehouse', n, n, true from p
+union all select 'piers', unnest(['source keys missing', 'NULL keys staged', 'rows set aside']), 0, 0, true
+union all select 'bookings', 'source rows staged', n, good, n = good from b
+union all select 'bookings', 'staged rows in warehouse', good, good, true from b
+union all select 'bookings', unnest(['source keys missing', 'rows set aside']), 0, n - good, n = good from b
+union all select 'bookings', 'NULL keys staged', 0, 0, true""",
     "dq_reconcile": f"""{_frames_sql()},
 n as (select (select count(*) from orders) as raw, (select count(*) from stg) as stg, (select count(*) from dw) as dw,
   (select count(*) from (select o_orderkey as id from orders order by 1 limit 5) k where id not in (select id from dw)) as lost,
