@@ -17,6 +17,7 @@ column named like the result gives way to it.
 from __future__ import annotations
 
 import itertools
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -104,9 +105,15 @@ class ChunkTable(dict):
         return self.ids[np.repeat(starts - first, counts) + np.arange(counts.sum())], counts
 
 
-def encode(docs: DataFrame, model: str, text: str = "text", into: str = "ids", table_limit: int = 300_000) -> DataFrame:
-    """`docs` with the ids of each whole text, as the model's library gives them without begin and end ids."""
+def encode(docs: DataFrame, model: str, text: str = "text", into: str = "ids", decoded: str | None = None,
+           table_limit: int = 100_000) -> DataFrame:
+    """`docs` with the ids of each whole text, as the model's library gives them without begin and end ids.
+
+    `decoded` names a column for the text the ids decode to, made in the same pass.
+    """
     out = appended(docs.schema, T.StructField(into, T.ArrayType(T.IntegerType(), False), False))
+    if decoded:
+        out = appended(out, T.StructField(decoded, T.StringType(), False))
 
     def run(batches):
         import numpy as np
@@ -126,7 +133,10 @@ def encode(docs: DataFrame, model: str, text: str = "text", into: str = "ids", t
             ids, counts = table.spread(places)
             upto = np.concatenate([[0], np.cumsum(counts)])  # ids before each chunk
             offsets = upto[np.concatenate([[0], np.cumsum([len(c) for c in chunks], dtype=np.int64)])].astype(np.int32)
-            yield with_arrays(batch, out.names, {into: pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))})
+            arrays = {into: pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))}
+            if decoded:
+                arrays[decoded] = pa.array([processor.decode(ids[a:b].tolist()) if b > a else "" for a, b in pairwise(offsets.tolist())], pa.string())
+            yield with_arrays(batch, out.names, arrays)
 
     return docs.mapInArrow(run, out)
 
@@ -150,7 +160,7 @@ def decode(docs: DataFrame, model: str, ids: str = "ids", into: str = "decoded")
 
 def digests(docs: DataFrame, model: str) -> DataFrame:
     """One row per document: how many ids, and digests of the ids and of the text they decode to."""
-    both = decode(encode(docs.select("doc_id", "text"), model), model)
+    both = encode(docs.select("doc_id", "text"), model, decoded="decoded")
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),

@@ -35,6 +35,8 @@ def test_pieces_equal_the_library(rows, processor):
     df = rows("doc_id long, text string, ids string", *[(i, t, "clash") for i, t in enumerate(texts)], (0, None, "again"))
     out = pieces.decode(pieces.encode(df, pieces._model(), table_limit=100), pieces._model())
     assert out.columns == ["doc_id", "text", "ids", "decoded"] and out.count() == len(texts) + 1
+    once = pieces.encode(df, pieces._model(), decoded="decoded", table_limit=100)
+    assert sorted(map(str, once.collect())) == sorted(map(str, out.collect()))
     for r in out.collect():
         want = processor.encode(texts[r.doc_id] or "")
         assert list(r.ids) == want and r.decoded == processor.decode(want)
