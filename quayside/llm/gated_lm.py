@@ -17,7 +17,7 @@ Scoring reads each text whole. Documents of a batch run side by side, longest
 first, in windows; the state is carried from window to window, so a text has no
 limit of length. Words among the `HEAD` most frequent are counted up in the
 task; the rest meet their counts in a join, a row per document and word. A hot
-word is always among the former.
+word is always among the former, as they are all words from some count on.
 
 Defined results: a null text counts as empty; an empty text is its end alone;
 repeated rows are scored each, and count each time in training; with no
@@ -81,7 +81,8 @@ class Corpus:
     """What scoring needs of the counts: totals and the most frequent words."""
     tokens: int
     distinct: int
-    head: list[tuple[str, int]]  # most frequent first; the end is at its place
+    head: list[tuple[str, int]]  # words counted `head_from` times or more, and the end; most frequent first
+    head_from: int
     modelled: list[str]  # by class, most frequent first
     bounds: list[int]  # where each class begins among them, and their end
     rest_tokens: int
@@ -90,7 +91,17 @@ class Corpus:
 
 def survey(counts: DataFrame) -> Corpus:
     totals = counts.agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("distinct")).first()
-    head = [(r.word, r.n) for r in counts.orderBy(F.desc("n"), "word").limit(HEAD).collect()]  # of bounded length
+    # levels of eight to a doubling of the count: some hundreds of rows say from which count on words are few enough
+    levels = counts.groupBy(F.floor(8 * F.log2("n")).alias("level")).agg(
+        F.count(F.lit(1)).alias("words"), F.min("n").alias("n")).collect()
+    head_from, words = 1 << 62, 0
+    for level in sorted(levels, key=lambda r: -r.level):
+        words += level.words
+        if words > HEAD:
+            break
+        head_from = level.n
+    head = [(r.word, r.n) for r in counts.filter((F.col("n") >= head_from) | (F.col("word") == END)).collect()]  # HEAD at most, and the end
+    head.sort(key=lambda r: (-r[1], r[0]))
     modelled = [w for w, _ in head[:MODELLED]]
     if END not in modelled:
         modelled.append(END)
@@ -103,7 +114,7 @@ def survey(counts: DataFrame) -> Corpus:
             bounds.append(i + 1)
     bounds.append(len(modelled))
     tokens, distinct = totals.tokens or 0, totals.distinct
-    return Corpus(tokens, distinct, head, modelled, bounds, tokens - sum(n.get(w, 0) for w in modelled),
+    return Corpus(tokens, distinct, head, head_from, modelled, bounds, tokens - sum(n.get(w, 0) for w in modelled),
                   distinct - sum(w in n for w in modelled))
 
 
@@ -354,8 +365,7 @@ def scored(docs: DataFrame, counts: DataFrame, corpus: Corpus, weights: dict, te
     rows = saved(docs.mapInArrow(run, out).withColumn("row", F.monotonically_increasing_id()), "language-model-scores")
     # the words beyond the head, one row per document and word
     tail = rows.select("row", F.explode("tail").alias("t")).select("row", "t.word", F.col("t.n").alias("times"))
-    last_word, last_n = corpus.head[-1] if corpus.head else (END, 0)
-    rest = counts.filter((F.col("n") < last_n) | ((F.col("n") == last_n) & (F.col("word") > last_word))) if corpus.head else counts
+    rest = counts.filter(F.col("n") < corpus.head_from)
     met = tail.join(rest, "word", "left").withColumn("c", F.coalesce("n", F.lit(0))).groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.col("c") + 0.5)).alias("tail_logs"),
         F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("tail_known"))

@@ -92,7 +92,7 @@ def test_base_scores_and_counts(spark, sf):
 
 def small_model():
     head = [("the", 50), ("", 40), ("of", 30), ("cat", 9), ("dog", 5)]
-    corpus = gated_lm.Corpus(200, 30, head, ["the", "", "of", "cat", "dog"], [0, 1, 3, 5], 66, 25)
+    corpus = gated_lm.Corpus(200, 30, head, 5, ["the", "", "of", "cat", "dog"], [0, 1, 3, 5], 66, 25)
     return corpus, gated_lm.start(corpus)
 
 
@@ -168,3 +168,15 @@ def test_likelihoods_of_odd_rows(spark, rows):
     scored = {(r.doc_id, r.n_known): r.base_score for r in gated_lm.scored(docs, nothing, empty, weights).collect()}
     assert scored[(None, 0)] == 0.0 and empty.tokens == 0
     assert gated_lm.scored(docs.limit(0), counts, corpus, weights).count() == 0
+
+
+def test_words_beyond_the_head_meet_their_counts(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    counts = gated_lm.saved(gated_lm.word_counts(docs), "word-counts")
+    whole = gated_lm.survey(counts)
+    monkeypatch.setattr(gated_lm, "HEAD", 50)
+    few = gated_lm.survey(counts)
+    assert len(few.head) <= 51 and ("", docs.count()) in few.head and few.tokens == whole.tokens
+    want = {r.doc_id: r for r in gated_lm.scored(docs, counts, whole, gated_lm.start(whole)).collect()}
+    for r in gated_lm.scored(docs, counts, few, gated_lm.start(few)).collect():
+        assert r.n_known == want[r.doc_id].n_known and math.isclose(r.base_score, want[r.doc_id].base_score, rel_tol=1e-9)
