@@ -4,19 +4,23 @@ Base: e-mail addresses, IP addresses, card numbers and telephone numbers by
 pattern and check, leftmost first, each kind on its own.
 
 Information-theoretic sanitisation: an entity's information is IC(e) =
--log2 p(e), and a term discloses of it PMI(e; t) = log2 p(e, t) / (p(e) p(t)).
-p is the share of documents: those with the entity, those with the term (both
-over the whole corpus), and those where the term stands within `REACH` words of
-the entity. A term that stands by an entity in `MIN_SHARED` documents or more
-and discloses `GENERALISE` or more of its information is a span of its own
-wherever it stands by that entity; in the sanitised text it is generalised to
-a mark, or removed if it discloses `REMOVE` or more. Base spans become the name
-of their kind.
-
-Each document's findings are made in its row. Term counts are summed in the
-task before they are shuffled; entity and term meet only in documents that
-hold the entity. Spans are kept by a hash of id and text, so texts are not
-shuffled to count.
+-log2 p(e), and a term discloses of it PMI(e; t) = log2 p(e | t) / p(e). All
+shares are of whole documents: those with the entity, with the term, and with
+both. No pair is left out for being rare; p(e | t) is smoothed instead. Its
+prior is p(e), and the share seen counts by the odds that the pair is no chance
+meeting: one term of all is taken to be tied to each entity beforehand, and the
+evidence is the least Bayes factor -e P ln P, where chance brings as many
+meetings with P = 2 ** -(n_term KL(p(e | t) || p(e))) at most.
+A term that discloses `GENERALISE` or
+more of some entity's information is a span of its own wherever it stands in
+the corpus; in the sanitised text it is generalised to a mark, or removed if it
+discloses `REMOVE` or more. Base spans become the name of their kind.
+
+Each document's findings are made in its row. Counts of terms, and of entities
+with terms, are summed in the task before they are shuffled. Disclosing terms
+are looked for through a bitmap of their hashes, of a fixed size, so only words
+that hit it are shuffled; a join on the word decides. Spans are kept by a hash
+of id and text, so texts are not shuffled to count.
 
 Defined results: a null text counts as empty; rows that repeat id and text
 each count as a document and get equal spans; an entity in every document has
@@ -26,6 +30,7 @@ table gives an empty result; other columns pass through, and are not looked at.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -36,8 +41,9 @@ from quayside.session import sent_with_jobs
 sent_with_jobs(__name__)
 
 KINDS = ("email", "ip", "card", "phone", "term")
-REACH, MIN_SHARED, GENERALISE, REMOVE = 8, 3, 0.8, 0.95
-TABLE = 200_000  # terms counted by a task before it hands them on
+GENERALISE, REMOVE = 0.8, 0.95
+TABLE = 200_000  # terms, or pairs, counted by a task before it hands them on
+BITMAP = 1 << 26  # bits
 
 # The patterns of the four kinds.
 PATTERNS = {
@@ -98,51 +104,55 @@ class Finder:
                 done = m.end()
             at = text.find("@", max(at + 1, done))
 
-    def around(self, text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, str, int, int]]:
-        """(entity, term, start, end) for the words within reach of each base span."""
-        if not base:
-            return []
-        words = [(m.start(), m.end()) for m in self.word.finditer(text)]
+    def term(self, token: str) -> str:
+        """A token without the marks around it, "" if it has no letter."""
+        core = token if token.isalnum() else self.edges.sub("", token)
+        return core if any(map(str.isalpha, core)) else ""
+
+    def terms(self, text: str) -> set[str]:
+        """The lower-case terms of a whole text."""
+        return set(map(self.term, set(self.word.findall(text.lower())))) - {""}
+
+    def places(self, text: str, base: list[tuple[str, int, int]], wanted) -> list[tuple[str, int, int]]:
+        """(term, start, end) of the terms that `wanted` holds for and that overlap no base span."""
         import bisect
 
-        starts, found = [w[0] for w in words], set()
-        taken = sorted((s, e) for _, s, e in base)
-        for kind, start, end in base:
-            entity = f"{kind}:{text[start:end].lower()}"
-            first, last = bisect.bisect_right(starts, start) - 1, bisect.bisect_left(starts, end)
-            for s, e in [*words[max(0, first - REACH):max(0, first)], *words[last:last + REACH]]:
-                i = bisect.bisect_left(taken, (e, 0))
-                if i and taken[i - 1][1] > s:
-                    continue
-                core = text[s:e]
-                left = len(core) - len(core.lstrip("".join(c for c in core if not (c.isalnum() or c == "_"))))
-                term = self.edges.sub("", core)
-                if any(map(str.isalpha, term)):
-                    found.add((entity, term.lower(), s + left, s + left + len(term)))
-        return sorted(found)
+        found, taken = [], []
+        for s, e in sorted((s, e) for _, s, e in base):  # kinds may overlap: their union is taken
+            if taken and s < taken[-1][1]:
+                taken[-1] = taken[-1][0], max(taken[-1][1], e)
+            else:
+                taken.append((s, e))
+        for m in self.word.finditer(text):
+            term = self.term(m[0])
+            if not term or not wanted(term.lower()):
+                continue
+            i = bisect.bisect_left(taken, (m.end(), 0))
+            if not i or taken[i - 1][1] <= m.start():
+                start = m.start() + m[0].index(term)
+                found.append((term.lower(), start, start + len(term)))
+        return found
 
 
 _BASE = "array<struct<kind:int,start:int,end:int>>"
-_AROUND = "array<struct<entity:string,term:string,start:int,end:int>>"
 
 
 def detected(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` without its text, with its base spans and the words around them."""
+    """`docs` without its text, with its base spans and the entities they name."""
     kept = T.StructType([f for f in docs.schema.fields if f.name != text])
-    out = appended(kept, T.StructField("base", T._parse_datatype_string(_BASE)), T.StructField("around", T._parse_datatype_string(_AROUND)))
+    out = appended(kept, T.StructField("base", T._parse_datatype_string(_BASE)), T.StructField("entities", T.ArrayType(T.StringType())))
 
     def run(batches):
         import pyarrow as pa
 
         finder, span = Finder(), pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
-        near = pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
         for batch in slices(batches, text):
-            bases, arounds = [], []
+            bases, entities = [], []
             for t in batch.column(batch.schema.get_field_index(text)).to_pylist():
                 base = finder.base(t or "")
                 bases.append([{"kind": KINDS.index(k), "start": s, "end": e} for k, s, e in base])
-                arounds.append([{"entity": n, "term": w, "start": s, "end": e} for n, w, s, e in finder.around(t or "", base)])
-            yield with_arrays(batch, out.names, {"base": pa.array(bases, pa.list_(span)), "around": pa.array(arounds, pa.list_(near))})
+                entities.append(sorted({f"{k}:{t[s:e].lower()}" for k, s, e in base}))
+            yield with_arrays(batch, out.names, {"base": pa.array(bases, pa.list_(span)), "entities": pa.array(entities, pa.list_(pa.string()))})
 
     return docs.mapInArrow(run, out)
 
@@ -154,20 +164,26 @@ def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
         import pyarrow as pa
 
-        edges, counts = re.compile(r"^[^\w]+|[^\w]+$"), Counter()
+        finder, counts = Finder(), Counter()
 
         def handed():
-            terms: Counter = Counter()
-            for token, n in counts.items():
-                term = edges.sub("", token) if not token.isalnum() else token
-                if term:
-                    terms[term] += n
+            batch = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
             counts.clear()
-            return pa.RecordBatch.from_arrays([pa.array(list(terms), pa.string()), pa.array(list(terms.values()), pa.int64())], names=["term", "n"])
+            return batch
 
+        known: dict[str, str] = {}
         for batch in slices(batches, text):
             for t in batch.column(0).to_pylist():
-                counts.update(set((t or "").lower().split()))
+                terms = set()
+                for token in set(finder.word.findall((t or "").lower())):
+                    term = known.get(token)
+                    if term is None:
+                        if len(known) >= TABLE:
+                            known.clear()
+                        term = known[token] = finder.term(token)
+                    terms.add(term)
+                terms.discard("")
+                counts.update(terms)
             if len(counts) > TABLE:
                 yield handed()
         yield handed()
@@ -175,28 +191,106 @@ def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(text).mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
 
 
+def pair_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(entity, term) -> documents that hold both, the term outside base spans."""
+    def run(batches):
+        from collections import Counter
+
+        import pyarrow as pa
+
+        finder, counts = Finder(), Counter()
+
+        def handed():
+            batch = pa.RecordBatch.from_arrays([*[pa.array([k[i] for k in counts], pa.string()) for i in range(2)],
+                                                pa.array(list(counts.values()), pa.int64())], names=["entity", "term", "n"])
+            counts.clear()
+            return batch
+
+        for batch in slices(batches, text):
+            for t in batch.column(0).to_pylist():
+                base = finder.base(t or "")
+                if not base:
+                    continue
+                terms = {term for term, _, _ in finder.places(t, base, lambda term: True)}
+                for entity in {f"{k}:{t[s:e].lower()}" for k, s, e in base}:
+                    counts.update((entity, term) for term in terms)
+                    if len(counts) > TABLE:
+                        yield handed()
+        yield handed()
+
+    return docs.select(text).mapInArrow(run, "entity string, term string, n long").groupBy("entity", "term").agg(F.sum("n").alias("n_both"))
+
+
 def disclosing(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
-    """(entity, term, disclosed): terms that give an entity away, and the share of its information they disclose."""
-    once = lambda of: F.explode(F.array_distinct(F.transform("around", of))).alias("a")
-    pairs = found.select(once(lambda a: F.struct(a["entity"].alias("entity"), a["term"].alias("term")))).select("a.*")
-    together = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).filter(F.col("n_both") >= MIN_SHARED)
-    entities = found.select(once(lambda a: a["entity"])).groupBy(F.col("a").alias("entity")).agg(F.count(F.lit(1)).alias("n_entity"))
-    together = saved(together.join(entities, "entity"), "pairs")
-    total = docs.count()
-    wanted = together.select("term").distinct()
-    # the same word counts twice in a document if it stands there with other marks around it
-    counted = term_counts(docs, text).join(wanted, "term")
-    n_term = F.greatest("n_term", "n_both")
-    pmi = F.log2(F.lit(float(total)) * F.col("n_both") / (F.col("n_entity") * n_term))
-    ic = F.log2(F.lit(float(total)) / F.col("n_entity"))
-    return saved(together.join(counted, "term").filter(ic > 0).select(
-        "entity", "term", (pmi / ic).alias("disclosed")).filter(F.col("disclosed") >= GENERALISE), "disclosing")
-
-
-def term_spans(found: DataFrame, giving: DataFrame) -> DataFrame:
-    """key -> terms: the spans of the terms that give away an entity they stand by, with the most they disclose."""
-    at = found.select("key", F.explode("around").alias("a")).select("key", "a.entity", "a.term", "a.start", "a.end")
-    spans = at.join(giving, ["entity", "term"]).groupBy("key", "start", "end").agg(F.max("disclosed").alias("disclosed"))
+    """(term, disclosed): terms that give an entity away, and the largest share of an entity's information they disclose."""
+    entities = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    counted = saved(term_counts(docs, text), "term-counts")
+    total, tried = float(docs.count()), float(counted.count())
+    met = pair_counts(docs, text).join(entities, "entity")
+    p_entity, ic = F.col("n_entity") / total, F.log2(F.lit(total) / F.col("n_entity"))
+    part = lambda x, of: F.when(x > 0, x * F.log2(x / of)).otherwise(0.0)
+
+    def disclosed(n_term: Column) -> Column:
+        seen = F.col("n_both") / n_term
+        kl = F.when(seen > p_entity, part(seen, p_entity) + part(1 - seen, 1 - p_entity)).otherwise(0.0)
+        chance = F.pow(F.lit(2.0), -n_term * kl)
+        # an underflow to 0 is no chance at all
+        by_chance = F.lit(tried) * F.when(chance <= 0, 0.0).when(chance < 1 / math.e, -math.e * chance * F.log(chance)).otherwise(1.0)
+        return F.log2((seen + by_chance * p_entity) / (1 + by_chance) / p_entity) / ic
+
+    # a term discloses most if it stands nowhere else: pairs that could not disclose enough then are not shuffled again
+    able = met.filter((ic > 0) & (disclosed(F.col("n_both")) >= GENERALISE))
+    return saved(able.join(counted, "term").withColumn("disclosed", disclosed(F.col("n_term"))).filter(
+        F.col("disclosed") >= GENERALISE).groupBy("term").agg(F.max("disclosed").alias("disclosed")), "disclosing")
+
+
+def _bit(term: str) -> int:
+    import zlib
+
+    return zlib.crc32(term.encode("utf-8", "surrogatepass")) % BITMAP
+
+
+def term_spans(docs: DataFrame, giving: DataFrame, text: str = "text") -> DataFrame:
+    """key -> terms: the spans of disclosing terms in all `docs` (key, text), with the most they disclose."""
+    import numpy as np
+
+    rows = giving.select((F.crc32(F.col("term").cast("binary")) % BITMAP).alias("bit")).groupBy(
+        F.floor(F.col("bit") / 64).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
+    hits = rows.toPandas()  # BITMAP / 64 rows at most
+    bits = np.zeros(BITMAP // 64, np.int64)
+    bits[hits["at"].to_numpy(int)] = hits["bits"].to_numpy(np.int64)
+    sent = docs.sparkSession.sparkContext.broadcast(bits.view(np.uint8))
+
+    def run(batches):
+        import pyarrow as pa
+
+        finder, table, known = Finder(), sent.value, {}
+
+        def wanted(term: str) -> bool:
+            hit = known.get(term)
+            if hit is None:
+                if len(known) >= TABLE:
+                    known.clear()
+                at = _bit(term)
+                hit = known[term] = bool(table[at >> 3] >> (at & 7) & 1)
+            return hit
+
+        for batch in slices(batches, text):
+            keys, terms, starts, ends = [], [], [], []
+            for key, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if not t or not any(map(wanted, finder.terms(t))):
+                    continue
+                for term, start, end in finder.places(t, finder.base(t), wanted):
+                    keys.append(key)
+                    terms.append(term)
+                    starts.append(start)
+                    ends.append(end)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(terms, pa.string()), pa.array(starts, pa.int32()),
+                                              pa.array(ends, pa.int32())], names=["key", "term", "start", "end"])
+
+    at = docs.select("key", text).mapInArrow(run, "key long, term string, start int, end int")
+    # rows that repeat id and text have one key
+    spans = at.join(giving, "term").groupBy("key", "start", "end").agg(F.max("disclosed").alias("disclosed"))
     return spans.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end", "disclosed"))).alias("terms"))
 
 
@@ -204,7 +298,7 @@ def spans_of(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
     """One row per row of `docs`: doc_id, key, base and terms."""
     keyed = docs.select(F.col(id).alias("doc_id"), key_of(id, text).alias("key"), F.col(text).alias("text"))
     found = saved(detected(keyed), "personal-data")
-    terms = term_spans(found, disclosing(found, keyed.select("text")))
+    terms = term_spans(keyed.select("key", "text"), disclosing(found, keyed.select("text")))
     return found.select("doc_id", "key", "base").join(terms, "key", "left")
 
 
@@ -227,7 +321,7 @@ def sanitised(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFr
     """`docs` with base spans replaced by their kind, and disclosing terms by a mark or by nothing."""
     found = spans_of(docs, id, text).select(
         F.col("key").alias("_key"), F.col("base").alias("_base"), F.col("terms").alias("_terms")).filter(
-        "size(_base) > 0").dropDuplicates(["_key"])
+        "size(_base) > 0 or _terms is not null").dropDuplicates(["_key"])
     rows = docs.withColumn("_id", key_of(id, text)).join(found, F.col("_id") == F.col("_key"), "left")
     names = [*docs.columns, "_base", "_terms"]
     out = docs.schema

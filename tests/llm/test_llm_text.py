@@ -212,3 +212,17 @@ def test_terms_that_disclose(rows, spark):
     assert clean[92].text.startswith("x <PHONE> y") and clean[90].text is None and clean[10].text == others[0][1]
     assert len(clean) == 47 and clean[1].base == 1
     assert disclosure.without_personal_data(spark, df.limit(0), "").count() == 0
+
+
+def test_terms_far_from_the_entity_and_in_documents_without_it(rows):
+    filler = "plain words stand here for a while and say nothing at all about anyone"
+    told = [(i, f"a@b.org {filler} {filler} Marigold", "en", "s", 1) for i in range(5)]
+    alone, others = (9, f"(Marigold) {filler}", "en", "s", 1), [(10 + i, f"{filler} w{i}", "en", "s", 1) for i in range(200)]
+    twice = [(300 + i, f"c@d.org {filler} Zephyr", "en", "s", 1) for i in range(2)]
+    once = (400, f"e@f.org {filler} Hapax", "en", "s", 1)
+    df = rows(DOC, *told, alone, *others, *twice, once)
+    text = {r.doc_id: r.text for r in df.collect()}
+    spans = {r.doc_id: {text[r.doc_id][t.start:t.end] for t in r.terms or []} for r in disclosure.spans_of(df).collect()}
+    assert all(spans[i] == {"Marigold"} for i in (0, 1, 2, 3, 4, 9)) and not any(spans[r[0]] for r in others)
+    assert spans[300] == spans[301] == {"Zephyr"}  # no least number of documents
+    assert not spans[400]  # one document does not tell which of its words gives away the entity
