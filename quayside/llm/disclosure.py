@@ -65,7 +65,7 @@ def _luhn(digits: str) -> bool:
 def _passes(kind: str, found: str) -> bool:
     digits = "".join(c for c in found if "0" <= c <= "9")
     if kind == "ip":  # leading zeros do not make a part larger
-        return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in found.split("."))
+        return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in found.split("."))
     if kind == "card":
         return 16 <= len(digits) <= 19 and _luhn(digits)
     return kind != "phone" or 8 <= len(digits) <= 15

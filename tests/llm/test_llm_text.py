@@ -226,3 +226,9 @@ def test_terms_far_from_the_entity_and_in_documents_without_it(rows):
     assert all(spans[i] == {"Marigold"} for i in (0, 1, 2, 3, 4, 9)) and not any(spans[r[0]] for r in others)
     assert spans[300] == spans[301] == {"Zephyr"}  # no least number of documents
     assert not spans[400]  # one document does not tell which of its words gives away the entity
+
+
+def test_an_address_part_of_many_zeros():
+    zeros = "0" * 5000
+    assert disclosure.Finder().base(f"1.2.3.{zeros}") == [("ip", 0, 5006)]
+    assert disclosure.Finder().base(f"1.2.{zeros}7.4")[0][0] == "ip" and not disclosure.Finder().base(f"1.2.{zeros}256.4")
