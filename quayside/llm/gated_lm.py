@@ -8,10 +8,9 @@ its smoothed share of the corpus, so that every word has a probability.
 
 The state is that of a gated recurrent unit. Weights start where the model
 equals the smoothed word frequencies, and are trained by truncated
-backpropagation through time on a share `TRAIN_SHARE` of the training
-documents, chosen by hash: each task trains on the documents it holds, and the
-tasks' weights are averaged by tokens, for some rounds. What is gathered grows
-with the corpus: the counts cover all of it, and the sample is a share of it.
+backpropagation through time on all training documents: in each round a task
+streams the documents it holds through consecutive updates, and the tasks'
+weights are averaged by tokens. Weights and counts cover the whole corpus.
 
 Scoring reads each text whole. Documents of a batch run side by side, longest
 first, in windows; the state is carried from window to window, so a text has no
@@ -39,7 +38,8 @@ sent_with_jobs(__name__)
 
 FOLDS, HELD = 5, 1
 HEAD, MODELLED, CLASSES, HIDDEN = 100_000, 1023, 32, 16
-TRAIN_SHARE, ROUNDS, WINDOW, SIDE_BY_SIDE, RATE, CLIP = 0.02, 2, 16, 64, 0.05, 1.0
+ROUNDS, WINDOW, SIDE_BY_SIDE, RATE, CLIP = 2, 16, 64, 0.05, 1.0
+TRAIN_CHARS = 4 << 20  # of text that a task lays out side by side at once
 TABLE = 200_000  # words counted by a task before it hands them on
 SCORE_CHARS, SCORE_WINDOW = 4 << 20, 32
 END = ""  # as a word: the end of a text
@@ -223,12 +223,14 @@ def train_window(p: dict, squares: dict, bounds, inputs, words, h):
     return h
 
 
-def train_on(p: dict, bounds, texts, place: dict[bytes, int]) -> tuple[dict, int]:
-    """Weights after the documents `texts`, and how many tokens they have."""
+def train_on(p: dict, bounds, texts, place: dict[bytes, int], squares: dict | None = None) -> tuple[dict, int]:
+    """Weights after the documents `texts`, and how many tokens they have. `squares`: sums of the updates before, carried on."""
     import numpy as np
 
     p = {k: v.copy() for k, v in p.items()}
-    squares = {k: np.full_like(v, 1e-2) for k, v in p.items()}
+    squares = {} if squares is None else squares
+    for k, v in p.items():
+        squares.setdefault(k, np.full_like(v, 1e-2))
     other, end = bounds[-1], place[END.encode()]
     # the documents, one after the other, in rows of equal length; a row's state starts anew
     stream = [place.get(w, other) for t in texts for w in [*words_in(t), END.encode()]]
@@ -243,12 +245,10 @@ def train_on(p: dict, bounds, texts, place: dict[bytes, int]) -> tuple[dict, int
     return p, len(stream)
 
 
-def train(docs: DataFrame, corpus: Corpus, text: str = "text", id: str = "doc_id") -> dict:
-    """Weights after some rounds over a share of the training documents, averaged over tasks by tokens."""
+def train(docs: DataFrame, corpus: Corpus, text: str = "text") -> dict:
+    """Weights after some rounds over all training documents, averaged over tasks by tokens."""
     import numpy as np
 
-    drawn = F.pmod(F.xxhash64(F.col(id).cast("string"), F.lit("language model")), F.lit(1 << 30)) < int(TRAIN_SHARE * (1 << 30))
-    sample = saved(docs.filter(drawn).select(text), "language-model-sample")
     weights, bounds = start(corpus), corpus.bounds
     place = {w.encode(): i for i, w in enumerate(corpus.modelled)}
     names = list(weights)
@@ -258,29 +258,22 @@ def train(docs: DataFrame, corpus: Corpus, text: str = "text", id: str = "doc_id
         def run(batches):
             import pyarrow as pa
 
-            texts, sums, total = [], None, 0
-
-            def done():
-                nonlocal sums, total
-                trained, n = train_on(given, bounds, texts, place)
-                flat = np.concatenate([trained[k].ravel().astype(np.float64) for k in names]) * n
-                sums, total = flat if sums is None else sums + flat, total + n
-                texts.clear()
-
-            size = 0
+            trained, squares, texts, total, size = given, {}, [], 0, 0
             for batch in slices(batches, text):
                 texts += batch.column(0).to_pylist()
                 size += batch.nbytes
-                if size > 4 << 20:
-                    done()
-                    size = 0
+                if size > TRAIN_CHARS:
+                    trained, n = train_on(trained, bounds, texts, place, squares)
+                    texts, total, size = [], total + n, 0
             if texts:
-                done()
+                trained, n = train_on(trained, bounds, texts, place, squares)
+                total += n
             if total:
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums))), pa.array(sums), pa.array(np.full(len(sums), total))],
+                flat = np.concatenate([trained[k].ravel().astype(np.float64) for k in names]) * total
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat), pa.array(np.full(len(flat), total))],
                                                  names=["at", "s", "n"])
 
-        found = sample.mapInArrow(run, "at long, s double, n long").groupBy("at").agg(
+        found = docs.select(text).mapInArrow(run, "at long, s double, n long").groupBy("at").agg(
             F.sum("s").alias("s"), F.sum("n").alias("n")).toPandas().sort_values("at")  # a row per weight
         if not len(found):
             break

@@ -180,3 +180,17 @@ def test_words_beyond_the_head_meet_their_counts(spark, sf, monkeypatch):
     want = {r.doc_id: r for r in gated_lm.scored(docs, counts, whole, gated_lm.start(whole)).collect()}
     for r in gated_lm.scored(docs, counts, few, gated_lm.start(few)).collect():
         assert r.n_known == want[r.doc_id].n_known and math.isclose(r.base_score, want[r.doc_id].base_score, rel_tol=1e-9)
+
+
+def test_training_reads_every_document_and_goes_on_from_block_to_block(rows):
+    docs = rows("doc_id long, text string", *[(i, f"own{i} the cat") for i in range(40)]).coalesce(1)
+    corpus = gated_lm.survey(gated_lm.word_counts(docs))
+    weights, first = gated_lm.train(docs, corpus), gated_lm.start(corpus)
+    own = [corpus.modelled.index(f"own{i}") for i in range(40)]
+    assert all(np.any(weights["x"][i] != first["x"][i]) for i in own)  # each was an input of some update
+    place, texts = {w.encode(): i for i, w in enumerate(corpus.modelled)}, ["the cat of the cat " * 40] * 2
+    squares: dict = {}
+    p, _ = gated_lm.train_on(first, corpus.bounds, texts, place, squares)
+    before = {k: v.copy() for k, v in squares.items()}
+    gated_lm.train_on(p, corpus.bounds, texts, place, squares)
+    assert all((squares[k] >= before[k]).all() for k in squares) and (squares["u"] > before["u"]).any()
