@@ -78,7 +78,7 @@ def slices(batches, text: str, chars: int = 1 << 20):
             start = end
 
 
-def summed(vectors: DataFrame, tasks: int = 32):
+def summed(vectors: DataFrame, tasks: int = 8):
     """The sum of binary float64 vectors of one length, a column named `sums`; tasks add them up before the driver sees any. None without rows."""
     import numpy as np
 

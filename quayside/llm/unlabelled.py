@@ -42,7 +42,7 @@ sent_with_jobs(__name__)
 HELD_FOLDS, HELD = 3, 1
 KNOTS = 12  # of a statistic, at most
 STEPS = 12  # Newton steps of a model, at most
-RIDGE = 1.0  # over the number of positives
+RIDGE = 10.0  # over the number of positives
 LEVELS = 32  # of the first model's score to one unit of its logit
 THRESHOLD = 0.5
 CONFIDENCE = 0.1  # chance that the prior's upper bound fails
