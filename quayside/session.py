@@ -23,6 +23,8 @@ RUNTIME_CONF = {
     # the JVM does not compile methods above this size: converting a wide table
     # in one generated method would be interpreted, in several it is compiled
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # rows go to Python and back in batches of this size, however long their texts are
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 
