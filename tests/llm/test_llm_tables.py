@@ -70,30 +70,56 @@ def test_archives_of_an_empty_table(rows, spark):
 
 # neighbours
 
-def test_neighbours_are_found(spark, sf):
-    table = spark.read.parquet(f"{sf}/embeddings.parquet")
-    data = [(r.vec_id, r.embedding) for r in table.collect()]
-    ids, vectors = np.array([d[0] for d in data]), np.array([d[1] for d in data], float)
-    got = {}
-    for r in sorted(neighbours.nearest(table).collect(), key=lambda r: (r.query_id, r["rank"])):
+def recall(found, ids, vectors, k=20):
+    """Share of the true neighbours found; scores and order are checked on the way."""
+    got, at, hits = {}, {i: n for n, i in enumerate(ids)}, 0
+    for r in sorted(found.collect(), key=lambda r: (r.query_id, r["rank"])):
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
-    hits = 0
     for i, q in zip(ids, vectors):
         if i % 20 == 0:
             scores, other = (vectors * q).sum(1), ids != i
-            best = ids[other][np.lexsort((ids[other], -scores[other]))[:20]]
-            assert len(got[i]) == 20 and all(abs(scores[list(ids).index(v)] - s) < 1e-12 for v, s in got[i])
-            hits += len(set(best) & {v for v, _ in got[i]})
-    assert hits >= 0.9 * 20 * len(got)
+            best = ids[other][np.lexsort((ids[other], -scores[other]))[:k]]
+            assert len(got[i]) == len(best) and all(abs(scores[at[v]] - s) < 1e-12 for v, s in got[i])
+            assert got[i] == sorted(got[i], key=lambda f: (-f[1], f[0]))
+            hits += len(set(best) & {v for v, _ in got[i]}) / len(best)
+    return hits / len(got)
+
+
+@pytest.mark.parametrize("leaf_rows,block", [(4096, 8192), (60, 25)])
+def test_neighbours_are_found(spark, leaf_rows, block):
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    data = table.collect()
+    ids, vectors = np.array([r.vec_id for r in data]), np.array([r.embedding for r in data], float)
+    assert recall(neighbours.nearest(table, leaf_rows=leaf_rows, block=block), ids, vectors) >= 0.9
+
+
+def test_queries_skip_leaves_of_clustered_data(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    vectors = np.repeat(rng.standard_normal((12, 16)) * 6, 100, 0) + rng.standard_normal((1200, 16)) * 0.3
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    routed = []
+    of = neighbours._routed
+    monkeypatch.setattr(neighbours, "_routed", lambda *a: routed.append(of(*a)) or routed[-1])
+    found = neighbours.nearest(df, k=5, leaf_rows=100, block=70)
+    assert recall(found, np.arange(1200), vectors, 5) >= 0.9
+    assert 0 < routed[0].count() < 0.5 * 60 * 11  # of queries and other leaves
 
 
 def test_search_stops_early_on_data_of_few_dimensions():
     rng = np.random.default_rng(1)
     points = rng.standard_normal((4000, 3))
     norm2 = (points ** 2).sum(1).max()
-    found = list(neighbours.search(np.arange(4000), points, np.arange(20), points[:20] * 3, norm2, 5))
-    hits = sum(len(set(np.argsort(-(points @ points[q]))[:5]) & set(ids.tolist())) for q, ids, _, _ in found)
-    assert hits >= 95 and sum(f[3] for f in found) < 0.85 * 20 * 4000
+    q, r, scores, verified = neighbours.search(np.arange(4000), points, points[:20] * 3, np.full(20, -np.inf), norm2, 5)
+    hits = sum(len(set(np.argsort(-(points @ points[i]))[:5]) & set(r[q == i].tolist())) for i in range(20))
+    assert hits >= 95 and verified < 0.85 * 20 * 4000 and np.allclose(scores, (points[r] * points[q] * 3).sum(1))
+
+
+def test_planes_hold_every_point_whatever_repeats():
+    points = np.array([[0.0, 0.0]] * 500 + [[1.0, i % 7] for i in range(500)])
+    nodes = neighbours.planes(points, 32)
+    leaves = neighbours.leaf_of(points, nodes)
+    assert set(leaves) <= set(range(len(nodes) + 1)) and len(set(leaves)) > 3 and len(set(leaves[:500])) == 1
+    assert neighbours.planes(points[:0], 4) == [] and (neighbours.leaf_of(points, []) == 0).all()
 
 
 def test_vectors_that_take_no_part(rows):
@@ -105,9 +131,10 @@ def test_vectors_that_take_no_part(rows):
     assert neighbours.nearest(df.limit(0)).count() == 0
 
 
-def test_ties_of_a_hot_vector_go_to_smaller_ids(spark):
+@pytest.mark.parametrize("block", [8192, 3])
+def test_ties_of_a_hot_vector_go_to_smaller_ids(spark, block):
     df = spark.createDataFrame([(i, [1.0, 1.0]) for i in range(200)] + [(i, [float(i), -1.0]) for i in range(200, 230)], "vec_id long, embedding array<float>")
-    got = [r.vec_id for r in sorted(neighbours.nearest(df, k=40).filter("query_id = 0").collect(), key=lambda r: r["rank"])]
+    got = [r.vec_id for r in sorted(neighbours.nearest(df, k=40, leaf_rows=block, block=block).filter("query_id = 0").collect(), key=lambda r: r["rank"])]
     assert got == [*range(229, 199, -1), *range(1, 11)]
 
 
