@@ -2,25 +2,23 @@
 
 from __future__ import annotations
 
-import csv
-import io
 import tarfile
 import zipfile
-from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quayside.operators.spread import shuffle_partitions
 from quayside.session import sent_with_jobs
-from quayside.sources.csv_tables import places
+from quayside.sources.csv_tables import fields_of, names_of, places
 from quayside.sources.files import open_seekable
+from quayside.sources.ranges import record_ends, texts
 
 sent_with_jobs(__name__)
 
-_BATCH = 4096
+_CHUNK = 1 << 20
 HEADER = -1  # record_no of a member's header
-RECORD = "path string, member string, table_name string, record_no bigint, fields array<string>"
+RECORD = "path string, member string, table_name string, record_no bigint, record string, at array<int>"
 MEMBER = "path string, member string, table_name string, size bigint"
 
 
@@ -43,35 +41,52 @@ def _base(member: str) -> str:
     return member.rsplit("/", 1)[-1].rsplit(".", 1)[0]
 
 
-def _records(stream, headers: list[str], on_bad_utf8: str) -> Iterator[list]:
-    """The file's own header, then the fields of each record in the order of `headers`; absent columns are None."""
-    text = io.TextIOWrapper(stream, encoding="utf-8", errors="ignore" if on_bad_utf8 == "drop" else "strict", newline="")
-    csv.field_size_limit(2**31 - 1)
-    reader = csv.reader(text)
-    names = next(reader, [])
-    yield names
-    at = places(names, headers)
-    for row in reader:
-        if row:  # blank lines are no records
-            yield [row[p] if p is not None and p < len(row) else None for p in at]
+def _landed(stream, path: str, member: str, table: str, headers: list[str], on_bad_utf8: str):
+    """Arrow batches of a member's records as they stand in it, its own header first; only quotes and line feeds are looked at.
 
-
-def _batches(path, member, table, records) -> Iterator[pd.DataFrame]:
-    held, start = [], HEADER  # the header comes first
-    for fields in records:
-        held.append(fields)
-        if len(held) == _BATCH:
-            yield _frame(path, member, table, start, held)
-            held, start = [], start + len(held)
-    if held:
-        yield _frame(path, member, table, start, held)
-
-
-def _frame(path, member, table, start, rows) -> pd.DataFrame:
-    return pd.DataFrame({
-        "path": path, "member": member, "table_name": table,
-        "record_no": range(start, start + len(rows)), "fields": rows,
-    })
+    `at` says where the wanted headers stand in a record.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    on_bad, held, inside, no, at = "ignore" if on_bad_utf8 == "drop" else "fail", [], 0, HEADER, None
+    while True:
+        chunk = stream.read(_CHUNK)
+        if chunk:
+            ends, inside = record_ends(chunk, inside)
+            if not len(ends):
+                held.append(chunk)
+                continue
+            cut = int(ends[-1])
+            data, ends = b"".join([*held, chunk[:cut]]), (ends + sum(map(len, held))).tolist()
+            held = [chunk[cut:]]
+        else:
+            data, held = b"".join(held), []
+            ends = [len(data)] if data else []
+        found = texts(data, ends, on_bad)
+        if at is None and (len(found) or not chunk):
+            names = names_of(found[0].as_py().removeprefix("\ufeff")) if len(found) else []
+            at = places(names, headers)
+            yield _batch(path, member, table, HEADER, found[:1] if len(found) else pa.array([""]), list(range(len(names))))
+            found, no = found[1:], 0
+        # blank lines are no records
+        found = found.filter(pa.array([t not in ("\n", "\r\n", "") for t in found.to_pylist()], pa.bool_()))
+        if len(found):
+            yield _batch(path, member, table, no, found, at)
+            no += len(found)
+        if not chunk:
+            return
+
+
+def _batch(path, member, table, no, found, at):
+    import numpy as np
+    import pyarrow as pa
+
+    n = len(found)
+    same = lambda value, kind: pa.repeat(pa.scalar(value, kind), n)
+    return pa.RecordBatch.from_arrays([
+        same(path, pa.string()), same(member, pa.string()), same(table, pa.string()), pa.array(np.arange(no, no + n)), found,
+        same(at, pa.list_(pa.int32()))], names=[c.split(" ")[0] for c in RECORD.split(", ")])
 
 
 def _csv_entries(path: str) -> list[zipfile.ZipInfo]:
@@ -112,20 +127,22 @@ def skipped_members(archives: DataFrame, tables: list[str]) -> DataFrame:
 def zip_records(archives: DataFrame, columns: dict[str, list[str]], *, on_bad_utf8: str = "fail") -> DataFrame:
     """CSV records of the listed members: {table: [header, ...]} fixes which fields come, in which order.
 
-    Members are dealt out to tasks one by one; a task seeks to its member and
-    streams it, so neither an archive nor a member is ever held whole. Each
-    member's own header comes along as record HEADER, also of one without rows.
+    Members are dealt out to tasks one by one; a task seeks to its member,
+    inflates it and cuts it where records end, so neither an archive nor a
+    member is ever held whole. Fields are taken apart later, by as many tasks as
+    read the records (`rows_of`, `one_table`). Each member's own header comes
+    along as record HEADER, also of one without rows.
     """
 
-    def unpacked(frames):
-        for frame in frames:
-            for path, member, table in zip(frame["path"], frame["member"], frame["table_name"]):
+    def unpacked(batches):
+        for batch in batches:
+            for path, member, table in zip(*(c.to_pylist() for c in batch.columns)):
                 with open_seekable(path) as raw, zipfile.ZipFile(raw) as z, z.open(member) as stream:
-                    yield from _batches(path, member, table, _records(stream, columns[table], on_bad_utf8))
+                    yield from _landed(stream, path, member, table, columns[table], on_bad_utf8)
 
     # a fixed number of tasks: members look tiny as listed, and AQE would put them all into one
     members = zip_members(archives, list(columns)).repartition(shuffle_partitions(archives))
-    return members.mapInPandas(unpacked, RECORD)
+    return members.select("path", "member", "table_name").mapInArrow(unpacked, RECORD)
 
 
 def tar_records(archives: DataFrame, columns: dict[str, list[str]], *, folder: str = "data",
@@ -137,27 +154,31 @@ def tar_records(archives: DataFrame, columns: dict[str, list[str]], *, folder: s
     """
     wanted = {f"{folder}/{t}.csv": t for t in columns}
 
-    def unpacked(frames):
-        for frame in frames:
-            for path in frame["path"]:
+    def unpacked(batches):
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
                 with open_seekable(path) as raw, tarfile.open(fileobj=raw, mode="r:gz") as tar:
                     for entry in tar:
                         table = wanted.get(entry.name.removeprefix("./"))
                         if table and entry.isfile():
-                            records = _records(tar.extractfile(entry), columns[table], on_bad_utf8)
-                            yield from _batches(path, entry.name, table, records)
+                            yield from _landed(tar.extractfile(entry), path, entry.name, table, columns[table], on_bad_utf8)
+
+    return archives.select("path").repartition(shuffle_partitions(archives)).mapInArrow(unpacked, RECORD)
+
 
-    return archives.select("path").repartition(shuffle_partitions(archives)).mapInPandas(unpacked, RECORD)
+def _fields() -> Column:
+    """The wanted fields of a record, in order; of a header all."""
+    return F.element_at(F.transform(F.array(fields_of(F.col("record"))), lambda own: F.transform("at", lambda i: F.get(own, i))), 1)
 
 
 def rows_of(records: DataFrame) -> DataFrame:
-    """Without the headers."""
-    return records.filter(F.col("record_no") > HEADER)
+    """Without the headers, taken apart: path, member, table_name, record_no, fields."""
+    return records.filter(F.col("record_no") > HEADER).select("path", "member", "table_name", "record_no", _fields().alias("fields"))
 
 
 def found_members(records: DataFrame) -> DataFrame:
     """Members that came out of the archives, with their own headers (`fields`), rows or none."""
-    return records.filter(F.col("record_no") == HEADER).select("path", "member", "table_name", "fields")
+    return records.filter(F.col("record_no") == HEADER).select("path", "member", "table_name", _fields().alias("fields"))
 
 
 def missing_tables(records: DataFrame, expected: list[str]) -> DataFrame:
@@ -173,7 +194,7 @@ def one_table(records: DataFrame, table: str, headers: list[str], present: list[
     """
     at = places(present, headers) if present is not None else [0] * len(headers)
     fields = [F.nullif(F.col("fields")[i], F.lit("")).alias(h) for i, h in enumerate(headers) if at[i] is not None]
-    return rows_of(records).filter(F.col("table_name") == table).select(*fields)
+    return rows_of(records.filter(F.col("table_name") == table)).select(*fields)
 
 
 def land(records: DataFrame, folder: str, *, records_per_file: int = 2_000_000) -> DataFrame:

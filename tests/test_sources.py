@@ -7,6 +7,7 @@ import zipfile
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from quayside.operators import staging as sg
 from quayside.operators.store import Store
@@ -108,6 +109,73 @@ def test_sql_dump_escapes(spark, tmp_path):
     assert sorted(tuple(r) for r in got) == [(4, "it's\n(a) \\n", 1.5, "q'"), (5, "now(1,2)", 0.0, ","), (6, long, 2.0, "'")]
 
 
+# --- files read by ranges
+
+def _random_csv(rnd, n):
+    fields = lambda: [rnd.choice(['a', '', 'b c', 'é' * 5, 'say ""x""', 'line\nfeed', 'line\r\nfeed', ',', '""', '\n\n', 'x' * 70]) for _ in range(3)]
+    return "".join(",".join([str(i), *(f'"{f}"' for f in fields())]) + rnd.choice(["\n", "\r\n", "\n\n"]) for i in range(n))
+
+
+@pytest.mark.parametrize("size", [1, 13, 200, 1 << 20])
+def test_csv_ranges_equal_one_task(spark, tmp_path, size):
+    import random
+
+    rnd = random.Random(size)
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_bytes(("id,A,b,a\n" + _random_csv(rnd, 60 * i)).encode()[:None if i < 2 else -1])  # one empty, one without a last line feed
+    got = read_csv(spark, str(tmp_path), range_bytes=size)
+    want = spark.read.options(header=True, multiLine=True, quote='"', escape='"').csv(str(tmp_path))
+    assert got.columns == want.columns == ["id", "A1", "b", "a3"]
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 180
+
+
+def test_csv_ranges_go_to_several_tasks(spark, tmp_path):
+    from quayside.sources.ranges import records
+
+    (tmp_path / "a.csv").write_text("id,t\n" + "".join(f'{i},"{i}\n{i}"\n' for i in range(2000)))
+    parts = records(spark, str(tmp_path / "a.csv"), "csv", 1000).select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(parts) > 4 and sum(r["count"] for r in parts) == 2001
+
+
+def test_an_empty_csv_has_no_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("")
+    assert read_csv(spark, str(tmp_path)).columns == []
+
+
+@pytest.mark.parametrize("size", [1, 37, 300, 1 << 20])
+def test_dump_ranges_equal_plain_parsing(spark, tmp_path, size):
+    import random
+
+    rnd = random.Random(size)
+    texts = ["a;\nb", "it''s", "x\\'y;\n", "(a), (b)", "end\\\\", "-- no comment", ";\nINSERT INTO `t` VALUES (9,'no')", "", "`tick", "é" * 30]
+    plain = {"it''s": "it's", "x\\'y;\n": "x'y;\n", "end\\\\": "end\\"}
+    dump, want = "-- it's a dump\n/*!40101 SET x='y' */;\n", []
+    for i in range(80):
+        some = [(i * 10 + k, rnd.choice(texts)) for k in range(rnd.choice([1, 1, 3]))]
+        want += [(k, plain.get(t, t)) for k, t in some]
+        dump += rnd.choice(["", "\n", "-- don't\n", "LOCK TABLES `t` WRITE;\n"]) + "INSERT INTO `t` VALUES" + rnd.choice([" ", "\n"]) + ",\n".join(
+            f"({k},'{t}')" for k, t in some) + ";" + rnd.choice(["\n", "\r\n", " \n"])
+    (tmp_path / "d.sql").write_bytes((dump + "INSERT INTO `t` VALUES (5000,'last')").encode())
+    got = read_sql_dump(spark, str(tmp_path / "d.sql"), "t", "id bigint, note string", range_bytes=size)
+    assert sorted(map(tuple, got.collect())) == sorted([*want, (5000, "last")])
+
+
+def test_members_are_cut_at_records_whatever_the_chunks(spark, tmp_path, monkeypatch):
+    import random
+
+    text = "Id,A,B,C\n" + _random_csv(random.Random(3), 200)
+    _zip(tmp_path / "a.zip", [("Piers.csv", text)], 1000)
+    one, headers = ar.list_archives(spark, str(tmp_path)), {"Piers": ["c", "id"]}
+    whole = sorted(map(str, ar.rows_of(ar.zip_records(one, headers)).collect()))
+    monkeypatch.setattr(ar, "_CHUNK", 17)
+    assert sorted(map(str, ar.rows_of(ar.zip_records(one, headers)).collect())) == whole and len(whole) == 200
+    import csv
+
+    plain = [r for r in csv.reader(io.StringIO(text, newline="")) if r][1:]
+    got = {r["record_no"]: r["fields"] for r in ar.rows_of(ar.zip_records(one, headers)).collect()}
+    assert [got[i] for i in range(200)] == [[r[3], r[0]] for r in plain]
+
+
 # --- registry, conversion, staging -----------------------------------------------
 
 def test_registry():

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quayside.functions import convert as cv
-from workload.roles import facts
+from workload.roles import table
 
 # text per order and row kind: (Spark expression, DuckDB expression)
 _DATE_FORMS = [
@@ -51,7 +51,7 @@ _INPUT = {
 
 def _query(kind: str, **columns):
     def run(spark, sf):
-        raw = facts(spark, sf, "orders").select("o_orderkey", F.expr(_INPUT[kind][0]).alias("raw"))
+        raw = table(spark, sf, "orders").select("o_orderkey", F.expr(_INPUT[kind][0]).alias("raw"))
         return raw.select("o_orderkey", "raw", *[f(F.col("raw")).alias(n) for n, f in columns.items()])
 
     return run
@@ -82,6 +82,12 @@ def _strp(c: str, *notations: str) -> str:
     return f"case when {c} = trim({c}) then coalesce({tries}) end"
 
 
+# Which notations each converter knows, in the order it tries them; written out here, so that a slip there shows.
+_STAMP = ("m/d/Y H:M:S", "Y-m-d H:M:S", "m/d/Y H:M", "Y-m-d H:M")
+_DATE = ("Y-m-d", "m/d/Y", "d/m/Y", "Y/m/d", "m-d-Y")
+_PERSON_STAMP = ("Y-m-d H:M:S", "m/d/Y H:M:S", "m/d/Y", "Y-m-d", "d/m/Y", "Y/m/d", "m-d-Y")
+_PERSON_DATE = ("m/d/Y H:M:S", "m/d/Y", "Y-m-d", "d/m/Y", "Y/m/d", "m-d-Y")
+_ISO_STAMP = ("m/d/Y H:M:S", "Y-m-d H:M:S", "Y-m-dTH:M:S", "m/d/Y", "Y-m-d")
 _true, _false = "('TRUE', '1', 'YES', 'Y')", "('FALSE', '0', 'NO', 'N')"
 
 QUERIES = {
@@ -113,15 +119,15 @@ QUERIES = {
                         money=lambda c: cv.loaded(c, "decimal(9,2)").cast("double")),
 }
 
-_trimmed = f"case when not {_NULLISH} then {_strp('trim(raw)', *cv.STAMP_NOTATIONS)} end"
+_trimmed = f"case when not {_NULLISH} then {_strp('trim(raw)', *_STAMP)} end"
 ORACLE = {
-    "cv_stamp": _oracle("dates", value=_strp("raw", *cv.STAMP_NOTATIONS)),
-    "cv_day": _oracle("dates", value=f"cast({_strp('raw', *cv.DATE_NOTATIONS)} as date)"),
-    "cv_person_stamp": _oracle("dates", value=f"case when not {_NULLISH} then {_strp('trim(raw)', *cv.PERSON_STAMP_NOTATIONS)} end"),
-    "cv_person_day": _oracle("dates", value=f"cast(case when not {_NULLISH} then {_strp('trim(raw)', *cv.PERSON_DATE_NOTATIONS)} end as date)"),
+    "cv_stamp": _oracle("dates", value=_strp("raw", *_STAMP)),
+    "cv_day": _oracle("dates", value=f"cast({_strp('raw', *_DATE)} as date)"),
+    "cv_person_stamp": _oracle("dates", value=f"case when not {_NULLISH} then {_strp('trim(raw)', *_PERSON_STAMP)} end"),
+    "cv_person_day": _oracle("dates", value=f"cast(case when not {_NULLISH} then {_strp('trim(raw)', *_PERSON_DATE)} end as date)"),
     "cv_iso_stamp": _oracle(
-        "dates", value=f"case when not {_NULLISH} then {_strp('trim(raw)', *cv.ISO_STAMP_NOTATIONS)} end",
-        short_words=_strp("trim(raw)", *cv.ISO_STAMP_NOTATIONS)),
+        "dates", value=f"case when not {_NULLISH} then {_strp('trim(raw)', *_ISO_STAMP)} end",
+        short_words=_strp("trim(raw)", *_ISO_STAMP)),
     "cv_trimmed_stamp": _oracle("dates", value=_trimmed),
     "cv_number_or_zero": _oracle("numbers", value=f"coalesce({_num}, 0.0)"),
     "cv_whole": _oracle("numbers", value=_int),

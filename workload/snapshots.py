@@ -6,15 +6,17 @@ one place; the archives of one folder together hold whole tables.
 
 from __future__ import annotations
 
-import io
 import tarfile
 import zipfile
+from itertools import chain, groupby
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from quayside.operators.spread import shuffle_partitions
 from quayside.session import sent_with_jobs
-from quayside.sources.files import write_bytes
+from quayside.sources.files import open_output
 
 sent_with_jobs(__name__)
 
@@ -28,39 +30,48 @@ def as_csv(df: DataFrame, member: str) -> DataFrame:
     )
 
 
+class _Read:
+    """Pieces of bytes as a file to read from."""
+
+    def __init__(self, pieces):
+        self.pieces, self.left = pieces, b""
+
+    def read(self, n: int) -> bytes:
+        while len(self.left) < n and (piece := next(self.pieces, None)) is not None:
+            self.left += piece
+        taken, self.left = self.left[:n], self.left[n:]
+        return taken
+
+
 def write_archives(lines: DataFrame, folder: str, kind: str, *, junk: bytes = b"") -> DataFrame:
     """Write <folder>/part-<n>.zip or .tar.gz; returns (path). `junk` bytes are put before each line's end.
 
-    There are as many archives as the scan has partitions (four at least), so
-    their number grows with the data and not their size.
+    Lines are dealt out by hash to as many archives as a shuffle has partitions,
+    and streamed into the open member, so no archive is ever held whole.
     """
-    archives = max(4, lines.rdd.getNumPartitions())
+    ways, end = shuffle_partitions(lines), junk + b"\r\n"
+    dealt = lines.withColumn("archive", F.pmod(F.xxhash64("line"), F.lit(ways)))
+    # a tar names a member's size ahead of its bytes
+    sizes = dealt.groupBy("archive", "member", "header").agg(
+        (F.sum(F.octet_length("line") + len(end)) + F.octet_length("header") + 2).alias("size"))
+    whole = dealt.join(sizes, ["archive", "member", "header"]).repartition(ways, "archive").sortWithinPartitions("archive", "member", "header")
 
     def write(frames):
-        from pyspark import TaskContext
-
-        held: dict[tuple, list] = {}
-        for frame in frames:
-            for (member, header), group in frame.groupby(["member", "header"], sort=False):
-                held.setdefault((member, header), []).extend(group["line"])
-        if not held:
-            return
-        n = TaskContext.get().partitionId()
-        suffix = ".zip" if kind == "zip" else "-DATA.sql.gz"
-        buffer = io.BytesIO()
-        opened = zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) if kind == "zip" else tarfile.open(fileobj=buffer, mode="w:gz")
-        with opened as out:
-            for (member, header), rows in held.items():
-                end = junk + b"\r\n"
-                data = header.encode() + b"\r\n" + b"".join(r.encode("utf-8") + end for r in rows)
-                if kind == "zip":
-                    out.writestr(member, data)
-                else:
-                    info = tarfile.TarInfo(member)
-                    info.size = len(data)
-                    out.addfile(info, io.BytesIO(data))
-        path = f"{folder}/part-{n:05d}{suffix}"
-        write_bytes(path, buffer.getvalue())
-        yield pd.DataFrame({"path": [path]})
-
-    return lines.repartition(archives).mapInPandas(write, "path string")
+        rows = (r for f in frames for r in zip(f["archive"], f["member"], f["header"], f["size"], f["line"]))
+        for archive, own in groupby(rows, itemgetter(0)):
+            path = f"{folder}/part-{archive:05d}{'.zip' if kind == 'zip' else '-DATA.sql.gz'}"
+            with open_output(path) as raw, (
+                    zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) if kind == "zip" else tarfile.open(fileobj=raw, mode="w|gz")) as out:
+                for (member, header, size), some in groupby(own, itemgetter(1, 2, 3)):
+                    pieces = chain([header.encode() + b"\r\n"], (r[4].encode() + end for r in some))
+                    if kind == "zip":
+                        with out.open(member, "w") as stream:
+                            for piece in pieces:
+                                stream.write(piece)
+                    else:
+                        info = tarfile.TarInfo(member)
+                        info.size = size
+                        out.addfile(info, _Read(pieces))
+            yield pd.DataFrame({"path": [path]})
+
+    return whole.select("archive", "member", "header", "size", "line").mapInPandas(write, "path string")

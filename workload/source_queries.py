@@ -11,7 +11,7 @@ from quayside.session import new_folder
 from quayside.sources import archives as ar
 from quayside.sources.csv_tables import by_header, read_csv
 from quayside.sources.sql_dump import read_sql_dump
-from workload.roles import facts, plain, table
+from workload.roles import plain, table
 from workload.snapshots import as_csv, write_archives
 
 DOCS = ["doc_id", "text", "lang", "source"]
@@ -97,19 +97,28 @@ def csv_by_header(spark, sf):
     return by_header(raw, {"doc_id": "Doc_Id", "text": "TEXT", "missing": "Nowhere"}).withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
+def csv_split(spark, sf):
+    """Files whose texts hold line feeds and quotes, each read by many tasks."""
+    folder = new_folder(spark, "csv")
+    table(spark, sf, "documents").select("doc_id", F.concat(F.lit('"'), F.coalesce("text", F.lit("")), F.lit('"\n.')).alias("text"), "lang").write.option(
+        "header", True).option("escape", '"').option("quoteAll", True).csv(folder)
+    raw = read_csv(spark, folder, range_bytes=1 << 18)
+    return raw.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
 def sql_dump(spark, sf):
-    """Two rows per statement, with quotes, commas and parentheses in the text."""
+    """Two rows per statement, with quotes, commas, parentheses and ends of statements in the text; read by many tasks."""
     folder = new_folder(spark, "dump")
     orders = table(spark, sf, "orders").select(F.concat(
         F.lit("INSERT INTO `orders` VALUES ("), F.col("o_orderkey").cast("string"), F.lit(",'O\\'Neil (no. "),
-        F.col("o_custkey").cast("string"), F.lit("), back\\\\slash',"),
+        F.col("o_custkey").cast("string"), F.lit(");\n-- back\\\\slash',"),
         F.col("o_totalprice").cast("decimal(12,2)").cast("string"), F.lit(",NULL),\n("),
         (-F.col("o_orderkey") - 1).cast("string"), F.lit(",NULL, x ,'"), F.col("o_orderpriority"), F.lit("')"),
     ).alias("value"))
     other = table(spark, sf, "nation").select(F.concat(
-        F.lit("insert into `nation` values ("), F.col("n_nationkey").cast("string"), F.lit(")")).alias("value"))
+        F.lit("-- it's the next table\ninsert into `nation` values ("), F.col("n_nationkey").cast("string"), F.lit(")")).alias("value"))
     orders.unionByName(other).write.option("lineSep", ";\n").text(folder)
-    return plain(read_sql_dump(spark, folder, "ORDERS", "id bigint, note string, price decimal(12,2), priority string"))
+    return plain(read_sql_dump(spark, folder, "ORDERS", "id bigint, note string, price decimal(12,2), priority string", range_bytes=1 << 18))
 
 
 # --- conversion and staging ----------------------------------------------------
@@ -132,7 +141,7 @@ _US = {"spark": "date_format(o_orderdate, 'MM/dd/yyyy HH:mm:ss')", "duck": "strf
 
 
 def _raw_reservations(spark, sf):
-    return facts(spark, sf, "orders").selectExpr(*[f"{e.format(us=_US['spark'])} as `{c}`" for c, e in _RESERVATIONS.items()])
+    return table(spark, sf, "orders").selectExpr(*[f"{e.format(us=_US['spark'])} as `{c}`" for c, e in _RESERVATIONS.items()])
 
 
 def reservations(spark, sf):
@@ -146,7 +155,7 @@ def reservations_bad(spark, sf):
 
 
 def invoice_items(spark, sf):
-    raw = facts(spark, sf, "lineitem").selectExpr(
+    raw = table(spark, sf, "lineitem").selectExpr(
         "cast(l_orderkey * 10 + l_linenumber as string) as Id",
         "case l_linenumber when 1 then 'N/A' when 2 then cast(l_orderkey as string) || '.0' else cast(l_orderkey as string) end as InvoiceId",
         "case l_returnflag when 'R' then 'NONE' else cast(cast(l_extendedprice as decimal(12,2)) as string) end as Total",
@@ -184,7 +193,7 @@ def _rental_text(duck: bool) -> dict[str, str]:
 
 
 def _raw_booking_boats(spark, sf):
-    return facts(spark, sf, "events").selectExpr(*[f"{e} as `{c}`" for c, e in _rental_text(False).items()])
+    return table(spark, sf, "events").selectExpr(*[f"{e} as `{c}`" for c, e in _rental_text(False).items()])
 
 
 def booking_boats(spark, sf):
@@ -368,7 +377,8 @@ QUERIES = {
     "src_warehouse_scan": warehouse_scan,
     "src_latest_archive": latest, "src_zip_members": zip_documents, "src_tar_members": tar_documents,
     "src_zip_landed": zip_landed, "src_member_counts": member_counts, "src_missing_members": missing_members,
-    "src_undecodable_dropped": undecodable, "src_csv_by_header": csv_by_header, "src_sql_dump": sql_dump,
+    "src_undecodable_dropped": undecodable, "src_csv_by_header": csv_by_header, "src_csv_split": csv_split,
+    "src_sql_dump": sql_dump,
     "cv_table_reservations": reservations, "cv_table_bad_rows": reservations_bad, "cv_table_invoice_items": invoice_items,
     "cv_table_slips": slips, "cv_table_booking_boats": booking_boats, "cv_table_all": all_converted,
     "src_skipped_members": skipped, "snk_replace_all": replaced_all, "snk_replace": replaced, "snk_replace_if_filled": only_if_filled, "snk_unlisted_columns": unlisted_columns,
@@ -425,8 +435,9 @@ union all select * from (select 'tar', path, length from l where path like '%-DA
 select t as table_name from (select unnest(['documents', 'customer', 'holidays']) as t)
 where t not in (select 'documents' from documents union all select 'customer' from customer)""",
     "src_csv_by_header": "select doc_id, nullif(text, '') as text, cast(null as varchar) as missing from documents",
+    "src_csv_split": "select doc_id, '\"' || coalesce(text, '') || '\"' || chr(10) || '.' as text, lang from documents",
     "src_sql_dump": """
-select o_orderkey as id, 'O''Neil (no. ' || cast(o_custkey as varchar) || '), back\\slash' as note,
+select o_orderkey as id, 'O''Neil (no. ' || cast(o_custkey as varchar) || ');' || chr(10) || '-- back\\slash' as note,
   cast(cast(o_totalprice as decimal(12,2)) as double) as price, null as priority from orders
 union all select -o_orderkey - 1, null, null, o_orderpriority from orders""",
     "cv_table_reservations": _typed,
