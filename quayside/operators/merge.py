@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import json
+import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quayside.operators.numbering import number_rows
 from quayside.operators.store import Store
 from quayside.session import new_folder
+from quayside.storage import Files
 
 AUDIT = "dw_id bigint, dw_last_inserted timestamp_ntz, dw_last_updated timestamp_ntz"
 INSERTED, UPDATED, KEPT = "insert", "update", "keep"
@@ -210,6 +214,82 @@ def merge(dw: DataFrame, stg: DataFrame, spec: MergeSpec, run_ts: datetime, *, o
     return existing_rows(dw, stg, spec, run_ts, profile).unionByName(numbered)
 
 
+# --- tables kept in parts by surrogate key, with a stored hash of the compared columns
+
+HASH = "_row_hash"  # in the files only, not in a table's layout
+PART_ROWS = 1_000_000  # surrogate keys of one part
+_PART = r"([^/]+/[^/]+/_part=[0-9]+)(?:/[^/]*)?$"  # what tells a part's folder from any other
+
+
+def _hashed(spec: MergeSpec) -> str | None:
+    """What a row's hash is made of; None where every match is an update."""
+    return None if spec.compare is None else json.dumps([list(spec.compare), spec.sentinels])
+
+
+def row_hash(spec: MergeSpec, types: dict[str, str]) -> Column:
+    """Of the compared columns; nulls count by their place."""
+    if spec.sentinels:
+        return F.xxhash64(*[F.coalesce(F.col(c), _stand_in(types[c])) for c in spec.compare])
+    return F.xxhash64(*[x for c in spec.compare for x in (F.col(c), F.col(c).isNull())])
+
+
+def _written_in_parts(rows: DataFrame, spec: MergeSpec, folder: str, part_rows: int) -> list[str]:
+    """Write warehouse rows into a folder per `part_rows` surrogate keys; the folders that came."""
+    if spec.compare is not None:
+        rows = rows.withColumn(HASH, row_hash(spec, dict(rows.dtypes)))
+    rows.withColumn("_part", F.floor((F.col("dw_id") - 1) / part_rows)).write.partitionBy("_part").parquet(folder)
+    return [f"{folder}/{name}" for name in Files(rows.sparkSession).names(folder) if name.startswith("_part=")]
+
+
+def _merge_parts(store: Store, name: str, stg: DataFrame, spec: MergeSpec, run_ts: datetime, part_rows: int) -> dict[str, int]:
+    """The merge of unique keys into a table kept in parts.
+
+    Keys and hashes meet first, so nothing else of an unchanged row is shuffled.
+    Whole rows are fetched for the keys that are new or changed; parts that hold
+    a changed row are written anew, all others stay the files they are.
+    """
+    before, (version, folder) = store.newest(name), store.next_folder(name)
+    spark, keys, stamp = store.spark, list(spec.keys), run_stamp(run_ts)
+    layout = StructType.fromJson(json.loads(before.layout))
+    types = {f.name: f.dataType for f in layout}
+    with_hash = StructType([*layout.fields, StructField(HASH, LongType())])
+    staged = stg.select(*[F.col(c).cast(types[c]).alias(c) for c in spec.columns])
+    hashes = staged.filter(_has_key(keys)).select(*keys, row_hash(spec, dict(staged.dtypes)).alias("_new"))
+    stored = spark.read.schema(with_hash).parquet(*before.parts)
+    known = stored.filter(_has_key(keys)).select(*keys, "dw_id", F.col(HASH).alias("_old"), F.regexp_extract("_metadata.file_path", _PART, 1).alias("_part"))
+    action = F.when(F.col("dw_id").isNull(), INSERTED).when(F.col("_old") != F.col("_new"), UPDATED)
+    scratch = store.scratch("changes")
+    found = hashes.join(known, keys, "left").withColumn("_action", action).filter("_action is not null").select(*keys, "dw_id", "_part", "_action")
+    found.write.parquet(f"{scratch}/keys")
+    changes = spark.read.schema(found.schema).parquet(f"{scratch}/keys")
+    tally = {(r["_action"], r["_part"]): r["n"] for r in changes.groupBy("_action", "_part").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per part
+    total = stored.count()  # from the files' footers
+    touched = {p for a, p in tally if a == UPDATED}
+    parts = [p for p in before.parts if re.search(_PART, p)[1] not in touched]
+
+    if touched:
+        new = staged.join(changes.filter(F.col("_action") == UPDATED).select(*keys, "dw_id"), keys).alias("s")
+        old = spark.read.schema(with_hash).parquet(*[p for p in before.parts if p not in parts]).alias("d")
+        take = F.col("s.dw_id").isNotNull()
+        rewritten = old.join(new, F.col("d.dw_id") == F.col("s.dw_id"), "left").select(
+            F.col("d.dw_id").alias("dw_id"), *[F.when(take, F.col(f"s.{c}")).otherwise(F.col(f"d.{c}")).alias(c) for c in spec.columns],
+            F.col("d.dw_last_inserted").alias("dw_last_inserted"), F.when(take, stamp).otherwise(F.col("d.dw_last_updated")).alias("dw_last_updated"))
+        by_part = rewritten.repartition(F.floor((F.col("dw_id") - 1) / part_rows))
+        parts += _written_in_parts(by_part, spec, f"{folder}/rows", part_rows)
+    inserted = sum(n for (a, _), n in tally.items() if a == INSERTED)
+    keyless, added = staged.filter(~_has_key(keys)), []
+    if inserted or not keyless.isEmpty():
+        fresh = staged.join(changes.filter(F.col("_action") == INSERTED).select(*keys), keys, "left_semi").select(*spec.columns)
+        rows = fresh.unionByName(keyless).withColumns({"dw_last_inserted": stamp, "dw_last_updated": stamp})
+        numbered = _numbered(rows, spec, before.highest, scratch).select(*layout.names)
+        added = _written_in_parts(numbered, spec, f"{folder}/new", part_rows)
+        inserted = spark.read.schema(layout).parquet(*added).count()
+    updated = sum(n for (a, _), n in tally.items() if a == UPDATED)
+    store.commit(name, version, [*parts, *added], before.layout, keys_unique=True, highest=before.highest + inserted, hashed=before.hashed)
+    store.discard(scratch)
+    return {"inserted": inserted, "updated": updated, "kept": total - updated}
+
+
 def counters(dw: DataFrame, run_ts: datetime) -> DataFrame:
     """Rows inserted, updated and left alone by the run, read off the audit stamps."""
     stamp = run_stamp(run_ts)
@@ -228,21 +308,26 @@ def empty_warehouse(stg: DataFrame, spec: MergeSpec) -> DataFrame:
 
 
 def merge_table(store: Store, name: str, stg: DataFrame, spec: MergeSpec, run_ts: datetime, *,
-                on_duplicate: str = "error") -> dict[str, int]:
+                on_duplicate: str = "error", part_rows: int = PART_ROWS) -> dict[str, int]:
     """Merge a staged snapshot into warehouse table `name` and commit the new version.
 
-    Returns the rows inserted, updated and kept.
+    Returns the rows inserted, updated and kept. With a change test, a table is
+    kept in parts of `part_rows` surrogate keys, and a merge writes only those
+    that hold a changed row.
     """
     dw = store.read(name)
     if dw is None:
-        return _first_load(store, name, stg, spec, run_ts)
+        return _first_load(store, name, stg, spec, run_ts, part_rows)
     if store.keys_unique(name):  # the warehouse keys need no look then
         unique = not repeats(stg, spec.keys)
     else:
         profile = _checked_profile(dw, stg, spec, on_duplicate)
         unique = not (profile.repeated_in_source or profile.repeated_in_target)
     if unique:
-        return _merge_unique(store, name, dw, stg, spec, run_ts)
+        newest = store.newest(name)
+        in_parts = newest.hashed is not None and newest.hashed == _hashed(spec) and newest.highest is not None
+        return (_merge_parts(store, name, stg, spec, run_ts, part_rows) if in_parts
+                else _merge_unique(store, name, dw, stg, spec, run_ts))
     folder = store.scratch("numbering")
     merged = merge(dw, stg, spec, run_ts, on_duplicate=on_duplicate, folder=folder)
     number, place = store.next_folder(name)
@@ -252,15 +337,18 @@ def merge_table(store: Store, name: str, stg: DataFrame, spec: MergeSpec, run_ts
     return counters(written, run_ts).first().asDict()
 
 
-def _first_load(store: Store, name: str, stg: DataFrame, spec: MergeSpec, run_ts: datetime) -> dict[str, int]:
+def _first_load(store: Store, name: str, stg: DataFrame, spec: MergeSpec, run_ts: datetime, part_rows: int) -> dict[str, int]:
     dw = empty_warehouse(stg, spec)
     folder = store.scratch("numbering")
-    numbered = _numbered(new_rows(dw, stg, spec, run_ts), spec, 0, folder)
+    rows = _numbered(new_rows(dw, stg, spec, run_ts), spec, 0, folder).select(dw.columns)
     number, place = store.next_folder(name)
-    rows = numbered.select(dw.columns)
-    rows.write.parquet(place)
-    n = store.spark.read.schema(rows.schema).parquet(place).count()
-    store.commit(name, number, [place], rows.schema.json(), keys_unique=not repeats(stg, spec.keys), highest=n)
+    parts = _written_in_parts(rows, spec, f"{place}/rows", part_rows)
+    n = store.spark.read.schema(rows.schema).parquet(*parts).count() if parts else 0
+    if not parts:  # an empty table has a folder all the same
+        rows.limit(0).write.parquet(f"{place}/empty")
+    unique = not repeats(stg, spec.keys)
+    store.commit(name, number, parts or [f"{place}/empty"], rows.schema.json(), keys_unique=unique, highest=n,
+                 hashed=_hashed(spec) if parts else None)
     store.discard(folder)
     return {"inserted": n, "updated": 0, "kept": 0}
 

@@ -51,12 +51,22 @@ class Warehouse:
         return load_all(self.staging, raw, specs, on_bad_rows=on_bad_rows, after=merge_now if merge_at_once else None)
 
     def merge_all(self, specs: dict[str, TableSpec], run_ts: datetime, *, skip_at_once: bool = False) -> DataFrame:
-        """Merge every staged table (all of them, whichever way each system used to be called)."""
+        """Merge every staged table (all of them, whichever way each system used to be called).
+
+        The versions that stand afterwards become one snapshot: `tables.read_together()` shows whole runs only.
+        """
         ready = {
             name: (s.for_warehouse(df), s.merge) for name, s in specs.items()
             if not (skip_at_once and s.at_once) and (df := staged(self.staging, name)) is not None
         }
-        return run_all(self.tables, ready, run_ts)
+        merged = run_all(self.tables, ready, run_ts)
+        self.tables.snapshot(list(specs))
+        return merged
+
+    def discard_landing(self) -> None:
+        """Remove what archives were unpacked into, and what failed jobs left, once its tables are loaded."""
+        for store in (self.staging, self.tables):
+            store.discard(f"{store.root}/_scratch")
 
     def report(self, raw: dict[str, DataFrame], specs: dict[str, TableSpec]) -> DataFrame:
         """Checks of a run, table by table: source against staging against warehouse (table_name, check_name, expected, actual, passed).

@@ -1,6 +1,6 @@
 """Laws of the merge, on literal cases and on a run of snapshots."""
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -168,3 +168,121 @@ def test_two_writers_keep_both_commits(spark, tmp_path):
     assert store.version("t") == 2 and store.write("t", one).count() == 3 and store.version("t") == 4
     assert store.expire("t", keep=1) == [1, 2, 3] and store.read("t").count() == 3
     assert len(store.files.names(f"{store.root}/t")) == 1
+
+
+def _bytes(path):
+    return sum(f.stat().st_size for f in path.rglob("*.parquet"))
+
+
+NOTED = mg.MergeSpec(("id",), ("id", "name", "note"), ("id", "name"))
+
+
+def _day(spark, rows, changed=(), upto=None):
+    return spark.range(rows if upto is None else upto).select(
+        "id", F.when(F.col("id").isin(*changed), "new").otherwise(F.concat(F.lit("name"), "id")).alias("name"),
+        F.repeat(F.sha2(F.col("id").cast("string"), 256), 4).alias("note"))
+
+
+def test_only_parts_with_a_change_are_written(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    mg.merge_table(store, "t", _day(spark, 20_000), NOTED, T1, part_rows=1000)
+    first = store.newest("t")
+    whole = _bytes(tmp_path / "t")
+    late = [*range(19_800, 20_000)]  # one in a hundred
+    assert mg.merge_table(store, "t", _day(spark, 20_000, late, 20_010), NOTED, T2, part_rows=1000) == {"inserted": 10, "updated": 200, "kept": 19_800}
+    second = store.newest("t")
+    assert len(first.parts) == 20 and len(set(first.parts) & set(second.parts)) == 19
+    assert _bytes(tmp_path / "t") - whole < 0.1 * whole
+    got = {r["id"]: r for r in store.read("t").collect()}
+    assert len(got) == 20_010 and [got[i]["dw_id"] for i in (0, 19_999, 20_009)] == [1, 20_000, 20_010]
+    assert got[19_900]["name"] == "new" and got[19_900]["dw_last_updated"] == T2 and got[19_900]["dw_last_inserted"] == T1
+    assert got[5]["dw_last_updated"] == T1 and "_row_hash" not in store.read("t").columns
+    t3 = datetime(2024, 1, 3)
+    assert mg.merge_table(store, "t", _day(spark, 20_000, late, 20_010), NOTED, t3, part_rows=1000) == {"inserted": 0, "updated": 0, "kept": 20_010}
+    assert store.newest("t").parts == second.parts  # an unchanged day writes nothing
+
+
+def test_long_columns_are_in_no_shuffle_of_an_unchanged_day(spark, tmp_path, monkeypatch):
+    store, seen = Store(spark, str(tmp_path)), []
+    mg.merge_table(store, "t", _day(spark, 3000), NOTED, T1, part_rows=500)
+    write = type(spark.range(1).write).parquet
+
+    def watched(self, path, *a, **k):
+        seen.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+        return write(self, path, *a, **k)
+
+    monkeypatch.setattr(type(spark.range(1).write), "parquet", watched)
+    mg.merge_table(store, "t", _day(spark, 3000), NOTED, T2, part_rows=500)
+    assert len(seen) == 1 and "note" not in seen[0].split("Join")[0] and "sha2" not in seen[0]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(KEYS, TEXTS, TEXTS), max_size=8), st.lists(st.tuples(KEYS, TEXTS, TEXTS), max_size=8), st.booleans())
+def test_hashes_tell_what_full_comparison_tells(spark, rows, old, new, sentinels):
+    def unique(triples):
+        return list({k if k is not None else (i,): (k, a, b) for i, (k, a, b) in enumerate(triples)}.values())
+
+    ddl, spec = "id bigint, name string, note string", mg.MergeSpec(("id",), ("id", "name", "note"), ("name", "note"), sentinels)
+    store = Store(spark, new_folder(spark, "law"))
+    mg.merge_table(store, "t", rows(ddl, *unique(old)), spec, T1, part_rows=2)
+    day2 = rows(ddl, *unique(new))
+    general = mg.merge(store.read("t"), day2, spec, T2).drop("_action")
+    want = sorted(map(str, general.select(sorted(general.columns)).collect()))
+    assert mg.merge_table(store, "t", day2, spec, T2, part_rows=2) == mg.counters(general, T2).first().asDict()
+    got = store.read("t")
+    assert sorted(map(str, got.select(sorted(got.columns)).collect())) == want
+
+
+def test_versions_by_number_time_and_snapshot(spark, rows, tmp_path):
+    import time
+
+    store = Store(spark, str(tmp_path))
+    store.write("a", rows("n int", (1,)))
+    store.write("b", rows("n int", (10,)))
+    one = store.snapshot(["a", "b", "nothing"])
+    between = datetime.now(timezone.utc)
+    time.sleep(0.01)
+    store.write("a", rows("n int", (2,)))  # a run that has not reached b yet
+    value = lambda df: df.first()["n"]
+    assert [value(df) for df in store.read_together().values()] == [1, 10] and value(store.read("a")) == 2
+    store.write("b", rows("n int", (20,)))
+    two = store.snapshot(["a", "b"])
+    assert (one, two) == (1, 2) and [value(df) for df in store.read_together().values()] == [2, 20]
+    assert [value(df) for df in store.read_together(1).values()] == [1, 10] and store.read_together(9) == {}
+    assert value(store.read("a", as_of=1)) == 1 and value(store.read("a", as_of=between)) == 1 and store.read("a", as_of=7) is None
+    assert store.read("a", as_of=datetime(2000, 1, 1)) is None
+    (tmp_path / "_versions/_snapshots/000000000003.json").write_text("")  # its writer died
+    assert [value(df) for df in store.read_together().values()] == [2, 20] and store.snapshot(["a"]) == 4
+
+
+def test_changes_between_versions(spark, rows, tmp_path):
+    store, ddl = Store(spark, str(tmp_path)), "id int, a string, b string"
+    store.write("t", rows(ddl, (1, "x", None), (2, None, "x"), (3, "s", "s"), (4, "gone", None)))
+    store.write("t", rows(ddl, (1, None, "x"), (2, None, "x"), (3, "s", "s"), (5, "new", None)))
+    got = sorted(map(tuple, store.changes_between("t", 1, 2, ["id"]).collect()))
+    assert got == [(1, None, "x", "update"), (4, "gone", None, "delete"), (5, "new", None, "insert")]
+    assert store.changes_between("t", 2, 2, ["id"]).count() == 0
+
+
+def test_a_store_without_atomic_creation_needs_locks(spark, rows, tmp_path):
+    with pytest.raises(ValueError, match="atomically"):
+        Store(spark, "s3a://bucket/root")
+    locks = str(tmp_path / "locks")
+    store = Store(spark, str(tmp_path / "root"), locks)
+    store.files.create = lambda path, text, of=store.files.create: of(path, text) if path.startswith(locks) else not _put(path, text)  # as an object store does
+    number, _ = store.next_folder("t")
+    (folder, df), (other, df2) = store.prepare("t", rows("n int", (1,))), store.prepare("t", rows("n int", (2,)))
+    store.commit("t", number, [folder], df.schema.json())
+    from quayside.operators.store import VersionTaken
+
+    with pytest.raises(VersionTaken):
+        store.commit("t", number, [other], df2.schema.json())
+    assert store.read("t").first()["n"] == 1
+
+
+def _put(path, text):
+    import os
+
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)

@@ -142,6 +142,48 @@ def stored(spark, sf):
     return plain(store.read("orders"))
 
 
+def _two_days(spark, sf, name: str):
+    """A warehouse table kept in parts after two days; on the second, the last hundredth of the keys has changed and some are new."""
+    orders = table(spark, sf, "orders")
+    keys = orders.agg(F.max("o_orderkey").alias("high"), F.min("o_orderkey").alias("low")).first()
+    late = F.col("o_orderkey") >= keys.high - (keys.high - keys.low) / 100
+    plainly = [F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("note")]
+    day2 = orders.select(F.col("o_orderkey").alias("id"), F.when(late, "late").otherwise(F.col("o_orderstatus")).alias("status"),
+                         F.col("o_orderpriority").alias("note"))
+    new = orders.filter(late).select((F.col("o_orderkey") + 1_000_000_000).alias("id"), F.lit("new").alias("status"), F.lit(None).cast("string").alias("note"))
+    store, spec = Store(spark, new_folder(spark, name)), mg.MergeSpec(("id",), ("id", "status", "note"), ("id", "status"))
+    mg.merge_table(store, "orders", orders.select(*plainly), spec, T1, part_rows=5000)
+    counts = mg.merge_table(store, "orders", day2.unionByName(new), spec, T2, part_rows=5000)
+    return store, counts
+
+
+def part_rewrite(spark, sf):
+    """Rows and counts after a day that changed the last keys, and whether every part without a change is the file it was."""
+    store, counts = _two_days(spark, sf, "parts")
+    first, second = store.find("orders", 1), store.find("orders", 2)
+    return store.read("orders").select(
+        "dw_id", "id", "status", "note", "dw_last_inserted", "dw_last_updated",
+        *[F.lit(counts[c]).cast("bigint").alias(c) for c in ("inserted", "updated", "kept")],
+        F.lit(len(first.parts) - len(set(first.parts) & set(second.parts)) <= 2).alias("few_rewritten"))
+
+
+def changes_between(spark, sf):
+    store, _ = _two_days(spark, sf, "changes")
+    return store.changes_between("orders", 1, 2, ["dw_id"]).select("dw_id", "id", "status", "note", "_change")
+
+
+def as_of(spark, sf):
+    """The table as it was before its second day, by number, and the day after in a snapshot with another table."""
+    store, _ = _two_days(spark, sf, "as-of")
+    store.write("customer", table(spark, sf, "customer").select("c_custkey"))
+    number = store.snapshot(["orders", "customer"])
+    store.write("customer", table(spark, sf, "customer").select("c_custkey").limit(0))  # after the snapshot
+    tables = store.read_together(number)
+    return store.read("orders", as_of=1).select(F.lit("before").alias("source"), "id", "status").unionByName(
+        tables["orders"].select(F.lit("orders").alias("source"), "id", "status")).unionByName(
+        tables["customer"].select(F.lit("customer").alias("source"), F.col("c_custkey").alias("id"), F.lit(None).cast("string").alias("status")))
+
+
 # snapshots of five whole tables; the second run sees changed ones
 _RUN = {
     "orders": ("o_orderkey", "o_orderstatus", "case when o_orderpriority = '1-URGENT' then 'X' else o_orderstatus end"),
@@ -211,10 +253,24 @@ QUERIES = {
     "mg_stored_table": stored,
     "mg_run_all": run_all,
     "mg_merge_after_load": merge_after_load,
+    "mg_part_rewrite": part_rewrite, "snk_changes_between": changes_between, "snk_as_of": as_of,
 }
 
 _t1, _t2 = DuckDialect().stamp(T1), DuckDialect().stamp(T2)
+_TWO_DAYS = """
+with k as (select max(o_orderkey) as high, min(o_orderkey) as low, count(*) as n from orders),
+o as (select row_number() over (order by o_orderkey) as dw_id, o_orderkey as id, o_orderstatus as status, o_orderpriority as note,
+  o_orderkey >= high - (high - low) / 100 as late, n from orders, k),
+day2 as (select dw_id, id, case when late then 'late' else status end as status, note, late, false as fresh from o
+  union all select n + row_number() over (order by id), id + 1000000000, 'new', null, true, true from o where late)"""
 ORACLE = {
+    "mg_part_rewrite": f"""{_TWO_DAYS}, c as (select count(*) filter (where late) as late, count(*) as n from o)
+select dw_id, id, status, note, case when fresh then {_t2} else {_t1} end as dw_last_inserted, case when d.late then {_t2} else {_t1} end as dw_last_updated,
+  c.late as inserted, c.late as updated, c.n - c.late as kept, true as few_rewritten from day2 d, c""",
+    "snk_changes_between": f"""{_TWO_DAYS}
+select dw_id, id, status, note, case when fresh then 'insert' else 'update' end as _change from day2 where late""",
+    "snk_as_of": f"""{_TWO_DAYS}
+select 'before' as source, id, status from o union all select 'orders', id, status from day2 union all select 'customer', c_custkey, null from customer""",
     "mg_upsert": _as_double(_merge_sql("true")),
     "mg_upsert_changed": _as_double(_merge_sql(_differs(*COLUMNS))),
     "mg_upsert_partial_compare": _as_double(_merge_sql(_differs("id", "price", "status"))),
