@@ -47,6 +47,37 @@ def explode_days(df: DataFrame, start: Column, end: Column, cal: Calendar, *, cl
     )
 
 
+def explode_ranges(df: DataFrame, start: Column, end: Column, cal: Calendar, *, closed: bool) -> DataFrame:
+    """Each row once for every aligned range of days its interval is made of, as `_level` and `_place`.
+
+    A range of level k is 2 ** k days long and begins at a multiple of that,
+    counted from the calendar's first day; an interval of n days is at most
+    2 log2(n) of them, so rows do not grow with the length of their intervals.
+    What is idempotent (a maximum, a minimum, "any") can be taken per range and
+    then per day with `days_of_ranges`, however intervals overlap.
+    """
+    low, high = day_span(start, end, cal.first, cal.last, closed=closed)
+    first, behind = F.datediff(F.col("_low"), F.lit(cal.first)), F.datediff(F.col("_high"), F.lit(cal.first)) + 1
+    pieces = []
+    for k in range(((cal.last - cal.first).days + 1).bit_length()):
+        left, right = F.shiftright(first + ((1 << k) - 1), k), F.shiftright(behind, k)
+        odd = left % 2
+        pieces.append(F.when((odd == 1) & (left < right), F.struct(F.lit(k).alias("level"), left.alias("place"))))
+        pieces.append(F.when((right % 2 == 1) & (left + odd < right), F.struct(F.lit(k).alias("level"), (right - 1).alias("place"))))
+    return (
+        df.withColumn("_low", low).withColumn("_high", high).filter("_low <= _high")
+        .withColumn("_range", F.explode(F.array_compact(F.array(*pieces))))
+        .withColumn("_level", F.col("_range.level")).withColumn("_place", F.col("_range.place")).drop("_low", "_high", "_range")
+    )
+
+
+def days_of_ranges(df: DataFrame, cal: Calendar, day: str = "calendar_date") -> DataFrame:
+    """One row per row of `explode_ranges` and day of its range."""
+    length = F.expr("shiftleft(1, _level)")
+    first = F.date_add(F.lit(cal.first), F.col("_place") * length)
+    return df.withColumn(day, F.explode(F.sequence(first, F.date_add(first, length - 1)))).drop("_level", "_place")
+
+
 def covering_days(df: DataFrame, start: Column, end: Column, cal: Calendar, *, closed: bool) -> DataFrame:
     """`explode_days` plus the calendar attributes; days the calendar lacks drop out."""
     return explode_days(df, start, end, cal, closed=closed).join(cal.days, "calendar_date")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -58,32 +59,49 @@ _COLUMNS = ("t_type", "tran_id", "internalid", "line_id", "tran_date", "tran_nam
             "account_desc", "qty", "ext_cost", "acctg_amount", "memo")
 
 
-def _posted(header: DataFrame, line: DataFrame, doc: Document) -> DataFrame:
-    """Posted lines of one document type, all but the columns of the account they are booked on."""
-    h, ln = header.filter("posting = 'T'").alias("header"), line.alias("line")
+def _headers(header: DataFrame, doc: Document) -> DataFrame:
+    """Posted documents of one type."""
+    return header.filter("posting = 'T'").selectExpr(
+        f"'{doc.t_type}' as t_type", "tranid as tran_id", "id as internalid", "trandate as tran_date", "postingperiod as posting_period_id",
+        "tranid as _name" if doc.name == "header.tranid" else "cast(null as string) as _name")
+
+
+def _lines(line: DataFrame, doc: Document) -> DataFrame:
+    """The lines of one document type in the common layout; the type and the document's id are the key of their header."""
     placeholder = f"cast({NOTHING} as bigint)"
-    return h.join(ln, F.col("header.id") == F.col("line.transaction")).selectExpr(
-        f"'{doc.t_type}' as t_type",
-        "header.tranid as tran_id",
-        "header.id as internalid",
-        "line.id as line_id",
-        "header.trandate as tran_date",
-        f"{doc.name} as tran_name",
-        "line.subsidiary as subsidiary_id",
-        "line.location as location_id",
-        "line.class as division_id",
-        "line.department as department_id",
-        f"cast(line.{doc.entity} as bigint) as entity_id" if doc.entity else f"{placeholder} as entity_id",
-        "cast(line.item as bigint) as item_id" if doc.item else f"{placeholder} as item_id",
-        "header.postingperiod as posting_period_id",
-        f"line.{doc.account} as account_id",
-        f"cast({'-line.quantity' if doc.quantity else 'null'} as decimal(20,2)) as qty",
+    return line.selectExpr(
+        f"'{doc.t_type}' as _type",
+        "transaction as _transaction",
+        "id as line_id",
+        f"{doc.name} as tran_name" if doc.name.startswith("line.") else "cast(null as string) as tran_name",
+        "subsidiary as subsidiary_id",
+        "location as location_id",
+        "class as division_id",
+        "department as department_id",
+        f"cast({doc.entity} as bigint) as entity_id" if doc.entity else f"{placeholder} as entity_id",
+        "cast(item as bigint) as item_id" if doc.item else f"{placeholder} as item_id",
+        f"{doc.account} as account_id",
+        f"cast({'-quantity' if doc.quantity else 'null'} as decimal(20,2)) as qty",
         "cast(null as decimal(20,2)) as ext_cost",
-        f"cast(coalesce(line.{doc.credit}, 0) - coalesce(line.{doc.debit}, 0) as decimal(20,2)) as acctg_amount",
-        "line.memo as memo",
+        f"cast(coalesce({doc.credit}, 0) - coalesce({doc.debit}, 0) as decimal(20,2)) as acctg_amount",
+        "memo",
     )
 
 
+def _posted(ledger: Mapping[str, tuple[DataFrame, DataFrame]], kinds) -> DataFrame:
+    """Posted lines of some document types, all but the columns of the account they are booked on.
+
+    Headers and lines of all types are one table each, tagged with their type,
+    and meet in one join on type and id.
+    """
+    headers = reduce(DataFrame.unionByName, [_headers(ledger[k][0], DOCUMENTS[k]) for k in kinds])
+    lines = reduce(DataFrame.unionByName, [_lines(ledger[k][1].alias("line"), DOCUMENTS[k]) for k in kinds])
+    # where every type takes the line's name, the header's is a null that Catalyst folds away
+    return headers.join(lines, (F.col("t_type") == F.col("_type")) & (F.col("internalid") == F.col("_transaction"))).withColumn(
+        "tran_name", F.when(F.col("t_type").isin(*[DOCUMENTS[k].t_type for k in kinds if DOCUMENTS[k].name == "header.tranid"]), F.col("_name")).otherwise(
+            F.col("tran_name")))
+
+
 def _on_account(lines: DataFrame, account: DataFrame, *more: str) -> DataFrame:
     """Lines with the account they are booked on; lines without one are left out."""
     named = account.select("id", F.col("acctnumber").alias("account_number"), F.col("accttype").alias("account_type"),
@@ -93,7 +111,8 @@ def _on_account(lines: DataFrame, account: DataFrame, *more: str) -> DataFrame:
 
 def ledger_lines(header: DataFrame, line: DataFrame, account: DataFrame, doc: Document) -> DataFrame:
     """Posted lines of one document type in the common 21 columns."""
-    return _on_account(_posted(header, line, doc), account)
+    kind = next(k for k, d in DOCUMENTS.items() if d == doc)
+    return _on_account(_posted({kind: (header, line)}, [kind]), account)
 
 
 def all_lines(ledger: Mapping[str, tuple[DataFrame, DataFrame]], account: DataFrame, *more: str) -> DataFrame:
@@ -101,11 +120,7 @@ def all_lines(ledger: Mapping[str, tuple[DataFrame, DataFrame]], account: DataFr
 
     The account is joined once, to the lines of all types; `more` names further columns of it to carry along.
     """
-    parts = [_posted(*ledger[kind], doc) for kind, doc in DOCUMENTS.items()]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    return _on_account(union, account, *more)
+    return _on_account(_posted(ledger, list(DOCUMENTS)), account, *more)
 
 
 def finance_report(ledger: Mapping[str, tuple[DataFrame, DataFrame]], d: Mapping[str, DataFrame]) -> DataFrame:

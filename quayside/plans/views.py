@@ -11,7 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quayside.operators.intervals import covering_days, explode_days, free_days, running_counts
+from quayside.operators.intervals import covering_days, days_of_ranges, explode_days, explode_ranges, free_days, running_counts
 from quayside.operators.lookup import left_lookup
 from quayside.sources.calendar import ATTRIBUTES, Calendar
 
@@ -67,16 +67,14 @@ def daily_boat_lengths(t: Tables, cal: Calendar) -> DataFrame:
 
     # a boat that is not known is no boat; looked up per stay instead of per day of stay
     known = left_lookup(stays, boats.select("id", F.col("id").alias("_boat")), "boat_id", "id", spread_by=[F.col("rid")])
-    daily = (
-        explode_days(known, arrival, departure, cal, closed=False)
-        .groupBy("calendar_date", "_boat", "marina_location_id")  # ids only go through the shuffle
-        .agg(
-            F.max("rid").alias("reservation_id"),
-            F.max("scheduled_arrival_time").alias("scheduled_arrival_time"),
-            F.max("scheduled_departure_time").alias("scheduled_departure_time"),
-            F.max(F.coalesce(F.col("_in").cast("int"), F.lit(0))).alias("occupies_slip"),
-        )
-    )
+    measures = {"reservation_id": F.col("rid"), "scheduled_arrival_time": arrival, "scheduled_departure_time": departure,
+                "occupies_slip": F.coalesce(F.col("_in").cast("int"), F.lit(0))}
+    # all measures are maxima: they are taken per boat, marina and aligned range of days, then per day
+    ranges = explode_ranges(known, arrival, departure, cal, closed=False).groupBy("_boat", "marina_location_id", "_level", "_place").agg(
+        *[F.max(m).alias(n) for n, m in measures.items()])
+    # a boat and marina has a few rows per calendar day at most; days are made, and merged, behind this shuffle
+    daily = days_of_ranges(ranges.repartition("_boat", "marina_location_id"), cal).groupBy(
+        "_boat", "marina_location_id", "calendar_date").agg(*[F.max(n).alias(n) for n in measures])
     by_group = [F.col("calendar_date"), F.col("reservation_id")]  # days without a boat or a marina may be many
     named = left_lookup(daily, boats, "_boat", "id", spread_by=by_group)
     booked = left_lookup(named, marinas, "marina_location_id", "id", spread_by=by_group).join(cal.days, "calendar_date")
@@ -153,8 +151,8 @@ def daily_slip_occupancy(t: Tables, cal: Calendar) -> DataFrame:
 def reservation_rates(t: Tables, cal: Calendar) -> DataFrame:
     """Daily and monthly rates of every checked-in stay, repeated on each of its days (departure day included).
 
-    Charges are reduced to one sum per invoice, then per reservation, before
-    they meet the stay, and the days are exploded last.
+    Charges are reduced to one sum per reservation before they meet the stay,
+    and the days are exploded last.
     """
     slips = _countable(t["slips"]).select(F.col("id").alias("_slip_id"), F.col("name").alias("_slip_name"), "recommended_loa")
     marinas = t["marina_locations"].select("id", F.col("name").alias("_marina_name"))
@@ -181,13 +179,9 @@ def reservation_rates(t: Tables, cal: Calendar) -> DataFrame:
     )
     named = left_lookup(left_lookup(stays.join(berths, F.col("slip_id") == F.col("_berth")),
                                     status, "reservation_status_id", "id"), kind, "reservation_type_id", "id")
-    per_stay = (
-        named.join(charges, F.col("reservation_id") == F.col("_payer"), "left")
-        .groupBy("reservation_id", "reservation_name", "reservation_status", "reservation_type", "slip_id", "_slip_name",
-                 "_berth_marina", "_marina_name", "recommended_loa", "scheduled_arrival_time",
-                 "scheduled_departure_time", "reservation_status_id", "rate")
-        .agg(F.coalesce(F.sum("_charged"), F.lit(0)).alias("invoice_total"))
-    )
+    # a reservation stands once in the warehouse and has one sum of charges: nothing is left to group
+    per_stay = named.join(charges, F.col("reservation_id") == F.col("_payer"), "left").withColumn(
+        "invoice_total", F.coalesce("_charged", F.lit(0)))
     arrival, departure = F.col("scheduled_arrival_time"), F.col("scheduled_departure_time")
     days = F.datediff(departure, arrival)
     months = F.months_between(departure, arrival, roundOff=False)

@@ -106,3 +106,22 @@ def test_boats_and_empty_days(spark, rows):
 def test_report_order(rows):
     df = rows("calendar_date date, marina_name string", (date(2024, 1, 1), "b"), (date(2024, 1, 2), None), (date(2024, 1, 2), "a"))
     assert [r["marina_name"] for r in views.in_order(df, "daily_slip_count").collect()] == ["a", None, "b"]
+
+
+def test_aligned_ranges_cover_each_day_once(spark, rows):
+    import random
+    from datetime import date, timedelta
+
+    from quayside.operators.intervals import days_of_ranges, explode_ranges
+
+    rnd, first = random.Random(1), date(2024, 1, 1)
+    cal = Calendar.between(spark, first, date(2024, 12, 30))
+    spans = [(i, first + timedelta(rnd.randint(-40, 380)), rnd.choice([0, 1, 2, 7, 64, 365, 900])) for i in range(200)]
+    spans = [(i, s, s + timedelta(n)) for i, s, n in spans] + [(900, None, first), (901, first, None), (902, first + timedelta(5), first)]
+    for closed in (True, False):
+        ranges = explode_ranges(rows("id int, s date, e date", *spans), F.col("s"), F.col("e"), cal, closed=closed)
+        most = ranges.groupBy("id").count().agg(F.max("count")).first()[0]
+        got = sorted(map(tuple, days_of_ranges(ranges, cal).select("id", "calendar_date").collect()))
+        want = sorted((i, d) for i, s, e in spans if s and e for k in range(366)
+                      if (d := first + timedelta(k)) <= cal.last and s <= d and (d <= e if closed else d < e))
+        assert got == want and most <= 2 * 9
