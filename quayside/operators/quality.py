@@ -27,8 +27,37 @@ def _rows(one_row: DataFrame, *checks: Column) -> DataFrame:
     return one_row.select(F.explode(F.array(*checks)).alias("c")).select("c.*")
 
 
+WORD = 64  # keys of one word of a key set
+
+
+def _whole(df: DataFrame, *columns: str) -> bool:
+    return all(dict(df.dtypes)[c] in ("tinyint", "smallint", "int", "bigint") for c in columns)
+
+
+def key_words(df: DataFrame, key: str, name: str = "bits") -> DataFrame:
+    """The set of a whole-number key as words of 64 bits: (word, bits). Keys that lie together travel as one row a task."""
+    k = F.col(key).cast("bigint")
+    bit = F.expr(f"shiftleft(1L, cast(pmod(cast(`{key}` as bigint), {WORD}) as int))")
+    return df.filter(k.isNotNull()).select(F.shiftright(k, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias(name))
+
+
+def keys_of_words(words: DataFrame, key: str, dtype: str) -> DataFrame:
+    """The keys of a set given as (word, bits)."""
+    places = F.filter(F.sequence(F.lit(0), F.lit(WORD - 1)), lambda i: F.call_function("getbit", F.col("bits"), i) == 1)
+    return words.select("word", F.explode(places).alias("place")).select((F.col("word") * WORD + F.col("place")).cast(dtype).alias(key))
+
+
+def lacking(source: DataFrame, source_key: str, target: DataFrame, target_key: str) -> DataFrame:
+    """Distinct keys of `source` that `target` lacks, under the source's name: one word of bits and-not the other."""
+    both = key_words(source, source_key).join(key_words(target, target_key, "known"), "word", "left")
+    left = F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("known", F.lit(0).cast("bigint"))))
+    return keys_of_words(both.select("word", left.alias("bits")).filter("bits <> 0"), source_key, dict(source.dtypes)[source_key])
+
+
 def missing_keys(source: DataFrame, target: DataFrame, key: str, *, sample: int | None = None) -> DataFrame:
     """Non-NULL keys of `source` that `target` lacks; `sample` looks at the lowest n keys only."""
+    if not sample and _whole(source, key) and _whole(target, key):
+        return lacking(source, key, target, key)
     keys = source.filter(F.col(key).isNotNull()).select(key)
     keys = keys.orderBy(key).limit(sample) if sample else keys.distinct()
     return keys.join(target.select(key).distinct(), key, "left_anti")
@@ -100,8 +129,12 @@ def check_types(df: DataFrame, expected: Mapping[str, str], *, sample: int | Non
 def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
     """(fk, n_rows): foreign keys without a parent row; NULL ones are no orphans.
 
-    Child rows are counted per key before they move, so a hot key travels as one row per task.
+    Whole-number keys meet as sets of bits, and only orphans are counted. Others
+    are counted per key before they move, so a hot key travels as one row per task.
     """
+    if _whole(child, fk) and _whole(parent, pk):
+        gone = lacking(child, fk, parent, pk)
+        return child.select(fk).join(gone, fk).groupBy(fk).agg(F.count(F.lit(1)).alias("n_rows"))
     used = child.filter(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("n_rows"))
     known = parent.select(F.col(pk).alias(fk)).distinct()
     return used.join(known, fk, "left_anti")
@@ -125,8 +158,40 @@ def _differences(left: DataFrame, right: DataFrame, key: str, cols: list[str], s
     return a.join(b, key).select(key, differing.alias("_differing"))
 
 
-def field_diff(left: DataFrame, right: DataFrame, key: str, cols: list[str], *, sample: int | None = None) -> DataFrame:
-    """(key, column_name, left_value, right_value) of every field that differs in records both sides hold."""
+BUCKETS = 4096  # of keys, compared by checksum
+
+
+def bucket_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def checksums(df: DataFrame, key: str, cols: list[str], prefix: str) -> DataFrame:
+    """(bucket, rows and two checksums of them): equal ones hold equal rows, but for a chance of 2 ** -64 or so."""
+    row = F.xxhash64(key, *[x for c in cols for x in (F.col(c), F.col(c).isNull())])
+    return df.filter(F.col(key).isNotNull()).select(bucket_of(key).alias("bucket"), row.alias("h")).groupBy("bucket").agg(
+        F.count(F.lit(1)).alias(f"{prefix}_n"), F.sum(F.col("h").cast("decimal(38,0)")).alias(f"{prefix}_sum"), F.bit_xor("h").alias(f"{prefix}_xor"))
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """The buckets of keys in which the two tables hold different rows: one aggregate each, and a row per bucket that meets."""
+    both = checksums(left, key, cols, "l").join(checksums(right, key, cols, "r"), "bucket", "full_outer")
+    same = F.lit(True)
+    for c in ("n", "sum", "xor"):
+        same = same & F.col(f"l_{c}").eqNullSafe(F.col(f"r_{c}"))
+    return both.filter(~same).select("bucket")
+
+
+def field_diff(left: DataFrame, right: DataFrame, key: str, cols: list[str], *, sample: int | None = None,
+               keys_unique: bool = False) -> DataFrame:
+    """(key, column_name, left_value, right_value) of every field that differs in records both sides hold.
+
+    With `keys_unique`, checksums of buckets of keys are compared first, and only buckets that differ are opened: equal
+    tables cost an aggregate each. Repeated keys would have to be compared crosswise even where checksums are equal.
+    """
+    if keys_unique and not sample and dict(left.dtypes)[key] == dict(right.dtypes)[key] and all(
+            dict(left.dtypes)[c] == dict(right.dtypes)[c] for c in cols):
+        opened = differing_buckets(left, right, key, cols)  # BUCKETS rows at most
+        left, right = (df.withColumn("bucket", bucket_of(key)).join(F.broadcast(opened), "bucket", "left_semi").drop("bucket") for df in (left, right))
     return _differences(left, right, key, cols, sample).select(key, F.explode("_differing").alias("f")).select(key, "f.*")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import VarcharType
 
 from quayside.operators.store import Store
@@ -85,15 +85,18 @@ def stage(store: Store, name: str, rows: DataFrame, *, only_if_filled: bool = Fa
     """Replace staging table `name` by `rows`; returns one row of LOAD_RESULT.
 
     Converted rows are written in one pass, good and bad ones into a partition
-    each, and counted there; the new version is committed afterwards or not at
+    each, and counted on the way; the new version is committed afterwards or not at
     all. `only_if_filled` leaves the table alone when no row of the snapshot
     can be loaded; `fail_on_bad` when one cannot.
     """
     if "_bad" not in rows.columns:
         rows = rows.withColumn("_bad", F.lit(False))
-    folder, written = store.prepare(name, rows, partition_by=("_bad",))
-    counts = {r["_bad"]: r["count"] for r in written.groupBy("_bad").count().collect()}
-    good, bad = counts.get(False, 0), counts.get(True, 0)
+    # counted while they are written: nothing is read back for it
+    counts = Observation()
+    observed = rows.observe(counts, F.count(F.lit(1)).alias("all"), F.count_if("_bad").alias("bad"))
+    folder, written = store.prepare(name, observed, partition_by=("_bad",))
+    bad = counts.get["bad"]
+    good = counts.get["all"] - bad
     missing = ", ".join(columns_not_found) or None
     if bad and (fail_on_bad or only_if_filled and not good):
         at_fault = sorted(bad_rows(written).first()["_bad_columns"])

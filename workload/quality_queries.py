@@ -77,6 +77,26 @@ def diff(spark, sf):
     return dq.field_diff(stg, dw, "id", ["price", "status", "note"])
 
 
+def diff_by_checksums(spark, sf):
+    """Two states of the customers that differ in few rows: only their buckets are opened."""
+    columns = ["c_name", "c_acctbal", "c_mktsegment"]
+    old = table(spark, sf, "customer").select("c_custkey", *columns)
+    new = old.withColumn("c_acctbal", F.when(F.col("c_custkey") % 97 == 5, F.lit(None)).otherwise(F.col("c_acctbal"))).withColumn(
+        "c_name", F.when(F.col("c_custkey") % 101 == 7, F.concat("c_name", F.lit("!"))).otherwise(F.col("c_name")))
+    return dq.field_diff(old, new, "c_custkey", ["c_name", "c_mktsegment"], keys_unique=True).unionByName(
+        dq.field_diff(old.select("c_custkey", F.col("c_acctbal").isNull().alias("no_balance")),
+                      new.select("c_custkey", F.col("c_acctbal").isNull().alias("no_balance")), "c_custkey", ["no_balance"], keys_unique=True))
+
+
+def equal_tables(spark, sf):
+    """Buckets of lines that differ between a table and itself in another order: none; and against one without a status: all."""
+    lines = table(spark, sf, "lineitem").selectExpr("l_orderkey * 10 + l_linenumber as id", "l_quantity", "l_returnflag")
+    other = lines.withColumn("l_returnflag", F.when(F.col("l_returnflag") == "R", None).otherwise(F.col("l_returnflag")))
+    counts = lambda name, right: dq.differing_buckets(lines, right, "id", ["l_quantity", "l_returnflag"]).agg(
+        (F.count(F.lit(1)) > 0).alias("differs")).select(F.lit(name).alias("pair"), "differs")
+    return counts("same", lines.repartition(3, "l_quantity")).unionByName(counts("other", other))
+
+
 def diff_sampled(spark, sf):
     dw, stg = _sides(spark, sf)
     return dq.field_diff(stg.filter("id is not null"), dw, "id", ["price", "status", "note"], sample=100)
@@ -141,6 +161,7 @@ QUERIES = {
     "dq_missing_keys_sample": missing_sample, "dq_null_keys": null_key_count, "dq_check_merge": merge_check,
     "dq_check_types": types, "dq_check_types_sample": types_sampled, "dq_orphans": orphan_rows,
     "dq_orphan_count": orphan_total, "dq_field_diff": diff, "dq_field_diff_sample": diff_sampled,
+    "dq_field_diff_checksums": diff_by_checksums, "dq_equal_tables": equal_tables,
     "dq_change_totals": totals, "rp_load_counts": load_counts, "rp_merge_outcome": outcomes,
     "rp_error_class": error_classes, "rp_run_summary": summary,
 }
@@ -201,6 +222,11 @@ union all select 'status', 'bigint', 'string', 10, false""",
     "dq_orphans": f"with {role_cte('reservations', 'boats')} select boat_id, count(*) as n_rows from r_reservations where boat_id is not null and boat_id not in (select id from r_boats) group by boat_id",
     "dq_orphan_count": f"with {role_cte('reservations', 'boats')} select count(*) as orphan_rows, count(distinct boat_id) as orphan_keys from r_reservations where boat_id is not null and boat_id not in (select id from r_boats)",
     "dq_field_diff": f"{_frames_sql()} {_diff_sql('stg')}",
+    "dq_field_diff_checksums": """
+select c_custkey, 'c_name' as column_name, c_name as left_value, c_name || '!' as right_value from customer where c_custkey % 101 = 7
+union all select c_custkey, 'no_balance', 'false', 'true' from customer where c_custkey % 97 = 5""",
+    "dq_equal_tables": """
+select 'same' as pair, false as differs union all select 'other', count(*) filter (where l_returnflag = 'R') > 0 from lineitem""",
     "dq_field_diff_sample": f"{_frames_sql()}, few as (select * from stg where id in (select id from stg where id is not null order by id limit 100)) {_diff_sql('few')}",
     "dq_change_totals": f"{_frames_sql()} select count(*) as records, count(*) filter (where {_ANY}) as records_with_changes, cast(sum({_SUM}) as bigint) as fields_changed from stg s join dw d on s.id = d.id",
     "rp_load_counts": "select table_name, cast(sum(records) as bigint) as records from (" + " union all ".join(
