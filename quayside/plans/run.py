@@ -63,6 +63,24 @@ class Warehouse:
         self.tables.snapshot(list(specs))
         return merged
 
+    def run(self, folder: str, specs: dict[str, TableSpec], run_ts: datetime) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """A whole day: the newest archive of each system to staging and warehouse, then checked.
+
+        Returns what the load, the merge and the checks say, table by table. What was unpacked is removed.
+        """
+        raw, loaded = {}, None
+        for system in ARCHIVE_SUFFIX:
+            own = {n: s for n, s in specs.items() if s.system == system}
+            if own:
+                found = self.unpack(folder, system, own)
+                one = self.load(found, own, run_ts)
+                raw, loaded = {**raw, **found}, one if loaded is None else loaded.unionByName(one)
+        merged = self.merge_all(specs, run_ts, skip_at_once=True)
+        checks = self.report(raw, specs)
+        checked = self.spark.createDataFrame(checks.collect(), checks.schema)  # a few rows per table
+        self.discard_landing()
+        return loaded, merged, checked
+
     def discard_landing(self) -> None:
         """Remove what archives were unpacked into, and what failed jobs left, once its tables are loaded."""
         for store in (self.staging, self.tables):

@@ -276,6 +276,21 @@ def test_archive_to_warehouse(spark, tmp_path):
     assert sorted((r["dw_id"], r["id"], r["name"]) for r in wh.tables.read("piers").collect())[3:] == [(4, 4, "D")]
 
 
+def test_a_whole_day_is_checked_and_leaves_no_scratch(spark, tmp_path):
+    drop, root = tmp_path / "drop", tmp_path / "wh"
+    drop.mkdir()
+    _zip(drop / "1.zip", [("x/Piers.csv", PIERS), ("x/SlipTypes.csv", "Id,Name\n1,Wet\n")], 1000)
+    _tar(drop / "1-DATA.sql.gz", {"data/style_boats.csv": b"id,boat_number\n1,A\n2,B\n"})
+    specs = {n: all_tables()[n] for n in ("piers", "slip_types", "style_boats")}
+    wh = Warehouse(spark, str(root))
+    loaded, merged, checked = wh.run(str(drop), specs, datetime(2024, 1, 1))
+    assert {r["table_name"]: r["records"] for r in loaded.collect()} == {"piers": 3, "slip_types": 1, "style_boats": 2}
+    assert {r["table_name"]: r["inserted"] for r in merged.collect()}["style_boats"] == 2
+    assert {r["table_name"] for r in checked.collect()} == set(specs) and all(r["passed"] for r in checked.collect())
+    assert not list(root.rglob("landing-*")) and {n: df.count() for n, df in wh.tables.read_together().items()} == {
+        "piers": 3, "slip_types": 1, "style_boats": 2}
+
+
 def test_failed_tables(spark, rows, tmp_path):
     """A failing marina table is emptied, a failing rental one stays; neither stops the others."""
     store, specs = Store(spark, str(tmp_path)), {n: all_tables()[n] for n in ("reservations", "holidays", "piers")}
