@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from quayside.session import configure, new_folder, sent_with_jobs
+from quayside.storage import Files
 
 sent_with_jobs(__name__)
 
@@ -17,9 +21,29 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_made: ContextVar[list[str] | None] = ContextVar("folders", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Folders that `saved` makes inside are removed at the end, but for those taken out of the list."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield made
+    finally:
+        _made.reset(token)
+        files = Files(spark)
+        for folder in made:
+            files.delete(folder)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read back: lineage ends here and a lost executor recomputes nothing before it."""
     folder = new_folder(df.sparkSession, name)
+    made = _made.get()
+    if made is not None:
+        made.append(folder)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
@@ -79,7 +103,7 @@ def slices(batches, text: str, chars: int = 1 << 20):
 
 
 def summed(vectors: DataFrame, tasks: int = 8):
-    """The sum of binary float64 vectors of one length, a column named `sums`; tasks add them up before the driver sees any. None without rows."""
+    """The sum of binary float64 vectors of one length, a column named `sums`; tasks add them up before the driver sees one. None without rows."""
     import numpy as np
 
     def run(batches):
@@ -93,5 +117,7 @@ def summed(vectors: DataFrame, tasks: int = 8):
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
-    found = [np.frombuffer(r.sums, np.float64) for r in vectors.select("sums").repartition(tasks).mapInArrow(run, "sums binary").collect()]
-    return np.sum(found, 0) if found else None  # `tasks` rows at most
+    for n in (tasks, 1):
+        vectors = vectors.select("sums").repartition(n).mapInArrow(run, "sums binary")
+    found = vectors.first()
+    return None if found is None else np.frombuffer(found.sums, np.float64)

@@ -1,22 +1,24 @@
 """Log-likelihood of whole texts under a gated recurrent language model.
 
-Words of all training documents are counted with Spark. The most frequent ones
-are modelled: sorted by frequency, they fall into classes of about equal mass,
-and the next word's probability is p(class | state) p(word | class, state), two
-small softmaxes. All other words form one more class, inside which a word has
-its smoothed share of the corpus, so that every word has a probability.
-
-The state is that of a gated recurrent unit. Weights start where the model
-equals the smoothed word frequencies, and are trained by truncated
-backpropagation through time on all training documents: in each round a task
-streams the documents it holds through consecutive updates, and the tasks'
-weights are averaged by tokens. Weights and counts cover the whole corpus.
-
-Scoring reads each text whole. Documents of a batch run side by side, longest
-first, in windows; the state is carried from window to window, so a text has no
-limit of length. Words among the `HEAD` most frequent are counted up in the
-task; the rest meet their counts in a join, a row per document and word. A hot
-word is always among the former, as they are all words from some count on.
+Words of all training documents are counted with Spark. Those that make up at
+least one in `SHARE` tokens are modelled: sorted by frequency, they fall into
+classes of about equal mass, and the next word's probability is
+p(class | state) p(word | class, state), two small softmaxes. All other words
+form one more class, inside which a word has its smoothed share of the corpus,
+so that every word has a probability.
+
+The state is that of a gated recurrent unit; it starts anew with each document.
+Weights start where the model equals the smoothed word frequencies, and are
+trained by truncated backpropagation through time on every token of all training
+documents: a task streams the documents it holds through consecutive updates,
+documents side by side, and the tasks' weights are averaged by tokens, added up
+by tasks before the driver sees them.
+
+Scoring reads each text whole. Documents run side by side, longest first; the
+state is carried to a text's end, so a text has no limit of length. Words among
+the `HEAD` most frequent are counted up in the task; the rest meet their counts
+in a join, a row per document and word. A hot word is always among the former,
+as they are all words from some count on.
 
 Defined results: a null text counts as empty; an empty text is its end alone;
 repeated rows are scored each, and count each time in training; with no
@@ -31,17 +33,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from quayside.llm.common import fold, read, saved, slices
+from quayside.llm.common import fold, read, saved, slices, summed
 from quayside.session import sent_with_jobs
 
 sent_with_jobs(__name__)
 
 FOLDS, HELD = 5, 1
-HEAD, MODELLED, CLASSES, HIDDEN = 100_000, 1023, 32, 16
-ROUNDS, WINDOW, SIDE_BY_SIDE, RATE, CLIP = 2, 16, 64, 0.05, 1.0
-TRAIN_CHARS = 4 << 20  # of text that a task lays out side by side at once
+HEAD, SHARE, HIDDEN = 100_000, 200_000, 16
+ROUNDS, WINDOW, SIDE_BY_SIDE, RATE, CLIP, LARGEST = 1, 16, 256, 0.2, 1.0, 4.0
+TRAIN_CHARS = 8 << 20  # of text that a task lays out side by side at once
 TABLE = 200_000  # words counted by a task before it hands them on
-SCORE_CHARS, SCORE_WINDOW = 4 << 20, 32
+SCORE_CHARS, SCORE_TOKENS = 16 << 20, 1 << 15  # of text run side by side; of states whose words are looked up at once
 END = ""  # as a word: the end of a text
 
 
@@ -102,15 +104,16 @@ def survey(counts: DataFrame) -> Corpus:
         head_from = level.n
     head = [(r.word, r.n) for r in counts.filter((F.col("n") >= head_from) | (F.col("word") == END)).collect()]  # HEAD at most, and the end
     head.sort(key=lambda r: (-r[1], r[0]))
-    modelled = [w for w, _ in head[:MODELLED]]
+    modelled = [w for w, n in head if n * SHARE >= (totals.tokens or 0)]
     if END not in modelled:
         modelled.append(END)
     n = dict(head)
-    mass = sum(n.get(w, 0) + 0.5 for w in modelled)
+    mass = [n.get(w, 0) + 0.5 for w in modelled]
+    total, classes = sum(mass), max(1, math.isqrt(len(modelled)))
     bounds, upto = [0], 0.0
-    for i, w in enumerate(modelled):
-        upto += n.get(w, 0) + 0.5
-        if upto >= mass * len(bounds) / (CLASSES - 1) and i + 1 < len(modelled):
+    for i, m in enumerate(mass):
+        upto += m
+        if upto >= total * len(bounds) / classes and i + 1 < len(modelled):
             bounds.append(i + 1)
     bounds.append(len(modelled))
     tokens, distinct = totals.tokens or 0, totals.distinct
@@ -119,165 +122,210 @@ def survey(counts: DataFrame) -> Corpus:
 
 
 def start(corpus: Corpus) -> dict:
-    """Weights of a model that equals the smoothed frequencies: no state says anything yet."""
+    """Weights of a model that equals the smoothed frequencies: no state says anything yet.
+
+    `e` holds input vectors (the last is that of all other words), `x`, `u` and `b` are the unit's; `c` and `w` hold a row
+    for each class and word, the last column of which is for a state's constant.
+    """
     import numpy as np
 
     rng, n = np.random.default_rng(6), dict(corpus.head)
-    words, classes = len(corpus.modelled), len(corpus.bounds)  # the last class is all other words
-    small = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
+    words = len(corpus.modelled)
+    small = lambda scale, *shape: (rng.standard_normal(shape) * scale).astype(np.float32)
     mass = np.array([n.get(w, 0) + 0.5 for w in corpus.modelled])
-    of_class = np.append(np.add.reduceat(mass, corpus.bounds[:-1]), corpus.rest_tokens + 0.5 * (corpus.rest_distinct + 1))
+    of_class = np.add.reduceat(mass, corpus.bounds[:-1])
+    every = np.append(of_class, corpus.rest_tokens + 0.5 * (corpus.rest_distinct + 1))  # the last class is all other words
+    constant = lambda logs: np.column_stack([np.zeros((len(logs), HIDDEN)), logs]).astype(np.float32)
     return {
-        "x": small(words + 1, 3 * HIDDEN), "u": small(HIDDEN, 3 * HIDDEN), "b": np.zeros(3 * HIDDEN, np.float32),
-        "c": np.zeros((HIDDEN, classes), np.float32), "cb": np.log(of_class / of_class.sum()).astype(np.float32),
-        "w": np.zeros((words, HIDDEN), np.float32), "wb": np.log(mass / mass.sum()).astype(np.float32),
+        "e": small(0.3, words + 1, HIDDEN), "x": small(0.3, HIDDEN, 3 * HIDDEN), "u": small(0.1, HIDDEN, 3 * HIDDEN),
+        "b": np.zeros(3 * HIDDEN, np.float32), "c": constant(np.log(every / every.sum())),
+        "w": constant(np.log(mass / np.repeat(of_class, np.diff(corpus.bounds)))),
     }
 
 
-def step(p: dict, inputs, h):
-    """One step of the unit for rows of input words: the new state and what backpropagation needs."""
+def step(u, x, h):
+    """One step of the unit: the new state and what backpropagation needs. `x`: what the inputs add to the gates."""
     import numpy as np
 
     n = HIDDEN
-    x = p["x"][inputs] + p["b"]
-    rec = h @ p["u"]
-    gates = 1 / (1 + np.exp(-(x[:, :2 * n] + rec[:, :2 * n])))
+    rec = h @ u
+    gates = 0.5 * (1 + np.tanh(0.5 * (x[:, :2 * n] + rec[:, :2 * n])))
     z, r = gates[:, :n], gates[:, n:]
     new = np.tanh(x[:, 2 * n:] + r * rec[:, 2 * n:])
     return h + z * (new - h), (z, r, new, rec[:, 2 * n:])
 
 
-def outputs(p: dict, bounds, states, words, grads: dict | None = None):
-    """Log-probability of each row's word (the number of words stands for any other), and the states' gradient."""
+def outputs(p: dict, bounds, states, words, learn=None):
+    """Log-probability of each row's word (the number of words stands for any other).
+
+    With `learn`, also the gradient of the states; gradients of weights go to learn(name, rows of it, gradient).
+    """
     import numpy as np
 
-    classes = np.searchsorted(bounds, words, side="right") - 1
-    classes = np.where(words == bounds[-1], len(bounds) - 1, classes)
-    logits = states @ p["c"] + p["cb"]
-    logits -= logits.max(1, keepdims=True)
-    e = np.exp(logits)
+    bounds = np.asarray(bounds)
+    classes = np.searchsorted(bounds, words, side="right") - 1  # any other word is beyond the last bound: the last class
+    order = np.argsort(classes.astype(np.int16) if len(bounds) < 1 << 15 else classes, kind="stable")
+    states = np.column_stack([states, np.ones(len(states), states.dtype)])[order]
+    words, classes, rows = words[order], classes[order], np.arange(len(words))
+    e = states @ p["c"].T
+    logs = e[rows, classes].astype(np.float64)
+    np.exp(e, out=e)  # weights are held down, so nothing overflows
     total = e.sum(1)
-    rows = np.arange(len(words))
-    logs = (logits[rows, classes] - np.log(total)).astype(np.float64)
-    back = None
-    if grads is not None:
-        d = e / total[:, None]
-        d[rows, classes] -= 1
-        grads["c"] += states.T @ d
-        grads["cb"] += d.sum(0)
-        back = d @ p["c"].T
-    order = np.argsort(classes, kind="stable")
-    edges = np.searchsorted(classes[order], np.arange(len(bounds)))
-    for k in range(len(bounds) - 1):
-        at = order[edges[k]:edges[k + 1]]
-        lo, hi = bounds[k], bounds[k + 1]
-        if not len(at) or hi - lo < 2:
+    logs -= np.log(total)
+    if learn:
+        e *= (1 / total)[:, None]
+        e[rows, classes] -= 1
+        back = e @ p["c"]
+        learn("c", slice(None), e.T @ states)
+    edges = np.searchsorted(classes, np.arange(len(bounds))).tolist()
+    for (a, b), (lo, hi) in zip(zip(edges, edges[1:]), zip(bounds.tolist(), bounds[1:].tolist())):
+        if a == b or hi - lo < 2:
             continue
-        weights = p["w"][lo:hi]
-        inner = states[at] @ weights.T + p["wb"][lo:hi]
-        inner -= inner.max(1, keepdims=True)
-        e = np.exp(inner)
+        own, at, weights = rows[:b - a], words[a:b] - lo, p["w"][lo:hi]
+        e = states[a:b] @ weights.T
+        mine = e[own, at]
+        np.exp(e, out=e)
         total = e.sum(1)
-        own = np.arange(len(at))
-        logs[at] += inner[own, words[at] - lo] - np.log(total)
-        if grads is not None:
-            d = e / total[:, None]
-            d[own, words[at] - lo] -= 1
-            grads["w"][lo:hi] += d.T @ states[at]
-            grads["wb"][lo:hi] += d.sum(0)
-            back[at] += d @ weights
-    return logs, back
-
-
-def train_window(p: dict, squares: dict, bounds, inputs, words, h):
-    """One window of truncated backpropagation, for documents side by side (steps x documents); returns the last state."""
+        logs[a:b] += mine - np.log(total)
+        if learn:
+            e *= (1 / total)[:, None]
+            e[own, at] -= 1
+            back[a:b] += e @ weights
+            learn("w", slice(lo, hi), e.T @ states[a:b])
+    unsorted = np.empty_like(logs)
+    unsorted[order] = logs
+    if not learn:
+        return unsorted, None
+    gradient = np.empty((len(words), HIDDEN), states.dtype)
+    gradient[order] = back[:, :HIDDEN]
+    return unsorted, gradient
+
+
+def backpropagated(p: dict, bounds, fed, words, valid, h, end: int, learn):
+    """One window for documents side by side (steps x documents): the last state, and the words' log-probabilities.
+
+    `fed` are the words before `words`; an end starts the state anew. Gradients of the negated sum go to `learn`.
+    """
     import numpy as np
 
-    n, steps = HIDDEN, len(words)
-    grads = {k: np.zeros_like(v) for k, v in p.items()}
-    states, kept, before = [], [], []
+    n, (steps, rows) = HIDDEN, fed.shape
+    vectors = p["e"][fed.ravel()]
+    x = (vectors @ p["x"] + p["b"]).reshape(steps, rows, 3 * n)
+    goes_on = (fed != end).astype(x.dtype)[:, :, None]
+    states, olds, kept = np.empty((steps, rows, n), x.dtype), np.empty((steps, rows, n), x.dtype), []
     for t in range(steps):
-        before.append(h)
-        h, cache = step(p, inputs[t], h)
-        states.append(h)
+        olds[t] = h * goes_on[t]
+        h, cache = step(p["u"], x[t], olds[t])
+        states[t] = h
         kept.append(cache)
-    _, back = outputs(p, bounds, np.concatenate(states), words.ravel(), grads)
-    back = back.reshape(steps, -1, n)
-    dh = np.zeros_like(h)
+    where = valid.ravel()
+    back = np.zeros((steps * rows, n), x.dtype)
+    logs, back[where] = outputs(p, bounds, states.reshape(-1, n)[where], words.ravel()[where], learn)
+    back = back.reshape(steps, rows, n)
+    da, drec, dh = np.empty_like(x), np.empty_like(x), np.zeros_like(h)
     for t in range(steps - 1, -1, -1):
         dh = dh + back[t]
-        (z, r, new, rec), old = kept[t], before[t]
+        (z, r, new, rec), old = kept[t], olds[t]
         dn = dh * z * (1 - new * new)
-        dz = dh * (new - old) * z * (1 - z)
-        dr = dn * rec * r * (1 - r)
-        da = np.concatenate([dz, dr, dn], 1)
-        np.add.at(grads["x"], inputs[t], da)
-        grads["b"] += da.sum(0)
-        drec = np.concatenate([dz, dr, dn * r], 1)
-        grads["u"] += old.T @ drec
-        dh = dh * (1 - z) + drec @ p["u"].T
-    for k, g in grads.items():
-        g = np.clip(g / words.shape[1], -CLIP, CLIP)
-        squares[k] += g * g
-        p[k] = p[k] - RATE * g / (np.sqrt(squares[k]) + 1e-6)
-    return h
-
-
-def train_on(p: dict, bounds, texts, place: dict[bytes, int], squares: dict | None = None) -> tuple[dict, int]:
-    """Weights after the documents `texts`, and how many tokens they have. `squares`: sums of the updates before, carried on."""
-    import numpy as np
+        da[t, :, :n] = dh * (new - old) * z * (1 - z)
+        da[t, :, n:2 * n] = dn * rec * r * (1 - r)
+        da[t, :, 2 * n:] = dn
+        drec[t] = da[t]
+        drec[t, :, 2 * n:] *= r
+        dh = (dh * (1 - z) + drec[t] @ p["u"].T) * goes_on[t]
+    da, drec = da.reshape(-1, 3 * n), drec.reshape(-1, 3 * n)
+    # rows of one word are added up in order, so only the words that came are touched
+    order = np.argsort(fed.ravel(), kind="stable")
+    came = fed.ravel()[order]
+    first = np.flatnonzero(np.diff(came, prepend=-1))
+    by_word = np.add.reduceat((da @ p["x"].T)[order], first, axis=0)
+    learn("x", slice(None), vectors.T @ da)
+    learn("u", slice(None), olds.reshape(-1, n).T @ drec)
+    learn("b", slice(None), da.sum(0))
+    learn("e", came[first], by_word)
+    return h, logs
+
+
+class Trainer:
+    """Weights on their way through consecutive updates."""
+
+    def __init__(self, p: dict, bounds, end: int):
+        import numpy as np
+
+        self.p, self.bounds, self.end, self.tokens = {k: v.copy() for k, v in p.items()}, bounds, end, 0
+        self.squares = {k: np.full_like(v, 1e-2) for k, v in p.items()}
 
-    p = {k: v.copy() for k, v in p.items()}
-    squares = {} if squares is None else squares
-    for k, v in p.items():
-        squares.setdefault(k, np.full_like(v, 1e-2))
-    other, end = bounds[-1], place[END.encode()]
-    # the documents, one after the other, in rows of equal length; a row's state starts anew
-    stream = [place.get(w, other) for t in texts for w in [*words_in(t), END.encode()]]
-    rows = max(1, min(SIDE_BY_SIDE, len(stream) // WINDOW))
-    length = len(stream) // rows
-    grid = np.array(stream[:rows * length], np.int64).reshape(rows, length).T
-    fed = np.vstack([np.full((1, rows), end), grid[:-1]])
-    h = np.zeros((rows, HIDDEN), np.float32)
-    for at in range(0, length, WINDOW):
-        h = train_window(p, squares, bounds, fed[at:at + WINDOW], grid[at:at + WINDOW], h)
-        h = np.where(grid[min(at + WINDOW, length) - 1][:, None] == end, 0, h).astype(np.float32)
-    return p, len(stream)
+    def update(self, name: str, rows, gradient) -> None:
+        import numpy as np
+
+        g = np.clip(gradient / self.side_by_side, -CLIP, CLIP)
+        self.squares[name][rows] += g * g
+        new = self.p[name][rows] - RATE * g / np.sqrt(self.squares[name][rows])
+        if name in "cw":
+            np.clip(new[:, :HIDDEN], -LARGEST, LARGEST, out=new[:, :HIDDEN])
+        self.p[name][rows] = new
+
+    def read(self, stream) -> None:
+        """Learn from documents, one after the other as word places, laid out in rows of equal length."""
+        import numpy as np
+
+        rows = max(1, min(SIDE_BY_SIDE, len(stream) // WINDOW))
+        length = -(-len(stream) // rows)
+        grid = np.full(rows * length, self.end, np.int32)
+        grid[:len(stream)] = stream
+        valid = (np.arange(rows * length) < len(stream)).reshape(rows, length).T
+        fed = np.concatenate([[self.end], grid[:-1]]).reshape(rows, length).T
+        grid, self.side_by_side = grid.reshape(rows, length).T, rows
+        h = np.zeros((rows, HIDDEN), np.float32)
+        for at in range(0, length, WINDOW):
+            to = at + WINDOW
+            h, _ = backpropagated(self.p, self.bounds, fed[at:to], grid[at:to], valid[at:to], h, self.end, self.update)
+        self.tokens += len(stream)
+
+
+def gathered(batches, chars: int):
+    """Arrow batches put together until they hold `chars` bytes."""
+    import pyarrow as pa
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= chars:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def train(docs: DataFrame, corpus: Corpus, text: str = "text") -> dict:
-    """Weights after some rounds over all training documents, averaged over tasks by tokens."""
+    """Weights after `ROUNDS` over all training documents, averaged over tasks by tokens."""
     import numpy as np
 
     weights, bounds = start(corpus), corpus.bounds
     place = {w.encode(): i for i, w in enumerate(corpus.modelled)}
-    names = list(weights)
+    other, end, names = bounds[-1], place[END.encode()], list(weights)
     for _ in range(ROUNDS):
-        given = dict(weights)
+        sent = docs.sparkSession.sparkContext.broadcast((weights, place))  # HEAD words at most
 
         def run(batches):
+            import itertools
+
             import pyarrow as pa
 
-            trained, squares, texts, total, size = given, {}, [], 0, 0
-            for batch in slices(batches, text):
-                texts += batch.column(0).to_pylist()
-                size += batch.nbytes
-                if size > TRAIN_CHARS:
-                    trained, n = train_on(trained, bounds, texts, place, squares)
-                    texts, total, size = [], total + n, 0
-            if texts:
-                trained, n = train_on(trained, bounds, texts, place, squares)
-                total += n
-            if total:
-                flat = np.concatenate([trained[k].ravel().astype(np.float64) for k in names]) * total
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat), pa.array(np.full(len(flat), total))],
-                                                 names=["at", "s", "n"])
-
-        found = docs.select(text).mapInArrow(run, "at long, s double, n long").groupBy("at").agg(
-            F.sum("s").alias("s"), F.sum("n").alias("n")).toPandas().sort_values("at")  # a row per weight
-        if not len(found):
+            given, places = sent.value
+            trainer = Trainer(given, bounds, end)
+            for batch in gathered(slices(batches, text), TRAIN_CHARS):
+                words = itertools.chain.from_iterable([*words_in(t), b""] for t in batch.column(0).to_pylist())
+                trainer.read(np.fromiter((places.get(w, other) for w in words), np.int32))
+            if trainer.tokens:
+                total = np.append(np.concatenate([trainer.p[k].ravel() for k in names]).astype(np.float64), 1.0) * trainer.tokens
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+        total = summed(docs.select(text).mapInArrow(run, "sums binary"))
+        if total is None:
             break
-        flat, at = (found["s"] / found["n"]).to_numpy(), 0
+        flat, at = total[:-1] / total[-1], 0
         for k in names:
             size = weights[k].size
             weights[k] = flat[at:at + size].reshape(weights[k].shape).astype(np.float32)
@@ -286,31 +334,29 @@ def train(docs: DataFrame, corpus: Corpus, text: str = "text") -> dict:
 
 
 def likelihoods(p: dict, bounds, end: int, docs: list):
-    """Natural log-probability of each document (an array of word places, end included), state carried over windows."""
+    """Natural log-probability of each document (an array of word places, end included), state carried to its end."""
     import numpy as np
 
-    scores = np.zeros(len(docs))
-    order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
+    if not docs:
+        return np.zeros(0)
+    x = p["e"] @ p["x"] + p["b"]
+    order = np.argsort([-len(d) for d in docs], kind="stable")
     lengths = np.array([len(docs[i]) for i in order])
-    h = np.zeros((len(docs), HIDDEN), np.float32)
-    last = np.full(len(docs), end)
-    for at in range(0, int(lengths[0]) if len(docs) else 0, SCORE_WINDOW):
+    flat, first = np.concatenate([docs[i] for i in order]), np.cumsum(lengths) - lengths
+    h, last, sums, held, size = np.zeros((len(docs), HIDDEN), x.dtype), np.full(len(docs), end), np.zeros(len(docs)), [], 0
+    for at in range(int(lengths[0])):
         alive = int(np.searchsorted(-lengths, -at, side="left"))  # longer than `at`
-        width = min(SCORE_WINDOW, int(lengths[0]) - at)
-        grid = np.full((width, alive), end, np.int64)
-        for i in range(alive):
-            part = docs[order[i]][at:at + width]
-            grid[:len(part), i] = part
-        h, states, valid = h[:alive], [], np.arange(width)[:, None] + at < lengths[:alive]
-        fed = np.vstack([last[None, :alive], grid[:-1]])
-        for t in range(width):
-            h, _ = step(p, fed[t], h)
-            states.append(h)
-        last = grid[-1]
-        where = valid.ravel()
-        logs = np.zeros(width * alive)
-        logs[where] = outputs(p, bounds, np.concatenate(states)[where], grid.ravel()[where])[0]
-        scores[np.array(order[:alive])] += logs.reshape(width, alive).sum(0)
+        h, _ = step(p["u"], x[last[:alive]], h[:alive])
+        last = flat[first[:alive] + at]
+        held.append((h, last))
+        size += alive
+        if size >= SCORE_TOKENS or at + 1 == lengths[0]:
+            logs, _ = outputs(p, bounds, np.concatenate([s for s, _ in held]), np.concatenate([w for _, w in held]))
+            for part in np.split(logs, np.cumsum([len(w) for _, w in held])[:-1]):
+                sums[:len(part)] += part
+            held, size = [], 0
+    scores = np.empty(len(docs))
+    scores[order] = sums
     return scores
 
 
@@ -320,10 +366,10 @@ def scored(docs: DataFrame, counts: DataFrame, corpus: Corpus, weights: dict, te
     kept = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in names)
     bounds, other = corpus.bounds, corpus.bounds[-1]
     place = {w: i for i, w in enumerate(corpus.modelled)}
-    # words -> (place in the model, log10 of the count and a half); one table for all tasks of an executor
     known = {END: 0} | dict(corpus.head)
-    table = docs.sparkSession.sparkContext.broadcast(
-        {w.encode(): (place.get(w, other), math.log10(n + 0.5), n > 0) for w, n in known.items()})
+    # one table for all tasks of an executor: words -> number; by number the place in the model and the count
+    table = docs.sparkSession.sparkContext.broadcast(({w.encode(): i for i, w in enumerate(known)}, [place.get(w, other) for w in known], list(known.values())))
+    model = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):
         from collections import Counter
@@ -331,23 +377,23 @@ def scored(docs: DataFrame, counts: DataFrame, corpus: Corpus, weights: dict, te
         import numpy as np
         import pyarrow as pa
 
-        head, end = table.value, place[END]
-        ending = head[END.encode()]
+        numbers, places, counts = table.value
+        counts, end = np.array(counts), place[END]
+        places, by_count, modelled = np.array([*places, other], np.int32), np.append(np.log10(counts + 0.5), 0.0), np.append(np.array(places) != other, True)
+        seen, ending = np.append(counts > 0, False), numbers[END.encode()]
         tail_kind = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int32())]))
-        for batch in slices(batches, text, SCORE_CHARS):
-            rows, places = [], []
+        for batch in gathered(slices(batches, text), SCORE_CHARS):
+            rows, coded = [], []
             for t in batch.column(batch.schema.get_field_index(text)).to_pylist():
                 words = words_in(t)
-                found = [head.get(w) for w in words]
-                found.append(ending)
-                rest = Counter(w for w, f in zip(words, found) if f is None)
-                at = np.fromiter((other if f is None else f[0] for f in found), np.int64, len(found))
-                places.append(at)
-                base = sum(f[1] for f in found if f is not None)
-                by_share = sum(f[1] for f in found if f is not None and f[0] == other)
-                rows.append((len(found), sum(f[2] for f in found if f is not None), base, by_share, int((at == other).sum()),
+                at = np.fromiter((numbers.get(w, -1) for w in words), np.int32, len(words))
+                rest = Counter(words[i] for i in np.flatnonzero(at < 0).tolist())
+                at = np.append(at, ending)
+                coded.append(places[at])  # the last one stands for words beyond the head
+                logs = by_count[at]
+                rows.append((len(at), int(seen[at].sum()), float(logs.sum()), float(logs[~modelled[at]].sum()), int((coded[-1] == other).sum()),
                              [{"word": w.decode(), "n": n} for w, n in rest.items()]))
-            logs = likelihoods(weights, bounds, end, places)
+            logs = likelihoods(model.value, bounds, end, coded)
             yield pa.RecordBatch.from_arrays([
                 *[batch.column(batch.schema.get_field_index(c)) for c in names],
                 *[pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), tail_kind))],
