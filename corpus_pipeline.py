@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm.common import read, saved
+from quayside.llm.common import read, saved, scratch
 from quayside.llm.disclosure import without_personal_data
 from quayside.llm.langid import known_language
 from quayside.llm.mixing import mix_stage
@@ -28,7 +28,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    """The last stage's rows. What a stage saved on the way is removed once it is written, and its input with it."""
+    docs, before = read(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        with scratch(spark) as made:
+            docs = saved(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+            own = made.pop()  # the last one is the stage's result
+            made += before
+            before = [own]
     return docs
