@@ -162,7 +162,9 @@ def first_of_groups(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group of near copies the document with the smallest id stays, once."""
     firsts = near_groups(docs).filter("key = first_key").select(F.col("key").alias("first"), F.col("doc_id").alias("id")).distinct()
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", key_of().alias("key"))
-    stay = rows.join(firsts, (F.col("key") == F.col("first")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    # partitioned by key alone, so that repeated rows meet where the join left them and documents are shuffled once
+    same = F.coalesce(F.col("doc_id") == F.col("id"), F.col("doc_id").isNull() & F.col("id").isNull())
+    stay = rows.join(firsts, (F.col("key") == F.col("first")) & same, "left_semi")
     return stay.dropDuplicates(["key", "doc_id"]).select("row.*")
 
 

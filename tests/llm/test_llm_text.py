@@ -4,6 +4,7 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -163,11 +164,99 @@ def test_evidence_decides_where_text_is_short(spark, docs):
     assert kept.columns == docs.columns and kept.filter("doc_id >= 0").count() == docs.count()
 
 
-def test_hosts_and_suffixes_of_pages(spark, sf):
-    pages = spark.read.parquet(f"{sf}/pages.parquet").withColumn(
-        "declared", F.regexp_extract("html", '<html[^>]*lang="?([^">]*)', 1)).withColumn("body", F.regexp_replace("html", "<[^>]*>", " "))
-    got = langid.identified(pages, declared="declared", address="url", text="body", id="page_id")
-    assert got.filter("language <> declared").count() == 0 and got.count() == pages.count()
+def test_languages_of_pages(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet").withColumn("want", F.regexp_extract("html", '<html[^>]*lang="?([^">]*)', 1))
+    got = langid.language_of_pages(spark, sf).join(pages, "page_id")
+    assert got.filter("language <> want").count() == 0 and got.count() == pages.count()
+
+
+def test_markup_is_read_whatever_it_holds():
+    page = "<!DOCTYPE html><HTML data-x=1 Lang='fr-CA'><head><title>t</title></head><body>a<script>b<p>c</script ><!-- d > e -->f &amp; &eacute;<br>g"
+    lang, text = langid.shown(page)
+    assert lang == "fr-CA" and text.split() == ["a", "f", "&", "é", "g"]
+    assert langid.shown("no markup < 3") == (None, "no markup ") and langid.shown("<html><p lang=de>x")[0] is None
+    assert langid.shown("İ<script>x</script>y<b>")[1].split() == ["İ", "y"]
+    for long in ("<script>" * 100_000, "<" * 1_000_000, "<!--" * 300_000, "<html " + "a" * 1_000_000):
+        langid.shown(long)
+
+
+def plain_posteriors(docs, model):
+    """Language and confidence of each (text, tag, host), from the definitions, document by document."""
+    names = [*model.languages, "und"]
+    size = len(names)
+    soft = lambda x: (lambda e: e / e.sum())(np.exp(x - np.max(x)))
+    logs = []
+    for text, _, _ in docs:
+        raw = (text or "").lower().encode()
+        counts = np.zeros(langid.BUCKETS)
+        for i in range(len(raw) - 2):
+            counts[(raw[i] * 7919 + raw[i + 1] * 263 + raw[i + 2]) % langid.BUCKETS] += 1
+        table = np.repeat(model.floors[:, None], langid.BUCKETS, 1)
+        for b in range(langid.BUCKETS):
+            for e in range(model.starts[b], model.starts[b + 1]):
+                table[model.language[e], b] += model.more[e]
+        own = np.append(table @ counts, -np.log(langid.BUCKETS) * counts.sum()) * langid.TEMPER
+        logs.append(own if any(map(str.isalpha, text or "")) else None)
+    ps = [None if x is None else soft(x) for x in logs]
+    some = [p for p in ps if p is not None]
+    total = np.sum(some, 0)
+    overall = (total + 1) / (total.sum() + size)
+    overall[-1] = langid.NONE_PRIOR
+    overall /= overall.sum()
+    k, zero = langid.KAPPA, np.zeros(size)
+    known = lambda t: t if t in model.languages or t is None else "other"
+    domain = lambda h: ".".join(h.split(".")[-2:])
+    suffix = lambda h: h.split(".")[-1] if "." in h else None
+    of = lambda key, value: sum((p for (_, t, h), p in zip(docs, ps) if p is not None and key(t, h) == value), zero)
+    found = []
+    for (_, tag, host), x, p in zip(docs, logs, ps):
+        if p is None:
+            found.append((None, None))
+            continue
+        d = np.maximum(of(lambda t, h: domain(h), domain(host)) - p, 0)
+        d = (d + k * overall) / (d.sum() + k)
+        n = np.maximum(of(lambda t, h: h, host) - p, 0)
+        at = overall if not host else d if domain(host) == host else (n + k * d) / (n.sum() + k)
+        total_of = x + np.log(at)
+        if tag is not None:
+            says = of(lambda t, h: known(t), known(tag))
+            total_of = total_of + np.log((says + k * (says.sum() + 1) / (total.sum() + size)) / (total + k))
+        if suffix(host):
+            under = of(lambda t, h: suffix(h), suffix(host))
+            total_of = total_of + np.log((under + k * (under.sum() + 1) / (total.sum() + 1)) / (total + k))
+        post = soft(total_of)
+        best = names[int(np.argmax(post))]
+        found.append((tag if (best == "und" or post.max() < 0.5) and known(tag) == "other" else best, post.max()))
+    return found
+
+
+def test_posteriors_equal_plain_ones(rows):
+    rnd = random.Random(8)
+    words = {"en": "the of and that with for".split(), "de": "der die und nicht ein".split(), "fr": "le les que une dans".split()}
+    hosts = ["a.x.de", "b.x.de", "x.de", "y.com", "m.y.com", "", "bare"]
+    docs = []
+    for i in range(90):
+        lang = rnd.choice(list(words))
+        text = " ".join(rnd.choice(words[rnd.choice([lang, lang, "en"])]) for _ in range(rnd.randint(1, 4)))
+        docs.append((rnd.choice([text, text, text, None, "12 !", "Жизнь пр"]) if i > 30 else text, rnd.choice([lang, lang, None, "xx", "yy"]) if i > 30 else lang, rnd.choice(hosts)))
+    ddl = "doc_id long, text string, lang string, source string, host string, tag int, row int, logs int, n int, p int"
+    df = rows(ddl, *[(i, t, l, s, "h", 1, 2, 3, 4, 5) for i, (t, l, s) in enumerate(docs)]).repartition(3)
+    got = {r.doc_id: r for r in langid.identified(df).collect()}
+    want = plain_posteriors(docs, langid.fit(df))
+    for i, (language, confidence) in enumerate(want):
+        assert got[i].language == language and (confidence is None or abs(got[i].confidence - confidence) < 1e-6), (i, docs[i], got[i], want[i])
+    assert got[0].host == "h" and got[0].p == 5 and {r.language for r in got.values()} >= {"en", "de", "fr"}
+
+
+def test_many_declared_languages_all_have_models(rows):
+    tags = [a + b for a in "abcdefghij" for b in "klmnopqrst"]  # a hundred
+    df = rows(DOC, *[(10 * i + k, f"{t * 3} {t}{t[::-1]} {t}x{t}", t, None, 0) for i, t in enumerate(tags) for k in range(6)],
+              (5000, "Жизнь прекрасна и удивительна", "ru", None, 0))
+    model = langid.fit(df)
+    assert model.languages == sorted(tags)
+    got = langid.identified(df)
+    assert got.filter("doc_id < 5000 and language = lang and accepted").count() > 590
+    assert got.filter("doc_id = 5000").select("language", "accepted").first()[:] == ("ru", True)  # no model, taken at its word
 
 
 def test_language_of_an_empty_table(spark, docs):
@@ -228,6 +317,85 @@ def test_terms_far_from_the_entity_and_in_documents_without_it(rows):
     assert not spans[400]  # one document does not tell which of its words gives away the entity
 
 
+def test_disclosed_shares_equal_plain_ones(rows):
+    import math
+    from zlib import crc32
+
+    rnd = random.Random(6)
+    docs = []
+    for i in range(400):
+        words = [f"w{rnd.randint(0, 60)}" for _ in range(6)]
+        if i % 8 == 0:
+            words += [f"p{i}@{'ab'[i % 16 // 8]}.org", rnd.choice(["Alpha", "Beta", "Gamma" if i % 16 else "Delta"]), "mail"]
+        if i % 50 == 3:
+            words += ["+1 974 555 1234", "Omega"]
+        docs.append((i, " ".join(words), None, None, i))
+    docs += [docs[8]] * 3 + [(None, None, None, None, 0)]
+    finder = disclosure.Finder()
+    of_names, of_terms, of_both, vocabulary, n = {}, {}, {}, set(), len(docs)
+    for _, text, *_ in docs:
+        base = finder.base(text or "")
+        names = {p for k, s, e in base for p in disclosure.protected(k, text[s:e])}
+        whole = {finder.term(t).lower() for t in (text or "").split()} - {""}
+        inside = {t for t, _, _ in finder.places(text, base, disclosure.term_of)} if base else set()
+        vocabulary |= {t for t in whole if crc32(t.encode()) % disclosure.PICKED == 0}
+        for t in whole:
+            of_terms[t] = of_terms.get(t, 0) + 1
+        for p in names:
+            of_names[p] = of_names.get(p, 0) + 1
+            for t in inside:
+                of_both[p, t] = of_both.get((p, t), 0) + 1
+    tried = max(disclosure.PICKED * len(vocabulary), len({t for _, t in of_both}))
+    want = {}
+    for (p, t), both in of_both.items():
+        prior, seen = of_names[p] / n, both / of_terms[t]
+        kl = sum(x * math.log2(x / y) for x, y in ((seen, prior), (1 - seen, 1 - prior)) if x > 0) if seen > prior else 0.0
+        chance = 2.0 ** (-of_terms[t] * kl)
+        odds = tried * (-math.e * chance * math.log(chance) if 0 < chance < 1 / math.e else 1.0 if chance else 0.0)
+        share = math.log2((seen + odds * prior) / (1 + odds) / prior) / -math.log2(prior)
+        low, high = disclosure.LEVELS[p[0]]
+        if share >= low:
+            want[t] = want.get(t, False) or share >= high
+    df = rows(DOC, *docs)
+    keyed = df.select("doc_id", F.xxhash64("doc_id").alias("key"), "text").repartition(4)
+    got = {r.term: r.removed for r in disclosure.disclosing(disclosure.noted(keyed).withColumn("row", F.monotonically_increasing_id()), keyed.select("text")).collect()}
+    assert got == want and want["mail"] and "omega" in want and "w1" not in want and "delta" in want
+
+
+def test_the_bitmap_holds_every_term(spark):
+    terms = [f"t{i}é" for i in range(3000)]
+    table = disclosure.Terms(disclosure.bitmap(spark.createDataFrame([(t,) for t in terms], "term string")).value, False)
+    assert all(table[f"({t.upper()}),"] == t for t in terms) and sum(bool(table[f"no{i}"]) for i in range(3000)) < 3
+
+
+def test_disclosing_terms_are_generalised_to_their_shape():
+    text = "Anna met NATO at K2 with friends a@b.org"
+    marks = [{"start": s, "end": e, "removed": s == 0 and False} for s, e in ((0, 4), (9, 13), (17, 19), (25, 32))]
+    base = [{"kind": 0, "start": 33, "end": 40}]
+    assert disclosure._replaced(text, base, marks) == "<NAME> met <ABBREVIATION> at <CODE> with <WORD> <EMAIL>"
+    assert disclosure._replaced(text, base, [{"start": 0, "end": 4, "removed": True}]) == " met NATO at K2 with friends <EMAIL>"
+
+
+def test_columns_named_like_inner_ones_pass_through(rows, spark):
+    df = rows("doc_id long, text string, base string, terms int, key string, row int, id long, of_key int",
+              (1, "a@b.org x", "b", 1, "k", 2, 3, 4), (None, "a@b.org y", None, None, None, None, None, None), (None, None, "n", 1, "k", 2, 3, 4))
+    got = sorted(map(tuple, disclosure.sanitised(df).collect()), key=str)
+    assert got == sorted([(1, "<EMAIL> x", "b", 1, "k", 2, 3, 4), (None, "<EMAIL> y", None, None, None, None, None, None), (None, None, "n", 1, "k", 2, 3, 4)], key=str)
+
+
+def test_odd_long_texts_take_no_long():
+    import time
+
+    finder, model = disclosure.Finder(), langid.model_of(["aa", "bb"], np.array([0, 1]), np.array([5, 9]), np.array([3, 4]))
+    for long in ("1" * 1_000_000, "." * 1_000_000, "a" + "." * 1_000_000 + "a", "1." * 500_000, "+1" + "(" * 1_000_000, "a@" * 500_000,
+                 "1 " * 500_000, "a." * 500_000 + "@", "1.1." + "1" * 1_000_000, "\u0130" * 300_000):
+        began = time.time()
+        base = finder.base(long)
+        finder.places(long, base, disclosure.term_of)
+        model.evidence(long)
+        assert time.time() - began < 4, long[:20]
+
+
 def test_an_address_part_of_many_zeros():
     zeros = "0" * 5000
     assert disclosure.Finder().base(f"1.2.3.{zeros}") == [("ip", 0, 5006)]
