@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quayside.operators.lookup import left_lookup
 
@@ -59,47 +59,75 @@ _COLUMNS = ("t_type", "tran_id", "internalid", "line_id", "tran_date", "tran_nam
             "account_desc", "qty", "ext_cost", "acctg_amount", "memo")
 
 
-def _headers(header: DataFrame, doc: Document) -> DataFrame:
-    """Posted documents of one type."""
+def _headers(header: DataFrame, doc: Document, book: int) -> DataFrame:
+    """Posted documents of one type; `book` numbers the table that holds their lines."""
     return header.filter("posting = 'T'").selectExpr(
-        f"'{doc.t_type}' as t_type", "tranid as tran_id", "id as internalid", "trandate as tran_date", "postingperiod as posting_period_id",
-        "tranid as _name" if doc.name == "header.tranid" else "cast(null as string) as _name")
+        f"{book} as _t_book", f"'{doc.t_type}' as t_type", "tranid as tran_id", "id as internalid", "trandate as tran_date",
+        "postingperiod as posting_period_id")
 
 
-def _lines(line: DataFrame, doc: Document) -> DataFrame:
-    """The lines of one document type in the common layout; the type and the document's id are the key of their header."""
+def _own(doc: Document) -> dict[str, str]:
+    """The columns in which document types differ, as expressions over a line."""
     placeholder = f"cast({NOTHING} as bigint)"
-    return line.selectExpr(
-        f"'{doc.t_type}' as _type",
+    return {
+        "tran_name": doc.name if doc.name.startswith("line.") else "cast(null as string)",
+        "entity_id": f"cast({doc.entity} as bigint)" if doc.entity else placeholder,
+        "item_id": "cast(item as bigint)" if doc.item else placeholder,
+        "account_id": doc.account,
+        "qty": f"cast({'-quantity' if doc.quantity else 'null'} as decimal(20,2))",
+        "acctg_amount": f"cast(coalesce({doc.credit}, 0) - coalesce({doc.debit}, 0) as decimal(20,2))",
+    }
+
+
+def _lines(line: DataFrame, docs: list[Document], variants: Mapping[str, list[str]], book: int) -> DataFrame:
+    """The lines of a table that these document types share, each once: the book and the document's id are the key of their header.
+
+    Column `_<column>_<n>` is the n-th of its `variants`, null if none of these types takes it.
+    """
+    taken = {(c, e) for d in docs for c, e in _own(d).items()}
+    return line.alias("line").selectExpr(
+        f"{book} as _book",
         "transaction as _transaction",
         "id as line_id",
-        f"{doc.name} as tran_name" if doc.name.startswith("line.") else "cast(null as string) as tran_name",
         "subsidiary as subsidiary_id",
         "location as location_id",
         "class as division_id",
         "department as department_id",
-        f"cast({doc.entity} as bigint) as entity_id" if doc.entity else f"{placeholder} as entity_id",
-        "cast(item as bigint) as item_id" if doc.item else f"{placeholder} as item_id",
-        f"{doc.account} as account_id",
-        f"cast({'-quantity' if doc.quantity else 'null'} as decimal(20,2)) as qty",
         "cast(null as decimal(20,2)) as ext_cost",
-        f"cast(coalesce({doc.credit}, 0) - coalesce({doc.debit}, 0) as decimal(20,2)) as acctg_amount",
         "memo",
+        *[f"{e if (c, e) in taken else 'null'} as _{c}_{n}" for c, found in variants.items() for n, e in enumerate(found)],
     )
 
 
 def _posted(ledger: Mapping[str, tuple[DataFrame, DataFrame]], kinds) -> DataFrame:
     """Posted lines of some document types, all but the columns of the account they are booked on.
 
-    Headers and lines of all types are one table each, tagged with their type,
-    and meet in one join on type and id.
+    Headers of all types are one table, tagged with their type, and so are the
+    lines; they meet in one join. A line table that several types share is read
+    and shuffled once, and a line's type is known behind the join.
     """
-    headers = reduce(DataFrame.unionByName, [_headers(ledger[k][0], DOCUMENTS[k]) for k in kinds])
-    lines = reduce(DataFrame.unionByName, [_lines(ledger[k][1].alias("line"), DOCUMENTS[k]) for k in kinds])
-    # where every type takes the line's name, the header's is a null that Catalyst folds away
-    return headers.join(lines, (F.col("t_type") == F.col("_type")) & (F.col("internalid") == F.col("_transaction"))).withColumn(
-        "tran_name", F.when(F.col("t_type").isin(*[DOCUMENTS[k].t_type for k in kinds if DOCUMENTS[k].name == "header.tranid"]), F.col("_name")).otherwise(
-            F.col("tran_name")))
+    books: list[tuple[DataFrame, list[str]]] = []  # line tables and the types that share them
+    for kind in kinds:
+        shared = next((of for line, of in books if line is ledger[kind][1]), None)
+        if shared is None:
+            books.append((ledger[kind][1], shared := []))
+        shared.append(kind)
+    own = {k: _own(DOCUMENTS[k]) for k in kinds}
+    variants = {c: list(dict.fromkeys(own[k][c] for k in kinds)) for c in own[kinds[0]]}
+    headers = reduce(DataFrame.unionByName, [_headers(ledger[k][0], DOCUMENTS[k], i) for i, (_, of) in enumerate(books) for k in of])
+    lines = reduce(DataFrame.unionByName, [_lines(line, [DOCUMENTS[k] for k in of], variants, i) for i, (line, of) in enumerate(books)])
+
+    def chosen(column: str) -> Column:
+        """The variant of the line's own type."""
+        found = [F.when(F.col("t_type").isin(*[DOCUMENTS[k].t_type for k in kinds if own[k][column] == e]), F.col(f"_{column}_{n}"))
+                 for n, e in enumerate(variants[column])]
+        return F.coalesce(*found)  # those of other types are null
+
+    named = {c: chosen(c) for c in variants}
+    of_header = [DOCUMENTS[k].t_type for k in kinds if DOCUMENTS[k].name == "header.tranid"]
+    named["tran_name"] = F.when(F.col("t_type").isin(*of_header), F.col("tran_id").cast("string")).otherwise(named["tran_name"])
+    met = headers.join(lines, (F.col("_t_book") == F.col("_book")) & (F.col("internalid") == F.col("_transaction")))
+    return met.withColumns(named)
 
 
 def _on_account(lines: DataFrame, account: DataFrame, *more: str) -> DataFrame:
