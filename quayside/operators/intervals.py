@@ -78,6 +78,13 @@ def days_of_ranges(df: DataFrame, cal: Calendar, day: str = "calendar_date") ->
     return df.withColumn(day, F.explode(F.sequence(first, F.date_add(first, length - 1)))).drop("_level", "_place")
 
 
+def days_covered(df: DataFrame, start: Column, end: Column, cal: Calendar, *, closed: bool) -> int:
+    """Rows that `explode_days` would make, added up without making them; a job over the two bounds alone."""
+    low, high = day_span(start, end, cal.first, cal.last, closed=closed)
+    spans = df.select(low.alias("_low"), high.alias("_high")).filter("_low <= _high")
+    return spans.agg(F.sum(F.datediff("_high", "_low") + 1)).first()[0] or 0
+
+
 def covering_days(df: DataFrame, start: Column, end: Column, cal: Calendar, *, closed: bool) -> DataFrame:
     """`explode_days` plus the calendar attributes; days the calendar lacks drop out."""
     return explode_days(df, start, end, cal, closed=closed).join(cal.days, "calendar_date")

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quayside.operators.intervals import covering_days, days_of_ranges, explode_days, explode_ranges, free_days, running_counts
+from quayside.operators.intervals import covering_days, days_covered, days_of_ranges, explode_days, explode_ranges, free_days, running_counts
 from quayside.operators.lookup import left_lookup
 from quayside.sources.calendar import ATTRIBUTES, Calendar
 
@@ -22,6 +22,7 @@ CHECKED_IN = 4
 OCCUPYING = (4, 6)
 RESERVATION_CHARGES = ("charge-reservation-seasonal", "charge-reservation-transitive")
 SUBSIDIARY_BY_NAME = (("Mile High", 8), ("Ray Roberts", 16))
+DAYS_PER_TASK = 250_000  # days of stays merged by one task, which holds them all in memory
 
 # The sort each report comes in: (column, ascending). NULLs sort as largest.
 ORDERS = {
@@ -72,8 +73,10 @@ def daily_boat_lengths(t: Tables, cal: Calendar) -> DataFrame:
     # all measures are maxima: they are taken per boat, marina and aligned range of days, then per day
     ranges = explode_ranges(known, arrival, departure, cal, closed=False).groupBy("_boat", "marina_location_id", "_level", "_place").agg(
         *[F.max(m).alias(n) for n, m in measures.items()])
-    # a boat and marina has a few rows per calendar day at most; days are made, and merged, behind this shuffle
-    daily = days_of_ranges(ranges.repartition("_boat", "marina_location_id"), cal).groupBy(
+    # a boat and marina has a few rows per calendar day at most; days are made, and merged, behind this shuffle. It is as
+    # wide as there are days: by the bytes of the ranges alone a task's share would grow tenfold and more in memory
+    tasks = -(-days_covered(t["reservations"], arrival, departure, cal, closed=False) // DAYS_PER_TASK)
+    daily = days_of_ranges(ranges.repartition(max(1, tasks), "_boat", "marina_location_id"), cal).groupBy(
         "_boat", "marina_location_id", "calendar_date").agg(*[F.max(n).alias(n) for n in measures])
     by_group = [F.col("calendar_date"), F.col("reservation_id")]  # days without a boat or a marina may be many
     named = left_lookup(daily, boats, "_boat", "id", spread_by=by_group)

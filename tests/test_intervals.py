@@ -125,3 +125,29 @@ def test_aligned_ranges_cover_each_day_once(spark, rows):
         want = sorted((i, d) for i, s, e in spans if s and e for k in range(366)
                       if (d := first + timedelta(k)) <= cal.last and s <= d and (d <= e if closed else d < e))
         assert got == want and most <= 2 * 9
+
+
+def test_more_days_of_stays_are_merged_by_more_tasks(spark, rows, monkeypatch):
+    from quayside.operators.intervals import days_covered, explode_days
+
+    cal = Calendar.between(spark, date(2024, 1, 1), date(2024, 3, 31))
+    spans = [(i, i % 3, 1, 4, datetime(2024, 1, 1 + i), datetime(2024, 1, 20 + i)) for i in range(6)] + [
+        (7, None, 1, 4, datetime(2023, 1, 1), datetime(2025, 1, 1)), (8, 1, None, 4, None, datetime(2024, 1, 2)),
+        (9, 1, 1, 4, datetime(2024, 2, 2), datetime(2024, 2, 1))]
+    t = {
+        "reservations": rows("id bigint, boat_id bigint, marina_location_id bigint, reservation_status_id bigint, "
+                             "scheduled_arrival_time timestamp_ntz, scheduled_departure_time timestamp_ntz", *spans),
+        "boats": rows("id bigint, name string, loa string, make string, model string", *[(i, "Gull", "32:6", "m", "n") for i in range(3)]),
+        "marina_locations": rows("id bigint, name string", (1, "North")),
+    }
+    start, end = F.col("scheduled_arrival_time"), F.col("scheduled_departure_time")
+    days = explode_days(t["reservations"], start, end, cal, closed=False).count()
+    assert days_covered(t["reservations"], start, end, cal, closed=False) == days == 6 * 19 + 91
+    assert days_covered(t["reservations"].limit(0), start, end, cal, closed=False) == 0
+    want = sorted(map(repr, views.daily_boat_lengths(t, cal).collect()))
+    for per_task, tasks in ((10, 21), (100, 3)):
+        monkeypatch.setattr(views, "DAYS_PER_TASK", per_task)
+        got = views.daily_boat_lengths(t, cal)
+        assert sorted(map(repr, got.collect())) == want
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert f", {tasks}\n" in "\n".join(x for x in plan.splitlines() if "RepartitionByExpression" in x) + "\n"
