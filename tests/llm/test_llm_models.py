@@ -61,6 +61,19 @@ def test_disguises_reach_the_lattice_and_plain_texts_stay_as_they_are(letters, m
     assert seen == ["i d i o t", "hat3", "a$$", "moron5", "|diot", "(lown", "s**m"]
 
 
+def test_texts_are_read_to_their_end(letters):
+    """Words of a long spaced run, also between two pieces of it, and all words that plain marks join."""
+    reader = toxicity.Reader(letters)
+    for before in range(58, 70):
+        run = " ".join("idiot" * 13 + "x" * before)[:2 * before] + "i d i o t , m o r o n"
+        assert " ".join(reader.text(run)).replace(" ", "") == run.replace(" ", "").replace(",", "")  # each letter once
+    for n in (12, 13, 14, 40):
+        assert reader.text("you " + " ".join("idiot" * n) + " now") == ["you", *["idiot"] * n, "now"], n
+    assert reader.text("1 " * 500 + "m 0 r o n")[-1] == "moron"
+    assert reader.text("you/idiot,there") == ["you", "idiot", "there"]
+    assert reader.text("plain/" * 30 + "1d1ot") == ["plain"] * 30 + ["idiot"]
+
+
 def test_odd_tokens_take_no_long(letters):
     import time
 
