@@ -41,12 +41,14 @@ class Warehouse:
         return {name: one_table(records, s.source, headers[s.source], found[s.source]) for name, s in specs.items() if s.source in found}
 
     def load(self, raw: dict[str, DataFrame], specs: dict[str, TableSpec], run_ts: datetime, *,
-             on_bad_rows: str = "set aside", merge_at_once: bool = True) -> DataFrame:
-        """Stage every table; the flagged ones are merged as soon as they are staged."""
+             on_bad_rows: str = "set aside", merge_at_once: bool = True, merged: dict[str, dict[str, int]] | None = None) -> DataFrame:
+        """Stage every table; the flagged ones are merged as soon as they are staged, and `merged` takes what those merges say."""
 
         def merge_now(spec: TableSpec):
             if spec.at_once:
-                merge_table(self.tables, spec.name, spec.for_warehouse(staged(self.staging, spec.name)), spec.merge, run_ts)
+                counts = merge_table(self.tables, spec.name, spec.for_warehouse(staged(self.staging, spec.name)), spec.merge, run_ts)
+                if merged is not None:
+                    merged[spec.name] = counts
 
         return load_all(self.staging, raw, specs, on_bad_rows=on_bad_rows, after=merge_now if merge_at_once else None)
 
@@ -68,14 +70,17 @@ class Warehouse:
 
         Returns what the load, the merge and the checks say, table by table. What was unpacked is removed.
         """
-        raw, loaded = {}, None
+        raw, loaded, at_once = {}, None, {}
         for system in ARCHIVE_SUFFIX:
             own = {n: s for n, s in specs.items() if s.system == system}
             if own:
                 found = self.unpack(folder, system, own)
-                one = self.load(found, own, run_ts)
+                one = self.load(found, own, run_ts, merged=at_once)
                 raw, loaded = {**raw, **found}, one if loaded is None else loaded.unionByName(one)
         merged = self.merge_all(specs, run_ts, skip_at_once=True)
+        if at_once:
+            rows = [(n, c["inserted"], c["updated"], c["kept"]) for n, c in at_once.items()]
+            merged = merged.unionByName(self.spark.createDataFrame(rows, merged.schema))
         checks = self.report(raw, specs)
         checked = self.spark.createDataFrame(checks.collect(), checks.schema)  # a few rows per table
         self.discard_landing()
