@@ -42,38 +42,46 @@ FOLDS, HELD = 5, 1
 HEAD, SHARE, HIDDEN = 100_000, 200_000, 16
 ROUNDS, WINDOW, SIDE_BY_SIDE, RATE, CLIP, LARGEST = 1, 16, 256, 0.2, 1.0, 4.0
 TRAIN_CHARS = 8 << 20  # of text that a task lays out side by side at once
-TABLE = 200_000  # words counted by a task before it hands them on
-SCORE_CHARS, SCORE_TOKENS = 16 << 20, 1 << 15  # of text run side by side; of states whose words are looked up at once
+UPDATED, LAID_OUT = 2048, 1 << 15  # rows of weights, and numbers of a softmax over classes, worked on at once
+COUNT_CHARS = 16 << 20  # of text whose words a task counts before it hands them on
+SCORE_CHARS, SCORE_TOKENS = 16 << 20, 1 << 14  # of text run side by side; of states whose words are looked up at once
 END = ""  # as a word: the end of a text
 
 
-def words_in(text: str | None) -> list[bytes]:
-    """Lower-cased (A to Z) words in UTF-8. Bytes: lower and split then know ASCII letters and blanks only."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def split(texts):
+    """The lower-cased (A to Z) words of an Arrow array of texts one after the other, and where those of each text end; null: none.
+
+    Arrow's blanks of ASCII are those that part words.
+    """
+    import numpy as np
+    import pyarrow.compute as pc
+
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
+    some = pc.fill_null(pc.greater(pc.binary_length(texts), 0), False)
+    lists = pc.ascii_split_whitespace(texts.filter(some))
+    sizes = np.zeros(len(texts), np.int64)
+    sizes[some.to_numpy(zero_copy_only=False)] = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    return lists.flatten(), np.cumsum(sizes)
+
+
+def places_of(words, table):
+    """Where each word stands in `table`, both Arrow arrays; the table's length if nowhere."""
+    import pyarrow.compute as pc
+
+    return pc.fill_null(pc.index_in(words, value_set=table.cast(words.type)), len(table)).to_numpy(zero_copy_only=False)
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """word, n over all `docs`, the end among the words."""
     def run(batches):
-        from collections import Counter
-
         import pyarrow as pa
 
-        counts: Counter = Counter()
-
-        def handed():
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.binary()).cast(pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-            counts.clear()
-            return batch
-
-        for batch in slices(batches, text):
-            for t in batch.column(0).to_pylist():
-                counts.update(words_in(t))
-                counts[END.encode()] += 1
-            if len(counts) > TABLE:
-                yield handed()
-        yield handed()
+        for batch in gathered(slices(batches, text), COUNT_CHARS):
+            words, _ = split(batch.column(0))
+            values, counts = words.value_counts().flatten()
+            yield pa.RecordBatch.from_arrays([
+                pa.concat_arrays([values.cast(pa.string()), pa.array([END], pa.string())]),
+                pa.concat_arrays([counts, pa.array([batch.num_rows], pa.int64())])], names=["word", "n"])
 
     return docs.select(text).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -144,60 +152,107 @@ def start(corpus: Corpus) -> dict:
 
 
 def step(u, x, h):
-    """One step of the unit: the new state and what backpropagation needs. `x`: what the inputs add to the gates."""
+    """One step of the unit: the new state. `x`: what the inputs add to the gates."""
     import numpy as np
 
     n = HIDDEN
     rec = h @ u
-    gates = 0.5 * (1 + np.tanh(0.5 * (x[:, :2 * n] + rec[:, :2 * n])))
-    z, r = gates[:, :n], gates[:, n:]
-    new = np.tanh(x[:, 2 * n:] + r * rec[:, 2 * n:])
-    return h + z * (new - h), (z, r, new, rec[:, 2 * n:])
+    gates = rec[:, :2 * n]
+    gates += x[:, :2 * n]
+    gates *= 0.5
+    np.tanh(gates, out=gates)
+    gates += 1
+    gates *= 0.5
+    new = gates[:, n:] * rec[:, 2 * n:]
+    new += x[:, 2 * n:]
+    np.tanh(new, out=new)
+    new -= h
+    new *= gates[:, :n]
+    new += h
+    return new
+
+
+def sorted_places(places, size: int):
+    """The order that sorts places below or at `size`; those of 16 bits are sorted by digits, many times faster."""
+    import numpy as np
+
+    return np.argsort(places.astype(np.uint16) if size < 1 << 16 else places, kind="stable")
+
+
+def exponents(states, weights, ones, back=None):
+    """exp(states x weights) and its row sums; with `back` also exp(...) x weights there, but for the constant.
+
+    Products here are small and many: `dot` has less to do before it multiplies than `@`.
+    """
+    import numpy as np
+
+    e = states.dot(weights.T)
+    np.exp(e, out=e)  # weights are held down, so nothing overflows
+    if back is not None:
+        np.dot(e, weights[:, :HIDDEN], out=back)
+    return e, e.dot(ones[:len(weights)])
 
 
 def outputs(p: dict, bounds, states, words, learn=None):
     """Log-probability of each row's word (the number of words stands for any other).
 
     With `learn`, also the gradient of the states; gradients of weights go to learn(name, rows of it, gradient).
+
+    Rows are sorted by word, and so by class. The gradient of a softmax is its probabilities less one at the word that came:
+    the latter is taken off for all rows at once, so that the loop over classes holds nothing but products and exponentials.
     """
     import numpy as np
 
     bounds = np.asarray(bounds)
-    classes = np.searchsorted(bounds, words, side="right") - 1  # any other word is beyond the last bound: the last class
-    order = np.argsort(classes.astype(np.int16) if len(bounds) < 1 << 15 else classes, kind="stable")
-    states = np.column_stack([states, np.ones(len(states), states.dtype)])[order]
-    words, classes, rows = words[order], classes[order], np.arange(len(words))
-    e = states @ p["c"].T
-    logs = e[rows, classes].astype(np.float64)
-    np.exp(e, out=e)  # weights are held down, so nothing overflows
-    total = e.sum(1)
-    logs -= np.log(total)
+    n, size = len(words), int(bounds[-1])
+    order = sorted_places(words, size)
+    words = words[order]
+    states = np.column_stack([states, np.ones(n, states.dtype)])[order]
+    edges = np.append(np.searchsorted(words, bounds), n)  # any other word is beyond the last bound: the last class
+    known = edges[-2]
+    classes = np.repeat(np.arange(len(bounds)), np.diff(edges))
+    of_class = p["c"][classes]
+    # a class of one word says nothing inside
+    several = np.diff(bounds) > 1
+    of_word = p["w"][words[:known]] * several[classes[:known], None].astype(states.dtype)
+    logs = np.einsum("ij,ij->i", states, of_class).astype(np.float64)
+    logs[:known] += np.einsum("ij,ij->i", states[:known], of_word)
+    total, inside, ones = np.empty(n, states.dtype), np.ones(known, states.dtype), np.ones(size + 1, states.dtype)
     if learn:
-        e *= (1 / total)[:, None]
-        e[rows, classes] -= 1
-        back = e @ p["c"]
-        learn("c", slice(None), e.T @ states)
-    edges = np.searchsorted(classes, np.arange(len(bounds))).tolist()
-    for (a, b), (lo, hi) in zip(zip(edges, edges[1:]), zip(bounds.tolist(), bounds[1:].tolist())):
-        if a == b or hi - lo < 2:
-            continue
-        own, at, weights = rows[:b - a], words[a:b] - lo, p["w"][lo:hi]
-        e = states[a:b] @ weights.T
-        mine = e[own, at]
-        np.exp(e, out=e)
-        total = e.sum(1)
-        logs[a:b] += mine - np.log(total)
+        back, back_inside = np.empty((n, HIDDEN), states.dtype), np.zeros((known, HIDDEN), states.dtype)
+        of_c, of_w = np.zeros_like(p["c"], states.dtype), np.zeros_like(p["w"], states.dtype)
+    for a in range(0, n, many := max(1, LAID_OUT // len(bounds))):
+        some = states[a:a + many]
+        e, total[a:a + many] = exponents(some, p["c"], ones, back[a:a + many] if learn else None)
         if learn:
-            e *= (1 / total)[:, None]
-            e[own, at] -= 1
-            back[a:b] += e @ weights
-            learn("w", slice(lo, hi), e.T @ states[a:b])
+            of_c += e.T.dot(some / total[a:a + many, None])
+    spans = zip(several.tolist(), edges.tolist(), edges[1:].tolist(), bounds.tolist(), bounds[1:].tolist())
+    for a, b, lo, hi in (span[1:] for span in spans if span[0] and span[1] < span[2]):
+        some = states[a:b]
+        e, inside[a:b] = exponents(some, p["w"][lo:hi], ones, back_inside[a:b] if learn else None)
+        if learn:
+            np.dot(e.T, some / inside[a:b, None], out=of_w[lo:hi])
+    logs -= np.log(total)
+    logs[:known] -= np.log(inside)
     unsorted = np.empty_like(logs)
     unsorted[order] = logs
     if not learn:
         return unsorted, None
-    gradient = np.empty((len(words), HIDDEN), states.dtype)
-    gradient[order] = back[:, :HIDDEN]
+    back /= total[:, None]
+    back -= of_class[:, :HIDDEN]
+    back_inside /= inside[:, None]
+    back_inside -= of_word[:, :HIDDEN]
+    back[:known] += back_inside
+    came = np.flatnonzero(np.diff(edges))
+    of_c[came] -= np.add.reduceat(states, edges[came], axis=0) if n else 0
+    learn("c", slice(None), of_c)
+    first = np.flatnonzero(np.diff(words[:known], prepend=-1))
+    if len(first):
+        of_w[words[first]] -= np.add.reduceat(states[:known], first, axis=0)
+        of_w[bounds[:-1][~several]] = 0
+        learn("w", slice(None), of_w)
+    gradient = np.empty((n, HIDDEN), states.dtype)
+    gradient[order] = back
     return unsorted, gradient
 
 
@@ -210,40 +265,53 @@ def backpropagated(p: dict, bounds, fed, words, valid, h, end: int, learn):
 
     n, (steps, rows) = HIDDEN, fed.shape
     vectors = p["e"][fed.ravel()]
-    x = (vectors @ p["x"] + p["b"]).reshape(steps, rows, 3 * n)
-    goes_on = (fed != end).astype(x.dtype)[:, :, None]
-    states, olds, kept = np.empty((steps, rows, n), x.dtype), np.empty((steps, rows, n), x.dtype), []
+    # units x steps x documents, so that what a step works on lies together
+    x = (p["x"].T @ vectors.T + p["b"][:, None]).reshape(3 * n, steps, rows)
+    goes_on, to_gates, h = (fed != end).astype(x.dtype), np.ascontiguousarray(p["u"].T), h.T
+    olds, gates, new, rec, states = (np.empty((k * n, steps, rows), x.dtype) for k in (1, 2, 1, 1, 1))
     for t in range(steps):
-        olds[t] = h * goes_on[t]
-        h, cache = step(p["u"], x[t], olds[t])
-        states[t] = h
-        kept.append(cache)
-    where = valid.ravel()
-    back = np.zeros((steps * rows, n), x.dtype)
-    logs, back[where] = outputs(p, bounds, states.reshape(-1, n)[where], words.ravel()[where], learn)
-    back = back.reshape(steps, rows, n)
-    da, drec, dh = np.empty_like(x), np.empty_like(x), np.zeros_like(h)
+        old = np.multiply(h, goes_on[t], out=olds[:, t])
+        sums = to_gates @ old
+        g = sums[:2 * n]
+        g += x[:2 * n, t]
+        g *= 0.5
+        np.tanh(g, out=g)
+        g += 1
+        g = np.multiply(g, 0.5, out=gates[:, t])
+        rec[:, t] = sums[2 * n:]
+        made = g[n:] * sums[2 * n:]
+        made += x[2 * n:, t]
+        made = np.tanh(made, out=new[:, t])
+        made = made - old
+        made *= g[:n]
+        h = np.add(old, made, out=states[:, t])
+    where, back = valid.ravel(), np.zeros((steps * rows, n), x.dtype)
+    logs, back[where] = outputs(p, bounds, np.ascontiguousarray(states.reshape(n, -1).T)[where], words.ravel()[where], learn)
+    back = np.ascontiguousarray(back.T).reshape(n, steps, rows)
+    z, r = gates[:n], gates[n:]
+    # what a state's gradient is multiplied by on its way to the sums in the gates, to that of the new state, and past the unit
+    past, to_new = (1 - z) * goes_on, z * (1 - new * new)
+    factors = np.stack([(new - olds) * z * (1 - z), to_new * rec * r * (1 - r), to_new * r])
+    drec, dh = np.empty_like(factors), np.zeros_like(h)
+    of_recurrent = drec.reshape(3 * n, steps, rows)
     for t in range(steps - 1, -1, -1):
-        dh = dh + back[t]
-        (z, r, new, rec), old = kept[t], olds[t]
-        dn = dh * z * (1 - new * new)
-        da[t, :, :n] = dh * (new - old) * z * (1 - z)
-        da[t, :, n:2 * n] = dn * rec * r * (1 - r)
-        da[t, :, 2 * n:] = dn
-        drec[t] = da[t]
-        drec[t, :, 2 * n:] *= r
-        dh = (dh * (1 - z) + drec[t] @ p["u"].T) * goes_on[t]
-    da, drec = da.reshape(-1, 3 * n), drec.reshape(-1, 3 * n)
+        dh = np.add(back[:, t], dh, out=back[:, t])
+        np.multiply(factors[:, :, t], dh, out=drec[:, :, t])
+        to_old = p["u"] @ of_recurrent[:, t]
+        to_old *= goes_on[t]
+        dh = dh * past[:, t]
+        dh += to_old
+    da = np.concatenate([drec[:2].reshape(2 * n, -1), (back * to_new).reshape(n, -1)])
     # rows of one word are added up in order, so only the words that came are touched
-    order = np.argsort(fed.ravel(), kind="stable")
+    order = sorted_places(fed.ravel(), int(bounds[-1]))
     came = fed.ravel()[order]
     first = np.flatnonzero(np.diff(came, prepend=-1))
-    by_word = np.add.reduceat((da @ p["x"].T)[order], first, axis=0)
-    learn("x", slice(None), vectors.T @ da)
-    learn("u", slice(None), olds.reshape(-1, n).T @ drec)
-    learn("b", slice(None), da.sum(0))
+    by_word = np.add.reduceat((da.T @ p["x"].T)[order], first, axis=0)
+    learn("x", slice(None), vectors.T @ da.T)
+    learn("u", slice(None), olds.reshape(n, -1) @ of_recurrent.reshape(3 * n, -1).T)
+    learn("b", slice(None), da.sum(1))
     learn("e", came[first], by_word)
-    return h, logs
+    return states[:, -1].T, logs
 
 
 class Trainer:
@@ -256,14 +324,25 @@ class Trainer:
         self.squares = {k: np.full_like(v, 1e-2) for k, v in p.items()}
 
     def update(self, name: str, rows, gradient) -> None:
+        """One step against a gradient, which is written over; some rows at a time, so that all of theirs stays in a core's cache."""
         import numpy as np
 
-        g = np.clip(gradient / self.side_by_side, -CLIP, CLIP)
-        self.squares[name][rows] += g * g
-        new = self.p[name][rows] - RATE * g / np.sqrt(self.squares[name][rows])
-        if name in "cw":
-            np.clip(new[:, :HIDDEN], -LARGEST, LARGEST, out=new[:, :HIDDEN])
-        self.p[name][rows] = new
+        whole = isinstance(rows, slice)
+        weights, squares = (self.p[name][rows], self.squares[name][rows])  # parts of them, or copies of single rows
+        for at in range(0, len(gradient), UPDATED):
+            g, p, s = gradient[at:at + UPDATED], weights[at:at + UPDATED], squares[at:at + UPDATED]
+            g *= 1 / self.side_by_side
+            np.clip(g, -CLIP, CLIP, out=g)
+            s += g * g
+            g *= RATE
+            g /= np.sqrt(s)
+            p -= g
+            if name in "cw":
+                constant = p[:, HIDDEN].copy()
+                np.clip(p, -LARGEST, LARGEST, out=p)
+                p[:, HIDDEN] = constant
+        if not whole:
+            self.p[name][rows], self.squares[name][rows] = weights, squares
 
     def read(self, stream) -> None:
         """Learn from documents, one after the other as word places, laid out in rows of equal length."""
@@ -303,21 +382,18 @@ def train(docs: DataFrame, corpus: Corpus, text: str = "text") -> dict:
     import numpy as np
 
     weights, bounds = start(corpus), corpus.bounds
-    place = {w.encode(): i for i, w in enumerate(corpus.modelled)}
-    other, end, names = bounds[-1], place[END.encode()], list(weights)
+    end, names = corpus.modelled.index(END), list(weights)
     for _ in range(ROUNDS):
-        sent = docs.sparkSession.sparkContext.broadcast((weights, place))  # HEAD words at most
+        sent = docs.sparkSession.sparkContext.broadcast((weights, corpus.modelled))  # HEAD words at most
 
         def run(batches):
-            import itertools
-
             import pyarrow as pa
 
-            given, places = sent.value
-            trainer = Trainer(given, bounds, end)
+            given, modelled = sent.value
+            trainer, table = Trainer(given, bounds, end), pa.array(modelled, pa.string())
             for batch in gathered(slices(batches, text), TRAIN_CHARS):
-                words = itertools.chain.from_iterable([*words_in(t), b""] for t in batch.column(0).to_pylist())
-                trainer.read(np.fromiter((places.get(w, other) for w in words), np.int32))
+                words, ends = split(batch.column(0))
+                trainer.read(np.insert(places_of(words, table), ends, end))
             if trainer.tokens:
                 total = np.append(np.concatenate([trainer.p[k].ravel() for k in names]).astype(np.float64), 1.0) * trainer.tokens
                 yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
@@ -344,9 +420,9 @@ def likelihoods(p: dict, bounds, end: int, docs: list):
     lengths = np.array([len(docs[i]) for i in order])
     flat, first = np.concatenate([docs[i] for i in order]), np.cumsum(lengths) - lengths
     h, last, sums, held, size = np.zeros((len(docs), HIDDEN), x.dtype), np.full(len(docs), end), np.zeros(len(docs)), [], 0
-    for at in range(int(lengths[0])):
-        alive = int(np.searchsorted(-lengths, -at, side="left"))  # longer than `at`
-        h, _ = step(p["u"], x[last[:alive]], h[:alive])
+    longer = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left").tolist()  # documents longer than so many steps
+    for at, alive in enumerate(longer):
+        h = step(p["u"], x[last[:alive]], h[:alive])
         last = flat[first[:alive] + at]
         held.append((h, last))
         size += alive
@@ -366,38 +442,40 @@ def scored(docs: DataFrame, counts: DataFrame, corpus: Corpus, weights: dict, te
     kept = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in names)
     bounds, other = corpus.bounds, corpus.bounds[-1]
     place = {w: i for i, w in enumerate(corpus.modelled)}
-    known = {END: 0} | dict(corpus.head)
-    # one table for all tasks of an executor: words -> number; by number the place in the model and the count
-    table = docs.sparkSession.sparkContext.broadcast(({w.encode(): i for i, w in enumerate(known)}, [place.get(w, other) for w in known], list(known.values())))
+    known, end = {END: 0} | dict(corpus.head), place[END]
+    # one table for all tasks of an executor: words; by number the place in the model and the count
+    table = docs.sparkSession.sparkContext.broadcast((list(known), [place.get(w, other) for w in known], list(known.values())))
     model = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):
-        from collections import Counter
-
         import numpy as np
         import pyarrow as pa
 
-        numbers, places, counts = table.value
-        counts, end = np.array(counts), place[END]
-        places, by_count, modelled = np.array([*places, other], np.int32), np.append(np.log10(counts + 0.5), 0.0), np.append(np.array(places) != other, True)
-        seen, ending = np.append(counts > 0, False), numbers[END.encode()]
-        tail_kind = pa.list_(pa.struct([("word", pa.string()), ("n", pa.int32())]))
+        head, places, counts = table.value
+        head, counts, ending = pa.array(head, pa.string()), np.array(counts), head.index(END)
+        # the last number stands for words beyond the head
+        places, by_count, seen = np.array([*places, other], np.int32), np.append(np.log10(counts + 0.5), 0.0), np.append(counts > 0, False)
+        shared = np.append(places[:-1] == other, False)
         for batch in gathered(slices(batches, text), SCORE_CHARS):
-            rows, coded = [], []
-            for t in batch.column(batch.schema.get_field_index(text)).to_pylist():
-                words = words_in(t)
-                at = np.fromiter((numbers.get(w, -1) for w in words), np.int32, len(words))
-                rest = Counter(words[i] for i in np.flatnonzero(at < 0).tolist())
-                at = np.append(at, ending)
-                coded.append(places[at])  # the last one stands for words beyond the head
-                logs = by_count[at]
-                rows.append((len(at), int(seen[at].sum()), float(logs.sum()), float(logs[~modelled[at]].sum()), int((coded[-1] == other).sum()),
-                             [{"word": w.decode(), "n": n} for w, n in rest.items()]))
-            logs = likelihoods(model.value, bounds, end, coded)
-            yield pa.RecordBatch.from_arrays([
+            words, ends = split(batch.column(batch.schema.get_field_index(text)))
+            found = places_of(words, head)
+            beyond = np.flatnonzero(found == len(head))
+            found, sizes = np.insert(found, ends, ending), np.diff(ends, prepend=0) + 1
+            first, coded, by_word = np.cumsum(sizes) - sizes, places[found], by_count[found]
+            sums = lambda values, kind: np.add.reduceat(values, first, dtype=kind)
+            tail = pa.table({"doc": np.searchsorted(ends, beyond, side="right"), "word": words.take(pa.array(beyond)).cast(pa.string())}).group_by(
+                ["doc", "word"], use_threads=False).aggregate([([], "count_all")]).sort_by("doc").combine_chunks()
+            upto = np.searchsorted(tail["doc"].to_numpy(), np.arange(len(ends) + 1)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(upto, pa.StructArray.from_arrays(
+                [pa.concat_arrays(tail["word"].chunks or [pa.array([], pa.string())]),
+                 pa.concat_arrays(tail["count_all"].chunks or [pa.array([], pa.int64())]).cast(pa.int32())], names=["word", "n"]))
+            columns = [
                 *[batch.column(batch.schema.get_field_index(c)) for c in names],
-                *[pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), tail_kind))],
-                pa.array(logs)], names=[*names, "n_tokens", "n_known", "base", "by_share", "n_other", "tail", "logs"])
+                pa.array(sizes), pa.array(sums(seen[found], np.int64)), pa.array(sums(by_word, np.float64)),
+                pa.array(sums(by_word * shared[found], np.float64)), pa.array(sums(coded == other, np.int64)), lists]
+            del words, found, beyond, by_word, tail  # as large as the text
+            columns.append(pa.array(likelihoods(model.value, bounds, end, np.split(coded, first[1:]))))
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_tokens", "n_known", "base", "by_share", "n_other", "tail", "logs"])
 
     out = (f"{kept}, n_tokens long, n_known long, base double, by_share double, n_other long, "
            "tail array<struct<word:string,n:int>>, logs double")

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -243,6 +244,43 @@ def test_training_learns_what_follows_what_from_every_token():
     assert sum(counted) == 1013
 
 
+def test_words_are_split_at_blanks_of_ascii_only():
+    texts = ["", None, " ", "A b", "\x0ba\x0cB\r\n\tc ", "x\x1cy\x1fz \x85w\u00a0v\u2003u\u3000t", "\u00c4\u0130 I", "\x00a \x00", "tail\n"]
+    words, ends = gated_lm.split(pa.array(texts, pa.string()).slice(1))
+    words, upto = words.to_pylist(), [0, *ends.tolist()]
+    assert [words[a:b] for a, b in zip(upto, upto[1:])] == [tokens(t)[:-1] for t in texts[1:]]
+    assert gated_lm.places_of(pa.array(["b", "", "z", "a"]), pa.array(["a", "b", ""])).tolist() == [1, 2, 3, 0]
+
+
+def test_a_window_moves_each_array_of_weights_once():
+    corpus, p, rng = random_model(5)
+    trainer, moved = gated_lm.Trainer(p, corpus.bounds, 1), Counter()
+    update = trainer.update
+    trainer.update = lambda name, *a: moved.update([name]) or update(name, *a)
+    trainer.read(rng.integers(0, 6, gated_lm.WINDOW * gated_lm.SIDE_BY_SIDE * 3).astype(np.int32))
+    assert moved == dict.fromkeys("exubcw", 3)  # however many classes there are
+
+
+def test_an_update_is_the_plain_one():
+    corpus, p, rng = random_model(6, np.float64)
+    words = rng.integers(0, 6, 5 * gated_lm.WINDOW).astype(np.int32)
+    trainer, found = gated_lm.Trainer(p, corpus.bounds, 1), {k: np.zeros_like(v) for k, v in p.items()}
+
+    def learn(name, rows, gradient):
+        found[name][rows] += gradient
+
+    column = words.reshape(5, -1).T
+    fed = np.concatenate([[1], words[:-1]]).reshape(5, -1).T
+    gated_lm.backpropagated(p, corpus.bounds, fed, column, np.ones(fed.shape, bool), np.zeros((5, gated_lm.HIDDEN)), 1, learn)
+    trainer.read(words)
+    for k, v in p.items():
+        g = np.clip(found[k] / 5, -gated_lm.CLIP, gated_lm.CLIP)
+        want = v - gated_lm.RATE * g / np.sqrt(1e-2 + g * g)
+        if k in "cw":
+            want[:, :gated_lm.HIDDEN] = np.clip(want[:, :gated_lm.HIDDEN], -gated_lm.LARGEST, gated_lm.LARGEST)
+        assert np.allclose(trainer.p[k], want, rtol=1e-5, atol=1e-6), k
+
+
 def test_likelihoods_of_odd_rows(spark, rows):
     docs = rows("doc_id long, text string, held_out boolean", (1, None, False), (2, "", True), (2, "", True), (3, LONG, False), (None, "a A b", False))
     own = docs.filter("not held_out")
