@@ -25,18 +25,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from quayside.llm.common import WORD, read, saved, text_of
+from quayside.llm.common import BLANKS, WORD, read, saved, text_of
 from quayside.operators.numbering import number_rows
 
 WEIGHTS, MAX_EPOCHS, SEED = (1, 2, 3), 3, 8
 DIGITS = 3  # of the hash, at a time
 
 
+def word_count(text: Column) -> Column:
+    """How many words a text has. No word is made: each gives way, with the blanks behind it, to one letter."""
+    bare = F.trim(text, F.lit(" \t\n\x0b\x0c\r"))
+    return F.char_length(F.regexp_replace(bare, f"{WORD}[{BLANKS}]*", "w")).cast("long")
+
+
 def sized(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED) -> DataFrame:
     """id, source, size and hash of each row, and the row itself."""
     return docs.select(
         F.struct(*docs.columns).alias("row"), F.col(id).alias("id"), F.col(source).cast("string").alias("source"),
-        F.regexp_count(text_of(text), F.lit(WORD)).cast("long").alias("size"),
+        word_count(text_of(text)).alias("size"),
         F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id).cast("string")).cast("binary")).alias("hash"))
 
 

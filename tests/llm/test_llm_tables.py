@@ -154,6 +154,16 @@ def test_mix_of_odd_rows(rows, spark):
     assert mixing.mixed(df.limit(0)).count() == 0
 
 
+def test_words_are_counted_without_a_list_of_them(rows):
+    rng = random.Random(3)
+    marks = " \t\n\x0b\x0c\r\x00\x1c\x85\xa0\u2003$\\ab\u00e9\U0001f600"
+    texts = [None, "", " \n", " a ", *("".join(rng.choices(marks, k=rng.randrange(12))) for _ in range(500))]
+    sizes = mixing.sized(rows("doc_id long, text string, source string", *[(i, t, "s") for i, t in enumerate(texts)]))
+    assert {r.id: r.size for r in sizes.collect()} == {
+        i: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in enumerate(texts)}
+    assert "regexp_extract_all" not in sizes._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_mix_comes_near_its_targets(spark):
     rnd = random.Random(8)
     docs = spark.createDataFrame([(i, "w " * rnd.randint(1, 60), rnd.choice("aaaaaaaabcd")) for i in range(3000)], "doc_id long, text string, source string")

@@ -54,3 +54,11 @@ def test_files(tmp_path):
 
 def test_settings_are_on(spark):
     assert all(spark.conf.get(k) == v for k, v in session.RUNTIME_CONF.items())
+
+
+def test_whole_texts_are_decoded_some_rows_at_a_time(spark, tmp_path):
+    spark.range(4096).selectExpr("repeat('word ', 100) AS text").coalesce(1).write.parquet(str(tmp_path / "texts"))
+    df = spark.read.parquet(str(tmp_path / "texts")).select("text")
+    assert len(df.collect()) == 4096
+    to_rows = df._jdf.queryExecution().executedPlan().children().head()  # below the generated method
+    assert to_rows.metrics().apply("numInputBatches").value() >= 8
