@@ -42,7 +42,7 @@ FOLDS, HELD = 5, 1
 HEAD, SHARE, HIDDEN = 100_000, 200_000, 16
 ROUNDS, WINDOW, SIDE_BY_SIDE, RATE, CLIP, LARGEST = 1, 16, 256, 0.2, 1.0, 4.0
 TRAIN_CHARS = 8 << 20  # of text that a task lays out side by side at once
-UPDATED, LAID_OUT = 2048, 1 << 15  # rows of weights, and numbers of a softmax over classes, worked on at once
+UPDATED, LAID_OUT = 4096, 1 << 15  # rows of weights, and numbers of a softmax over classes, worked on at once
 COUNT_CHARS = 16 << 20  # of text whose words a task counts before it hands them on
 SCORE_CHARS, SCORE_TOKENS = 16 << 20, 1 << 14  # of text run side by side; of states whose words are looked up at once
 END = ""  # as a word: the end of a text
@@ -151,27 +151,6 @@ def start(corpus: Corpus) -> dict:
     }
 
 
-def step(u, x, h):
-    """One step of the unit: the new state. `x`: what the inputs add to the gates."""
-    import numpy as np
-
-    n = HIDDEN
-    rec = h @ u
-    gates = rec[:, :2 * n]
-    gates += x[:, :2 * n]
-    gates *= 0.5
-    np.tanh(gates, out=gates)
-    gates += 1
-    gates *= 0.5
-    new = gates[:, n:] * rec[:, 2 * n:]
-    new += x[:, 2 * n:]
-    np.tanh(new, out=new)
-    new -= h
-    new *= gates[:, :n]
-    new += h
-    return new
-
-
 def sorted_places(places, size: int):
     """The order that sorts places below or at `size`; those of 16 bits are sorted by digits, many times faster."""
     import numpy as np
@@ -179,139 +158,155 @@ def sorted_places(places, size: int):
     return np.argsort(places.astype(np.uint16) if size < 1 << 16 else places, kind="stable")
 
 
-def exponents(states, weights, ones, back=None):
-    """exp(states x weights) and its row sums; with `back` also exp(...) x weights there, but for the constant.
-
-    Products here are small and many: `dot` has less to do before it multiplies than `@`.
-    """
-    import numpy as np
-
-    e = states.dot(weights.T)
-    np.exp(e, out=e)  # weights are held down, so nothing overflows
-    if back is not None:
-        np.dot(e, weights[:, :HIDDEN], out=back)
-    return e, e.dot(ones[:len(weights)])
-
-
 def outputs(p: dict, bounds, states, words, learn=None):
     """Log-probability of each row's word (the number of words stands for any other).
 
     With `learn`, also the gradient of the states; gradients of weights go to learn(name, rows of it, gradient).
 
-    Rows are sorted by word, and so by class. The gradient of a softmax is its probabilities less one at the word that came:
-    the latter is taken off for all rows at once, so that the loop over classes holds nothing but products and exponentials.
+    Rows are sorted by word, and so by class. The gradient of a softmax is its probabilities less one at the word that came.
+    Products here are small and many: `dot` has less to do before it multiplies than `@`, and is fastest with words by columns.
     """
     import numpy as np
 
     bounds = np.asarray(bounds)
-    n, size = len(words), int(bounds[-1])
+    n, size, kind = len(words), int(bounds[-1]), states.dtype
     order = sorted_places(words, size)
-    words = words[order]
-    states = np.column_stack([states, np.ones(n, states.dtype)])[order]
+    words, rows = words[order], np.ones((n, HIDDEN + 1), kind)
+    rows[:, :HIDDEN] = states.take(order, axis=0)
     edges = np.append(np.searchsorted(words, bounds), n)  # any other word is beyond the last bound: the last class
-    known = edges[-2]
-    classes = np.repeat(np.arange(len(bounds)), np.diff(edges))
-    of_class = p["c"][classes]
-    # a class of one word says nothing inside
-    several = np.diff(bounds) > 1
-    of_word = p["w"][words[:known]] * several[classes[:known], None].astype(states.dtype)
-    logs = np.einsum("ij,ij->i", states, of_class).astype(np.float64)
-    logs[:known] += np.einsum("ij,ij->i", states[:known], of_word)
-    total, inside, ones = np.empty(n, states.dtype), np.ones(known, states.dtype), np.ones(size + 1, states.dtype)
+    known, came = int(edges[-2]), np.diff(edges)
+    of_class = np.repeat(p["c"], came, axis=0)
+    logs = np.einsum("ij,ij->i", rows, of_class).astype(np.float64)
+    total, inside, logits = np.empty(n, kind), np.ones(known, kind), np.zeros(known, kind)
+    ones, by_class, by_word = np.ones(size + 1, kind), np.ascontiguousarray(p["c"].T), p["w"].T
+    # where each row's word is among the products of the rows and words of its class
+    sizes = np.diff(bounds)
+    among = (np.arange(known) - np.repeat(edges[:-2], came[:-1])) * np.repeat(sizes, came[:-1]) + words[:known] - np.repeat(bounds[:-1], came[:-1])
     if learn:
-        back, back_inside = np.empty((n, HIDDEN), states.dtype), np.zeros((known, HIDDEN), states.dtype)
-        of_c, of_w = np.zeros_like(p["c"], states.dtype), np.zeros_like(p["w"], states.dtype)
+        back, back_inside, weights = np.empty((n, HIDDEN), kind), np.zeros((known, HIDDEN), kind), np.ascontiguousarray(p["c"][:, :HIDDEN])
+        of_c, of_w = np.zeros(p["c"].shape, kind), np.zeros(by_word.shape, kind)
     for a in range(0, n, many := max(1, LAID_OUT // len(bounds))):
-        some = states[a:a + many]
-        e, total[a:a + many] = exponents(some, p["c"], ones, back[a:a + many] if learn else None)
+        some = rows[a:a + many]
+        e = some.dot(by_class)
+        np.exp(e, out=e)  # weights are held down, so nothing overflows
+        sums = e.dot(ones[:len(bounds)])
+        total[a:a + many] = sums
         if learn:
-            of_c += e.T.dot(some / total[a:a + many, None])
-    spans = zip(several.tolist(), edges.tolist(), edges[1:].tolist(), bounds.tolist(), bounds[1:].tolist())
-    for a, b, lo, hi in (span[1:] for span in spans if span[0] and span[1] < span[2]):
-        some = states[a:b]
-        e, inside[a:b] = exponents(some, p["w"][lo:hi], ones, back_inside[a:b] if learn else None)
+            np.dot(e, weights, out=back[a:a + many])
+            of_c += e.T.dot(some / sums[:, None])
+    spans = zip(edges.tolist(), edges[1:].tolist(), bounds.tolist(), bounds[1:].tolist())
+    for a, b, lo, hi in (span for span in spans if span[0] < span[1] and span[3] - span[2] > 1):  # a class of one word says nothing inside
+        some, here = rows[a:b], among[a:b]
+        e = some.dot(by_word[:, lo:hi])
+        flat = e.reshape(-1)
+        logits[a:b] = flat[here]
+        np.exp(e, out=e)
+        sums = e.dot(ones[:hi - lo])
+        inside[a:b] = sums
         if learn:
-            np.dot(e.T, some / inside[a:b, None], out=of_w[lo:hi])
+            flat[here] -= sums
+            np.dot(e, by_word[:HIDDEN, lo:hi].T, out=back_inside[a:b])
+            np.matmul((some / sums[:, None]).T, e, out=of_w[:, lo:hi])
     logs -= np.log(total)
+    logs[:known] += logits
     logs[:known] -= np.log(inside)
-    unsorted = np.empty_like(logs)
-    unsorted[order] = logs
+    places = np.empty_like(order)
+    places[order] = np.arange(n)
     if not learn:
-        return unsorted, None
+        return logs.take(places), None
     back /= total[:, None]
     back -= of_class[:, :HIDDEN]
     back_inside /= inside[:, None]
-    back_inside -= of_word[:, :HIDDEN]
     back[:known] += back_inside
-    came = np.flatnonzero(np.diff(edges))
-    of_c[came] -= np.add.reduceat(states, edges[came], axis=0) if n else 0
+    some = np.flatnonzero(came)
+    of_c[some] -= np.add.reduceat(rows, edges[some], axis=0) if n else 0
     learn("c", slice(None), of_c)
-    first = np.flatnonzero(np.diff(words[:known], prepend=-1))
-    if len(first):
-        of_w[words[first]] -= np.add.reduceat(states[:known], first, axis=0)
-        of_w[bounds[:-1][~several]] = 0
-        learn("w", slice(None), of_w)
-    gradient = np.empty((n, HIDDEN), states.dtype)
-    gradient[order] = back
-    return unsorted, gradient
+    if known:
+        learn("w", slice(None), of_w.T)
+    return logs.take(places), back.take(places, axis=0)
 
 
 def backpropagated(p: dict, bounds, fed, words, valid, h, end: int, learn):
     """One window for documents side by side (steps x documents): the last state, and the words' log-probabilities.
 
     `fed` are the words before `words`; an end starts the state anew. Gradients of the negated sum go to `learn`.
+
+    Arrays are steps x units x documents, so that what a step works on lies together: its word's vector, a constant and the old
+    state, which one product takes to the new state's sum, those in the gates z and r, and what r is to let through. A gate
+    is (tanh(sum / 2) + 1) / 2: the products are halved before, and z and r are held doubled.
     """
     import numpy as np
 
-    n, (steps, rows) = HIDDEN, fed.shape
-    vectors = p["e"][fed.ravel()]
-    # units x steps x documents, so that what a step works on lies together
-    x = (p["x"].T @ vectors.T + p["b"][:, None]).reshape(3 * n, steps, rows)
-    goes_on, to_gates, h = (fed != end).astype(x.dtype), np.ascontiguousarray(p["u"].T), h.T
-    olds, gates, new, rec, states = (np.empty((k * n, steps, rows), x.dtype) for k in (1, 2, 1, 1, 1))
+    n, (steps, rows), kind = HIDDEN, fed.shape, p["x"].dtype
+    goes_on = (fed != end).astype(kind)
+    of_x = np.concatenate([p["x"][:, 2 * n:], p["x"][:, :2 * n]], axis=1).T
+    to_sums = np.zeros((4 * n, 2 * n + 1), kind)
+    to_sums[:3 * n, :n], to_sums[:3 * n, n] = of_x, np.concatenate([p["b"][2 * n:], p["b"][:2 * n]])
+    to_sums[n:, n + 1:] = p["u"].T
+    to_sums[n:] *= 0.5
+    given, sums, states = (np.empty((steps, k, rows), kind) for k in (2 * n + 1, 4 * n, n))
+    given[:, :n], given[:, n] = p["e"].take(fed, axis=0).transpose(0, 2, 1), 1
+    h = h.T
     for t in range(steps):
-        old = np.multiply(h, goes_on[t], out=olds[:, t])
-        sums = to_gates @ old
-        g = sums[:2 * n]
-        g += x[:2 * n, t]
-        g *= 0.5
-        np.tanh(g, out=g)
-        g += 1
-        g = np.multiply(g, 0.5, out=gates[:, t])
-        rec[:, t] = sums[2 * n:]
-        made = g[n:] * sums[2 * n:]
-        made += x[2 * n:, t]
-        made = np.tanh(made, out=new[:, t])
-        made = made - old
-        made *= g[:n]
-        h = np.add(old, made, out=states[:, t])
-    where, back = valid.ravel(), np.zeros((steps * rows, n), x.dtype)
-    logs, back[where] = outputs(p, bounds, np.ascontiguousarray(states.reshape(n, -1).T)[where], words.ravel()[where], learn)
-    back = np.ascontiguousarray(back.T).reshape(n, steps, rows)
-    z, r = gates[:n], gates[n:]
-    # what a state's gradient is multiplied by on its way to the sums in the gates, to that of the new state, and past the unit
-    past, to_new = (1 - z) * goes_on, z * (1 - new * new)
-    factors = np.stack([(new - olds) * z * (1 - z), to_new * rec * r * (1 - r), to_new * r])
-    drec, dh = np.empty_like(factors), np.zeros_like(h)
-    of_recurrent = drec.reshape(3 * n, steps, rows)
+        made = sums[t]
+        old = np.multiply(h, goes_on[t], out=given[t, n + 1:])
+        np.dot(to_sums, given[t], out=made)
+        new, gates = made[:n], made[n:3 * n]
+        np.tanh(gates, out=gates)
+        gates += 1
+        new += gates[n:] * made[3 * n:]
+        np.tanh(new, out=new)
+        h = np.subtract(new, old, out=states[t])
+        h *= gates[:n]
+        h *= 0.5
+        h += old
+    by_row, where = states.transpose(0, 2, 1).reshape(-1, n), slice(None) if valid.all() else valid.ravel()
+    back = np.zeros((steps * rows, n), kind)
+    logs, back[where] = outputs(p, bounds, by_row[where], words.ravel()[where], learn)
+    back = np.ascontiguousarray(back.reshape(steps, rows, n).transpose(0, 2, 1))
+    new, z, r, let = (sums[:, k * n:(k + 1) * n] for k in range(4))
+    # what a state's gradient is multiplied by on its way to the four sums, and past the unit
+    factors = np.empty((steps, 4, n, rows), kind)
+    to_new, to_z, to_r, to_let = (factors[:, k] for k in range(4))
+    past = 2 - z
+    np.multiply(new, new, out=to_new)
+    np.subtract(1, to_new, out=to_new)
+    to_new *= z
+    to_new *= 0.5
+    np.subtract(new, given[:, n + 1:], out=to_z)
+    to_z *= z
+    to_z *= past
+    to_z *= 0.25
+    np.multiply(to_new, r, out=to_let)
+    to_let *= 0.5
+    np.subtract(2, r, out=to_r)
+    to_r *= to_let
+    to_r *= let
+    past *= goes_on[:, None]
+    past *= 0.5
+    dh = np.zeros((n, rows), kind)
     for t in range(steps - 1, -1, -1):
-        dh = np.add(back[:, t], dh, out=back[:, t])
-        np.multiply(factors[:, :, t], dh, out=drec[:, :, t])
-        to_old = p["u"] @ of_recurrent[:, t]
+        dh += back[t]
+        of_sums = np.multiply(factors[t], dh, out=factors[t])
+        to_old = p["u"].dot(of_sums[1:].reshape(3 * n, rows))
         to_old *= goes_on[t]
-        dh = dh * past[:, t]
+        dh *= past[t]
         dh += to_old
-    da = np.concatenate([drec[:2].reshape(2 * n, -1), (back * to_new).reshape(n, -1)])
-    # rows of one word are added up in order, so only the words that came are touched
-    order = sorted_places(fed.ravel(), int(bounds[-1]))
-    came = fed.ravel()[order]
-    first = np.flatnonzero(np.diff(came, prepend=-1))
-    by_word = np.add.reduceat((da.T @ p["x"].T)[order], first, axis=0)
-    learn("x", slice(None), vectors.T @ da.T)
-    learn("u", slice(None), olds.reshape(n, -1) @ of_recurrent.reshape(3 * n, -1).T)
-    learn("b", slice(None), da.sum(1))
-    learn("e", came[first], by_word)
-    return states[:, -1].T, logs
+    of_sums = factors.reshape(steps, 4 * n, rows)
+    total = np.matmul(of_sums, given.transpose(0, 2, 1)).sum(0)
+    inputs = np.concatenate([total[n:3 * n], total[:n]])
+    of_vectors = np.matmul(of_sums[:, :3 * n].transpose(0, 2, 1), of_x).reshape(-1, n)
+    learn("x", slice(None), inputs[:, :n].T)
+    learn("u", slice(None), total[n:, n + 1:].T)
+    learn("b", slice(None), inputs[:, n])
+    # only the vectors of words that came are touched
+    numbers = np.zeros(len(p["e"]), np.int64)
+    numbers[fed] = 1
+    came = np.flatnonzero(numbers)
+    numbers[came] = np.arange(len(came)) * n
+    numbers = numbers.take(fed.ravel())[:, None] + np.arange(n)
+    learn("e", came, np.bincount(numbers.ravel(), of_vectors.ravel()).reshape(-1, n).astype(kind))
+    return states[-1].T, logs
 
 
 class Trainer:
@@ -321,26 +316,26 @@ class Trainer:
         import numpy as np
 
         self.p, self.bounds, self.end, self.tokens = {k: v.copy() for k, v in p.items()}, bounds, end, 0
-        self.squares = {k: np.full_like(v, 1e-2) for k, v in p.items()}
+        self.p["w"] = np.asfortranarray(p["w"])  # words by columns: see `outputs`
+        self.squares = {k: np.full_like(v, 1e-2) for k, v in self.p.items()}
 
     def update(self, name: str, rows, gradient) -> None:
         """One step against a gradient, which is written over; some rows at a time, so that all of theirs stays in a core's cache."""
         import numpy as np
 
         whole = isinstance(rows, slice)
-        weights, squares = (self.p[name][rows], self.squares[name][rows])  # parts of them, or copies of single rows
+        weights, squares = (a[name] if whole else a[name].take(rows, axis=0) for a in (self.p, self.squares))
         for at in range(0, len(gradient), UPDATED):
-            g, p, s = gradient[at:at + UPDATED], weights[at:at + UPDATED], squares[at:at + UPDATED]
+            g, p, s = (part[at:at + UPDATED].T for part in (gradient, weights, squares))
             g *= 1 / self.side_by_side
             np.clip(g, -CLIP, CLIP, out=g)
-            s += g * g
+            used = g * g
+            s += used
             g *= RATE
-            g /= np.sqrt(s)
+            g /= np.sqrt(s, out=used)
             p -= g
             if name in "cw":
-                constant = p[:, HIDDEN].copy()
-                np.clip(p, -LARGEST, LARGEST, out=p)
-                p[:, HIDDEN] = constant
+                np.clip(p[:HIDDEN], -LARGEST, LARGEST, out=p[:HIDDEN])  # but for the constant
         if not whole:
             self.p[name][rows], self.squares[name][rows] = weights, squares
 
@@ -415,22 +410,46 @@ def likelihoods(p: dict, bounds, end: int, docs: list):
 
     if not docs:
         return np.zeros(0)
-    x = p["e"] @ p["x"] + p["b"]
+    # planes of the gates z and r and the new state, words x units each; halved as in `backpropagated`
+    x, u = (np.ascontiguousarray(a.reshape(-1, 3, HIDDEN).transpose(1, 0, 2)) for a in (p["e"] @ p["x"] + p["b"], p["u"]))
+    x[:2] *= 0.5
+    u *= 0.5
+    p = {**p, "w": np.asfortranarray(p["w"])}
     order = np.argsort([-len(d) for d in docs], kind="stable")
     lengths = np.array([len(docs[i]) for i in order])
     flat, first = np.concatenate([docs[i] for i in order]), np.cumsum(lengths) - lengths
-    h, last, sums, held, size = np.zeros((len(docs), HIDDEN), x.dtype), np.full(len(docs), end), np.zeros(len(docs)), [], 0
-    longer = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left").tolist()  # documents longer than so many steps
-    for at, alive in enumerate(longer):
-        h = step(p["u"], x[last[:alive]], h[:alive])
-        last = flat[first[:alive] + at]
-        held.append((h, last))
-        size += alive
-        if size >= SCORE_TOKENS or at + 1 == lengths[0]:
-            logs, _ = outputs(p, bounds, np.concatenate([s for s, _ in held]), np.concatenate([w for _, w in held]))
-            for part in np.split(logs, np.cumsum([len(w) for _, w in held])[:-1]):
-                sums[:len(part)] += part
-            held, size = [], 0
+    h, sums, sums_of_step = np.zeros((len(docs), HIDDEN), x.dtype), np.zeros(len(docs)), np.empty((3, len(docs), HIDDEN), x.dtype)
+    longer = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # documents longer than so many steps
+    upto, at = np.cumsum(longer), 0
+    while at < lengths[0]:
+        # some steps, the words of which are looked up at once
+        to = min(int(np.searchsorted(upto, (upto[at - 1] if at else 0) + SCORE_TOKENS)) + 1, int(lengths[0]))
+        alive = longer[at:to]
+        edges = np.append(0, np.cumsum(alive))
+        doc = np.arange(edges[-1]) - np.repeat(edges[:-1], alive)
+        places = first[doc] + np.repeat(np.arange(at, to), alive)
+        fed = flat[places - 1]
+        if not at:
+            fed[:alive[0]] = end
+        given, states = x.take(fed, axis=1), np.empty((len(fed), HIDDEN), x.dtype)
+        edges = edges.tolist()
+        for a, b in zip(edges, edges[1:]):
+            h = h[:b - a]
+            made = np.matmul(h, u, out=sums_of_step[:, :b - a])
+            gates, new = made[:2], made[2]
+            gates += given[:2, a:b]
+            np.tanh(gates, out=gates)
+            gates += 1
+            new *= gates[1]
+            new += given[2, a:b]
+            np.tanh(new, out=new)
+            new -= h
+            new *= gates[0]
+            new *= 0.5
+            h = np.add(new, h, out=states[a:b])
+        logs, _ = outputs(p, bounds, states, flat[places])
+        sums[:alive[0]] += np.bincount(doc, logs)
+        at = to
     scores = np.empty(len(docs))
     scores[order] = sums
     return scores

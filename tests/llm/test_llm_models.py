@@ -281,6 +281,35 @@ def test_an_update_is_the_plain_one():
         assert np.allclose(trainer.p[k], want, rtol=1e-5, atol=1e-6), k
 
 
+def test_words_lie_by_columns_and_windows_are_the_plain_ones():
+    corpus, p, rng = random_model(7, np.float64)
+    trainer = gated_lm.Trainer(p, corpus.bounds, 1)
+    assert trainer.p["w"].flags.f_contiguous and trainer.squares["w"].flags.f_contiguous
+    words = rng.integers(0, 6, 5 * 3 * gated_lm.WINDOW - 7)  # the last row ends early
+    # window by window, moved by gradients that are added up as they come
+    plain, squares, rows = {k: v.copy() for k, v in p.items()}, {k: np.full_like(v, 1e-2) for k, v in p.items()}, len(words) // gated_lm.WINDOW
+    length = -(-len(words) // rows)
+    grid = np.append(words, [1] * (rows * length - len(words))).reshape(rows, length).T
+    valid, fed = (np.arange(rows * length) < len(words)).reshape(rows, length).T, np.append(1, grid.T.ravel()[:-1]).reshape(rows, length).T
+    h = np.zeros((rows, gated_lm.HIDDEN))
+    for at in range(0, length, gated_lm.WINDOW):
+        part, found = slice(at, at + gated_lm.WINDOW), {k: np.zeros_like(v) for k, v in p.items()}
+
+        def learn(name, rows, gradient):
+            np.add.at(found[name], rows, gradient)
+
+        h, _ = gated_lm.backpropagated(plain, corpus.bounds, fed[part], grid[part], valid[part], h, 1, learn)
+        for k, v in plain.items():
+            g = np.clip(found[k] / rows, -gated_lm.CLIP, gated_lm.CLIP)
+            squares[k] += g * g
+            v -= gated_lm.RATE * g / np.sqrt(squares[k])
+            if k in "cw":
+                v[:, :gated_lm.HIDDEN] = np.clip(v[:, :gated_lm.HIDDEN], -gated_lm.LARGEST, gated_lm.LARGEST)
+    trainer.read(words.astype(np.int32))
+    for k, v in plain.items():
+        assert np.allclose(trainer.p[k], v, rtol=1e-6, atol=1e-7), k
+
+
 def test_likelihoods_of_odd_rows(spark, rows):
     docs = rows("doc_id long, text string, held_out boolean", (1, None, False), (2, "", True), (2, "", True), (3, LONG, False), (None, "a A b", False))
     own = docs.filter("not held_out")
