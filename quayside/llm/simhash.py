@@ -93,7 +93,8 @@ def links(prints: DataFrame, radius: int, block: int = 512) -> DataFrame:
     own = F.pmod(F.xxhash64("fp"), blocks)
     meeting = F.transform(F.sequence(F.lit(0), blocks - 1), lambda other: F.struct(
         F.least(own, other).alias("lo"), F.greatest(own, other).alias("hi")))
-    grouped = entries.join(crowds, ["v", "kept"]).select("v", "kept", "fp", F.explode(meeting).alias("m")).groupBy(
+    # Spark sizes entries as if there were one for each fingerprint, and would broadcast all of them: they are sorted and merged
+    grouped = entries.join(crowds.hint("merge"), ["v", "kept"]).select("v", "kept", "fp", F.explode(meeting).alias("m")).groupBy(
         "v", "kept", "m.lo", "m.hi").agg(F.collect_list("fp").alias("fps"))
 
     def run(batches):

@@ -20,6 +20,20 @@ def docs(spark, sf):
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+def exploded_in_broadcasts(df):
+    """Nodes of the plan that multiply rows below a broadcast, with no shuffle between behind which Spark measures them."""
+    found, above = [], []
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = re.search(r"[A-Za-z]", line).start()
+        above = [a for a in above if a[0] < depth]
+        name = re.sub(r"^\W*(\(\d+\) )?", "", line)
+        if name.startswith(("BroadcastExchange", "Exchange")):
+            above.append((depth, name))
+        elif name.startswith("Generate") and above and above[-1][1].startswith("Broadcast"):
+            found.append(name)
+    return found
+
+
 # sub-word pieces
 
 @pytest.fixture(scope="module")
@@ -117,6 +131,13 @@ def test_links_keep_components(spark, block):
         assert got.get(s, s) == root(s)
 
 
+def test_no_entry_of_all_tables_is_broadcast(spark):
+    """However few fingerprints there are: Spark sizes their 31 entries each as one."""
+    prints = simhash.saved(spark.range(500).select(F.xxhash64("id").alias("fp")), "test-prints")
+    assert exploded_in_broadcasts(prints.select("fp", F.explode(F.sequence(F.lit(1), F.lit(31))).alias("v")).hint("broadcast").join(prints, "fp"))
+    assert not exploded_in_broadcasts(simhash.links(prints, 4))
+
+
 def test_components_of_a_chain_and_a_star(spark):
     chain = [(i, i + 1) for i in range(40)]
     star = [(100, i) for i in range(101, 180)]
