@@ -383,6 +383,16 @@ def test_disclosed_shares_equal_plain_ones(rows):
     assert got == want and want["mail"] and "omega" in want and "w1" not in want and "delta" in want
 
 
+def test_no_name_of_a_document_is_broadcast_unmeasured(rows, monkeypatch):
+    df = rows("doc_id long, key long, text string", *[(i, i, f"mail x{i}@a.org from 10.0.0.{i} to the secret{i} plan") for i in range(20)])
+    seen, write = [], disclosure.saved
+    monkeypatch.setattr(disclosure, "saved", lambda made, name: seen.append((name, made)) or write(made, name))
+    found = write(disclosure.noted(df).withColumn("row", F.monotonically_increasing_id()), "test-found")
+    disclosure.disclosing(found, df.select("text"))
+    assert [name for name, _ in seen] == ["disclosing-pairs", "term-counts", "disclosing"]
+    assert not [x for _, made in seen for x in exploded_in_broadcasts(made)]
+
+
 def test_the_bitmap_holds_every_term(spark):
     terms = [f"t{i}é" for i in range(3000)]
     table = disclosure.Terms(disclosure.bitmap(spark.createDataFrame([(t,) for t in terms], "term string")).value, False)
