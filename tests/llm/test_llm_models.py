@@ -4,6 +4,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,6 @@ def test_words_are_restored(letters, disguised, plain):
 
 
 def test_search_equals_trying_every_path(letters):
-    from itertools import product
-
     for token in ("hat3", "a$$", "moron5", "s**m", "b@d!", "1|1", "a b c", "x.y-z", "aaa1", "(0w", "n1!e", "*a*"):
         best = None
         for path in product(*toxicity.lattice(token)):
@@ -73,6 +72,8 @@ def test_texts_are_read_to_their_end(letters):
     assert reader.text("1 " * 500 + "m 0 r o n")[-1] == "moron"
     assert reader.text("you/idiot,there") == ["you", "idiot", "there"]
     assert reader.text("plain/" * 30 + "1d1ot") == ["plain"] * 30 + ["idiot"]
+    assert reader.text("you " + "i" * 80 + "di" + "o" * 90 + "t") == ["you", "idiot"]  # however long a letter is held
+    assert reader.text("you" + "." * 80 + "there") == ["you", "there"]
 
 
 def test_odd_tokens_take_no_long(letters):
@@ -103,6 +104,54 @@ def test_toxicity_reads_no_held_out_label(spark, sf):
     assert toxicity.fit(docs, labels, logs) == toxicity.fit(docs, turned, logs)
 
 
+def test_toxicity_is_learned_from_all_labels(rows, spark):
+    """More labelled rows than were drawn before: every count and sum is one over all of them."""
+    n, bad = 21_000, 2_000
+    text = F.when(F.col("doc_id") < 3 * bad, F.concat(F.lit("you "), F.col("p"), F.lit(" zilch"))).otherwise(F.concat(F.lit("the "), F.col("p"), F.lit(" cat")))
+    docs = spark.range(3 * n).withColumnRenamed("id", "doc_id").withColumn("p", F.element_at(F.array(*map(F.lit, "abc")), (F.col("doc_id") % 3 + 1).cast("int"))).select("doc_id", text.alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") < 3 * bad).cast("int").alias("toxic"))
+    kept = labels.filter(gated_lm.fold("doc_id", 3) != 1)
+    kinds = {r.toxic: r.n for r in kept.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert sum(kinds.values()) > 30_000
+    lexicon, weights = toxicity.fit(docs, labels, np.zeros((toxicity.SYMBOLS ** 3, toxicity.SYMBOLS), np.float32))
+    # "zilch" stands behind three words; words of one letter do not count
+    assert lexicon == {"zilch": pytest.approx(np.log(3.5 / (3 * kinds[1] + 1)) - np.log(0.5 / (3 * kinds[0] + 1)))}
+    x = np.array([[1, lexicon["zilch"], np.log(2), np.sqrt(1 / 3)], [1, 0, 0, 0]])
+    p, hold = 1 / (1 + np.exp(-x @ weights)), np.array([1e-3, 0.1, 0.1, 0.1])
+    slope = x.T @ (np.array([kinds[1], kinds[0]]) * (np.array([1, 0]) - p)) - hold * weights
+    assert np.abs(slope).max() < 1e-6
+
+
+def test_words_that_speak_for_toxicity_equal_plain_counts(rows):
+    """Also those that the first part of the clean rows leaves open."""
+    rnd = np.random.default_rng(5)
+    vocabulary = ["w" + "".join(x) for x in product("bcdef", "ghijkl", "mnopqrstuv")]
+    texts = [" ".join(rnd.choice(vocabulary[:200] if i % 4 else vocabulary[150:], 25)) for i in range(400)]
+    docs = rows("doc_id long, text string", *enumerate(texts))
+    labels = rows("doc_id long, toxic int", *[(i, int(i % 4 == 0)) for i in range(400)])
+    lexicon, _ = toxicity.fit(docs, labels, np.zeros((toxicity.SYMBOLS ** 3, toxicity.SYMBOLS), np.float32))
+    kept = [i for i in range(400) if fold(i, 3) != 1]
+    seen, sizes = {0: {}, 1: {}}, {0: 0, 1: 0}
+    for i in kept:
+        words = texts[i].split()
+        sizes[int(i % 4 == 0)] += len(words)
+        for before, w in zip(["", *words], words):
+            seen[int(i % 4 == 0)].setdefault(w, set()).add(before)
+    want = {}
+    for w, before in seen[1].items():
+        a, b = len(before), len(seen[0].get(w, ()))
+        odds = np.log((a + 0.5) / (sizes[1] + 1)) - np.log((b + 0.5) / (sizes[0] + 1))
+        if a >= toxicity.MIN_PLACES and a > b and odds >= toxicity.MIN_LOG_ODDS:
+            want[w] = pytest.approx(odds)
+    assert len(want) > 50 and want == lexicon
+
+
+def test_only_words_asked_for_are_counted(rows):
+    texts = rows("restored binary", *[(bytearray(zlib.compress(t.encode(), 1)),) for t in ("the cat sat", "a cat sat", "the cat", "")])
+    assert {r.w: r.n for r in toxicity.surroundings(texts, "n").collect()} == {"the": 1, "cat": 2, "sat": 1}
+    assert {r.w: r.n for r in toxicity.surroundings(texts, "n", rows("w string", ("cat",))).collect()} == {"cat": 2}
+
+
 def test_toxicity_of_odd_rows(spark, rows):
     docs = rows("doc_id long, text string, score string", (1, None, "x"), (2, "", "x"), (2, "", "x"), (None, "a", "x"), (3, LONG, "x"))
     labels = rows("doc_id long, toxic int", (1, 0), (2, None), (None, 1), (3, 7), (3, 0))
